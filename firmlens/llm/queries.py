@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from firmlens.llm import chat, mixing, quality_rules
+from firmlens.llm import chat, mixing, quality_rules, topk
 
 QUERIES = {
+    "op1_topk_search": topk.op1_topk_search,
     "op4_quality_rules": quality_rules.op4_quality_rules,
     "op6_mix_sources": mixing.op6_mix_sources,
     "op7_chat_format": chat.op7_chat_format,
 }
 
 ORACLE_SQL = {
+    "op1_topk_search": topk.OP1_SQL,
     "op4_quality_rules": quality_rules.OP4_SQL,
     "op6_mix_sources": mixing.OP6_SQL,
     "op7_chat_format": chat.OP7_SQL,
