@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -18,9 +19,18 @@ WS_RUN = r"[\x20\x09-\x0D]+"
 
 # ---------------------------------------------------------------- shared folder
 
+def find_package(spark: SparkSession) -> None:
+    """Let Python workers import this package where it stands; where it is shipped (--py-files) this does nothing."""
+    root = str(Path(__file__).resolve().parents[2])
+    have = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in have.split(":"):
+        spark.sparkContext.environment["PYTHONPATH"] = f"{root}:{have}".rstrip(":")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: spark.checkpoint.dir, or a temporary one in local mode."""
     sc = spark.sparkContext
+    find_package(spark)
     path = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from firmlens.llm import chat, mixing, quality_rules, topk
+from firmlens.llm import chat, mixing, quality_rules, topk, warc
 
 QUERIES = {
     "op1_topk_search": topk.op1_topk_search,
     "op4_quality_rules": quality_rules.op4_quality_rules,
     "op6_mix_sources": mixing.op6_mix_sources,
     "op7_chat_format": chat.op7_chat_format,
+    "op9_warc": warc.op9_warc,
 }
 
 ORACLE_SQL = {
@@ -16,4 +17,5 @@ ORACLE_SQL = {
     "op4_quality_rules": quality_rules.OP4_SQL,
     "op6_mix_sources": mixing.OP6_SQL,
     "op7_chat_format": chat.OP7_SQL,
+    "op9_warc": warc.OP9_SQL,
 }
