@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from firmlens.llm import chat, mixing, quality_rules, topk, warc
+from firmlens.llm import bpe, chat, mixing, quality_rules, token_files, topk, warc
 
 QUERIES = {
     "op1_topk_search": topk.op1_topk_search,
     "op4_quality_rules": quality_rules.op4_quality_rules,
     "op6_mix_sources": mixing.op6_mix_sources,
     "op7_chat_format": chat.op7_chat_format,
+    "op8_token_files": token_files.op8_token_files,
     "op9_warc": warc.op9_warc,
+    "op10_bpe": bpe.op10_bpe,
 }
 
 ORACLE_SQL = {
