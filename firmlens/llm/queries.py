@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from firmlens.llm import bpe, chat, mixing, quality_rules, token_files, topk, warc
+from firmlens.llm import bpe, chat, mixing, quality_rules, suffix_dedup, token_files, topk, warc
 
 QUERIES = {
     "op1_topk_search": topk.op1_topk_search,
+    "op2_suffix_dedup": suffix_dedup.op2_suffix_dedup,
     "op4_quality_rules": quality_rules.op4_quality_rules,
     "op6_mix_sources": mixing.op6_mix_sources,
     "op7_chat_format": chat.op7_chat_format,
