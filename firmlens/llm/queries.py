@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from firmlens.llm import bpe, chat, mixing, near_dedup, quality_rules, suffix_dedup, token_files, topk, warc
+from firmlens.llm import bpe, chat, classifier, mixing, near_dedup, quality_rules, suffix_dedup, token_files, topk, warc
 
 QUERIES = {
     "op1_topk_search": topk.op1_topk_search,
     "op2_suffix_dedup": suffix_dedup.op2_suffix_dedup,
     "op3_near_dedup": near_dedup.op3_near_dedup,
     "op4_quality_rules": quality_rules.op4_quality_rules,
+    "op5_quality_classifier": classifier.op5_quality_classifier,
     "op6_mix_sources": mixing.op6_mix_sources,
     "op7_chat_format": chat.op7_chat_format,
     "op8_token_files": token_files.op8_token_files,
