@@ -1,18 +1,83 @@
-"""The training-data pipeline: documents through the numbered operators, each stage written and read again."""
+"""The training-data pipeline over documents: five stages, each written and read again before the next."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from firmlens.llm.bpe import bpe_encode_decode, digests
+from firmlens.llm.classifier import classify
 from firmlens.llm.common import materialize
-from firmlens.llm.mixing import mix_sources  # noqa: F401
+from firmlens.llm.mixing import mix_sources
+from firmlens.llm.near_dedup import near_dedup
+from firmlens.llm.suffix_dedup import suffix_dedup
 
-STAGES: list = []
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def only(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of docs whose doc_id is in ids (distinct; null counts as a value)."""
+    return docs.join(ids.select(F.col("doc_id").alias("_id")), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the perplexity classifier keeps. Rows with one doc_id go or stay together: any kept row keeps them."""
+    kept = classify(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")).where("kept").select("doc_id").distinct()
+    return only(docs.select(*COLUMNS), kept)
+
+
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates: that with the least doc_id; of rows with that id, one."""
+    classes = near_dedup(docs)
+    kept = materialize(classes.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select("doc_id"), "kept")
+    once = kept.distinct()
+    out = only(docs.select(*COLUMNS), once)
+    return out if kept.count() == once.count() else out.dropDuplicates(["doc_id"])
+
+
+def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the passages that a document with a smaller id has too; n_chars follows. A character cut in two is
+    dropped, and of a cut text every U+FFFD. Texts that nothing is left of go; null texts stay null. The stage before
+    leaves each doc_id once."""
+    cut = suffix_dedup(docs, keep_text=True).where("n_removed > 0")
+    cut = cut.select(F.col("doc_id").alias("_id"), F.col("kept").alias("_kept"))
+    joined = docs.select(*COLUMNS).join(cut, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
+    text = F.when(F.col("_kept").isNull(), F.col("text")).otherwise(F.replace(F.try_validate_utf8(F.make_valid_utf8("_kept")), F.lit("�"), F.lit("")))
+    out = joined.where(F.col("_kept").isNull() | (F.length("_kept") > 0)).withColumn("text", text)
+    return out.withColumn("n_chars", F.when(F.col("_kept").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long"))).select(*COLUMNS)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it (0 to 3 times), all columns kept."""
+    copies = mix_sources(docs).groupBy("doc_id").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows"))
+    copies = copies.where("copies > 0").select(F.col("doc_id").alias("_id"), "copies", "rows")
+    joined = docs.select(*COLUMNS).join(copies, F.col("doc_id").eqNullSafe(F.col("_id")))
+    joined = joined.withColumn("_times", F.explode(F.sequence(F.lit(1).cast("long"), F.greatest(F.lit(1), F.ceil(F.col("copies") / F.col("rows"))))))
+    return joined.select(*COLUMNS)
+
+
+def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids (little-endian 32-bit) and decoded text of every copy, with their digests."""
+    import public_tokenizers
+
+    encoded = bpe_encode_decode(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return digests(encoded)
+
+
+STAGES = [
+    ("quality_classifier", quality_stage),
+    ("near_dedup", near_stage),
+    ("suffix_dedup", suffix_stage),
+    ("mixing", mixing_stage),
+    ("bpe", encode_stage),
+]
+
+#: Near duplicates, suffix sorting and BPE aren't expressible in SQL; tests/llm compares the stages with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply STAGES to documents."""
+    """Apply STAGES to documents: each stage's rows are written as Parquet in the shared folder and read by the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), name)
