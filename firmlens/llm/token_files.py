@@ -4,10 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import os
-import re
 import struct
 import zlib
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firmlens.llm.common import batches_of, get_file, materialize, new_folder, parallelism, prefix_sums, put_file
+from firmlens.llm.common import batches_of, get_file, materialize, new_folder, parallelism, prefix_sums, put_file, text_bytes
 
 MAGIC = b"DACIDS01"
 #: Bits of a chunk, and bits between two entries of a level's rank directory.
@@ -35,13 +33,13 @@ class Codes:
 
     @classmethod
     def encode(cls, ids: np.ndarray) -> Codes:
-        rest, levels = ids.astype(np.uint64), []
+        rest, levels = np.asarray(ids), []
         while True:
             more = rest > 0xFF
             ones = np.add.reduceat(more.astype(np.uint32), np.arange(0, len(more), RANK_STEP)) if len(more) else np.zeros(0, np.uint32)
             rank = np.concatenate([np.zeros(1, np.uint32), np.cumsum(ones, dtype=np.uint32)])
-            levels.append(((rest & np.uint64(0xFF)).astype(np.uint8), np.packbits(more), rank))
-            rest = rest[more] >> np.uint64(CHUNK_BITS)
+            levels.append((rest.astype(np.uint8), np.packbits(more), rank))
+            rest = rest[more] >> CHUNK_BITS
             if not len(rest):
                 return cls(levels, len(ids))
 
@@ -111,50 +109,102 @@ class CachedEncoder:
     token's string, are encoded whole. Two generations of units are kept, LIMIT each at most.
     """
 
-    LIMIT = 300_000
-    _units = re.compile(r"[ \n]?[^ \n]+").findall
-    _odd = re.compile(r"^\s|\s\s|\s$|[^\S \n]").search
+    LIMIT = 500_000
+    #: Units that are new are encoded so many at a time.
+    RUN = 256
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-        self.young, self.old = {}, {}
-
-    def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        size = self.tokenizer.get_vocab_size()
+        self.widths = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(size)], np.int64)  # a character stands for a byte
+        self.kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def irregular(self, body: np.ndarray, offsets: np.ndarray, gaps: np.ndarray) -> np.ndarray:
+        """Which texts have white space other than single spaces and line ends inside them, or a special string."""
+        at = [np.flatnonzero(((body >= 9) & (body <= 13) & (body != 10)) | ((body >= 0x1C) & (body <= 0x1F)))]
+        padded = np.concatenate([body, np.zeros(2, np.uint8)])
+        for lead, tails in ((0xC2, ((0x85, None), (0xA0, None))), (0xE1, ((0x9A, {0x80}),)), (0xE2, ((0x80, {*range(0x80, 0x8B), 0xA8, 0xA9, 0xAF}), (0x81, {0x9F}))), (0xE3, ((0x80, {0x80}),))):
+            here = np.flatnonzero(body == lead)
+            for second, thirds in tails:
+                found = here[padded[here + 1] == second]
+                at.append(found if thirds is None else found[np.isin(padded[found + 2], list(thirds))])
+        where = np.flatnonzero(gaps)
+        some = offsets[:-1][np.diff(offsets) > 0]
+        at += [where[:-1][np.diff(where) == 1], some[gaps[some]], offsets[1:][np.diff(offsets) > 0] - 1]
+        at[-1] = at[-1][gaps[at[-1]]]
+        view = body.tobytes()
+        for s in self.special:
+            i = view.find(s)
+            while i >= 0:
+                at.append(np.array([i]))
+                i = view.find(s, i + 1)
+        out = np.zeros(len(offsets) - 1, bool)
+        out[np.searchsorted(offsets, np.concatenate(at), side="right") - 1] = True
+        return out
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        plain = [not self._odd(t) and not any(s in t for s in self.special) for t in texts]
-        units = [self._units(t) if p else () for t, p in zip(texts, plain, strict=True)]
-        flat = list(chain.from_iterable(units))
+    def look_up(self, units: list[bytes]) -> list[bytes]:
         if len(self.young) > self.LIMIT:
             self.young, self.old = {}, self.young
-        found = list(map(self.young.get, flat))
-        gaps = [i for i, v in enumerate(found) if v is None]
-        if gaps:
-            new = {flat[i]: None for i in gaps}
-            for u in new:
-                if (v := self.old.get(u)) is not None:
-                    self.young[u] = v
-            need = [u for u in new if u not in self.young]
-            if need:
-                e = self.tokenizer.encode(need, is_pretokenized=True, add_special_tokens=False)
-                raw = np.array(e.ids, self.kind).tobytes()
-                width = np.dtype(self.kind).itemsize
-                cuts = (np.searchsorted(np.array(e.word_ids, np.int64), np.arange(len(need) + 1)) * width).tolist()
-                self.young.update({u: raw[a:b] for u, a, b in zip(need, cuts, cuts[1:])})
-            young = self.young
-            for i in gaps:
-                found[i] = young[flat[i]]
-        out, at = [], 0
-        for t, p, u in zip(texts, plain, units, strict=True):
-            out.append(np.frombuffer(b"".join(found[at : at + len(u)]) if p else self.whole(t), self.kind))
-            at += len(u)
-        return out
+        young, old = self.young, self.old
+        found = list(map(young.get, units))
+        missing = [i for i, v in enumerate(found) if v is None]
+        need = []
+        for i in missing:
+            if (v := old.get(units[i])) is not None:
+                young[units[i]] = found[i] = v
+            else:
+                need.append(i)
+        # units that begin with a space or line end can follow one another in one text; ids have known numbers of bytes
+        runs = [i for i in need if units[i][:1] in b" \n"]
+        for at in range(0, len(runs), self.RUN):
+            own = runs[at : at + self.RUN]
+            ids = np.array(self.tokenizer.encode_batch_fast([b"".join([units[i] for i in own]).decode()], add_special_tokens=False)[0].ids, np.int64)
+            cuts = np.searchsorted(np.cumsum(self.widths[ids]), np.cumsum([len(units[i]) for i in own])) + 1
+            raw = ids.astype(self.kind).tobytes()
+            cuts = [0, *(cuts * self.kind.itemsize).tolist()]
+            for i, a, b in zip(own, cuts, cuts[1:]):
+                young[units[i]] = found[i] = raw[a:b]
+        alone = [i for i in need if found[i] is None]
+        for i, e in zip(alone, self.tokenizer.encode_batch_fast([units[i].decode() for i in alone], add_special_tokens=False), strict=True):
+            young[units[i]] = found[i] = np.array(e.ids, self.kind).tobytes()
+        return found
+
+    def encode(self, body: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts that stand end to end in body, and the n + 1 offsets of each text's ids."""
+        gaps = (body == 32) | (body == 10)
+        odd = self.irregular(body, offsets, gaps)
+        cut = gaps
+        cut[offsets[:-1][np.diff(offsets) > 0]] = True
+        starts = np.flatnonzero(cut)
+        units = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(np.append(starts, len(body))), pa.py_buffer(body)])
+        upto = np.searchsorted(starts, offsets)
+        if odd.any():
+            regular = np.repeat(~odd, np.diff(upto))
+            units = units.filter(pa.array(regular))
+            upto = np.concatenate([[0], np.cumsum(np.where(odd, 0, np.diff(upto)))])
+        coded = units.dictionary_encode()
+        index = coded.indices.to_numpy()
+        values = self.look_up(coded.dictionary.to_pylist())
+        table = np.frombuffer(b"".join(values), self.kind)
+        sizes = np.fromiter(map(len, values), np.int64, len(values)) // self.kind.itemsize
+        base = (np.cumsum(sizes) - sizes)[index]
+        size = sizes[index]
+        total = np.concatenate([[0], np.cumsum(size)])
+        ids = table[np.repeat(base - total[:-1], size) + np.arange(total[-1])]
+        tokens = total[upto]
+        if odd.any():
+            parts = [ids[tokens[i] : tokens[i + 1]] for i in range(len(odd))]
+            for i in np.flatnonzero(odd):
+                text = body[offsets[i] : offsets[i + 1]].tobytes().decode()
+                parts[i] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind)
+            ids, tokens = np.concatenate(parts), np.concatenate([[0], np.cumsum([len(p) for p in parts])])
+        return ids, tokens
 
 
 _ENCODERS: dict[str, CachedEncoder] = {}
@@ -196,15 +246,15 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, *, end_id: i
             kinds = (pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64())
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)], names=[f.split()[0] for f in FILES.split(", ")])
 
-        for frame in batches_of(frames, 1 << 20):
-            for d, ids in zip(frame.column(0).to_pylist(), enc.encode(frame.column(1).to_pylist()), strict=True):
-                doc_ids.append(d)
-                lengths.append(len(ids) + 1)
-                parts += [ids, np.array([end_id], ids.dtype)]
-                held += len(ids) + 1
-                if held >= FILE_TOKENS:
-                    yield close()
-                    doc_ids, lengths, parts, held, seq = [], [], [], 0, seq + 1
+        for frame in batches_of(frames, 4 << 20):
+            ids, at = enc.encode(*text_bytes(frame.column(1)))
+            parts.append(np.insert(ids, at[1:], end_id))
+            lengths += (np.diff(at) + 1).tolist()
+            doc_ids += frame.column(0).to_pylist()
+            held += len(parts[-1])
+            if held >= FILE_TOKENS:
+                yield close()
+                doc_ids, lengths, parts, held, seq = [], [], [], 0, seq + 1
         if doc_ids:
             yield close()
 
