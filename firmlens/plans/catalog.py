@@ -2,5 +2,9 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from firmlens.plans import people, web
+
+_ALL = web.QUERIES | people.QUERIES
+
+QUERIES = {name: query for name, (query, _) in _ALL.items()}
+ORACLE_SQL = {name: sql for name, (_, sql) in _ALL.items() if sql}
