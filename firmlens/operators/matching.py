@@ -64,7 +64,8 @@ def taxonomy_alignment(targets: DataFrame, partners: DataFrame, pairs: DataFrame
 
 def weighted_terms(rows: DataFrame, key: str, columns: dict[str, int]) -> DataFrame:
     """(key, token, weight): each token of the columns, weighted by the column and by how often it stands there."""
-    parts = F.concat(*[F.transform(match_tokens(F.col(c)), lambda t, w=w: F.struct(t.alias("token"), F.lit(w).alias("w"))) for c, w in columns.items()])
+    weigh = lambda w: lambda t: F.struct(t.alias("token"), F.lit(w).alias("w"))
+    parts = F.concat(*[F.transform(match_tokens(F.col(c)), weigh(w)) for c, w in columns.items()])
     return rows.select(key, F.explode(parts).alias("_x")).groupBy(key, F.col("_x.token").alias("token")).agg(F.sum("_x.w").alias("weight"))
 
 
@@ -152,8 +153,9 @@ def canonical_partner(outputs: DataFrame, partners: DataFrame) -> DataFrame:
         (0, F.lower(clean_text(F.col("partner_id"))), F.array(F.lower(F.trim("p_id")))), (1, F.lower(clean_text(F.col("partner_name"))), F.array(F.lower(F.trim("p_name")))),
         (2, F.lower(clean_text(F.col("partner_name"))), F.transform("p_aliases", lambda a: F.lower(F.trim(a)))), (3, match_text(F.col("partner_name")), F.array(match_text(F.col("p_name")))))
     keys = outputs.select("row_id", F.explode(F.array(*[F.struct(F.lit(i).alias("level"), k.alias("key")) for i, k, _ in ways])).alias("k")).select("row_id", "k.*").where("key <> ''")
+    level = lambda i: lambda x: F.struct(F.lit(i).alias("level"), x.alias("key"))
     named = p.select(F.col("partner_id").alias("p_id"), F.col("name").alias("p_name"), F.col("aliases").alias("p_aliases"), "position")
-    lookup = named.select("p_id", "p_name", "position", F.explode(F.flatten(F.array(*[F.transform(ks, lambda x, i=i: F.struct(F.lit(i).alias("level"), x.alias("key"))) for i, _, ks in ways]))).alias("k"))
+    lookup = named.select("p_id", "p_name", "position", F.explode(F.flatten(F.array(*[F.transform(ks, level(i)) for i, _, ks in ways]))).alias("k"))
     lookup = lookup.select("p_id", "p_name", "position", "k.*").where("key <> ''")
     best = keys.join(lookup, ["level", "key"]).groupBy("row_id").agg(F.min_by(F.struct("p_id", "p_name", "level"), F.struct("level", "position")).alias("b"))
     return outputs.join(best.select("row_id", F.col("b.p_id").alias("matched_id"), F.col("b.p_name").alias("matched_name"), F.col("b.level").alias("level")), "row_id", "left")
