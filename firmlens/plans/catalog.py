@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from firmlens.plans import matching, people, tables, web
+from firmlens.plans import matching, people, runs, tables, web
 
-_ALL = web.QUERIES | people.QUERIES | matching.QUERIES | tables.QUERIES
+_ALL = web.QUERIES | people.QUERIES | matching.QUERIES | tables.QUERIES | runs.QUERIES
 
 QUERIES = {name: query for name, (query, _) in _ALL.items()}
 ORACLE_SQL = {name: sql for name, (_, sql) in _ALL.items() if sql}

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from firmlens.functions import fixed, urls
 from firmlens.functions.text import clean_lines
+from firmlens.shared import find_package
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 MAX_BANNER = 1500
@@ -90,6 +91,7 @@ def _parsed(pages: DataFrame) -> DataFrame:
             links = pa.array([[{"href": h, "text": t} for h, t in ls] for _, ls in got], kind)
             yield pa.RecordBatch.from_arrays([frame.column(0), frame.column(1), pa.array([t for t, _ in got], pa.string()), links], names=["page_id", "url", "raw", "links"])
 
+    find_package(pages.sparkSession)
     return pages.select("page_id", "url", "html").mapInArrow(run, "page_id long, url string, raw string, links array<struct<href:string,text:string>>")
 
 
