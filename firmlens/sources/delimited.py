@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import re
 from collections.abc import Mapping, Sequence
 
@@ -57,11 +58,11 @@ def read_delimited(spark: SparkSession, path: str, *, delimiter: str | None = No
     Rows outside the range go; with stop_blank so do blank rows, and all rows after so many blank ones in a row. A single
     file is one ordered list, so places come from a window over file offsets of its lines.
     """
-    if delimiter is None:
-        first = spark.read.text(path).limit(20).collect()
-        delimiter = sniff_delimiter("\n".join(r["value"] for r in first))
-    raw = spark.read.option("header", True).option("sep", delimiter).option("inferSchema", False).option("enforceSchema", False).option("ignoreLeadingWhiteSpace", False).option("mode", "PERMISSIVE").csv(path)
-    names = unique_names([re.sub("^﻿", "", c).strip() for c in raw.columns])
+    head = [r["value"] for r in spark.read.text(path).limit(20).collect()]
+    delimiter = delimiter or sniff_delimiter("\n".join(head))
+    raw = spark.read.option("header", True).option("sep", delimiter).option("inferSchema", False).option("mode", "PERMISSIVE").csv(path)
+    header = next(csv.reader(head[:1], delimiter=delimiter), raw.columns)  # as written: the reader renames repeated names
+    names = unique_names([c.removeprefix("\ufeff").strip() for c in (header if len(header) == len(raw.columns) else raw.columns)])
     table = raw.toDF(*names).withColumn("_at", F.monotonically_increasing_id())
     # ids grow with file position; a running number needs them in one order, which only a list of input rows must bear
     starts = table.groupBy(F.spark_partition_id().alias("_p")).agg(F.count(F.lit(1)).alias("n"))
@@ -88,20 +89,20 @@ def read_delimited(spark: SparkSession, path: str, *, delimiter: str | None = No
 
 
 def unique_names(names: Sequence[str]) -> list[str]:
-    """Repeated names get .2, .3 and so on."""
+    """Repeated names get __2, __3 and so on."""
     seen: dict[str, int] = {}
     out = []
     for n in names:
         seen[n] = seen.get(n, 0) + 1
-        out.append(n if seen[n] == 1 else f"{n}.{seen[n]}")
+        out.append(n if seen[n] == 1 else f"{n}__{seen[n]}")
     return out
 
 
 def coalesce_repeated(df: DataFrame) -> DataFrame:
-    """Columns name, name.2, … as one: the first that isn't blank, at the first one's place."""
+    """Columns name, name__2, … as one: the first that isn't blank, at the first one's place."""
     groups: dict[str, list[str]] = {}
     for c in df.columns:
-        groups.setdefault(re.sub(r"\.\d+$", "", c), []).append(c)
+        groups.setdefault(re.sub(r"__\d+$", "", c), []).append(c)
     quoted = lambda c: F.col(f"`{c}`")
     return df.select(*[(F.coalesce(*[blank_to_null(quoted(c)) for c in cs]) if len(cs) > 1 else quoted(cs[0])).alias(n) for n, cs in groups.items()])
 
