@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
 import tempfile
 import uuid
 from pathlib import Path
@@ -41,23 +43,32 @@ def shared_dir(spark: SparkSession) -> str:
     return path if "://" in path or path.startswith("file:") else f"file://{path}"
 
 
+#: Folders that this process has named, oldest first.
+FOLDERS: list[str] = []
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder name below the shared folder."""
-    return f"{shared_dir(spark)}/firmlens/{name}-{uuid.uuid4().hex[:12]}"
+    FOLDERS.append(f"{shared_dir(spark)}/firmlens/{name}-{uuid.uuid4().hex[:12]}")
+    return FOLDERS[-1]
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write df as a Parquet table in the shared folder and read it back: cuts the lineage, survives lost executors."""
+def materialize(df: DataFrame, name: str, parts: int | None = None) -> DataFrame:
+    """Write df as a Parquet table in the shared folder and read it back: cuts the lineage, survives lost executors.
+    parts: how many tasks write it, where the caller knows that the table is small."""
     spark = df.sparkSession
     path = new_folder(spark, name)
-    df.write.parquet(path)
+    (df if parts is None else df.coalesce(parts)).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Delete every table these operators left in the shared folder. Call when no result is read any more."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/firmlens")
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def release(spark: SparkSession, folders: list[str] | None = None) -> None:
+    """Delete folders (all that this process has named, if not given). Call when no result made of them is read any more."""
+    for folder in list(FOLDERS if folders is None else folders):
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        if folder in FOLDERS:
+            FOLDERS.remove(folder)
 
 
 def open_store(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -164,6 +175,13 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return body[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system after a large group; worker processes live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 

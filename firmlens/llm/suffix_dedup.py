@@ -12,12 +12,14 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firmlens.llm.common import MIX1, MIX2, batches_of, get_file, materialize, mix, new_folder, parallelism, put_file, text_bytes
+from firmlens.llm.common import MIX1, MIX2, batches_of, get_file, materialize, mix, new_folder, parallelism, put_file, release_memory, text_bytes
 
 #: Bytes of a match, of the sampled strings inside it, and so sampled strings in a window of which one is taken.
 MATCH, GRAM = 50, 24
 #: Text bytes of a block (a unit of work that is kept in the shared folder), and of a chunk that is hashed at a time.
-BLOCK_BYTES, CHUNK = 16 << 20, 1 << 18
+BLOCK_BYTES, CHUNK = 8 << 20, 1 << 18
+#: Shards per partition of the session's shuffles: a shard's suffixes are sorted in one task's memory.
+SHARDS = 3
 NO_HASH = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -72,10 +74,10 @@ def two_stage(text: np.ndarray, ends: np.ndarray, want: np.ndarray, most: int) -
     nxt = text[1 : n + 1]
     here = text[:n]
     # larger than the successor: by the first differing symbol; in a run of equal symbols by what follows the run
-    same = here == nxt
-    stop = np.flatnonzero(~same)
-    decides = stop[np.searchsorted(stop, np.arange(n))] if len(stop) else np.arange(n)
+    decides = np.where(here == nxt, n - 1, np.arange(n)).astype(np.int32)
+    decides = np.minimum.accumulate(decides[::-1])[::-1]
     large = here[decides] > nxt[decides]
+    del decides
     # wanted suffixes that are larger need their successors, up to one that is sorted directly
     need = want.copy()
     run = want & large
@@ -144,8 +146,8 @@ def repeated_windows(pieces: list[bytes], length: int) -> tuple[np.ndarray, np.n
     text = np.ones(n + 64, np.uint16)  # padding above the last 0
     text[:n] = raw.astype(np.uint16) + 1
     text[zero] = 0
-    ends = np.repeat(zero, sizes + 1)
-    want = (np.arange(n) + length) <= ends
+    ends = np.repeat(zero.astype(np.int32), sizes + 1)
+    want = (np.arange(n, dtype=np.int32) + length) <= ends
     suffixes = two_stage(text, ends, want, length)
     group = common_prefix_ranks(text, suffixes, length)
     piece = np.searchsorted(starts, suffixes, side="right") - 1
@@ -225,15 +227,21 @@ def unpack(raw: bytes, *kinds: str) -> list[np.ndarray]:
 
 def load_block(folder: str, block: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ids, offsets and bytes of a block's documents."""
-    ids, offsets, body = unpack(get_file(folder, block), "<i8", "<i8", "u1")
+    ids, offsets, body, _ = unpack(get_file(folder, block), "<i8", "<i8", "u1", "u1")
     return ids, offsets, body
 
 
+def load_carried(folder: str, block: str) -> pd.DataFrame:
+    """The other columns of a block's documents."""
+    raw = unpack(get_file(folder, block), "<i8", "<i8", "u1", "u1")[3]
+    return pa.ipc.open_stream(pa.py_buffer(raw.tobytes())).read_all().to_pandas()
+
+
 NULL_ID = (1 << 63) - 1
 
 
-def write_blocks(docs: DataFrame, folder: str, shards: int) -> DataFrame:
-    """Documents into block files; a written table of (block, shard, grams): the block's sampled strings by shard, as
+def write_blocks(docs: DataFrame, folder: str, shards: int, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Documents, with the columns to carry, into block files; a table of (block, shard, grams), to be read once: the block's sampled strings by shard, as
     32-bit fingerprints: first those that two documents of the block have, then the others."""
 
     def run(frames):
@@ -243,7 +251,11 @@ def write_blocks(docs: DataFrame, folder: str, shards: int) -> DataFrame:
             ids = np.concatenate([x[0] for x in held])
             sizes = np.concatenate([np.diff(x[1]) for x in held])
             offsets, body = np.concatenate([[0], np.cumsum(sizes)]), np.concatenate([x[2] for x in held])
-            raw = pack(ids.astype("<i8"), offsets.astype("<i8"), body)
+            sink = pa.BufferOutputStream()
+            table = pa.Table.from_batches([x[3] for x in held])
+            with pa.ipc.new_stream(sink, table.schema) as out:
+                out.write_table(table)
+            raw = pack(ids.astype("<i8"), offsets.astype("<i8"), body, np.frombuffer(sink.getvalue(), np.uint8))
             block = hashlib.sha256(raw).hexdigest()[:24]
             put_file(folder, block, raw)
             where, hashes = sample(body, offsets)
@@ -259,15 +271,16 @@ def write_blocks(docs: DataFrame, folder: str, shards: int) -> DataFrame:
             cuts = np.searchsorted(shard[order], np.arange(shards + 1))
             small = h.astype(np.uint32)
             blobs = []
-            for s in range(shards):
+            some = [s for s in range(shards) if s == 0 or cuts[s] < cuts[s + 1]]  # at least one row names the block
+            for s in some:
                 own = order[cuts[s] : cuts[s + 1]]
                 yes = shared[own]
                 blobs.append(pack(np.sort(small[own[yes]]), np.sort(small[own[~yes]])))
-            return pa.RecordBatch.from_arrays([pa.array([block] * shards), pa.array(np.arange(shards), pa.int64()), pa.array(blobs, pa.binary())], names=["block", "shard", "grams"])
+            return pa.RecordBatch.from_arrays([pa.array([block] * len(some)), pa.array(some, pa.int64()), pa.array(blobs, pa.binary())], names=["block", "shard", "grams"])
 
         for frame in batches_of(frames, BLOCK_BYTES // 4):
             body, offsets = text_bytes(frame.column(1))
-            held.append((frame.column(0).to_numpy(zero_copy_only=False), offsets, body))
+            held.append((frame.column(0).to_numpy(zero_copy_only=False), offsets, body, frame.select(["null_text", *carry])))
             size += len(body) + 64 * frame.num_rows
             if size >= BLOCK_BYTES:
                 yield close()
@@ -275,12 +288,12 @@ def write_blocks(docs: DataFrame, folder: str, shards: int) -> DataFrame:
         if held:
             yield close()
 
-    d = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc_id"), "text")
-    return materialize(d.mapInArrow(run, "block string, shard long, grams binary"), "grams")
+    d = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc_id"), "text", F.col("text").isNull().alias("null_text"), *carry)
+    return d.mapInArrow(run, "block string, shard long, grams binary")
 
 
 def shared_grams(grams: DataFrame) -> DataFrame:
-    """(block, shard, shared): of each block, the fingerprints that another of its documents or another block has too."""
+    """A written table (block, shard, shared), a row at least for each block: of each block, the fingerprints that another of its documents or another block has too."""
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
         got = [unpack(raw, "<u4", "<u4") for raw in part["grams"]]
@@ -292,11 +305,11 @@ def shared_grams(grams: DataFrame) -> DataFrame:
             out.append(pack(np.sort(np.concatenate([a, b[twice[i] == b] if len(twice) else b[:0]]))))
         return pd.DataFrame({"block": part["block"], "shard": part["shard"], "shared": out})
 
-    return grams.groupBy("shard").applyInPandas(run, "block string, shard long, shared binary")
+    return materialize(grams.groupBy("shard").applyInPandas(run, "block string, shard long, shared binary"), "shared")
 
 
 def stretches(shared: DataFrame, folder: str, shards: int) -> DataFrame:
-    """A written table of (shard, block, body): for each shared sampled string, the bytes around it that the windows
+    """(shard, block, body): for each shared sampled string, the bytes around it that the windows
     led by it cover, with the document and the place; by the string's shard."""
     w = MATCH - GRAM + 1
 
@@ -344,10 +357,10 @@ def stretches(shared: DataFrame, folder: str, shards: int) -> DataFrame:
             start, size = first[own], last[own] + MATCH - first[own]
             at = np.repeat(start - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
             rows.append((int(s), block, pack(doc[own].astype("<i4"), ids[doc[own]].astype("<i8"), (start - low[own]).astype("<i4"), size.astype("u1"), body[at])))
+        release_memory()
         return pd.DataFrame(rows, columns=["shard", "block", "body"])
 
-    out = shared.groupBy("block").applyInPandas(run, "shard long, block string, body binary")
-    return materialize(out, "stretches")
+    return shared.groupBy("block").applyInPandas(run, "shard long, block string, body binary")
 
 
 def repeated_spans(pieces: DataFrame) -> DataFrame:
@@ -380,8 +393,8 @@ def repeated_spans(pieces: DataFrame) -> DataFrame:
         # every occurrence: its windows whose group has a smaller id, as runs
         n = counts[number]
         head = np.cumsum(n) - n
-        inner = np.arange(int(n.sum())) - np.repeat(head, n)
-        marked = owner[np.repeat(base[number], n) + inner] < np.repeat(doc_ids, n)
+        inner = (np.arange(int(n.sum())) - np.repeat(head, n)).astype(np.int32)
+        marked = owner[np.repeat(base[number].astype(np.int32), n) + inner] < np.repeat(doc_ids, n)
         before = np.concatenate([[False], marked[:-1]]) & (inner > 0)
         after = np.concatenate([marked[1:], [False]]) & (np.append(inner[1:], 0) > 0)
         a, b = np.flatnonzero(marked & ~before), np.flatnonzero(marked & ~after)
@@ -393,6 +406,7 @@ def repeated_spans(pieces: DataFrame) -> DataFrame:
         for k in np.flatnonzero(np.diff(cuts)):
             own = order[cuts[k] : cuts[k + 1]]
             rows.append((part["block"].iloc[k], pack(docs[occ[own]].astype("<i4"), begin[own].astype("<i4"), (end - begin)[own].astype("u1"))))
+        release_memory()
         return pd.DataFrame(rows, columns=["block", "spans"])
 
     return pieces.groupBy("shard").applyInPandas(run, "block string, spans binary")
@@ -409,9 +423,10 @@ def cut(body: np.ndarray, spans: np.ndarray) -> tuple[np.ndarray, int]:
     return body[~gone], int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
 
 
-def suffix_dedup(docs: DataFrame, *, keep_text: bool = False) -> DataFrame:
+def suffix_dedup(docs: DataFrame, *, keep_text: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
     """Remove from each of docs(doc_id, text) every byte that a MATCH-byte string covers which starts in a document with
-    a smaller doc_id too: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and with keep_text kept (binary).
+    a smaller doc_id too: doc_id, n_bytes, n_removed, n_spans, kept_sha256; with keep_text also text (what is left; of a
+    character cut in two nothing; null stays null); and the columns named in carry.
 
     1. Documents go into blocks in the shared folder; of every MATCH bytes one GRAM-byte string is sampled by least hash,
        so equal windows share one. Per shard of strings, those that two documents have are found.
@@ -424,35 +439,38 @@ def suffix_dedup(docs: DataFrame, *, keep_text: bool = False) -> DataFrame:
     stay rows of their own. An empty table gives no rows; further columns are not read.
     """
     spark = docs.sparkSession
-    folder, shards = new_folder(spark, "blocks"), parallelism(spark)
-    grams = write_blocks(docs, folder, shards)
-    pieces = stretches(shared_grams(grams), folder, shards)
-    spans = repeated_spans(pieces)
-    blocks = grams.select("block").distinct()
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep_text
-
-    def apply(own: pd.DataFrame, found: pd.DataFrame):
-        for block in own["block"]:
-            ids, offsets, body = load_block(folder, block)
-            got = [unpack(raw, "<i4", "<i4", "u1") for raw in found["spans"]]
-            doc = np.concatenate([g[0] for g in got]) if got else np.zeros(0, np.int32)
-            begin = np.concatenate([g[1] for g in got]).astype(np.int64) if got else np.zeros(0, np.int64)
-            size = np.concatenate([g[2] for g in got]).astype(np.int64) if got else np.zeros(0, np.int64)
-            order = np.argsort(doc, kind="stable")
-            both = np.stack([begin, begin + size], 1)[order]
-            cuts = np.searchsorted(doc[order], np.arange(len(ids) + 1))
-            rows = []
-            for i in range(len(ids)):
-                text = body[offsets[i] : offsets[i + 1]]
-                kept, n = cut(text, both[cuts[i] : cuts[i + 1]])
-                row = (None if ids[i] == NULL_ID else int(ids[i]), len(text), len(text) - len(kept), n, hashlib.sha256(kept.tobytes()).hexdigest())
-                rows.append((*row, kept.tobytes()) if keep_text else row)
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in schema.split(", ")]).astype({"doc_id": "Int64"})
+    folder, shards = new_folder(spark, "blocks"), SHARDS * parallelism(spark)
+    shared = shared_grams(write_blocks(docs, folder, shards, carry))
+    spans = repeated_spans(stretches(shared, folder, shards))
+    blocks = shared.select("block").distinct()
+    columns = ["doc_id long", "n_bytes long", "n_removed long", "n_spans long", "kept_sha256 string", *["text string"] * keep_text]
+    columns += [f"`{c}` {t}" for c, t in docs.select(*carry).dtypes] if carry else []
 
     def once(own: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
-        return pd.concat(list(apply(own, found))) if len(own) else pd.DataFrame({c.split()[0]: [] for c in schema.split(", ")})
-
-    return blocks.groupBy("block").cogroup(spans.groupBy("block")).applyInPandas(once, schema)
+        names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *["text"] * keep_text]
+        if not len(own):
+            return pd.DataFrame({c: [] for c in [*names, *carry]})
+        block = own["block"].iloc[0]
+        ids, offsets, body = load_block(folder, block)
+        got = [unpack(raw, "<i4", "<i4", "u1") for raw in found["spans"]]
+        doc, begin, size = (np.concatenate([g[k] for g in got]).astype(np.int64) if got else np.zeros(0, np.int64) for k in range(3))
+        order = np.argsort(doc, kind="stable")
+        both = np.stack([begin, begin + size], 1)[order]
+        cuts = np.searchsorted(doc[order], np.arange(len(ids) + 1))
+        carried = load_carried(folder, block)
+        empty = carried.pop("null_text").to_numpy()
+        rows = []
+        for i in range(len(ids)):
+            whole = body[offsets[i] : offsets[i + 1]]
+            kept, n = cut(whole, both[cuts[i] : cuts[i + 1]])
+            raw = kept.tobytes()
+            row = (None if ids[i] == NULL_ID else int(ids[i]), len(whole), len(whole) - len(kept), n, hashlib.sha256(raw).hexdigest())
+            rows.append((*row, None if empty[i] else raw.decode("utf-8", "ignore")) if keep_text else row)
+        release_memory()
+        out = pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
+        return pd.concat([out, carried], axis=1) if carry else out
+
+    return blocks.groupBy("block").cogroup(spans.groupBy("block")).applyInPandas(once, ", ".join(columns))
 
 
 def op2_suffix_dedup(spark, sf_dir: str) -> DataFrame:
