@@ -10,14 +10,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firmlens.llm.common import batches_of, find_package, get_file, materialize, new_folder, parallelism, put_file, text_bytes, word_hashes
+from firmlens.llm.common import batches_of, find_package, get_file, materialize, new_folder, parallelism, put_file, release_memory, text_bytes, word_hashes
 from firmlens.llm.suffix_dedup import NULL_ID, pack, unpack
 
 #: Words are hashed into 2 ** VOCAB_BITS numbers, so tables over words have a fixed size; number 0 is a text's start.
 VOCAB_BITS = 20
 KEY_BITS = 2 * VOCAB_BITS
-#: Text bytes of a block; documents of a block that share a pair from which the pair is asked for once, not a document.
-BLOCK_BYTES, FREQUENT = 16 << 20, 16
+#: Text bytes of a block: a pair that its documents hold is asked for once.
+BLOCK_BYTES = 16 << 20
 #: Of ten trusted documents two are held out of the counts; their perplexities give the thresholds.
 HELD_OUT = 2
 #: Quantile of held-out trusted perplexity per language, the factor on it, and the documents a language needs for its own.
@@ -49,21 +49,52 @@ def shard_cuts(keys: np.ndarray, shards: int) -> np.ndarray:
     return np.searchsorted(keys, ((np.arange(shards + 1, dtype=object) << KEY_BITS) // shards).astype(np.uint64))
 
 
-def text_pairs(body: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Scrambled (word before, word) pairs of each text, the first word with the start mark; and n + 1 offsets."""
+def text_words(body: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Word numbers of texts that stand end to end, and n + 1 offsets."""
     hashes, at = word_hashes(body, offsets)
-    words = (hashes >> np.uint64(64 - VOCAB_BITS)) | np.uint64(1)
-    before = np.concatenate([np.zeros(1, np.uint64), words[:-1]]) if len(words) else words
+    return ((hashes >> np.uint64(64 - VOCAB_BITS)) | np.uint64(1)).astype(np.uint32), at
+
+
+def pairs(words: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Scrambled (word before, word) of each word; the first of a text has the start mark before it."""
+    before = np.concatenate([np.zeros(1, np.uint32), words[:-1]]) if len(words) else words
     before[at[:-1][np.diff(at) > 0]] = 0
-    return scramble(before << np.uint64(VOCAB_BITS) | words), at
+    return scramble(before.astype(np.uint64) << np.uint64(VOCAB_BITS) | words.astype(np.uint64))
 
 
-def write_blocks(docs: DataFrame, folder: str, shards: int) -> DataFrame:
-    """docs(doc_id, text, lang, fold) into blocks: a written table of (block, shard, train, asks).
+def pair_table(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (pair, document) of a block in order: the distinct pairs, and per entry pair number, document, times.
+    counts: words of each document; a block has fewer than 2 ** 24 documents."""
+    doc = np.repeat(np.arange(len(counts), dtype=np.uint64), counts)
+    both = np.sort(keys << np.uint64(64 - KEY_BITS) | doc)
+    new = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]])) if len(both) else np.zeros(0, np.int64)
+    times = np.diff(np.append(new, len(both)))
+    both = both[new]
+    key, doc = both >> np.uint64(64 - KEY_BITS), (both & np.uint64((1 << (64 - KEY_BITS)) - 1)).astype(np.int64)
+    head = np.concatenate([[True], key[1:] != key[:-1]]) if len(key) else np.zeros(0, bool)
+    return key[head], np.cumsum(head) - 1, doc, times
+
+
+def fold_words(words: np.ndarray) -> list[np.ndarray]:
+    """Words as ranks by frequency in three byte planes, which pack well, and the words by rank."""
+    unique, inverse, n = np.unique(words, return_inverse=True, return_counts=True)
+    order = np.argsort(-n, kind="stable")
+    rank = np.empty(len(unique), np.uint32)
+    rank[order] = np.arange(len(unique), dtype=np.uint32)
+    r = rank[inverse]
+    return [unique[order].astype("<u4"), r.astype("u1"), (r >> 8).astype("u1"), (r >> 16).astype("u1")]
+
+
+def unfold_words(unique: np.ndarray, low: np.ndarray, mid: np.ndarray, high: np.ndarray) -> np.ndarray:
+    return unique[low.astype(np.int32) | mid.astype(np.int32) << 8 | high.astype(np.int32) << 16]
 
-    train: pairs of the block's training documents and their counts. asks: the block's pairs, each with the documents
-    that hold it, unless FREQUENT or more do: their lists stay in the block's file and the pair is asked for alone.
-    """
+
+BLOCK_KINDS = ("<i8", "<i4", "i1", "u1", "<u4", "u1", "u1", "u1")
+
+
+def write_blocks(docs: DataFrame, folder: str, shards: int) -> DataFrame:
+    """docs(doc_id, text, lang, fold) into block files, with the documents' ids, folds, languages and words; a table of
+    (block, shard, asks), to be read once: the block's distinct pairs and how often its training documents hold each."""
 
     def run(frames):
         held, size, docs_held = [], 0, 0
@@ -71,54 +102,36 @@ def write_blocks(docs: DataFrame, folder: str, shards: int) -> DataFrame:
         def close():
             ids, folds = np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])
             langs = [x for h in held for x in h[2]]
-            keys = np.concatenate([h[3] for h in held])
-            counts = np.concatenate([h[4] for h in held])
-            doc = np.repeat(np.arange(len(ids), dtype=np.uint64), counts)
-            both = np.sort(keys << np.uint64(64 - KEY_BITS) | doc)  # a block has fewer than 2 ** 24 documents
-            new = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]])) if len(both) else np.zeros(0, np.int64)
-            times = np.diff(np.append(new, len(both)))
-            both = both[new]
-            key, doc = both >> np.uint64(64 - KEY_BITS), (both & np.uint64((1 << (64 - KEY_BITS)) - 1)).astype(np.int64)
-            first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
-            length = np.diff(np.append(first, len(key)))
-            unique = key[first]
-            often = length >= FREQUENT
-            in_often = np.repeat(often, length)
-            learn = (folds[doc] == 1) * times
-            learned = np.add.reduceat(learn, first) if len(first) else np.zeros(0, np.int64)
-            body = pack(ids.astype("<i8"), counts.astype("<i4"), folds.astype("i1"), np.frombuffer("\n".join("" if x is None else "=" + x for x in langs).encode(), np.uint8),
-                        unique[often], length[often].astype("<i4"), doc[in_often].astype("<i4"), times[in_often].astype("<i4"))
+            words, counts = np.concatenate([h[3] for h in held]), np.concatenate([h[4] for h in held])
+            at = np.concatenate([[0], np.cumsum(counts)])
+            names = np.frombuffer("\n".join("" if x is None else "=" + x for x in langs).encode(), np.uint8)
+            body = pack(ids.astype("<i8"), counts.astype("<i4"), folds.astype("i1"), names, *fold_words(words))
             block = hashlib.sha256(body).hexdigest()[:24]
             put_file(folder, block, body)
+            unique, number, doc, times = pair_table(pairs(words, at), counts)
+            learned = np.bincount(number, (folds[doc] == 1) * times, len(unique)).astype("<u4") if len(unique) else np.zeros(0, "<u4")
             cuts = shard_cuts(unique, shards)
-            train, asks = [], []
-            rare_keys, rare_length = unique[~often], length[~often]
-            rare_cuts, often_cuts = shard_cuts(rare_keys, shards), shard_cuts(unique[often], shards)
-            rare_doc, rare_times = doc[~in_often], times[~in_often]
-            at = np.concatenate([[0], np.cumsum(rare_length)])
-            step = lambda k: np.diff(k, prepend=k[:0].sum(dtype=np.uint64)).astype("<u8")  # noqa: E731  differences pack well
-            for s in range(shards):
-                a, b = cuts[s], cuts[s + 1]
-                some = a + np.flatnonzero(learned[a:b])
-                train.append(pack(step(unique[some]), learned[some].astype("<i4")))
-                a, b = rare_cuts[s], rare_cuts[s + 1]
-                c, d = often_cuts[s], often_cuts[s + 1]
-                asks.append(pack(step(rare_keys[a:b]), rare_length[a:b].astype("u1"), rare_doc[at[a] : at[b]].astype("<u2" if len(ids) <= 1 << 16 else "<u4"), rare_times[at[a] : at[b]].astype("<i4"), step(unique[often][c:d])))
-            return pa.RecordBatch.from_arrays([pa.array([block] * shards), pa.array(np.arange(shards), pa.int64()), pa.array([len(ids) > 1 << 16] * shards), pa.array(train, pa.binary()), pa.array(asks, pa.binary())], names=["block", "shard", "wide", "train", "asks"])
+            some = [s for s in range(shards) if s == 0 or cuts[s] < cuts[s + 1]]  # at least one row names the block
+            asks = []
+            for s in some:
+                keys = unique[cuts[s] : cuts[s + 1]]
+                asks.append(pack(np.diff(keys, prepend=np.zeros(1, np.uint64)).astype("<u8"), learned[cuts[s] : cuts[s + 1]]))  # differences pack well
+            release_memory()
+            return pa.RecordBatch.from_arrays([pa.array([block] * len(some)), pa.array(some, pa.int64()), pa.array(asks, pa.binary())], names=["block", "shard", "asks"])
 
         for frame in batches_of(frames, BLOCK_BYTES // 8):
             body, offsets = text_bytes(frame.column(1))
-            keys, at = text_pairs(body, offsets)
-            held.append((frame.column(0).to_numpy(zero_copy_only=False), frame.column(3).to_numpy(zero_copy_only=False), frame.column(2).to_pylist(), keys, np.diff(at)))
+            words, at = text_words(body, offsets)
+            held.append((frame.column(0).to_numpy(zero_copy_only=False), frame.column(3).to_numpy(zero_copy_only=False), frame.column(2).to_pylist(), words, np.diff(at)))
             size, docs_held = size + len(body), docs_held + frame.num_rows
-            if size >= BLOCK_BYTES or docs_held >= 60_000:
+            if size >= BLOCK_BYTES or docs_held >= 1 << 20:
                 yield close()
                 held, size, docs_held = [], 0, 0
         if held:
             yield close()
 
     d = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc_id"), "text", "lang", F.coalesce("fold", F.lit(0)).cast("int").alias("fold"))
-    return materialize(d.mapInArrow(run, "block string, shard long, wide boolean, train binary, asks binary"), "pairs")
+    return d.mapInArrow(run, "block string, shard long, asks binary")
 
 
 # ---------------------------------------------------------------- the model
@@ -136,38 +149,40 @@ def discount(counts: np.ndarray, d: tuple[float, float, float]) -> np.ndarray:
     return np.array([0.0, *d])[np.minimum(counts, 3)]
 
 
-def model_shards(blocks: DataFrame) -> DataFrame:
-    """Counts joined per shard: a written table of (shard, model, words): model has the shard's pairs and counts, words
-    the shard's share of what the lower orders need, per word number."""
+def count_shards(blocks: DataFrame) -> DataFrame:
+    """Counts joined to asks per shard: a written table of (block, shard, answer, words). A row with a block has the
+    training count of each pair it asked for; a shard's row without one has its share of what the lower orders need."""
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
-        got = [unpack(raw, "<u8", "<i4") for raw in part["train"]]
-        keys = np.concatenate([np.cumsum(k, dtype=np.uint64) for k, _ in got])
-        counts = np.concatenate([c for _, c in got]).astype(np.int64)
-        order = np.argsort(keys, kind="stable")
-        keys, counts = keys[order], counts[order]
-        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
-        counts = np.add.reduceat(counts, first) if len(first) else counts
-        keys = keys[first]
+        got = [unpack(raw, "<u8", "<u4") for raw in part["asks"]]
+        asked = [np.cumsum(k, dtype=np.uint64) for k, _ in got]
+        keys, number = np.unique(np.concatenate(asked), return_inverse=True)
+        counts = np.zeros(len(keys), np.int64)
+        np.add.at(counts, number, np.concatenate([c for _, c in got]))
+        back = np.split(counts[number].astype("<u4"), np.cumsum([len(a) for a in asked])[:-1])
+        keys, counts = keys[counts > 0], counts[counts > 0]
         pair = restore(keys)
         before, word = (pair >> np.uint64(VOCAB_BITS)).astype(np.int64), (pair & np.uint64((1 << VOCAB_BITS) - 1)).astype(np.int64)
         b, at = np.unique(before, return_inverse=True)
         stats = [np.bincount(at, w, len(b)) for w in (counts, counts == 1, counts == 2, counts >= 3)]
         w, into = np.unique(word, return_counts=True)
         of = np.bincount(np.minimum(counts, 5), minlength=6)[1:5]
-        return pd.DataFrame({"shard": [int(part["shard"].iloc[0])], "model": [pack(keys, counts.astype("<i8"))], "words": [pack(b.astype("<i4"), *[x.astype("<i8") for x in stats], w.astype("<i4"), into.astype("<i8"), of.astype("<i8"))]})
+        words = pack(b.astype("<i4"), *[x.astype("<i8") for x in stats], w.astype("<i4"), into.astype("<i8"), of.astype("<i8"))
+        shard = int(part["shard"].iloc[0])
+        rows = [*zip(part["block"], part["shard"], [pack(x) for x in back], [None] * len(part), strict=True), (None, shard, None, words)]
+        release_memory()
+        return pd.DataFrame(rows, columns=["block", "shard", "answer", "words"])
 
-    out = blocks.select("shard", "train").groupBy("shard").applyInPandas(run, "shard long, model binary, words binary")
-    return materialize(out, "model")
+    return materialize(blocks.groupBy("shard").applyInPandas(run, "block string, shard long, answer binary, words binary"), "counts")
 
 
-def lower_orders(model: DataFrame) -> tuple:
+def lower_orders(counted: DataFrame) -> tuple:
     """Tables over the 2 ** VOCAB_BITS word numbers: count as context, weight of the lower order, probability by
     continuation; and the pairs' discounts. Their size is fixed, so the driver sums the shards' shares, one at a time."""
     size = 1 << VOCAB_BITS
     total, ones, twos, more, into = (np.zeros(size, np.int64) for _ in range(5))
     of = np.zeros(4, np.int64)
-    for row in model.select("words").toLocalIterator():
+    for row in counted.where(F.col("words").isNotNull()).select("words").toLocalIterator():
         b, c, n1, n2, n3, w, n, o = unpack(row["words"], "<i4", "<i8", "<i8", "<i8", "<i8", "<i4", "<i8", "<i8")
         for table, part in ((total, c), (ones, n1), (twos, n2), (more, n3)):
             table[b] += part
@@ -183,49 +198,24 @@ def lower_orders(model: DataFrame) -> tuple:
     return total, weight.astype(np.float64), single, d2
 
 
-def score_blocks(blocks: DataFrame, model: DataFrame, folder: str, tables: tuple) -> DataFrame:
-    """Per document: doc_id, lang, fold, n_words, log_prob (natural). Shards join their counts to the blocks' asks; what
-    goes back is one sum for each document and shard, and the log probability of each frequent pair."""
-    shared = model.sparkSession.sparkContext.broadcast(tables)  # of fixed size: 3 * 8 * 2 ** VOCAB_BITS bytes
+def score_blocks(counted: DataFrame, folder: str, tables: tuple) -> DataFrame:
+    """Per document: doc_id, lang, fold, n_words, log_prob (natural), from each block's file and the counts it asked for."""
+    shared = counted.sparkSession.sparkContext.broadcast(tables)  # of fixed size: 3 * 8 * 2 ** VOCAB_BITS bytes
 
-    def logs(keys: np.ndarray, known: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    def gather(part: pd.DataFrame) -> pd.DataFrame:
         total, weight, single, d2 = shared.value
+        ids, n, folds, langs, *folded = unpack(get_file(folder, part["block"].iloc[0]), *BLOCK_KINDS)
+        keys, number, doc, times = pair_table(pairs(unfold_words(*folded), np.concatenate([[0], np.cumsum(n)])), n)
+        counts = np.concatenate([unpack(raw, "<u4")[0] for raw in part.sort_values("shard")["answer"]]).astype(np.int64)
         pair = restore(keys)
         before, word = (pair >> np.uint64(VOCAB_BITS)).astype(np.int64), (pair & np.uint64((1 << VOCAB_BITS) - 1)).astype(np.int64)
-        p = weight[before] * single[word]
-        if len(known):
-            i = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-            hit = np.flatnonzero(known[i] == keys)
-            c = counts[i[hit]]
-            p[hit] += (c - discount(c, d2)) / total[before[hit]]
-        return np.log(p)
-
-    def join(asks: pd.DataFrame, models: pd.DataFrame) -> pd.DataFrame:
-        known, counts = unpack(models["model"].iloc[0], "<u8", "<i8") if len(models) else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-        out = []
-        for raw, wide in zip(asks["asks"], asks["wide"], strict=True):
-            keys, length, doc, times, often = unpack(raw, "<u8", "u1", "<u4" if wide else "<u2", "<i4", "<u8")
-            one = np.repeat(logs(np.cumsum(keys, dtype=np.uint64), known, counts), length) * times
-            sums = np.bincount(doc, one) if len(doc) else np.zeros(0)
-            has = np.flatnonzero(np.bincount(doc, minlength=len(sums))) if len(doc) else np.zeros(0, np.int64)
-            often = np.cumsum(often, dtype=np.uint64)
-            out.append(pack(has.astype("<i4"), sums[has].astype("<f4"), often, logs(often, known, counts).astype("<f4")))
-        return pd.DataFrame({"block": asks["block"], "shard": asks["shard"], "answer": out})
-
-    answers = blocks.select("block", "shard", "wide", "asks").groupBy("shard").cogroup(model.select("shard", "model").groupBy("shard")).applyInPandas(join, "block string, shard long, answer binary")
-
-    def gather(part: pd.DataFrame) -> pd.DataFrame:
-        ids, counts, folds, langs, often, length, doc, times = unpack(get_file(folder, part["block"].iloc[0]), "<i8", "<i4", "i1", "u1", "<u8", "<i4", "<i4", "<i4")
-        total = np.zeros(len(ids))
-        value = np.zeros(len(often))
-        for raw in part.sort_values("shard")["answer"]:
-            has, sums, keys, logp = unpack(raw, "<i4", "<f4", "<u8", "<f4")
-            total[has] += sums
-            value[np.searchsorted(often, keys)] = logp
-        total += np.bincount(doc, np.repeat(value, length) * times, len(ids)) if len(doc) else 0
+        p = weight[before] * single[word] + np.where(counts > 0, (counts - discount(counts, d2)) / np.maximum(total[before], 1), 0.0)
+        logs = np.bincount(doc, np.log(p)[number] * times, len(ids)) if len(doc) else np.zeros(len(ids))
         names = [x[1:] if x else None for x in langs.tobytes().decode().split("\n")]
-        return pd.DataFrame({"doc_id": pd.array([None if i == NULL_ID else i for i in ids.tolist()], "Int64"), "lang": names, "fold": folds.astype("int32"), "n_words": counts.astype("int64"), "log_prob": total})
+        release_memory()
+        return pd.DataFrame({"doc_id": pd.array([None if i == NULL_ID else i for i in ids.tolist()], "Int64"), "lang": names, "fold": folds.astype("int32"), "n_words": n.astype("int64"), "log_prob": logs})
 
+    answers = counted.where(F.col("block").isNotNull()).select("block", "shard", "answer")
     return materialize(answers.groupBy("block").applyInPandas(gather, "doc_id long, lang string, fold int, n_words long, log_prob double"), "scored")
 
 
@@ -249,9 +239,8 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     side = F.broadcast(trusted) if trusted.count() <= BROADCAST_IDS else trusted
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang").join(side, F.col("doc_id") == F.col("_id"), "left")
     folder, shards = new_folder(spark, "classifier"), parallelism(spark)
-    blocks = write_blocks(d.select("doc_id", "text", "lang", "fold"), folder, shards)
-    model = model_shards(blocks)
-    scored = score_blocks(blocks, model, folder, lower_orders(model))
+    counted = count_shards(write_blocks(d.select("doc_id", "text", "lang", "fold"), folder, shards))
+    scored = score_blocks(counted, folder, lower_orders(counted))
     scored = scored.withColumn("perplexity", F.when(F.col("n_words") > 0, F.exp(-F.col("log_prob") / F.col("n_words"))))
     held = scored.where((F.col("fold") == 2) & F.col("perplexity").isNotNull())
     level = (F.percentile_approx("perplexity", QUANTILE, 10_000) * MARGIN).alias("own")
