@@ -11,17 +11,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firmlens.llm.common import MIX1, MIX2, PRIME, batches_of, find_package, materialize, mix, powers, text_bytes, word_hashes
+from firmlens.llm.common import MIX1, MIX2, PRIME, batches_of, find_package, materialize, mix, parallelism, powers, release_memory, text_bytes, word_hashes
 
 #: Words of a shingle, and the Jaccard similarity of shingle sets from which two texts are near duplicates.
 SHINGLE, SIMILARITY = 5, 0.8
 #: A pair at 0.8 shares none of the bands with probability (1 - 0.8 ** 6) ** 32 = 6e-5.
 BANDS, ROWS = 32, 6
 COORDS = BANDS * ROWS
-#: Estimated similarity from which a pair of different components is verified: seven standard deviations below 0.8.
-ESTIMATE = 0.6
-#: Best candidates that a document sends to verification per other component and round; the rest come in later rounds.
-PER_ROUND = 4
+#: Candidates of another component that a document sends to exact verification: the most similar ones by 32-bit hashes.
+BEST = 2
 #: Rows of a block when a large bucket is compared in blocks, and ids that may be broadcast (8 bytes each).
 BLOCK, BROADCAST_IDS = 4096, 400_000
 
@@ -116,7 +114,7 @@ def counted(hashes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 def signatures(docs: DataFrame, weighted: bool = False) -> DataFrame:
     """docs(doc_id, text) to a written table doc_id, text_key (128 bits of the whole text), bands (keys; none where the
-    text has no word) and sketch (16 bits a coordinate)."""
+    text has no word)."""
 
     def run(frames):
         mults = powers(PRIME, ROWS + 1)[1:]
@@ -132,14 +130,12 @@ def signatures(docs: DataFrame, weighted: bool = False) -> DataFrame:
             some = np.diff(starts) > 0
             bands = (sig.reshape(-1, BANDS, ROWS) * mults).sum(axis=2) + np.arange(1, BANDS + 1, dtype=np.uint64) * MIX1
             bands = mix(bands.reshape(-1)).view(np.int64).reshape(-1, BANDS)
-            small = sig.astype("<u2")
             yield pa.RecordBatch.from_arrays([
                 frame.column(0), pa.array(keys, pa.binary()),
                 pa.array([b if s else [] for b, s in zip(bands, some, strict=True)], pa.list_(pa.int64())),
-                pa.array([x.tobytes() for x in small], pa.binary()),
-            ], names=["doc_id", "text_key", "bands", "sketch"])
+            ], names=["doc_id", "text_key", "bands"])
 
-    return materialize(docs.mapInArrow(run, "doc_id long, text_key binary, bands array<long>, sketch binary"), "signatures")
+    return materialize(docs.mapInArrow(run, "doc_id long, text_key binary, bands array<long>"), "signatures")
 
 
 def jaccard(a: np.ndarray, b: np.ndarray) -> float:
@@ -148,16 +144,20 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return both / max(len(a) + len(b) - both, 1)
 
 
+def only(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """doc_id and text of the rows whose id is in ids(_id). If there are few ids (counted, at most BROADCAST_IDS), the
+    other rows are left out before the shuffle."""
+    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    return docs.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("_id"), "left_semi")
+
+
 def verify(pairs: DataFrame, docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
-    """pairs(a, b) with their exact similarity, and whether it reaches the threshold; a written table (a, b, linked).
+    """Whether the exact similarity of pairs(a, b) reaches the threshold; a written table (a, b, linked).
 
-    Both texts come by plain joins; a document in many pairs is a skewed side that adaptive execution splits. If few
-    documents take part (counted, at most BROADCAST_IDS), the others are left out before the shuffle.
+    Both texts come by plain joins; a document in many pairs is a skewed side that adaptive execution splits.
     """
     ids = materialize(pairs.select(F.col("a").alias("_id")).union(pairs.select(F.col("b").alias("_id"))).distinct(), "ids")
-    small = ids.count() <= BROADCAST_IDS
-    texts = docs.select("doc_id", "text").join(F.broadcast(ids) if small else ids, F.col("doc_id") == F.col("_id"), "left_semi").dropDuplicates(["doc_id"])
-    texts = materialize(texts, "texts")
+    texts = materialize(only(docs, ids).dropDuplicates(["doc_id"]), "texts")
     joined = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a")
     joined = joined.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", F.col("tb").alias("text"))
 
@@ -177,76 +177,98 @@ def components(edges: DataFrame) -> DataFrame:
     """node, label: the least node of each connected component of edges(a, b); nodes without an edge are left out.
 
     Each round every node hooks to its least neighbour, the chains are flattened by doubling, and edges between the new
-    labels are what is left; rounds end when none is.
+    labels are what is left; rounds end when none is. Tables shrink, so their number of files follows the edges.
     """
     edges = materialize(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct(), "edges")
-    labels = materialize(edges.select(F.col("a").alias("node")).union(edges.select(F.col("b").alias("node"))).distinct().withColumn("label", F.col("node")), "labels")
+    parts = min(parallelism(edges.sparkSession), 1 + edges.count() // 50_000)
+    labels = materialize(edges.select(F.col("a").alias("node")).union(edges.select(F.col("b").alias("node"))).distinct().withColumn("label", F.col("node")), "labels", parts)
     while edges.head(1):
         both = edges.select(F.col("a").alias("n"), F.col("b").alias("m")).union(edges.select(F.col("b").alias("n"), F.col("a").alias("m")))
-        parent = materialize(both.groupBy("n").agg(F.min("m").alias("m")).select("n", F.least("n", "m").alias("p")), "parents")
+        parent = materialize(both.groupBy("n").agg(F.min("m").alias("m")).select("n", F.least("n", "m").alias("p")), "parents", parts)
         while True:
             up = parent.select(F.col("n").alias("_n"), F.col("p").alias("_p"))
-            jumped = materialize(parent.join(up, F.col("p") == F.col("_n"), "left").select("n", F.coalesce("_p", "p").alias("p"), (F.coalesce("_p", "p") != F.col("p")).alias("moved")), "parents")
+            jumped = materialize(parent.join(up, F.col("p") == F.col("_n"), "left").select("n", F.coalesce("_p", "p").alias("p"), (F.coalesce("_p", "p") != F.col("p")).alias("moved")), "parents", parts)
             parent = jumped.select("n", "p")
             if not jumped.where("moved").head(1):
                 break
         up = parent.select(F.col("n").alias("_n"), F.col("p").alias("_p"))
-        labels = materialize(labels.join(up, F.col("label") == F.col("_n"), "left").select("node", F.coalesce("_p", "label").alias("label")), "labels")
+        labels = materialize(labels.join(up, F.col("label") == F.col("_n"), "left").select("node", F.coalesce("_p", "label").alias("label")), "labels", parts)
         low = edges.join(up, F.col("a") == F.col("_n")).select(F.col("_p").alias("a"), "b")
         low = low.join(up, F.col("b") == F.col("_n")).select("a", F.col("_p").alias("b"))
-        edges = materialize(low.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct(), "edges")
+        edges = materialize(low.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct(), "edges", parts)
     return labels
 
 
-def cross_candidates(members: DataFrame, labels: DataFrame, sigs: DataFrame, failed: DataFrame | None) -> DataFrame | None:
-    """Pairs that share a bucket, lie in different components, look similar enough and haven't been verified.
+def shingle_sets(docs: DataFrame) -> DataFrame:
+    """docs(doc_id, text) as doc_id and its distinct shingles: sorted 32-bit hashes."""
+
+    def run(frames):
+        for frame in batches_of(frames, 2 << 20):
+            hashes, starts = shingles(*text_bytes(frame.column(1)))
+            small = (hashes >> np.uint64(32)).astype("<u4")
+            yield pa.RecordBatch.from_arrays([frame.column(0), pa.array([np.unique(small[a:b]).tobytes() for a, b in zip(starts, starts[1:])], pa.binary())], names=["doc_id", "shingles"])
+
+    return docs.mapInArrow(run, "doc_id long, shingles binary")
+
+
+def cross_candidates(members: DataFrame, labels: DataFrame, docs: DataFrame) -> DataFrame:
+    """Pairs of different components that share a bucket and reach the similarity by 32-bit hashes: a written table (a, b).
 
-    Only buckets with several components count. Within a bucket all documents outside its largest component are compared
-    with all others by their sketches; large buckets are compared in pairs of blocks of about BLOCK rows.
+    Only buckets with several components count. There each document outside the bucket's largest component is compared
+    with all of other components, and its BEST most similar of each are kept: one link is enough to join two components.
+    Large buckets are compared in pairs of blocks of about BLOCK rows, so no task holds a large bucket.
     """
     labels = labels.select(F.col("node").alias("_node"), "label")
     m = members.select("key", "node").join(labels, F.col("node") == F.col("_node"), "left").select("key", "node", F.coalesce("label", "node").alias("label"))
     m = materialize(m, "bucket-labels")
     mixed = m.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n")).where("low <> high").select(F.col("key").alias("_key"), "n")
     m = materialize(m.join(mixed, F.col("key") == F.col("_key")).drop("_key"), "mixed")
-    if not m.head(1):
-        return None
-    s = sigs.select(F.col("doc_id").alias("_node"), "sketch").dropDuplicates(["_node"])
+    ids = materialize(m.select(F.col("node").alias("_id")).distinct(), "mixed-ids")
+    sets = shingle_sets(only(docs, ids).dropDuplicates(["doc_id"])).select(F.col("doc_id").alias("_node"), "shingles")
     blocks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
-    m = m.join(s, F.col("node") == F.col("_node")).drop("_node").withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
-    if failed is not None:
-        f = failed.select(F.col("a").alias("_node"), F.col("b").alias("_with")).union(failed.select(F.col("b").alias("_node"), F.col("a").alias("_with")))
-        m = m.join(f.groupBy("_node").agg(F.collect_list("_with").alias("not")), F.col("node") == F.col("_node"), "left").drop("_node")
-    else:
-        m = m.withColumn("not", F.lit(None).cast("array<long>"))
+    m = m.join(sets, F.col("node") == F.col("_node")).drop("_node").withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
     m = m.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     m = m.withColumns({"x": F.least("own", "other"), "y": F.greatest("own", "other")})
 
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        node, label = part["node"].to_numpy(), part["label"].to_numpy()
-        sketch = np.frombuffer(b"".join(part["sketch"]), "<u2").reshape(len(part), -1)
-        own, x, y = part["own"].to_numpy(), part["x"].iloc[0], part["y"].iloc[0]
-        names, counts = np.unique(label, return_counts=True)
-        main = names[counts.argmax()] if x == y else None  # in a pair of blocks either side may hold the odd ones
-        out = []
-        for i in np.flatnonzero((label != main) if main is not None else own == x):
-            other = np.flatnonzero((label != label[i]) & ((own == y) if x != y else True))
-            like = (sketch[other] == sketch[i]).mean(axis=1) if len(other) else np.zeros(0)
-            other, like = other[like >= ESTIMATE], like[like >= ESTIMATE]
-            if part["not"].iloc[i] is not None and len(other):
-                fresh = ~np.isin(node[other], part["not"].iloc[i])
-                other, like = other[fresh], like[fresh]
-            order = np.argsort(-like, kind="stable")
+    def compare(node, label, sets, mine, theirs, main, out) -> None:
+        size = np.array([len(s) for s in sets])
+        flat = np.concatenate(sets)
+        at = np.cumsum(size) - size
+        for i in np.flatnonzero(mine & (label != main)) if main is not None else np.flatnonzero(mine):
+            if not size[i]:
+                continue
+            place = np.minimum(np.searchsorted(sets[i], flat), size[i] - 1)
+            common = np.add.reduceat((sets[i][place] == flat).astype(np.int32), at)
+            like = common / np.maximum(size + size[i] - common, 1)
+            other = np.flatnonzero(theirs & (label != label[i]) & (size > 0) & (like >= SIMILARITY - 0.01))
             seen: dict[int, int] = {}
-            for k in order:
-                c = int(label[other[k]])
+            for k in other[np.argsort(-like[other], kind="stable")]:
+                c = int(label[k])
                 seen[c] = seen.get(c, 0) + 1
-                if seen[c] <= PER_ROUND:
-                    out.append((min(node[i], node[other[k]]), max(node[i], node[other[k]])))
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+                if seen[c] <= BEST:
+                    out.append((min(node[i], node[k]), max(node[i], node[k])))
 
-    pairs = materialize(m.groupBy("key", "x", "y").applyInPandas(run, "a long, b long").distinct(), "cross")
-    return pairs if pairs.head(1) else None
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values(["key", "x", "y"])
+        node, label, key, x, y, own = (part[c].to_numpy() for c in ("node", "label", "key", "x", "y", "own"))
+        sets = [np.frombuffer(s, "<u4") for s in part["shingles"]]
+        first = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1])]))
+        out: list = []
+        for a, b in zip(first, np.append(first[1:], len(part)), strict=True):
+            if x[a] == y[a]:
+                names, counts = np.unique(label[a:b], return_counts=True)
+                if len(names) < 2:
+                    continue
+                mine = theirs = np.ones(b - a, bool)
+                main = names[counts.argmax()]
+            else:  # in a pair of blocks either side may hold the odd ones
+                mine, theirs, main = own[a:b] == x[a], own[a:b] == y[a], None
+            compare(node[a:b], label[a:b], sets[a:b], mine, theirs, main, out)
+        release_memory()
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64").drop_duplicates()
+
+    groups = F.pmod(F.xxhash64("key", "x", "y"), F.lit(4 * parallelism(members.sparkSession)))  # many buckets to a call
+    return materialize(m.withColumn("_group", groups).groupBy("_group").applyInPandas(run, "a long, b long").distinct(), "cross")
 
 
 def near_dedup(docs: DataFrame, *, weighted: bool = False) -> DataFrame:
@@ -258,8 +280,8 @@ def near_dedup(docs: DataFrame, *, weighted: bool = False) -> DataFrame:
     1. Copies are found by a 128-bit key of the whole text; one of them stands for all.
     2. Signatures are cut in bands; each bucket's documents are paired with its least document only (a star, so a
        bucket of n gives n - 1 pairs), and the pairs verified exactly. Components follow.
-    3. Buckets that still hold several components are compared inside, until no unverified candidate between two
-       components is left. A link inside a component changes no class, so it need not be looked at.
+    3. Buckets that still hold several components are compared inside, every document of one with those of the others.
+       A link inside a component changes no class, so it need not be looked at.
 
     weighted: darts fall by the shingles' numbers of occurrences; links are still by sets. Null or empty text: no
     shingle, so a copy of other such texts only. Fewer than five words: one shingle of all of them. Null doc_id:
@@ -275,17 +297,16 @@ def near_dedup(docs: DataFrame, *, weighted: bool = False) -> DataFrame:
     single = sigs.select("doc_id", "bands").join(copies.select(F.col("doc_id").alias("_id")).distinct(), F.col("doc_id") == F.col("_id"), "left_anti")
     keyed = single.select(F.col("doc_id").alias("node"), F.explode("bands").alias("key"))
     leaders = keyed.groupBy("key").agg(F.min("node").alias("leader"), F.max("node").alias("most")).where("leader <> most").select(F.col("key").alias("_key"), "leader")
+    leaders = materialize(leaders, "leaders")
+    leaders = F.broadcast(leaders) if leaders.count() <= BROADCAST_IDS else leaders
     members = materialize(keyed.join(leaders, F.col("key") == F.col("_key")).select("key", "node", "leader"), "members")
     pairs = materialize(members.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
     checked = verify(pairs, docs)
     links = checked.where("linked").select("a", "b")
     labels = components(links)
-    while (pairs := cross_candidates(members, labels, sigs, checked.where("not linked"))) is not None:
-        more = verify(pairs, docs)
-        checked = materialize(checked.unionByName(more), "checked")
-        if more.where("linked").head(1):
-            links = checked.where("linked").select("a", "b")
-            labels = components(links)
+    pairs = cross_candidates(members, labels, docs)
+    if pairs.head(1):
+        links = links.unionByName(verify(pairs, docs).where("linked").select("a", "b"))
     # copies follow the document that stands for them; an id with several texts ties their classes together
     labels = components(links.unionByName(copies.select(F.col("node").alias("a"), F.col("doc_id").alias("b"))))
     labels = labels.select(F.col("node").alias("_node"), "label")
