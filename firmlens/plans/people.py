@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from firmlens.functions import fixed, phones
-from firmlens.operators import contacts
+from firmlens.operators import contacts, reports
 from firmlens.plans.web import read
 
 _RUNS = "|".join([str(d) * 5 for d in range(10)] + [*phones.RISING, *phones.FALLING])
@@ -156,7 +156,50 @@ def role_scores(spark, sf_dir):
 _TIERS = " ".join(f"WHEN regexp_matches(lower(trim(p_name)), '{'|'.join(words)}') THEN {score}" for score, words in fixed.ROLE_TIERS)
 ROLE_SCORES = f"SELECT p_partkey, CAST(CASE WHEN trim(coalesce(p_name, '')) = '' THEN 0 {_TIERS} ELSE 10 END AS INT) AS score, contains(lower(p_type), 'fax') AS fax, p_type AS type FROM part"
 
+def detailed_report(spark, sf_dir):
+    """Documents as input rows with every number of their source, in class order."""
+    n = contacts.consolidate(classified(spark, sf_dir), "source", ["doc_id", "pos"]).select("source", "number", "classification")
+    rows = read(spark, sf_dir, "documents").select("source", "lang").distinct()
+    return reports.detailed(rows, n, "source").select("source", "lang", "number", "classification", "class_place")
+
+
+DETAILED_REPORT = f"""
+SELECT source, lang, number, classification, CASE classification WHEN 'Primary' THEN 0 WHEN 'Secondary' THEN 1 WHEN 'Support' THEN 2 WHEN 'Low Relevance' THEN 3 WHEN 'Non-Business' THEN 4 ELSE 5 END AS class_place
+FROM (SELECT DISTINCT source, lang FROM documents) JOIN ({CONSOLIDATE_NUMBERS}) USING (source)
+"""
+
+
+def contact_report(spark, sf_dir):
+    n = contacts.consolidate(classified(spark, sf_dir), "source", ["doc_id", "pos"]).withColumn("types", F.array_sort("types"))
+    return reports.short_contacts(n, "source")
+
+
+CONTACT_REPORT = f"""
+WITH n AS (SELECT source, number, classification, types, CASE classification WHEN 'Primary' THEN 0 WHEN 'Secondary' THEN 1 WHEN 'Support' THEN 2 ELSE 4 END AS place FROM ({CONSOLIDATE_NUMBERS})),
+r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY place, number) AS k FROM n
+      WHERE classification <> 'Non-Business' AND len(list_filter(string_split(types, ', '), lambda t: t IN ('Unknown', 'Fax', 'Mobile', 'Date', 'ID'))) = 0)
+SELECT source, string_agg(number || ' (' || types || ')', '; ' ORDER BY k) AS contacts FROM r WHERE k <= 3 GROUP BY source
+"""
+
+
+def number_verification(spark, sf_dir):
+    """Whether a customer's number is among those of its nation, and whether the site moved."""
+    c = read(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    given = F.when(F.pmod(k, F.lit(4)) == 0, F.lit("n/a")).otherwise(F.concat(F.lit("+49 30 "), (k + 100000).cast("string")))
+    found = F.when(F.pmod(k, F.lit(3)) == 0, F.array().cast("array<string>")).otherwise(F.array(F.concat(F.lit("+4930"), (k + 100000 + F.when(F.pmod(k, F.lit(5)) == 0, 1).otherwise(0)).cast("string"))))
+    moved = F.when(F.pmod(k, F.lit(7)) == 0, "https://www.new.example.com/x").otherwise("http://old.example.com")
+    v = reports.verification(given, found, F.lit("old.example.com/a"), moved)
+    return c.select(v["status"].alias("status"), v["redirected"].alias("redirected")).groupBy("status", "redirected").agg(F.count(F.lit(1)).alias("n"))
+
+
+NUMBER_VERIFICATION = """
+SELECT CASE WHEN c_custkey % 4 = 0 THEN CASE WHEN c_custkey % 3 > 0 THEN 'Found' ELSE 'Missing' END WHEN c_custkey % 3 = 0 THEN 'Unverified' WHEN c_custkey % 5 > 0 THEN 'Verified' ELSE 'Different' END AS status,
+       c_custkey % 7 = 0 AS redirected, count(*) AS n FROM customer GROUP BY ALL
+"""
+
 QUERIES = {
+    "detailed_report": (detailed_report, DETAILED_REPORT), "contact_report": (contact_report, CONTACT_REPORT), "number_verification": (number_verification, NUMBER_VERIFICATION),
     "phone_candidates": (phone_candidates, PHONE_CANDIDATES), "candidate_rank_cap": (candidate_rank_cap, CANDIDATE_RANK_CAP), "consolidate_numbers": (consolidate_numbers, CONSOLIDATE_NUMBERS),
     "call_list": (call_list, CALL_LIST), "domain_status": (domain_status, DOMAIN_STATUS), "phone_shapes": (phone_shapes, PHONE_SHAPES), "role_scores": (role_scores, ROLE_SCORES),
 }
