@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from firmlens.functions import fixed
-from firmlens.functions.text import blank_to_null
+from firmlens.functions.text import blank_to_null, let
 
 #: A phone-like run: a plus or bracket or digit, then at least seven more digits or separators, then a digit.
 CANDIDATE = r"[+(]?[0-9][0-9 ()./\-]{6,18}[0-9]"
@@ -49,12 +49,14 @@ def national_fine(nsn: Column) -> Column:
 def e164(c: Column, region: str = "DE") -> Column:
     """+ and digits: of +…, 00…, the region's own code or a national form; null if the length can't be right."""
     code, longest = REGIONS[region]
-    raw = strip_excel(c)
-    d = digits(raw)
-    full = (
-        F.when(raw.rlike(r"^\(?\+"), d).when(d.rlike("^00"), F.substring(d, 3, 30)).when(d.rlike("^0"), F.concat(F.lit(code), F.regexp_replace(d, "^0+", "")))
-        .when(d.rlike(f"^{code}") & (F.length(d) > longest), d).otherwise(F.concat(F.lit(code), d)))
-    return F.when(full.rlike("^[1-9][0-9]{6,14}$"), F.concat(F.lit("+"), full))
+
+    def full(raw: Column, d: Column) -> Column:
+        return (
+            F.when(raw.rlike(r"^\(?\+"), d).when(d.rlike("^00"), F.substring(d, 3, 30)).when(d.rlike("^0"), F.concat(F.lit(code), F.regexp_replace(d, "^0+", "")))
+            .when(d.rlike(f"^{code}") & (F.length(d) > longest), d).otherwise(F.concat(F.lit(code), d)))
+
+    fine = lambda x: F.when(x.rlike("^[1-9][0-9]{6,14}$"), F.concat(F.lit("+"), x))
+    return let(strip_excel(c), lambda raw: let(let(digits(raw), lambda d: full(raw, d)), fine))
 
 
 def e164_any(c: Column, regions: tuple[str, ...] = ("DE", "AT", "CH")) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -20,6 +20,11 @@ def blank_to_null(c: Column, blanks: Iterable[str] = ()) -> Column:
     return F.when((t != "") & ~F.lower(t).isin(*blanks) if blanks else t != "", t)
 
 
+def let(c: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a value that is computed once, however often f names it (an array of one and a lambda)."""
+    return F.transform(F.array(c), f)[0]
+
+
 def first_usable(*columns: Column, blanks: Iterable[str] = ()) -> Column:
     """The first column that isn't blank."""
     return F.coalesce(*[blank_to_null(c, blanks) for c in columns])
@@ -135,3 +140,21 @@ def rank_value(c: Column) -> Column:
 def report_cell(c: Column) -> Column:
     """Text without the control characters that spreadsheets refuse."""
     return F.regexp_replace(c, r"[\x00-\x08\x0B\x0C\x0E-\x1F]", "")
+
+
+def leads_text(c: Column) -> Column:
+    """A number of leads with up to two decimals, without closing zeros."""
+    two = F.format_string("%.2f", c.cast("double"))
+    return F.regexp_replace(F.regexp_replace(two, "0+$", ""), r"\.$", "")
+
+
+def fill_placeholder(template: Column, name: str, value: Column, missing: str = "") -> Column:
+    """{name} in a template replaced by the value, or by `missing` where there is none."""
+    return F.replace(template, F.lit("{" + name + "}"), F.coalesce(value, F.lit(missing)))
+
+
+def pitch(decision: Column, company: Column, partner: Column, features: Column, leads: Column) -> Column:
+    """The line a call starts with: for a strong match its features, for a weak one a question, none without a match."""
+    strong = F.format_string("%s fits %s: %s (%s leads a day)", company, partner, F.array_join(F.slice(features, 1, 3), ", "), leads_text(leads))
+    weak = F.format_string("Would %s be of use to %s?", partner, company)
+    return F.when((decision == "strong_match") & (F.size(features) > 0), strong).when(decision.isin("strong_match", "weak_match"), weak)

@@ -20,11 +20,13 @@ def candidates(texts: DataFrame, *, text: str = "text", pattern: str = phones.CA
     found = F.regexp_extract_all(F.col(text), F.lit(f"({pattern})"), F.lit(1))
     between = F.split(F.col(text), pattern)
     before = lambda i: F.aggregate(F.slice(between, F.lit(1), i + 1), F.lit(0), lambda a, x: a + F.length(x)) + F.aggregate(F.slice(found, F.lit(1), i), F.lit(0), lambda a, x: a + F.length(x))
-    runs = F.transform(found, lambda m, i: F.struct(i.alias("pos"), m.alias("raw"), before(i).alias("start")))
+    runs = F.transform(found, lambda m, i: F.struct(i.alias("pos"), F.trim(m).alias("raw"), before(i).alias("start"), F.length(m).alias("size")))
+    # a transform a step: what it adds is a value in the next, so that no expression is repeated
+    runs = F.transform(runs, lambda r: F.struct(r["pos"].alias("pos"), r["raw"].alias("raw"), r["start"].alias("start"), r["size"].alias("size"), phones.e164(r["raw"], region).alias("number")))
+    runs = F.transform(runs, lambda r: F.struct(r["pos"].alias("pos"), r["raw"].alias("raw"), r["start"].alias("start"), r["size"].alias("size"), r["number"].alias("number"), phones.national(r["number"]).alias("national")))
+    runs = F.filter(runs, lambda r: r["number"].isNotNull() & phones.valid(r["raw"], r["national"]))
     t = texts.where(F.col(text).rlike(pattern)).withColumn("_run", F.explode(runs))
-    t = t.withColumns({"pos": F.col("_run.pos"), "raw": F.trim(F.col("_run.raw")), "start": F.col("_run.start"), "_end": F.col("_run.start") + F.length("_run.raw")})
-    t = t.withColumn("number", phones.e164(F.col("raw"), region)).withColumn("national", phones.national(F.col("number")))
-    t = t.where(F.col("number").isNotNull() & phones.valid(F.col("raw"), F.col("national")))
+    t = t.withColumns({**{c: F.col(f"_run.{c}") for c in ("pos", "raw", "start", "number", "national")}, "_end": F.col("_run.start") + F.col("_run.size")})
     low = F.greatest(F.lit(0), F.col("start") - window)
     head = F.when(low > 0, F.regexp_extract(F.substring(F.col(text), F.lit(1), low), r"([^ ]*)$", 1)).otherwise(F.lit(""))
     tail = F.regexp_extract(F.substring(F.col(text), F.col("_end") + window + 1, F.length(text)), r"^([^ ]*)", 1)

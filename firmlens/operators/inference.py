@@ -77,3 +77,18 @@ def rule_provider() -> Provider:
         return f'Sure.\n```json\n{{"is_b2b": "{yes}", "words": {len(words)}}}\n```', len(words)
 
     return answer
+
+
+def backoff(attempt: int, base: float = 1.0, most: float = 30.0, jitter: float = 0.0) -> float:
+    """Seconds to wait before a retry: doubling from base up to most, plus a share (0 to 1) of a second."""
+    return min(most, base * 2 ** max(0, attempt - 1)) + min(max(jitter, 0.0), 1.0)
+
+
+def callers(wanted: int, ceiling: int) -> int:
+    """How many tasks may call a provider at a time."""
+    return max(1, min(wanted, ceiling)) if ceiling > 0 else max(1, wanted)
+
+
+def is_overload(message: Column) -> Column:
+    """Whether an error says that the provider is overloaded."""
+    return F.lower(message).rlike("rate.?limit|exhausted|429|503")

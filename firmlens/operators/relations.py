@@ -180,3 +180,22 @@ def golden_eval(cases: DataFrame, rows: DataFrame) -> DataFrame:
         F.round(F.try_divide(F.count_if(ok), F.count(F.lit(1))), 6).alias("pass_rate"),
         F.round(F.try_divide(F.count_if(seen & F.col("expect_no_match") & none), F.count_if(seen & F.col("expect_no_match"))), 6).alias("no_match_recall"),
         F.count_if(seen & F.col("expect_no_match") & ~none).alias("false_positives"), F.count_if(seen & ~F.col("expect_no_match") & ~hit).alias("false_negatives"))
+
+
+# ---------------------------------------------------------------- run history
+
+def history(runs: DataFrame, *, pipeline: str | None = None, status: str | None = None, contains: str | None = None, last: int = 20) -> DataFrame:
+    """The last runs(run_id, pipeline_name, status, started_at) that fit, newest first."""
+    if pipeline:
+        runs = runs.where(F.col("pipeline_name") == pipeline)
+    if status:
+        runs = runs.where(F.col("status") == status)
+    if contains:
+        runs = runs.where(F.contains(F.lower("run_id"), F.lit(contains.lower())))
+    return runs.orderBy(F.desc("started_at"), F.desc("run_id")).limit(last)
+
+
+def newest_completed(runs: DataFrame, by: str) -> DataFrame:
+    """The newest completed run of each input."""
+    done = runs.where(F.col("status") == "completed")
+    return last_wins(done, [by], "started_at")

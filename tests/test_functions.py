@@ -165,3 +165,83 @@ def test_stream_resumes_without_doubles(spark, tmp_path):
     spark.range(10, 13).selectExpr("id AS event_id", "'a' AS event_type").write.mode("append").parquet(src)
     go()
     assert rows.read_output(spark, out, "rows").count() == 13
+
+
+def test_model_seam_asks_only_for_misses(spark):
+    from firmlens.operators import inference
+
+    prompts = spark.createDataFrame([("a b",), ("a b",), ("c",), (None,)], "prompt string")
+    first = inference.ask(prompts, spark.createDataFrame([], inference.CALLS), "t", inference.rule_provider, workers=2)
+    cache = spark.createDataFrame(first.collect(), inference.CALLS)
+    assert {(r["prompt"], r["status"], r["tokens"]) for r in cache.collect()} == {("a b", "ok", 2), ("c", "ok", 1)}
+
+    def broken():
+        def provider(prompt):
+            raise RuntimeError("429 too many")
+
+        return provider
+
+    again = inference.ask(prompts.union(spark.createDataFrame([("new",)], "prompt string")), cache, "t", broken).collect()
+    assert {(r["prompt"], r["status"]) for r in again} == {("a b", "ok"), ("c", "ok"), ("new", "error")}
+    assert [r["answer"]["words"] for r in inference.answers(cache, "is_b2b string, words long").orderBy("prompt").collect()] == [2, 1]
+    assert len(inference.answers(cache, "array<struct<words:bigint>>").first()["answer"]) == 1
+    assert [inference.backoff(n) for n in (1, 2, 3, 10)] == [1, 2, 4, 30] and inference.callers(50, 6) == 6 and inference.callers(0, 6) == 1
+
+
+def test_match_decisions(spark):
+    def decide(name="Acme", conf="strong", score=None, known=True, t=True, p=True, short=0.0, feats=0, spec=0):
+        c = matching.assess(F.lit(name).cast("string"), F.lit(conf).cast("string"), F.lit(score).cast("string"), F.lit(known), F.lit(t), F.lit(p), F.lit(short), F.lit(feats), F.lit(spec))
+        return spark.range(1).select(c.alias("c")).first()["c"]["reason"]
+
+    assert decide() == "accepted_strong_validated_evidence"
+    assert decide(t=False) == "rejected_strong_missing_evidence"
+    assert decide(t=False, short=0.03, feats=1, spec=1) == "downgraded_strong_missing_direct_evidence"
+    assert decide(conf="medium", t=False, p=False) == "rejected_weak_missing_evidence"
+    assert decide(conf=None, score="hoch") == "accepted_strong_validated_evidence"
+    assert decide(name="No suitable match found") == decide(conf="low") == "explicit_no_match"
+    assert decide(name=" ") == "missing_partner_name" and decide(known=False) == "matched_partner_data_missing"
+    assert decide(name=None, conf=None) == "missing_partner_match_output"
+
+
+def test_outcome_table(spark):
+    base = dict(status="Success", base="b", base_status="Success", page_statuses=["Success"], regex_found=True, has_numbers=False, has_bundle=True, n_raw=0, llm_error=None, has_top=False, rerank_requested=False, rerank_error=None)
+
+    def outcome(**change):
+        v = base | change
+        c = {k: F.array(*[F.lit(s) for s in x]).cast("array<string>") if isinstance(x, list) else F.lit(x).cast("string") if x is None else F.lit(x) for k, x in v.items()}
+        r = spark.range(1).select(relations.row_outcome(c).alias("o"), c["rerank_requested"].alias("r")).select("o", relations.fault(F.col("o"), F.col("r")).alias("f")).first()
+        return r["o"], r["f"]
+
+    assert outcome(status="InvalidURL") == ("Input_URL_Invalid", "Input Data Issue")
+    assert outcome(has_numbers=True, has_top=True) == ("Contact_Successfully_Extracted", "N/A")
+    assert outcome(has_numbers=True, rerank_error="x") == ("Contact_Consolidated_RerankFailed_NoOperationalCallList", "LLM Issue")
+    assert outcome(has_numbers=True, rerank_requested=True)[1] == "LLM Issue" and outcome(has_numbers=True)[1] == "Pipeline Logic/Configuration"
+    assert outcome(base_status="Error", page_statuses=["DNS", "Timeout"]) == ("Scraping_AllAttemptsFailed_Network", "Website Issue")
+    assert outcome(base_status="Error", page_statuses=["DNS", "404"]) == ("ScrapingFailed_Canonical_Error", "Website Issue")
+    assert outcome(regex_found=False) == ("Canonical_NoRegexCandidatesFound", "Pipeline Logic/Configuration")
+    assert outcome() == ("LLM_Output_NoNumbersFound_AllAttempts", "LLM Issue")
+
+
+def test_prequalify_keeps_unknown_capacity(spark):
+    c = lambda a, b: one(spark, relations.prequalify(F.col("a"), F.col("b")), a=a, b=b)
+    assert c("Yes", "Unknown") is None and c("Yes", "No") == "Capacity_Under_1000" and c("Unknown", "Yes") == "Not_B2B" and c(None, None) == "B2B_Capacity_Check_Failed"
+
+
+def test_rank_fusion_counts_only_the_first_ranks(spark):
+    sparse = spark.createDataFrame([("t", "a", 9), ("t", "b", 5), ("t", "c", 1)], "target string, partner string, score long")
+    dense = spark.createDataFrame([("t", "b", 0.9), ("t", "c", 0.8)], "target string, partner string, cosine double")
+    got = [(r["partner"], round(r["fused"], 6)) for r in matching.rank_fusion(sparse, dense, k=60, top=2, keep=3).orderBy("place").collect()]
+    assert got == [("b", round(1 / 62 + 1 / 61, 6)), ("a", round(1 / 61, 6)), ("c", round(1 / 62, 6))]
+
+
+def test_reports(spark):
+    from firmlens.operators import reports
+
+    n = spark.createDataFrame([("s", "+1", "Primary", ["Main Line"]), ("s", "+2", "Primary", ["Fax"]), ("s", "+3", "Non-Business", ["Main Line"]), ("s", "+4", "Support", ["Sales"])], "site string, number string, classification string, types array<string>")
+    assert reports.short_contacts(n, "site").first()["contacts"] == "+1 (Main Line); +4 (Sales)"
+    assert one(spark, reports.redact(F.col("c")), c='{"api_key": "abc", "model": "m"}') == '{"api_key": "***", "model": "m"}'
+    src = spark.createDataFrame([(1, " ", "a\x00b"), (2, "+49", "c")], "row_id long, phone string, note string")
+    got = {r["row_id"]: (r["phone"], r["note"]) for r in reports.augmented(src, spark.createDataFrame([(1, "+1")], "row_id long, number_1 string"), "row_id", "phone").collect()}
+    assert got == {1: ("+1", "ab"), 2: ("+49", "c")}
+    rows = reports.failed_rows(spark.createDataFrame([(1, "A", "u")], "row_id long, CompanyName string, GivenURL string"), F.lit("x"), F.lit("a\nb"), "t").first()
+    assert rows["error_reason"] == "a b"
