@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import struct
+import zlib
 
 import numpy as np
 import pandas as pd
@@ -20,6 +21,8 @@ MATCH, GRAM = 50, 24
 BLOCK_BYTES, CHUNK = 8 << 20, 1 << 18
 #: Shards per partition of the session's shuffles: a shard's suffixes are sorted in one task's memory.
 SHARDS = 3
+#: Blocks that may hold a sampled string whose stretches stay together.
+HOT_BLOCKS = 256
 NO_HASH = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -293,24 +296,33 @@ def write_blocks(docs: DataFrame, folder: str, shards: int, carry: tuple[str, ..
 
 
 def shared_grams(grams: DataFrame) -> DataFrame:
-    """A written table (block, shard, shared), a row at least for each block: of each block, the fingerprints that another of its documents or another block has too."""
+    """A written table (block, shard, shared), a row at least for each block: of each block, the fingerprints that another
+    of its documents or another block has too; after them those that more than HOT_BLOCKS blocks have."""
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
         got = [unpack(raw, "<u4", "<u4") for raw in part["grams"]]
-        every = np.sort(np.concatenate([x for pair in got for x in pair]))
-        twice = np.unique(np.concatenate([every[1:][every[1:] == every[:-1]], *[a for a, _ in got]]))
+        every, blocks = np.unique(np.concatenate([x for pair in got for x in pair]), return_counts=True)
+        shared = blocks > 1
+        shared[np.searchsorted(every, np.concatenate([a for a, _ in got]))] = True
+        twice, hot = every[shared], every[blocks > HOT_BLOCKS]
         out = []
         for a, b in got:
-            i = np.minimum(np.searchsorted(twice, b), max(len(twice) - 1, 0))
-            out.append(pack(np.sort(np.concatenate([a, b[twice[i] == b] if len(twice) else b[:0]]))))
+            own = np.sort(np.concatenate([a, b]))
+            out.append(pack(*[own[np.isin(own, x, assume_unique=True)] for x in (twice, hot)]))
+        release_memory()
         return pd.DataFrame({"block": part["block"], "shard": part["shard"], "shared": out})
 
     return materialize(grams.groupBy("shard").applyInPandas(run, "block string, shard long, shared binary"), "shared")
 
 
 def stretches(shared: DataFrame, folder: str, shards: int) -> DataFrame:
-    """(shard, block, body): for each shared sampled string, the bytes around it that the windows
-    led by it cover, with the document and the place; by the string's shard."""
+    """(shard, block, body): the distinct stretches of bytes around a block's shared sampled strings, which the windows
+    led by them cover, each with the least and the greatest id of the documents that hold it; by the string's shard.
+
+    So a passage that many documents of a block hold is sent once. Where each stretch stands is kept in a file beside the
+    block's. A string of more than HOT_BLOCKS blocks would bring too many distinct stretches (the ends of a very common
+    passage) to one shard: its windows go one by one, to shards by their own hash.
+    """
     w = MATCH - GRAM + 1
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
@@ -319,15 +331,15 @@ def stretches(shared: DataFrame, folder: str, shards: int) -> DataFrame:
         where, hashes = sample(body, offsets)
         shard = ((hashes >> np.uint64(32)) % np.uint64(shards)).astype(np.int64)
         small = hashes.astype(np.uint32)
-        hit = np.zeros(len(where), bool)
+        hit, hot = np.zeros(len(where), bool), np.zeros(len(where), bool)
         order = np.argsort(shard, kind="stable")
         cuts = np.searchsorted(shard[order], np.arange(shards + 1))
         for s, raw in zip(part["shard"], part["shared"], strict=True):
-            (known,) = unpack(raw, "<u4")
             own = order[cuts[s] : cuts[s + 1]]
-            if len(known) and len(own):
-                i = np.minimum(np.searchsorted(known, small[own]), len(known) - 1)
-                hit[own] = known[i] == small[own]
+            for known, flag in zip(unpack(raw, "<u4", "<u4"), (hit, hot), strict=True):
+                if len(known) and len(own):
+                    i = np.minimum(np.searchsorted(known, small[own]), len(known) - 1)
+                    flag[own] = known[i] == small[own]
         doc = np.searchsorted(offsets, where, side="right") - 1
         # windows whose least hash is this string's: those that reach neither a smaller string to the left nor to the
         # right; a window belongs to the leftmost of equal strings, and to have it twice is harmless
@@ -349,14 +361,29 @@ def stretches(shared: DataFrame, folder: str, shards: int) -> DataFrame:
         first = np.maximum.reduce([low, where - w + 1, prev + 1])
         last = np.minimum.reduce([high - MATCH, where, nxt - w])  # start of the last window
         use = np.flatnonzero(hit & (first <= last))
-        use = use[np.lexsort((where[use], hashes[use], shard[use]))]
-        cuts = np.searchsorted(shard[use], np.arange(shards + 1))
+        start, end, owner, to = first[use], last[use] + MATCH, doc[use], shard[use]
+        if hot[use].any():  # windows of their own
+            one = hot[use]
+            n = (end - start - MATCH + 1)[one]
+            each = np.repeat(start[one] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+            by = np.array([zlib.crc32(body[i : i + MATCH].tobytes()) % shards for i in each], np.int64)
+            start, end, owner, to = (np.concatenate([x[~one], y]) for x, y in ((start, each), (end, each + MATCH), (owner, np.repeat(owner[one], n)), (to, by)))
+        order = np.lexsort((start, to))
+        start, end, owner, to = start[order], end[order], owner[order], to[order]
+        cuts = np.searchsorted(to, np.arange(shards + 1))
+        view = body.tobytes()
+        number = np.empty(len(start), np.int32)
         rows = []
         for s in np.flatnonzero(np.diff(cuts)):
-            own = use[cuts[s] : cuts[s + 1]]
-            start, size = first[own], last[own] + MATCH - first[own]
-            at = np.repeat(start - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
-            rows.append((int(s), block, pack(doc[own].astype("<i4"), ids[doc[own]].astype("<i8"), (start - low[own]).astype("<i4"), size.astype("u1"), body[at])))
+            own = slice(cuts[s], cuts[s + 1])
+            names: dict[bytes, int] = {}
+            number[own] = [names.setdefault(view[x:y], len(names)) for x, y in zip(start[own].tolist(), end[own].tolist())]
+            low, high = np.full(len(names), NULL_ID, np.int64), np.full(len(names), -NULL_ID, np.int64)
+            np.minimum.at(low, number[own], ids[owner[own]])
+            np.maximum.at(high, number[own], ids[owner[own]])
+            size = np.fromiter(map(len, names), np.int64, len(names))
+            rows.append((int(s), block, pack(low.astype("<i8"), high.astype("<i8"), size.astype("u1"), np.frombuffer(b"".join(names), np.uint8))))
+        put_file(folder, block + ".at", pack(cuts.astype("<i4"), number.astype("<i4"), owner.astype("<i4"), (start - offsets[owner]).astype("<i4")))
         release_memory()
         return pd.DataFrame(rows, columns=["shard", "block", "body"])
 
@@ -364,25 +391,22 @@ def stretches(shared: DataFrame, folder: str, shards: int) -> DataFrame:
 
 
 def repeated_spans(pieces: DataFrame) -> DataFrame:
-    """(block, spans): document number in the block, start and end of runs of windows that a smaller id has too."""
+    """(block, shard, spans): of the block's stretches in the shard, runs of windows with the least id that has them:
+    number of the stretch, first window, windows, id; runs that are of no use to any document of the block are left out."""
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
         names: dict[bytes, int] = {}
-        number, doc_ids, docs, starts, block_of = [], [], [], [], []
-        for b, raw in enumerate(part["body"]):
-            doc, ids, start, size, body = unpack(raw, "<i4", "<i8", "<i4", "u1", "u1")
+        numbers, lows, highs = [], [], []
+        for raw in part["body"]:
+            low, high, size, body = unpack(raw, "<i8", "<i8", "u1", "u1")
             view, cut = body.tobytes(), np.concatenate([[0], np.cumsum(size.astype(np.int64))]).tolist()
-            number.append(np.array([names.setdefault(view[x:y], len(names)) for x, y in zip(cut, cut[1:])], np.int64))
-            docs.append(doc)
-            doc_ids.append(ids)
-            starts.append(start)
-            block_of.append(np.full(len(doc), b))
-        number, docs, doc_ids = np.concatenate(number), np.concatenate(docs), np.concatenate(doc_ids)
-        starts, block_of = np.concatenate(starts).astype(np.int64), np.concatenate(block_of)
+            numbers.append(np.array([names.setdefault(view[x:y], len(names)) for x, y in zip(cut, cut[1:])], np.int64))
+            lows.append(low)
+            highs.append(high)
         distinct = list(names)
-        # the smallest id of each distinct piece, of each group of equal windows, then back to each window of each piece
+        # the smallest id of each distinct stretch, of each group of equal windows, then back to each window
         least = np.full(len(distinct), NULL_ID, np.int64)
-        np.minimum.at(least, number, doc_ids)
+        np.minimum.at(least, np.concatenate(numbers), np.concatenate(lows))
         piece, offset, group = repeated_windows(distinct, MATCH)
         low = np.full(int(group.max(initial=0)) + 1, NULL_ID, np.int64)
         np.minimum.at(low, group, least[piece])
@@ -390,26 +414,46 @@ def repeated_spans(pieces: DataFrame) -> DataFrame:
         base = np.cumsum(counts) - counts
         owner = np.empty(int(counts.sum()), np.int64)
         owner[base[piece] + offset] = low[group]
-        # every occurrence: its windows whose group has a smaller id, as runs
-        n = counts[number]
-        head = np.cumsum(n) - n
-        inner = (np.arange(int(n.sum())) - np.repeat(head, n)).astype(np.int32)
-        marked = owner[np.repeat(base[number].astype(np.int32), n) + inner] < np.repeat(doc_ids, n)
-        before = np.concatenate([[False], marked[:-1]]) & (inner > 0)
-        after = np.concatenate([marked[1:], [False]]) & (np.append(inner[1:], 0) > 0)
-        a, b = np.flatnonzero(marked & ~before), np.flatnonzero(marked & ~after)
-        occ = np.searchsorted(head, a, side="right") - 1
-        begin, end = starts[occ] + inner[a], starts[occ] + inner[b] + MATCH
+        # runs of windows with one owner, by stretch
+        new = np.concatenate([[True], owner[1:] != owner[:-1]])
+        new[base] = True
+        head = np.flatnonzero(new)
+        length = np.diff(np.append(head, len(owner)))
+        of = np.searchsorted(base, head, side="right") - 1
+        first = np.searchsorted(head, base)
+        runs = np.diff(np.append(first, len(head)))
         rows = []
-        order = np.lexsort((begin, docs[occ], block_of[occ]))
-        cuts = np.searchsorted(block_of[occ][order], np.arange(len(part) + 1))
-        for k in np.flatnonzero(np.diff(cuts)):
-            own = order[cuts[k] : cuts[k + 1]]
-            rows.append((part["block"].iloc[k], pack(docs[occ[own]].astype("<i4"), begin[own].astype("<i4"), (end - begin)[own].astype("u1"))))
+        for block, shard, number, high in zip(part["block"], part["shard"], numbers, highs, strict=True):
+            n = runs[number]
+            own = np.repeat(np.arange(len(number)), n)
+            r = np.repeat(first[number] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+            use = owner[head[r]] < high[own]
+            own, r = own[use], r[use]
+            if len(r):
+                rows.append((block, shard, pack(own.astype("<i4"), (head[r] - base[of[r]]).astype("u1"), length[r].astype("u1"), owner[head[r]].astype("<i8"))))
         release_memory()
-        return pd.DataFrame(rows, columns=["block", "spans"])
-
-    return pieces.groupBy("shard").applyInPandas(run, "block string, spans binary")
+        return pd.DataFrame(rows, columns=["block", "shard", "spans"])
+
+    return pieces.groupBy("shard").applyInPandas(run, "block string, shard long, spans binary")
+
+
+def place_spans(spans: pd.DataFrame, at: tuple, ids: np.ndarray) -> np.ndarray:
+    """Rows of (document, start, end) to cut: each run at each place of its stretch whose document's id is above the owner."""
+    cuts, number, doc, start = at
+    out = [np.zeros((0, 3), np.int64)]
+    for shard, raw in zip(spans["shard"], spans["spans"], strict=True):
+        piece, first, length, owner = unpack(raw, "<i4", "u1", "u1", "<i8")
+        own = slice(cuts[shard], cuts[shard + 1])
+        order = np.argsort(number[own], kind="stable") + cuts[shard]
+        low = np.searchsorted(number[order], piece)
+        n = np.searchsorted(number[order], piece, side="right") - low
+        where = order[np.repeat(low - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+        run = np.repeat(np.arange(len(piece)), n)
+        use = owner[run] < ids[doc[where]]
+        where, run = where[use], run[use]
+        begin = start[where].astype(np.int64) + first[run]
+        out.append(np.stack([doc[where].astype(np.int64), begin, begin + length[run].astype(np.int64) + MATCH - 1], 1))
+    return np.concatenate(out)
 
 
 def cut(body: np.ndarray, spans: np.ndarray) -> tuple[np.ndarray, int]:
@@ -430,10 +474,10 @@ def suffix_dedup(docs: DataFrame, *, keep_text: bool = False, carry: tuple[str,
 
     1. Documents go into blocks in the shared folder; of every MATCH bytes one GRAM-byte string is sampled by least hash,
        so equal windows share one. Per shard of strings, those that two documents have are found.
-    2. The stretches around shared strings go to the string's shard. There the suffixes of the distinct stretches are
-       sorted in two stages, common prefixes of neighbours give groups of equal windows, and the smallest doc_id of a
-       group decides. Equal stretches of a shard count once, so a passage that many documents hold adds one text.
-    3. The runs of repeated windows go back to the blocks, which cut them out.
+    2. A block's distinct stretches around shared strings go to the string's shard. There the suffixes of the distinct
+       stretches are sorted in two stages, common prefixes of neighbours give groups of equal windows, and the smallest
+       doc_id of a group decides. A passage that many documents hold is one stretch a block, and one text in the shard.
+    3. The runs of windows with their owners go back to the blocks, which cut them out of documents with larger ids.
 
     Null text: empty. Null doc_id: larger than all others. Rows with one doc_id do not match each other. Repeated rows
     stay rows of their own. An empty table gives no rows; further columns are not read.
@@ -452,11 +496,9 @@ def suffix_dedup(docs: DataFrame, *, keep_text: bool = False, carry: tuple[str,
             return pd.DataFrame({c: [] for c in [*names, *carry]})
         block = own["block"].iloc[0]
         ids, offsets, body = load_block(folder, block)
-        got = [unpack(raw, "<i4", "<i4", "u1") for raw in found["spans"]]
-        doc, begin, size = (np.concatenate([g[k] for g in got]).astype(np.int64) if got else np.zeros(0, np.int64) for k in range(3))
-        order = np.argsort(doc, kind="stable")
-        both = np.stack([begin, begin + size], 1)[order]
-        cuts = np.searchsorted(doc[order], np.arange(len(ids) + 1))
+        gone = place_spans(found, tuple(unpack(get_file(folder, block + ".at"), "<i4", "<i4", "<i4", "<i4")), ids) if len(found) else np.zeros((0, 3), np.int64)
+        gone = gone[np.argsort(gone[:, 0], kind="stable")]
+        both, cuts = gone[:, 1:], np.searchsorted(gone[:, 0], np.arange(len(ids) + 1))
         carried = load_carried(folder, block)
         empty = carried.pop("null_text").to_numpy()
         rows = []

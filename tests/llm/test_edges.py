@@ -1,9 +1,11 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns, for each operator and stage."""
 
+import random
 import shutil
 
 import pytest
 from conftest import TINY
+from test_ops import removed
 
 import corpus_pipeline
 from firmlens.llm import bpe, chat, classifier, mixing, near_dedup, quality_rules, queries, suffix_dedup, token_files, topk, warc
@@ -84,6 +86,20 @@ def test_suffix_dedup_smaller_id_and_cut_characters(spark):
     assert by[1]["n_removed"] == 0 and by[2]["n_removed"] == 55 + 80 and by[3]["text"] == "zz" and by[None]["n_removed"] == 80
 
 
+@pytest.mark.parametrize("hot", [0, 1, 256])
+def test_suffix_dedup_of_common_passages(spark, monkeypatch, hot):
+    """A passage in most documents, over many blocks, with its strings taken as too common or not."""
+    monkeypatch.setattr(suffix_dedup, "HOT_BLOCKS", hot)
+    monkeypatch.setattr(suffix_dedup, "BLOCK_BYTES", 2000)
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 7)))
+    passage = " ".join(word() for _ in range(30))
+    rows = [(i, " ".join([*[word() for _ in range(rng.randint(0, 40))], *([passage] if i % 3 else []), *[word() for _ in range(rng.randint(0, 40))]])) for i in range(120)]
+    rng.shuffle(rows)
+    got = {r["doc_id"]: tuple(r)[1:5] for r in suffix_dedup.suffix_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    assert got == removed([(i, t.encode()) for i, t in rows])
+
+
 def test_token_files(spark, docs):
     import public_tokenizers
 
