@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from firmlens.llm.bpe import bpe_encode_decode, digests
 from firmlens.llm.classifier import classify
-from firmlens.llm.common import materialize
+from firmlens.llm.common import FOLDERS, materialize, release
 from firmlens.llm.mixing import mix_sources
 from firmlens.llm.near_dedup import near_dedup
 from firmlens.llm.suffix_dedup import suffix_dedup
@@ -15,47 +17,69 @@ from firmlens.llm.suffix_dedup import suffix_dedup
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
-def only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of docs whose doc_id is in ids (distinct; null counts as a value)."""
-    return docs.join(ids.select(F.col("doc_id").alias("_id")), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+#: Ids that may be broadcast (about 40 bytes each); more are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
+_left: list[str] = []
+
+
+def staged(stage):
+    """A stage that first deletes the tables of the stage before it: its result has been written and read by then."""
+
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        release(spark, _left)
+        before = set(FOLDERS)
+        out = stage(spark, docs, sf_dir)
+        _left[:] = [f for f in FOLDERS if f not in before]
+        return out
+
+    return run_stage
+
+
+def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of docs whose doc_id is not in ids(doc_id); null counts as a value. Few ids (counted) are broadcast, so that
+    the texts aren't shuffled."""
+    ids = materialize(ids.select(F.col("doc_id").alias("_id")).distinct(), "gone")
+    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
 
 
+@staged
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the perplexity classifier keeps. Rows with one doc_id go or stay together: any kept row keeps them."""
-    kept = classify(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")).where("kept").select("doc_id").distinct()
-    return only(docs.select(*COLUMNS), kept)
+    judged = classify(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return without(docs.select(*COLUMNS), judged.groupBy("doc_id").agg(F.bool_or("kept").alias("kept")).where("NOT kept"))
 
 
+@staged
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates: that with the least doc_id; of rows with that id, one."""
-    classes = near_dedup(docs)
-    kept = materialize(classes.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select("doc_id"), "kept")
-    once = kept.distinct()
-    out = only(docs.select(*COLUMNS), once)
-    return out if kept.count() == once.count() else out.dropDuplicates(["doc_id"])
+    classes = materialize(near_dedup(docs), "classes")
+    out = without(docs.select(*COLUMNS), classes.where(~F.col("doc_id").eqNullSafe(F.col("class_id"))))
+    kept = classes.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).agg(F.count(F.lit(1)).alias("rows"), (F.count_distinct("doc_id") + F.max(F.col("doc_id").isNull().cast("int"))).alias("ids")).first()
+    return out if kept["rows"] == (kept["ids"] or 0) else out.dropDuplicates(["doc_id"])
 
 
+@staged
 def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the passages that a document with a smaller id has too; n_chars follows. A character cut in two is
-    dropped, and of a cut text every U+FFFD. Texts that nothing is left of go; null texts stay null. The stage before
-    leaves each doc_id once."""
-    cut = suffix_dedup(docs, keep_text=True).where("n_removed > 0")
-    cut = cut.select(F.col("doc_id").alias("_id"), F.col("kept").alias("_kept"))
-    joined = docs.select(*COLUMNS).join(cut, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
-    text = F.when(F.col("_kept").isNull(), F.col("text")).otherwise(F.replace(F.try_validate_utf8(F.make_valid_utf8("_kept")), F.lit("�"), F.lit("")))
-    out = joined.where(F.col("_kept").isNull() | (F.length("_kept") > 0)).withColumn("text", text)
-    return out.withColumn("n_chars", F.when(F.col("_kept").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long"))).select(*COLUMNS)
+    """Texts without the passages that a document with a smaller id has too; n_chars follows where something went. Texts
+    that nothing is left of go; texts that were null or empty before stay."""
+    out = suffix_dedup(docs, keep_text=True, carry=("lang", "source", "n_chars")).where((F.col("n_bytes") == 0) | (F.col("n_removed") < F.col("n_bytes")))
+    out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+    return out.select(*COLUMNS)
 
 
+@staged
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it (0 to 3 times), all columns kept."""
     copies = mix_sources(docs).groupBy("doc_id").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows"))
     copies = copies.where("copies > 0").select(F.col("doc_id").alias("_id"), "copies", "rows")
-    joined = docs.select(*COLUMNS).join(copies, F.col("doc_id").eqNullSafe(F.col("_id")))
+    joined = docs.select(*COLUMNS).join(copies, F.col("doc_id").eqNullSafe(F.col("_id")))  # null ids match null ids
     joined = joined.withColumn("_times", F.explode(F.sequence(F.lit(1).cast("long"), F.greatest(F.lit(1), F.ceil(F.col("copies") / F.col("rows"))))))
     return joined.select(*COLUMNS)
 
 
+@staged
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids (little-endian 32-bit) and decoded text of every copy, with their digests."""
     import public_tokenizers
@@ -78,7 +102,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply STAGES to documents: each stage's rows are written as Parquet in the shared folder and read by the next."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), name)
+        if before:
+            release(spark, [before])
+        before = FOLDERS[-1]
     return docs
