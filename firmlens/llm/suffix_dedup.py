@@ -387,7 +387,8 @@ def stretches(shared: DataFrame, folder: str, shards: int) -> DataFrame:
         release_memory()
         return pd.DataFrame(rows, columns=["shard", "block", "body"])
 
-    return shared.groupBy("block").applyInPandas(run, "shard long, block string, body binary")
+    # rows are small, the blocks behind them aren't: a fixed number of partitions keeps them from being put together
+    return shared.repartition(parallelism(shared.sparkSession), "block").groupBy("block").applyInPandas(run, "shard long, block string, body binary")
 
 
 def repeated_spans(pieces: DataFrame) -> DataFrame:
