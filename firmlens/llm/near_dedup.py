@@ -293,6 +293,8 @@ def near_dedup(docs: DataFrame, *, weighted: bool = False) -> DataFrame:
     docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(null_id)).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     sigs = signatures(docs, weighted)
     firsts = sigs.groupBy("text_key").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("text_key").alias("_key"), "node")
+    firsts = materialize(firsts, "firsts")  # on its own, so that the join below can be split where a text has many copies
+    firsts = F.broadcast(firsts) if firsts.count() <= BROADCAST_IDS else firsts
     copies = materialize(sigs.select("doc_id", "text_key").join(firsts, F.col("text_key") == F.col("_key")).where("doc_id <> node").select("doc_id", "node"), "copies")
     single = sigs.select("doc_id", "bands").join(copies.select(F.col("doc_id").alias("_id")).distinct(), F.col("doc_id") == F.col("_id"), "left_anti")
     keyed = single.select(F.col("doc_id").alias("node"), F.explode("bands").alias("key"))
