@@ -17,7 +17,10 @@ from firmlens.llm.suffix_dedup import NULL_ID, pack, unpack
 VOCAB_BITS = 20
 KEY_BITS = 2 * VOCAB_BITS
 #: Text bytes of a block: a pair that its documents hold is asked for once.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 12 << 20
+#: Ranges of word numbers in which the lower orders are summed.
+RANGES = 64
+RANGE = (1 << VOCAB_BITS) // RANGES
 #: Of ten trusted documents two are held out of the counts; their perplexities give the thresholds.
 HELD_OUT = 2
 #: Quantile of held-out trusted perplexity per language, the factor on it, and the documents a language needs for its own.
@@ -68,11 +71,24 @@ def pair_table(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.nda
     doc = np.repeat(np.arange(len(counts), dtype=np.uint64), counts)
     both = np.sort(keys << np.uint64(64 - KEY_BITS) | doc)
     new = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]])) if len(both) else np.zeros(0, np.int64)
-    times = np.diff(np.append(new, len(both)))
+    times = np.diff(np.append(new, len(both))).astype(np.int32)
     both = both[new]
-    key, doc = both >> np.uint64(64 - KEY_BITS), (both & np.uint64((1 << (64 - KEY_BITS)) - 1)).astype(np.int64)
-    head = np.concatenate([[True], key[1:] != key[:-1]]) if len(key) else np.zeros(0, bool)
-    return key[head], np.cumsum(head) - 1, doc, times
+    doc = (both & np.uint64((1 << (64 - KEY_BITS)) - 1)).astype(np.int32)
+    both >>= np.uint64(64 - KEY_BITS)
+    head = np.concatenate([[True], both[1:] != both[:-1]]) if len(both) else np.zeros(0, bool)
+    return both[head], np.cumsum(head, dtype=np.int32) - 1, doc, times
+
+
+def planes(x: np.ndarray) -> list[np.ndarray]:
+    """Numbers of KEY_BITS bits as byte planes: the random low bytes stay as they are, the others pack to little."""
+    return [(x >> np.uint64(k)).astype("u1") for k in range(0, KEY_BITS, 8)]
+
+
+def from_planes(parts: list[np.ndarray]) -> np.ndarray:
+    out = np.zeros(len(parts[0]), np.uint64)
+    for k, part in enumerate(parts):
+        out |= part.astype(np.uint64) << np.uint64(8 * k)
+    return out
 
 
 def fold_words(words: np.ndarray) -> list[np.ndarray]:
@@ -115,7 +131,7 @@ def write_blocks(docs: DataFrame, folder: str, shards: int) -> DataFrame:
             asks = []
             for s in some:
                 keys = unique[cuts[s] : cuts[s + 1]]
-                asks.append(pack(np.diff(keys, prepend=np.zeros(1, np.uint64)).astype("<u8"), learned[cuts[s] : cuts[s + 1]]))  # differences pack well
+                asks.append(pack(*planes(np.diff(keys, prepend=np.zeros(1, np.uint64))), learned[cuts[s] : cuts[s + 1]]))
             release_memory()
             return pa.RecordBatch.from_arrays([pa.array([block] * len(some)), pa.array(some, pa.int64()), pa.array(asks, pa.binary())], names=["block", "shard", "asks"])
 
@@ -151,25 +167,29 @@ def discount(counts: np.ndarray, d: tuple[float, float, float]) -> np.ndarray:
 
 def count_shards(blocks: DataFrame) -> DataFrame:
     """Counts joined to asks per shard: a written table of (block, shard, answer, words). A row with a block has the
-    training count of each pair it asked for; a shard's row without one has its share of what the lower orders need."""
+    training count of each pair it asked for; rows without one have a shard's share of what the lower orders need of a
+    range of words, whose number stands as shard."""
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
-        got = [unpack(raw, "<u8", "<u4") for raw in part["asks"]]
-        asked = [np.cumsum(k, dtype=np.uint64) for k, _ in got]
+        got = [unpack(raw, *["u1"] * (KEY_BITS // 8), "<u4") for raw in part["asks"]]
+        asked = [np.cumsum(from_planes(g[:-1]), dtype=np.uint64) for g in got]
         keys, number = np.unique(np.concatenate(asked), return_inverse=True)
         counts = np.zeros(len(keys), np.int64)
-        np.add.at(counts, number, np.concatenate([c for _, c in got]))
+        np.add.at(counts, number, np.concatenate([g[-1] for g in got]))
         back = np.split(counts[number].astype("<u4"), np.cumsum([len(a) for a in asked])[:-1])
         keys, counts = keys[counts > 0], counts[counts > 0]
         pair = restore(keys)
         before, word = (pair >> np.uint64(VOCAB_BITS)).astype(np.int64), (pair & np.uint64((1 << VOCAB_BITS) - 1)).astype(np.int64)
         b, at = np.unique(before, return_inverse=True)
-        stats = [np.bincount(at, w, len(b)) for w in (counts, counts == 1, counts == 2, counts >= 3)]
+        stats = [np.bincount(at, w, len(b)).astype("<i8") for w in (counts, counts == 1, counts == 2, counts >= 3)]
         w, into = np.unique(word, return_counts=True)
-        of = np.bincount(np.minimum(counts, 5), minlength=6)[1:5]
-        words = pack(b.astype("<i4"), *[x.astype("<i8") for x in stats], w.astype("<i4"), into.astype("<i8"), of.astype("<i8"))
-        shard = int(part["shard"].iloc[0])
-        rows = [*zip(part["block"], part["shard"], [pack(x) for x in back], [None] * len(part), strict=True), (None, shard, None, words)]
+        of = np.bincount(np.minimum(counts, 5), minlength=6)[1:5].astype("<i8")
+        b_cuts, w_cuts = (np.searchsorted(x, np.arange(RANGES + 1) * RANGE) for x in (b, w))
+        rows = [*zip(part["block"], part["shard"], [pack(x) for x in back], [None] * len(part), strict=True)]
+        for r in range(RANGES):
+            i, j = slice(b_cuts[r], b_cuts[r + 1]), slice(w_cuts[r], w_cuts[r + 1])
+            if r == 0 or i.start < i.stop or j.start < j.stop:
+                rows.append((None, r, None, pack((b[i] % RANGE).astype("<i4"), *[x[i] for x in stats], (w[j] % RANGE).astype("<i4"), into[j].astype("<i8"), of if r == 0 else of[:0])))
         release_memory()
         return pd.DataFrame(rows, columns=["block", "shard", "answer", "words"])
 
@@ -178,16 +198,28 @@ def count_shards(blocks: DataFrame) -> DataFrame:
 
 def lower_orders(counted: DataFrame) -> tuple:
     """Tables over the 2 ** VOCAB_BITS word numbers: count as context, weight of the lower order, probability by
-    continuation; and the pairs' discounts. Their size is fixed, so the driver sums the shards' shares, one at a time."""
-    size = 1 << VOCAB_BITS
-    total, ones, twos, more, into = (np.zeros(size, np.int64) for _ in range(5))
-    of = np.zeros(4, np.int64)
-    for row in counted.where(F.col("words").isNotNull()).select("words").toLocalIterator():
-        b, c, n1, n2, n3, w, n, o = unpack(row["words"], "<i4", "<i8", "<i8", "<i8", "<i8", "<i4", "<i8", "<i8")
-        for table, part in ((total, c), (ones, n1), (twos, n2), (more, n3)):
-            table[b] += part
-        into[w] += n
+    continuation; and the pairs' discounts. Shards' shares are summed by ranges of words in tasks; the driver gets one
+    row a range, whose size doesn't depend on the text."""
+
+    def add(part: pd.DataFrame) -> pd.DataFrame:
+        tables = np.zeros((5, RANGE), np.int64)
+        of = np.zeros(4, np.int64)
+        for raw in part["words"]:
+            b, *stats, w, n, o = unpack(raw, "<i4", "<i8", "<i8", "<i8", "<i8", "<i4", "<i8", "<i8")
+            for table, x in zip(tables, stats):
+                table[b] += x
+            tables[4][w] += n
+            of += o if len(o) else 0
+        return pd.DataFrame({"shard": [int(part["shard"].iloc[0])], "words": [pack(tables.astype("<i8"), of.astype("<i8"))]})
+
+    shares = counted.where(F.col("words").isNotNull()).select("shard", "words")
+    tables, of = np.zeros((5, RANGES, RANGE), np.int64), np.zeros(4, np.int64)
+    for row in shares.groupBy("shard").applyInPandas(add, "shard long, words binary").collect():
+        part, o = unpack(row["words"], "<i8", "<i8")
+        tables[:, row["shard"]] = part.reshape(5, RANGE)
         of += o
+    total, ones, twos, more, into = tables.reshape(5, -1)
+    size = 1 << VOCAB_BITS
     d2 = discounts(*of.tolist())
     seen = np.maximum(total, 1)
     weight = np.where(total > 0, (d2[0] * ones + d2[1] * twos + d2[2] * more) / seen, 1.0)
@@ -215,7 +247,8 @@ def score_blocks(counted: DataFrame, folder: str, tables: tuple) -> DataFrame:
         release_memory()
         return pd.DataFrame({"doc_id": pd.array([None if i == NULL_ID else i for i in ids.tolist()], "Int64"), "lang": names, "fold": folds.astype("int32"), "n_words": n.astype("int64"), "log_prob": logs})
 
-    answers = counted.where(F.col("block").isNotNull()).select("block", "shard", "answer")
+    # answers are small, the blocks behind them aren't: a fixed number of partitions keeps them from being put together
+    answers = counted.where(F.col("block").isNotNull()).select("block", "shard", "answer").repartition(parallelism(counted.sparkSession), "block")
     return materialize(answers.groupBy("block").applyInPandas(gather, "doc_id long, lang string, fold int, n_words long, log_prob double"), "scored")
 
 
