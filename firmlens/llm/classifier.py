@@ -1,8 +1,10 @@
-"""Quality classifier: perplexity under an interpolated modified Kneser-Ney model of trusted text, by sharded count joins."""
+"""Quality classifier: perplexity under an interpolated modified Kneser-Ney model of trusted text, by sharded count joins,
+with the words of rejected text and repeats."""
 
 from __future__ import annotations
 
 import hashlib
+import itertools
 
 import numpy as np
 import pandas as pd
@@ -21,13 +23,16 @@ BLOCK_BYTES = 12 << 20
 #: Ranges of word numbers in which the lower orders are summed.
 RANGES = 64
 RANGE = (1 << VOCAB_BITS) // RANGES
-#: Of ten trusted documents two are held out of the counts; their perplexities give the thresholds.
+#: Of ten labelled documents two are held out of the counts; they give the limits.
 HELD_OUT = 2
-#: Quantile of held-out trusted perplexity per language, the factor on it, and the documents a language needs for its own.
-QUANTILE, MARGIN, LEAST_HELD = 0.95, 3.0, 20
-#: A mean over n words scatters by 1 / sqrt(n): the threshold of a text of n words is exp(SHORT / sqrt(n)) times larger.
-SHORT = 3.0
-#: Trusted ids that may be broadcast (16 bytes each); more are joined by a shuffle.
+#: What a labelled document is, as its fold: trusted, junk (quality 0) or toxic, counted or held out.
+TRUSTED, TRUSTED_HELD, JUNK, JUNK_HELD, TOXIC, TOXIC_HELD = 1, 2, 3, 4, 5, 6
+#: Quantiles of held-out trusted text that may be limits; QUANTILE is the limit of perplexity, and the last the others',
+#: where no rejected text is held out. Held-out documents that a language needs for its own median.
+LEVELS, QUANTILE, LEAST_HELD = (0.9, 0.95, 0.97, 0.98, 0.99, 0.995, 1.0), 0.95, 20
+#: Standard deviations by which a word's log odds of rejected to trusted documents are lowered: few sightings prove little.
+SURE = 2.0
+#: Labelled ids that may be broadcast (16 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 
 _MASK = np.uint64((1 << KEY_BITS) - 1)
@@ -52,10 +57,14 @@ def shard_cuts(keys: np.ndarray, shards: int) -> np.ndarray:
     return np.searchsorted(keys, ((np.arange(shards + 1, dtype=object) << KEY_BITS) // shards).astype(np.uint64))
 
 
+def word_numbers(hashes: np.ndarray) -> np.ndarray:
+    return ((hashes >> np.uint64(64 - VOCAB_BITS)) | np.uint64(1)).astype(np.uint32)
+
+
 def text_words(body: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Word numbers of texts that stand end to end, and n + 1 offsets."""
     hashes, at = word_hashes(body, offsets)
-    return ((hashes >> np.uint64(64 - VOCAB_BITS)) | np.uint64(1)).astype(np.uint32), at
+    return word_numbers(hashes), at
 
 
 def pairs(words: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -79,9 +88,9 @@ def pair_table(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.nda
     return both[head], np.cumsum(head, dtype=np.int32) - 1, doc, times
 
 
-def planes(x: np.ndarray) -> list[np.ndarray]:
-    """Numbers of KEY_BITS bits as byte planes: the random low bytes stay as they are, the others pack to little."""
-    return [(x >> np.uint64(k)).astype("u1") for k in range(0, KEY_BITS, 8)]
+def planes(x: np.ndarray, bits: int = KEY_BITS) -> list[np.ndarray]:
+    """Numbers of so many bits as byte planes: the random low bytes stay as they are, the others pack to little."""
+    return [(x >> np.uint64(k)).astype("u1") for k in range(0, bits, 8)]
 
 
 def from_planes(parts: list[np.ndarray]) -> np.ndarray:
@@ -105,11 +114,97 @@ def unfold_words(unique: np.ndarray, low: np.ndarray, mid: np.ndarray, high: np.
     return unique[low.astype(np.int32) | mid.astype(np.int32) << 8 | high.astype(np.int32) << 16]
 
 
-BLOCK_KINDS = ("<i8", "<i4", "i1", "u1", "<u4", "u1", "u1", "u1")
+# ---------------------------------------------------------------- words of rejected text
+
+def document_words(words: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (word, document) in order of words."""
+    order = np.argsort(words, kind="stable")
+    doc = np.repeat(np.arange(len(at) - 1, dtype=np.int32), np.diff(at))[order]
+    words = words[order]
+    head = np.concatenate([[True], (words[1:] != words[:-1]) | (doc[1:] != doc[:-1])]) if len(words) else np.zeros(0, bool)
+    return words[head], doc[head]
+
 
+def log_odds(rejected: np.ndarray, trusted: np.ndarray, documents: tuple[int, int]) -> np.ndarray:
+    """Log odds of words by the rejected and trusted documents that hold them, lowered by SURE standard deviations."""
+    a, b = rejected + 0.5, trusted + 0.5
+    return np.log(a / b) + np.log((documents[1] + 1) / (documents[0] + 1)) - SURE * np.sqrt(1 / a + 1 / b)
+
+
+def rejected_words(docs: DataFrame, folder: str, shards: int) -> list[str]:
+    """Files of the words (64-bit hashes) that speak for rejected text, with their log odds, from docs(text, fold) of all
+    counted labelled documents: each block's distinct words meet in shards of hashes, a file a shard."""
+    number = {r["fold"]: r["n"] for r in docs.groupBy("fold").agg(F.count(F.lit(1)).alias("n")).collect()}
+    documents = number.get(JUNK, 0) + number.get(TOXIC, 0), number.get(TRUSTED, 0)
+    if not documents[0]:
+        return []
+    ends = ((np.arange(1, shards, dtype=object) << 64) // shards).astype(np.uint64)
+
+    def run(frames):
+        held, size = [], 0
 
-def write_blocks(docs: DataFrame, folder: str, shards: int) -> DataFrame:
-    """docs(doc_id, text, lang, fold) into block files, with the documents' ids, folds, languages and words; a table of
+        def close():
+            words, at = np.concatenate([h[0] for h in held]), np.concatenate([[0], np.cumsum(np.concatenate([h[1] for h in held]))])
+            words, doc = document_words(words, at)
+            trusted = np.concatenate([h[2] for h in held])[doc] == TRUSTED
+            unique, number = np.unique(words, return_inverse=True)
+            a, b = (np.bincount(number, x, len(unique)).astype("<u4") for x in (~trusted, trusted))
+            cuts = np.concatenate([[0], np.searchsorted(unique, ends), [len(unique)]])
+            some = [i for i in range(shards) if cuts[i] < cuts[i + 1]]
+            shares = [pack(*planes(np.diff(unique[i:j], prepend=np.zeros(1, np.uint64)), 64), a[i:j], b[i:j]) for i, j in zip(cuts[some], cuts[np.array(some, int) + 1])]
+            release_memory()
+            return pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(shares, pa.binary())], names=["shard", "words"])
+
+        for frame in batches_of(frames, BLOCK_BYTES // 8):
+            body, offsets = text_bytes(frame.column(0))
+            words, at = word_hashes(body, offsets)
+            held.append((words, np.diff(at), frame.column(1).to_numpy(zero_copy_only=False)))
+            size += len(body)
+            if size >= BLOCK_BYTES:
+                yield close()
+                held, size = [], 0
+        if held:
+            yield close()
+
+    def add(part: pd.DataFrame) -> pd.DataFrame:
+        got = [unpack(raw, *["u1"] * 8, "<u4", "<u4") for raw in part["words"]]
+        words, number = np.unique(np.concatenate([np.cumsum(from_planes(g[:8]), dtype=np.uint64) for g in got]), return_inverse=True)
+        a, b = (np.bincount(number, np.concatenate([g[k] for g in got]), len(words)) for k in (8, 9))
+        odds = log_odds(a, b, documents)
+        more = (a > 0) & (odds > 0)
+        body = pack(words[more], odds[more])
+        name = hashlib.sha256(body).hexdigest()[:24]
+        put_file(folder, name, body)
+        release_memory()
+        return pd.DataFrame({"name": [name]})
+
+    shares = docs.select("text", "fold").mapInArrow(run, "shard long, words binary")
+    return sorted({r["name"] for r in shares.groupBy("shard").applyInPandas(add, "name string").collect()})
+
+
+def word_odds(words: np.ndarray, at: np.ndarray, folder: str, names: list[str]) -> np.ndarray:
+    """Per text the largest log odds of its words, 0 if none speaks for rejected text. A file is read at a time."""
+    out = np.zeros(len(at) - 1)
+    if not len(words):
+        return out
+    unique, doc = document_words(words, at)
+    for name in names:
+        known, odds = unpack(get_file(folder, name), "<u8", "<f8")
+        if len(known):
+            i, j = np.searchsorted(unique, known[0]), np.searchsorted(unique, known[-1], side="right")
+            k = np.minimum(np.searchsorted(known, unique[i:j]), len(known) - 1)
+            same = known[k] == unique[i:j]
+            np.maximum.at(out, doc[i:j][same], odds[k[same]])
+    return out
+
+
+# ---------------------------------------------------------------- blocks
+
+BLOCK_KINDS = ("<i8", "<i4", "i1", "<f8", "u1", "<u4", "u1", "u1", "u1")
+
+
+def write_blocks(docs: DataFrame, folder: str, shards: int, names: list[str]) -> DataFrame:
+    """docs(doc_id, text, lang, fold) into block files, with the documents' ids, folds, word odds, languages and words; a table of
     (block, shard, asks), to be read once: the block's distinct pairs and how often its training documents hold each."""
 
     def run(frames):
@@ -118,14 +213,15 @@ def write_blocks(docs: DataFrame, folder: str, shards: int) -> DataFrame:
         def close():
             ids, folds = np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])
             langs = [x for h in held for x in h[2]]
-            words, counts = np.concatenate([h[3] for h in held]), np.concatenate([h[4] for h in held])
+            hashes, counts = np.concatenate([h[3] for h in held]), np.concatenate([h[4] for h in held])
             at = np.concatenate([[0], np.cumsum(counts)])
-            names = np.frombuffer("\n".join("" if x is None else "=" + x for x in langs).encode(), np.uint8)
-            body = pack(ids.astype("<i8"), counts.astype("<i4"), folds.astype("i1"), names, *fold_words(words))
+            odds, words = word_odds(hashes, at, folder, names), word_numbers(hashes)
+            tags = np.frombuffer("\n".join("" if x is None else "=" + x for x in langs).encode(), np.uint8)
+            body = pack(ids.astype("<i8"), counts.astype("<i4"), folds.astype("i1"), odds, tags, *fold_words(words))
             block = hashlib.sha256(body).hexdigest()[:24]
             put_file(folder, block, body)
             unique, number, doc, times = pair_table(pairs(words, at), counts)
-            learned = np.bincount(number, (folds[doc] == 1) * times, len(unique)).astype("<u4") if len(unique) else np.zeros(0, "<u4")
+            learned = np.bincount(number, (folds[doc] == TRUSTED) * times, len(unique)).astype("<u4") if len(unique) else np.zeros(0, "<u4")
             cuts = shard_cuts(unique, shards)
             some = [s for s in range(shards) if s == 0 or cuts[s] < cuts[s + 1]]  # at least one row names the block
             asks = []
@@ -137,7 +233,7 @@ def write_blocks(docs: DataFrame, folder: str, shards: int) -> DataFrame:
 
         for frame in batches_of(frames, BLOCK_BYTES // 8):
             body, offsets = text_bytes(frame.column(1))
-            words, at = text_words(body, offsets)
+            words, at = word_hashes(body, offsets)
             held.append((frame.column(0).to_numpy(zero_copy_only=False), frame.column(3).to_numpy(zero_copy_only=False), frame.column(2).to_pylist(), words, np.diff(at)))
             size, docs_held = size + len(body), docs_held + frame.num_rows
             if size >= BLOCK_BYTES or docs_held >= 1 << 20:
@@ -231,57 +327,113 @@ def lower_orders(counted: DataFrame) -> tuple:
 
 
 def score_blocks(counted: DataFrame, folder: str, tables: tuple) -> DataFrame:
-    """Per document: doc_id, lang, fold, n_words, log_prob (natural), from each block's file and the counts it asked for."""
+    """Per document: doc_id, lang, fold, n_words, log_prob (natural), repeats (the share of words whose pair stood before in
+    the document) and odds, from each block's file and the counts it asked for."""
     shared = counted.sparkSession.sparkContext.broadcast(tables)  # of fixed size: 3 * 8 * 2 ** VOCAB_BITS bytes
 
     def gather(part: pd.DataFrame) -> pd.DataFrame:
         total, weight, single, d2 = shared.value
-        ids, n, folds, langs, *folded = unpack(get_file(folder, part["block"].iloc[0]), *BLOCK_KINDS)
+        ids, n, folds, odds, langs, *folded = unpack(get_file(folder, part["block"].iloc[0]), *BLOCK_KINDS)
         keys, number, doc, times = pair_table(pairs(unfold_words(*folded), np.concatenate([[0], np.cumsum(n)])), n)
         counts = np.concatenate([unpack(raw, "<u4")[0] for raw in part.sort_values("shard")["answer"]]).astype(np.int64)
         pair = restore(keys)
         before, word = (pair >> np.uint64(VOCAB_BITS)).astype(np.int64), (pair & np.uint64((1 << VOCAB_BITS) - 1)).astype(np.int64)
         p = weight[before] * single[word] + np.where(counts > 0, (counts - discount(counts, d2)) / np.maximum(total[before], 1), 0.0)
         logs = np.bincount(doc, np.log(p)[number] * times, len(ids)) if len(doc) else np.zeros(len(ids))
+        repeats = 1 - np.bincount(doc, minlength=len(ids)) / np.maximum(n, 1)
         names = [x[1:] if x else None for x in langs.tobytes().decode().split("\n")]
         release_memory()
-        return pd.DataFrame({"doc_id": pd.array([None if i == NULL_ID else i for i in ids.tolist()], "Int64"), "lang": names, "fold": folds.astype("int32"), "n_words": n.astype("int64"), "log_prob": logs})
+        return pd.DataFrame({"doc_id": pd.array([None if i == NULL_ID else i for i in ids.tolist()], "Int64"), "lang": names, "fold": folds.astype("int32"), "n_words": n.astype("int64"), "log_prob": logs, "repeats": repeats, "odds": odds})
 
     # answers are small, the blocks behind them aren't: a fixed number of partitions keeps them from being put together
     answers = counted.where(F.col("block").isNotNull()).select("block", "shard", "answer").repartition(parallelism(counted.sparkSession), "block")
-    return materialize(answers.groupBy("block").applyInPandas(gather, "doc_id long, lang string, fold int, n_words long, log_prob double"), "scored")
+    return materialize(answers.groupBy("block").applyInPandas(gather, "doc_id long, lang string, fold int, n_words long, log_prob double, repeats double, odds double"), "scored")
+
+
+def fit_limits(held: DataFrame, measures: list[str]) -> list[float]:
+    """A limit of each measure, of its quantiles LEVELS over held-out trusted text: those that together keep most of the
+    held-out trusted documents less the mean share kept of the held-out kinds of rejected ones. The driver gets one row
+    for each kind and combination of quantiles passed."""
+    quantiles = held.where(F.col("fold") == TRUSTED_HELD).agg(*[F.percentile_approx(m, list(LEVELS), 10_000).alias(m) for m in measures]).first()
+    passed = [sum((F.col(m) > x).cast("int") for x in quantiles[m]).alias(m) for m in measures]
+    rows = held.select("fold", *passed).groupBy("fold", *measures).agg(F.count(F.lit(1)).alias("n")).collect()
+    number = {f: np.zeros([len(LEVELS) + 1] * len(measures)) for f in {r["fold"] for r in rows}}
+    for r in rows:
+        number[r["fold"]][tuple(r[m] for m in measures)] += r["n"]
+    kept = {}
+    for f, x in number.items():
+        for axis in range(len(measures)):
+            x = x.cumsum(axis)
+        kept[f] = x / x.flat[-1]
+    rejected = [x for f, x in kept.items() if f != TRUSTED_HELD]
+    if not rejected:
+        best = [LEVELS.index(QUANTILE)] + [len(LEVELS) - 1] * (len(measures) - 1)
+    else:
+        gain = kept[TRUSTED_HELD] - sum(rejected) / len(rejected)
+        best = max(itertools.product(range(len(LEVELS)), repeat=len(measures)), key=lambda k: (gain[k], k))
+    return [quantiles[m][k] for m, k in zip(measures, best, strict=True)]
+
+
+def judge(scored: DataFrame) -> DataFrame:
+    """Threshold and verdict of scored documents, from the held-out ones among them."""
+    scored = scored.withColumn("perplexity", F.when(F.col("n_words") > 0, F.exp(-F.col("log_prob") / F.col("n_words"))))
+    short = 1 / F.sqrt(F.greatest(F.col("n_words"), F.lit(1)))  # a mean over n words scatters so
+    held = scored.where(F.col("fold").isin(TRUSTED_HELD, JUNK_HELD, TOXIC_HELD) & F.col("perplexity").isNotNull())
+    trusted = held.where(F.col("fold") == TRUSTED_HELD)
+    middle = F.percentile_approx(F.log("perplexity"), 0.5, 10_000).alias("own")
+    overall = trusted.agg(middle).first()["own"]
+    if overall is None:
+        return scored.withColumns({"threshold": F.lit(float("inf")), "kept": F.col("perplexity").isNotNull()})
+    by_lang = trusted.groupBy(F.col("lang").alias("_lang")).agg(middle, F.count(F.lit(1)).alias("n")).where(F.col("n") >= LEAST_HELD).drop("n")
+    by_lang = F.broadcast(materialize(by_lang, "medians", 1))
+
+    def centred(df: DataFrame) -> DataFrame:
+        return df.join(by_lang, F.col("lang").eqNullSafe(F.col("_lang")), "left").withColumns({"middle": F.coalesce("own", F.lit(overall)), "short": short})
+
+    off = F.abs(F.log("perplexity") - F.col("middle"))
+    fit = centred(trusted).agg(F.regr_slope(off, F.col("short")).alias("slope"), F.regr_intercept(off, F.col("short")).alias("level"), F.avg(off).alias("mean")).first()
+    slope, level = (fit["slope"], fit["level"]) if fit["slope"] is not None and fit["slope"] > 0 and fit["level"] > 0 else (0.0, fit["mean"] or 1.0)
+    width = F.lit(slope) * F.col("short") + F.lit(level)
+    far = (F.log("perplexity") - F.col("middle")) / width
+    limit, most_odds, most_repeats = fit_limits(centred(held).select("fold", far.alias("far"), "odds", "repeats"), ["far", "odds", "repeats"])
+    threshold = F.when((F.col("odds") > most_odds) | (F.col("repeats") > most_repeats), 0.0).otherwise(F.exp(F.col("middle") + F.lit(limit) * width) * (1 + 1e-9))
+    return centred(scored).withColumn("threshold", threshold).withColumn("kept", F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(False)))
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Per row of docs(doc_id, text, lang): doc_id, lang, n_words, perplexity, threshold, kept.
 
-    Trusted are documents labelled quality 1 and toxic 0; eight in ten (by a hash of the id) train the pair model, two
-    give the thresholds: MARGIN times the QUANTILE of their perplexity in each language, or over all languages where a
-    language (null is one) has fewer than LEAST_HELD of them, or none at all; a short text's threshold is wider, by
-    SHORT. A document is kept if its perplexity is not above. Counts are over all training text, perplexities over all words of every document.
-
-    Null text or no word: perplexity null, not kept; without any trusted text (or labels) all others are kept. Ids
-    labelled twice: trusted if every label says so. Repeated rows are scored each. An empty table gives no rows;
-    further columns are not read.
+    Trusted are documents labelled quality 1 and toxic 0, rejected those of quality 0 or toxic 1; eight in ten of both (by
+    a hash of the id) are counted, two give the limits. Three measures are limited: the log of the perplexity under the
+    trusted pair model, as its distance from the median of the held-out trusted text of its language (of all languages
+    where a language, null is one, has fewer than LEAST_HELD of them), in units of the distances usual at its length; the
+    largest log odds of a word for rejected text; and the share of repeated pairs. fit_limits sets the limits. A document
+    is kept if its perplexity is not above its threshold, which is 0 where one of the other two limits is passed. Counts
+    are over all labelled text, perplexities over all words of every document.
+
+    Null text or no word: perplexity null, not kept; without any held-out trusted text (or labels) all others are kept.
+    Ids labelled twice: trusted if every label says so, else toxic if one does. Repeated rows are scored each. An empty
+    table gives no rows; further columns are not read.
     """
     find_package(docs.sparkSession)
     spark = docs.sparkSession
-    trusted = labels.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("_id")).agg(F.min((F.col("quality") == 1) & (F.col("toxic") == 0)).alias("ok")).where("ok")
-    fold = F.when(F.pmod(F.xxhash64("_id"), F.lit(10)) < HELD_OUT, 2).otherwise(1)
-    trusted = materialize(trusted.select("_id", fold.alias("fold")), "trusted")
-    side = F.broadcast(trusted) if trusted.count() <= BROADCAST_IDS else trusted
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang").join(side, F.col("doc_id") == F.col("_id"), "left")
+    ok, toxic, junk = (F.col("quality") == 1) & (F.col("toxic") == 0), F.col("toxic") == 1, F.col("quality") == 0
+    labelled = labels.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("_id")).agg(F.min(ok).alias("ok"), F.max(toxic).alias("toxic"), F.max(junk).alias("junk"))
+    kind = F.when(F.col("ok"), TRUSTED).when(F.col("toxic"), TOXIC).when(F.col("junk"), JUNK)
+    fold = kind + F.when(F.pmod(F.xxhash64("_id"), F.lit(10)) < HELD_OUT, 1).otherwise(0)
+    labelled = materialize(labelled.select("_id", fold.alias("fold")).where("fold IS NOT NULL"), "labelled")
+    few = labelled.count() <= BROADCAST_IDS
     folder, shards = new_folder(spark, "classifier"), parallelism(spark)
-    counted = count_shards(write_blocks(d.select("doc_id", "text", "lang", "fold"), folder, shards))
-    scored = score_blocks(counted, folder, lower_orders(counted))
-    scored = scored.withColumn("perplexity", F.when(F.col("n_words") > 0, F.exp(-F.col("log_prob") / F.col("n_words"))))
-    held = scored.where((F.col("fold") == 2) & F.col("perplexity").isNotNull())
-    level = (F.percentile_approx("perplexity", QUANTILE, 10_000) * MARGIN).alias("own")
-    overall = held.agg(level).first()["own"]
-    by_lang = held.groupBy(F.col("lang").alias("_lang")).agg(level, F.count(F.lit(1)).alias("n")).where(F.col("n") >= LEAST_HELD).drop("n")
-    threshold = F.coalesce("own", F.lit(overall).cast("double"), F.lit(float("inf"))) * F.exp(SHORT / F.sqrt(F.greatest(F.col("n_words"), F.lit(1))))
-    out = scored.join(by_lang, F.col("lang").eqNullSafe(F.col("_lang")), "left").withColumn("threshold", threshold)
-    return out.select("doc_id", "lang", "n_words", "perplexity", "threshold", F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(False)).alias("kept"))
+
+    def labelled_docs(labelled: DataFrame, how: str) -> DataFrame:
+        d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
+        return d.join(F.broadcast(labelled) if few else labelled, F.col("doc_id") == F.col("_id"), how)
+
+    counted_docs = labelled_docs(labelled.where(F.col("fold").isin(TRUSTED, JUNK, TOXIC)), "inner")
+    names = rejected_words(counted_docs.select("text", "fold"), folder, shards)
+    counted = count_shards(write_blocks(labelled_docs(labelled, "left").select("doc_id", "text", "lang", "fold"), folder, shards, names))
+    judged = judge(score_blocks(counted, folder, lower_orders(counted)))
+    return judged.select("doc_id", "lang", "n_words", "perplexity", "threshold", "kept")
 
 
 def op5_quality_classifier(spark, sf_dir: str) -> DataFrame:
