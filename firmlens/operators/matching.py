@@ -21,9 +21,11 @@ def tag_texts(rows: DataFrame, taxonomy: DataFrame, *, key: str, text: str) -> D
     """(key, category, tag) for each tag of taxonomy(category, tag, keyword) one of whose keywords the text holds.
 
     Keywords count as substrings of the normalized text. The taxonomy is a small parameter, so it becomes one array
-    column and the rows aren't multiplied by it before they match.
+    column and the rows aren't multiplied by it before they match; one above SMALL_TABLE keywords is an error.
     """
-    words = [(r["category"], r["tag"], r["keyword"]) for r in taxonomy.select("category", "tag", match_text(F.col("keyword")).alias("keyword")).limit(SMALL_TABLE).collect()]
+    words = [(r["category"], r["tag"], r["keyword"]) for r in taxonomy.select("category", "tag", match_text(F.col("keyword")).alias("keyword")).limit(SMALL_TABLE + 1).collect()]
+    if len(words) > SMALL_TABLE:
+        raise ValueError(f"a taxonomy of more than {SMALL_TABLE} keywords")
     tags: dict[tuple[str, str], list[str]] = {}
     for category, tag, keyword in words:
         tags.setdefault((category, tag), []).append(keyword)

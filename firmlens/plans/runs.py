@@ -16,7 +16,7 @@ def csv_scan(spark, sf_dir):
     """Customers as a semicolon list, read back with profile names and defaults."""
     path = shared_folder(spark, "csv")
     c = read(spark, sf_dir, "customer").select(F.col("c_name").alias("company"), F.concat(F.lit("http://c"), F.col("c_custkey").cast("string"), F.lit(".example.com")).alias("Website"), F.col("c_mktsegment").alias("Industry"))
-    c.coalesce(1).write.option("header", True).option("sep", ";").csv(path)
+    c.write.option("header", True).option("sep", ";").csv(path)
     t = delimited.apply_profile(delimited.read_delimited(spark, path), "default", {"Description": ""})
     return t.select("CompanyName", urls.host(F.col("GivenURL")).alias("host"), "Industry", "Description")
 
