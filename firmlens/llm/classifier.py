@@ -395,7 +395,12 @@ def judge(scored: DataFrame) -> DataFrame:
     slope, level = (fit["slope"], fit["level"]) if fit["slope"] is not None and fit["slope"] > 0 and fit["level"] > 0 else (0.0, fit["mean"] or 1.0)
     width = F.lit(slope) * F.col("short") + F.lit(level)
     far = (F.log("perplexity") - F.col("middle")) / width
-    limit, most_odds, most_repeats = fit_limits(centred(held).select("fold", far.alias("far"), "odds", "repeats"), ["far", "odds", "repeats"])
+    measures = ["far", "odds", "repeats"]
+    if trusted.count() < LEAST_HELD:  # too few to fit: nothing trusted, counted or held out, is dropped
+        known = centred(scored.where(F.col("fold").isin(TRUSTED, TRUSTED_HELD) & F.col("perplexity").isNotNull()))
+        limit, most_odds, most_repeats = known.select(far.alias("far"), "odds", "repeats").agg(*[F.max(m) for m in measures]).first()
+    else:
+        limit, most_odds, most_repeats = fit_limits(centred(held).select("fold", far.alias("far"), "odds", "repeats"), measures)
     threshold = F.when((F.col("odds") > most_odds) | (F.col("repeats") > most_repeats), 0.0).otherwise(F.exp(F.col("middle") + F.lit(limit) * width) * (1 + 1e-9))
     return centred(scored).withColumn("threshold", threshold).withColumn("kept", F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(False)))
 
@@ -407,7 +412,8 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     a hash of the id) are counted, two give the limits. Three measures are limited: the log of the perplexity under the
     trusted pair model, as its distance from the median of the held-out trusted text of its language (of all languages
     where a language, null is one, has fewer than LEAST_HELD of them), in units of the distances usual at its length; the
-    largest log odds of a word for rejected text; and the share of repeated pairs. fit_limits sets the limits. A document
+    largest log odds of a word for rejected text; and the share of repeated pairs. fit_limits sets the limits, or
+    the largest of all trusted documents where fewer than LEAST_HELD are held out. A document
     is kept if its perplexity is not above its threshold, which is 0 where one of the other two limits is passed. Counts
     are over all labelled text, perplexities over all words of every document.
 
