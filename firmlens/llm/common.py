@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import ctypes
 import sys
 import tempfile
 import uuid
+from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
@@ -43,14 +46,26 @@ def shared_dir(spark: SparkSession) -> str:
     return path if "://" in path or path.startswith("file:") else f"file://{path}"
 
 
-#: Folders that this process has named, oldest first.
-FOLDERS: list[str] = []
+#: Folders named so far, oldest first: those of the innermost scratch(), else of the process.
+_FOLDERS: contextvars.ContextVar[list[str]] = contextvars.ContextVar("folders", default=[])  # noqa: B039
+
+
+@contextlib.contextmanager
+def scratch() -> Iterator[list[str]]:
+    """The folders that are named inside of the block, in this thread."""
+    folders: list[str] = []
+    token = _FOLDERS.set(folders)
+    try:
+        yield folders
+    finally:
+        _FOLDERS.reset(token)
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder name below the shared folder."""
-    FOLDERS.append(f"{shared_dir(spark)}/firmlens/{name}-{uuid.uuid4().hex[:12]}")
-    return FOLDERS[-1]
+    folder = f"{shared_dir(spark)}/firmlens/{name}-{uuid.uuid4().hex[:12]}"
+    _FOLDERS.get().append(folder)
+    return folder
 
 
 def materialize(df: DataFrame, name: str, parts: int | None = None) -> DataFrame:
@@ -63,12 +78,12 @@ def materialize(df: DataFrame, name: str, parts: int | None = None) -> DataFrame
 
 
 def release(spark: SparkSession, folders: list[str] | None = None) -> None:
-    """Delete folders (all that this process has named, if not given). Call when no result made of them is read any more."""
-    for folder in list(FOLDERS if folders is None else folders):
+    """Delete folders (all named outside of scratch(), if not given). Call when no result made of them is read any more."""
+    named = _FOLDERS.get() if folders is None else folders
+    for folder in list(named):
         path = spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-        if folder in FOLDERS:
-            FOLDERS.remove(folder)
+        named.remove(folder)
 
 
 def open_store(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -175,6 +190,21 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return body[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+#: What a worker process keeps between tasks of one kind, as things to clear; and the kind of its last task.
+CACHES: list = [_POWERS]
+_LAST = ""
+
+
+def enter(kind: str) -> None:
+    """Called where a task begins: caches of another kind of task go, for a worker process lives through all of them."""
+    global _LAST
+    if kind != _LAST:
+        for cache in CACHES:
+            cache.clear()
+        _LAST = kind
+        release_memory()
+
+
 def release_memory() -> None:
     """Give freed memory back to the system after a large group; worker processes live on between tasks."""
     pa.default_memory_pool().release_unused()
