@@ -11,17 +11,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firmlens.llm.common import MIX1, MIX2, PRIME, batches_of, find_package, materialize, mix, parallelism, powers, release_memory, text_bytes, word_hashes
+from firmlens.llm.common import MIX1, MIX2, PRIME, batches_of, enter, find_package, materialize, mix, parallelism, powers, release_memory, text_bytes, word_hashes
 
-#: Words of a shingle, and the Jaccard similarity of shingle sets from which two texts are near duplicates.
+#: Words of a shingle, and the weighted Jaccard similarity of two texts' shingles from which they are near duplicates.
 SHINGLE, SIMILARITY = 5, 0.8
 #: A pair at 0.8 shares none of the bands with probability (1 - 0.8 ** 6) ** 32 = 6e-5.
 BANDS, ROWS = 32, 6
 COORDS = BANDS * ROWS
-#: Candidates of another component that a document sends to exact verification: the most similar ones by 32-bit hashes.
-BEST = 2
-#: Rows of a block when a large bucket is compared in blocks, and ids that may be broadcast (8 bytes each).
-BLOCK, BROADCAST_IDS = 4096, 400_000
+#: Rows, and bytes of shingles, of a slice of a bucket that is compared inside; ids that may be broadcast (8 bytes each).
+SLICE, SLICE_BYTES, BROADCAST_IDS = 256, 4 << 20, 400_000
 
 
 # ---------------------------------------------------------------- shingles
@@ -67,8 +65,7 @@ def dart_minhash(elements: np.ndarray, weights: np.ndarray | None, starts: np.nd
     size = np.diff(starts)
     mass = size.astype(np.float64)
     if weights is not None:
-        mass = np.zeros(n)
-        np.add.at(mass, np.repeat(np.arange(n), size), weights)
+        mass = np.bincount(np.repeat(np.arange(n), size), weights, n)
     todo = np.flatnonzero(mass > 0)
     darts = coords * (math.log(coords) + 2)
     while len(todo):
@@ -102,7 +99,7 @@ def dart_minhash(elements: np.ndarray, weights: np.ndarray | None, starts: np.nd
 
 
 def counted(hashes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct elements of each set with their numbers of occurrences."""
+    """Distinct elements of each set, in order, with their numbers of occurrences."""
     own = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
     order = np.lexsort((hashes, own))
     h, o = hashes[order], own[order]
@@ -110,32 +107,44 @@ def counted(hashes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndar
     return h[new], np.diff(np.append(new, len(h))).astype(np.float64), np.searchsorted(o[new], np.arange(len(starts)))
 
 
+def bags(body: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+    """Of each text its shingles as sorted 64-bit hashes, the second and later sightings of one as elements of their own:
+    the Jaccard similarity of two such sets is the weighted one by numbers of occurrences."""
+    hashes, weights, starts = counted(*shingles(body, offsets))
+    times = weights.astype(np.int64)
+    nth = np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times)
+    elements, own = np.repeat(hashes, times), np.repeat(np.repeat(np.arange(len(starts) - 1), np.diff(starts)), times)
+    again = nth > 0
+    elements[again] = mix(elements[again] + nth[again].astype(np.uint64) * MIX1)
+    cuts = np.searchsorted(own, np.arange(len(starts)))
+    return [np.sort(elements[i:j]) for i, j in zip(cuts, cuts[1:])]
+
+
 # ---------------------------------------------------------------- tables
 
-def signatures(docs: DataFrame, weighted: bool = False) -> DataFrame:
-    """docs(doc_id, text) to a written table doc_id, text_key (128 bits of the whole text), bands (keys; none where the
-    text has no word)."""
+def signatures(docs: DataFrame) -> DataFrame:
+    """docs(doc_id, text, tie) to a written table doc_id, tie, text_key (128 bits of the whole text), bands (keys; none
+    where the text has no word). Darts fall by the shingles' numbers of occurrences."""
 
     def run(frames):
+        enter("near")
         mults = powers(PRIME, ROWS + 1)[1:]
         for frame in batches_of(frames, 2 << 20):
             body, offsets = text_bytes(frame.column(1))
             view = body.tobytes()
             keys = [hashlib.blake2b(view[a:b], digest_size=16).digest() for a, b in zip(offsets, offsets[1:])]
-            hashes, starts = shingles(body, offsets)
-            weights = None
-            if weighted:
-                hashes, weights, starts = counted(hashes, starts)
+            hashes, weights, starts = counted(*shingles(body, offsets))
             sig = dart_minhash(hashes, weights, starts)
             some = np.diff(starts) > 0
             bands = (sig.reshape(-1, BANDS, ROWS) * mults).sum(axis=2) + np.arange(1, BANDS + 1, dtype=np.uint64) * MIX1
             bands = mix(bands.reshape(-1)).view(np.int64).reshape(-1, BANDS)
             yield pa.RecordBatch.from_arrays([
-                frame.column(0), pa.array(keys, pa.binary()),
+                frame.column(0), frame.column(2), pa.array(keys, pa.binary()),
                 pa.array([b if s else [] for b, s in zip(bands, some, strict=True)], pa.list_(pa.int64())),
-            ], names=["doc_id", "text_key", "bands"])
+            ], names=["doc_id", "tie", "text_key", "bands"])
+        release_memory()
 
-    return materialize(docs.mapInArrow(run, "doc_id long, text_key binary, bands array<long>"), "signatures")
+    return materialize(docs.mapInArrow(run, "doc_id long, tie long, text_key binary, bands array<long>"), "signatures")
 
 
 def jaccard(a: np.ndarray, b: np.ndarray) -> float:
@@ -144,11 +153,15 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return both / max(len(a) + len(b) - both, 1)
 
 
+def hinted(ids: DataFrame) -> DataFrame:
+    """With a broadcast hint where a count shows at most BROADCAST_IDS rows."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
 def only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """doc_id and text of the rows whose id is in ids(_id). If there are few ids (counted, at most BROADCAST_IDS), the
-    other rows are left out before the shuffle."""
-    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    return docs.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("_id"), "left_semi")
+    """node and text of the rows whose node is in ids(_id), one row a node. If there are few ids, the other rows are left
+    out before the shuffle."""
+    return docs.select("node", "text").join(hinted(ids), F.col("node") == F.col("_id"), "left_semi").dropDuplicates(["node"])
 
 
 def verify(pairs: DataFrame, docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
@@ -157,18 +170,17 @@ def verify(pairs: DataFrame, docs: DataFrame, threshold: float = SIMILARITY) ->
     Both texts come by plain joins; a document in many pairs is a skewed side that adaptive execution splits.
     """
     ids = materialize(pairs.select(F.col("a").alias("_id")).union(pairs.select(F.col("b").alias("_id"))).distinct(), "ids")
-    texts = materialize(only(docs, ids).dropDuplicates(["doc_id"]), "texts")
-    joined = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a")
-    joined = joined.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", F.col("tb").alias("text"))
+    texts = materialize(only(docs, ids), "texts")
+    joined = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
+    joined = joined.join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", F.col("tb").alias("text"))
 
     def run(frames):
+        enter("near")
         for frame in batches_of(frames, 2 << 20):
-            sets = []
-            for column in (2, 3):
-                hashes, starts = shingles(*text_bytes(frame.column(column)))
-                sets.append([np.unique(hashes[x:y]) for x, y in zip(starts, starts[1:])])
-            linked = [jaccard(x, y) >= threshold for x, y in zip(*sets, strict=True)]
+            left, right = (bags(*text_bytes(frame.column(c))) for c in (2, 3))
+            linked = [jaccard(x, y) >= threshold for x, y in zip(left, right, strict=True)]
             yield pa.RecordBatch.from_arrays([frame.column(0), frame.column(1), pa.array(linked, pa.bool_())], names=["a", "b", "linked"])
+        release_memory()
 
     return materialize(joined.mapInArrow(run, "a long, b long, linked boolean"), "verified")
 
@@ -200,121 +212,153 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
-    """docs(doc_id, text) as doc_id and its distinct shingles: sorted 32-bit hashes."""
+    """docs(node, text) as node, n_bytes and its bag of shingles."""
 
     def run(frames):
+        enter("near")
         for frame in batches_of(frames, 2 << 20):
-            hashes, starts = shingles(*text_bytes(frame.column(1)))
-            small = (hashes >> np.uint64(32)).astype("<u4")
-            yield pa.RecordBatch.from_arrays([frame.column(0), pa.array([np.unique(small[a:b]).tobytes() for a, b in zip(starts, starts[1:])], pa.binary())], names=["doc_id", "shingles"])
+            sets = [x.tobytes() for x in bags(*text_bytes(frame.column(1)))]
+            yield pa.RecordBatch.from_arrays([frame.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array(sets, pa.binary())], names=["node", "n_bytes", "shingles"])
+        release_memory()
 
-    return docs.mapInArrow(run, "doc_id long, shingles binary")
+    return docs.mapInArrow(run, "node long, n_bytes long, shingles binary")
 
 
-def cross_candidates(members: DataFrame, labels: DataFrame, docs: DataFrame) -> DataFrame:
-    """Pairs of different components that share a bucket and reach the similarity by 32-bit hashes: a written table (a, b).
+def links_of_slice(node: np.ndarray, label: np.ndarray, sets: list[np.ndarray], asking: np.ndarray) -> list[tuple[int, int]]:
+    """Links of the asking documents to documents of other labels, one (to the least node) for each label.
 
-    Only buckets with several components count. There each document outside the bucket's largest component is compared
-    with all of other components, and its BEST most similar of each are kept: one link is enough to join two components.
-    Large buckets are compared in pairs of blocks of about BLOCK rows, so no task holds a large bucket.
+    All elements are sorted once; an asking document's elements then find the documents that hold them, and counting
+    those gives the exact similarity to all at once.
+    """
+    size = np.array([len(s) for s in sets])
+    doc = np.repeat(np.arange(len(sets)), size)
+    flat = np.concatenate(sets)
+    order = np.argsort(flat, kind="stable")
+    flat, doc = flat[order], doc[order]
+    out = []
+    for i in np.flatnonzero(asking & (size > 0)):
+        low, high = np.searchsorted(flat, sets[i]), np.searchsorted(flat, sets[i], side="right")
+        n = high - low
+        where = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        both = np.bincount(doc[where], minlength=len(sets))
+        near = np.flatnonzero((both / np.maximum(size + size[i] - both, 1) >= SIMILARITY) & ~asking & (label != label[i]))
+        near = near[np.argsort(node[near], kind="stable")]
+        for k in near[np.unique(label[near], return_index=True)[1]]:
+            out.append((min(node[i], node[k]), max(node[i], node[k])))
+    return out
+
+
+def cross_links(members: DataFrame, labels: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links between documents of different components that share a bucket: a written table (a, b).
+
+    Only buckets with several components count. There each document outside of the bucket's largest component asks all
+    documents of other components; its exact similarity to them (by 64-bit hashes) decides, and one link to each
+    component is kept, for one joins the two. So what is sent grows with the number of such documents, not with the
+    square of the bucket. Askers and asked are dealt in slices of about SLICE rows or SLICE_BYTES, so that no task holds
+    a large bucket. A bucket of n documents in about n components still costs n * n / SLICE rows.
     """
     labels = labels.select(F.col("node").alias("_node"), "label")
     m = members.select("key", "node").join(labels, F.col("node") == F.col("_node"), "left").select("key", "node", F.coalesce("label", "node").alias("label"))
     m = materialize(m, "bucket-labels")
-    mixed = m.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n")).where("low <> high").select(F.col("key").alias("_key"), "n")
+    per = m.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count(F.lit(1)).alias("labels"))
+    mixed = per.where("labels > 1").select(F.col("key").alias("_key"), "main")
     m = materialize(m.join(mixed, F.col("key") == F.col("_key")).drop("_key"), "mixed")
+    if not m.head(1):
+        return m.select(F.col("node").alias("a"), F.col("node").alias("b"))
     ids = materialize(m.select(F.col("node").alias("_id")).distinct(), "mixed-ids")
-    sets = shingle_sets(only(docs, ids).dropDuplicates(["doc_id"])).select(F.col("doc_id").alias("_node"), "shingles")
-    blocks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
-    m = m.join(sets, F.col("node") == F.col("_node")).drop("_node").withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
-    m = m.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    m = m.withColumns({"x": F.least("own", "other"), "y": F.greatest("own", "other")})
-
-    def compare(node, label, sets, mine, theirs, main, out) -> None:
-        size = np.array([len(s) for s in sets])
-        flat = np.concatenate(sets)
-        at = np.cumsum(size) - size
-        for i in np.flatnonzero(mine & (label != main)) if main is not None else np.flatnonzero(mine):
-            if not size[i]:
-                continue
-            place = np.minimum(np.searchsorted(sets[i], flat), size[i] - 1)
-            common = np.add.reduceat((sets[i][place] == flat).astype(np.int32), at)
-            like = common / np.maximum(size + size[i] - common, 1)
-            other = np.flatnonzero(theirs & (label != label[i]) & (size > 0) & (like >= SIMILARITY - 0.01))
-            seen: dict[int, int] = {}
-            for k in other[np.argsort(-like[other], kind="stable")]:
-                c = int(label[k])
-                seen[c] = seen.get(c, 0) + 1
-                if seen[c] <= BEST:
-                    out.append((min(node[i], node[k]), max(node[i], node[k])))
+    sets = materialize(shingle_sets(only(docs, ids)), "mixed-sets")
+    m = m.join(sets.select(F.col("node").alias("_node"), "n_bytes"), F.col("node") == F.col("_node")).drop("_node")
+    slices = lambda n, b: F.greatest(F.ceil(n / F.lit(SLICE)), F.ceil(b / F.lit(SLICE_BYTES))).cast("long")
+    asks = F.col("label") != F.col("main")
+    sizes = m.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum("n_bytes").alias("b"), F.count_if(asks).alias("q"), F.sum(F.when(asks, F.col("n_bytes"))).alias("qb"))
+    sizes = materialize(sizes.select(F.col("key").alias("_key"), slices(F.col("n"), F.col("b")).alias("others"), slices(F.col("q"), F.col("qb")).alias("askers")), "mixed-sizes")
+    m = m.join(sizes, F.col("key") == F.col("_key")).drop("_key", "n_bytes")
+    own = lambda n: F.pmod(F.xxhash64("node"), n)
+    every = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
+    asked = m.select("key", "node", "label", F.lit(False).alias("asking"), F.explode(every(F.col("askers"))).alias("x"), own(F.col("others")).alias("y"))
+    asking = m.where(asks).select("key", "node", "label", F.lit(True).alias("asking"), own(F.col("askers")).alias("x"), F.explode(every(F.col("others"))).alias("y"))
+    m = asked.unionByName(asking).join(sets.select(F.col("node").alias("_node"), "shingles"), F.col("node") == F.col("_node")).drop("_node")
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values(["key", "x", "y"])
-        node, label, key, x, y, own = (part[c].to_numpy() for c in ("node", "label", "key", "x", "y", "own"))
-        sets = [np.frombuffer(s, "<u4") for s in part["shingles"]]
+        enter("near")
+        part = part.sort_values(["key", "x", "y", "node"])
+        node, label, key, x, y, asking = (part[c].to_numpy() for c in ("node", "label", "key", "x", "y", "asking"))
+        sets = [np.frombuffer(s, "<u8") for s in part["shingles"]]
         first = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1])]))
         out: list = []
         for a, b in zip(first, np.append(first[1:], len(part)), strict=True):
-            if x[a] == y[a]:
-                names, counts = np.unique(label[a:b], return_counts=True)
-                if len(names) < 2:
-                    continue
-                mine = theirs = np.ones(b - a, bool)
-                main = names[counts.argmax()]
-            else:  # in a pair of blocks either side may hold the odd ones
-                mine, theirs, main = own[a:b] == x[a], own[a:b] == y[a], None
-            compare(node[a:b], label[a:b], sets[a:b], mine, theirs, main, out)
+            if asking[a:b].any():
+                out += links_of_slice(node[a:b], label[a:b], sets[a:b], asking[a:b])
         release_memory()
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64").drop_duplicates()
 
-    groups = F.pmod(F.xxhash64("key", "x", "y"), F.lit(4 * parallelism(members.sparkSession)))  # many buckets to a call
+    groups = F.pmod(F.xxhash64("key", "x", "y"), F.lit(16 * parallelism(members.sparkSession)))  # many slices to a call
     return materialize(m.withColumn("_group", groups).groupBy("_group").applyInPandas(run, "a long, b long").distinct(), "cross")
 
 
-def near_dedup(docs: DataFrame, *, weighted: bool = False) -> DataFrame:
-    """Per row of docs(doc_id, text): doc_id and class_id, the least doc_id of its class of near duplicates.
+def near_dedup(docs: DataFrame) -> DataFrame:
+    """Per row of docs(doc_id, text): doc_id, class_id (the least doc_id of its class of near duplicates), text_hash (xxhash64
+    of the text) and representative (whether the row stands for its class).
 
-    Two different texts are linked if the Jaccard similarity of their sets of 5-word shingles is 0.8 or more; equal
-    texts are copies; a class is a connected component of both. Words are runs of anything but white space.
+    Two different texts are linked if the weighted Jaccard similarity of their 5-word shingles, by numbers of occurrences
+    (sum of the smaller over sum of the larger ones), is 0.8 or more; equal texts are copies; a class is a connected
+    component of both. Words are runs of anything but white space.
 
     1. Copies are found by a 128-bit key of the whole text; one of them stands for all.
-    2. Signatures are cut in bands; each bucket's documents are paired with its least document only (a star, so a
-       bucket of n gives n - 1 pairs), and the pairs verified exactly. Components follow.
-    3. Buckets that still hold several components are compared inside, every document of one with those of the others.
-       A link inside a component changes no class, so it need not be looked at.
-
-    weighted: darts fall by the shingles' numbers of occurrences; links are still by sets. Null or empty text: no
-    shingle, so a copy of other such texts only. Fewer than five words: one shingle of all of them. Null doc_id:
-    smaller than all others. Rows with one doc_id are one document. An empty table gives no rows; further columns are
-    not read.
+    2. Weighted signatures are cut in bands; each bucket's documents are paired with its least document only (a star, so
+       a bucket of n gives n - 1 pairs), and the pairs verified exactly. Components follow.
+    3. Buckets that still hold several components are compared inside: every document outside of the largest one with
+       those of the others. A link inside a component changes no class, so it need not be looked at. Components of these
+       links alone, between the former components, give the classes.
+
+    Null or empty text: no shingle, so a copy of other such texts only. Fewer than five words: one shingle of all of them.
+    Null doc_id: smaller than all others. Rows with one doc_id (null is one) and one text are one document; with
+    different texts they are documents of their own, whose classes may share a class_id. Of equal rows each is a
+    representative if one is. An empty table gives no rows; further columns are not read.
     """
     find_package(docs.sparkSession)
     null_id = -(1 << 63)
     docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(null_id)).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    sigs = signatures(docs, weighted)
-    firsts = sigs.groupBy("text_key").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("text_key").alias("_key"), "node")
-    firsts = materialize(firsts, "firsts")  # on its own, so that the join below can be split where a text has many copies
-    firsts = F.broadcast(firsts) if firsts.count() <= BROADCAST_IDS else firsts
-    copies = materialize(sigs.select("doc_id", "text_key").join(firsts, F.col("text_key") == F.col("_key")).where("doc_id <> node").select("doc_id", "node"), "copies")
-    single = sigs.select("doc_id", "bands").join(copies.select(F.col("doc_id").alias("_id")).distinct(), F.col("doc_id") == F.col("_id"), "left_anti")
-    keyed = single.select(F.col("doc_id").alias("node"), F.explode("bands").alias("key"))
-    leaders = keyed.groupBy("key").agg(F.min("node").alias("leader"), F.max("node").alias("most")).where("leader <> most").select(F.col("key").alias("_key"), "leader")
-    leaders = materialize(leaders, "leaders")
-    leaders = F.broadcast(leaders) if leaders.count() <= BROADCAST_IDS else leaders
-    members = materialize(keyed.join(leaders, F.col("key") == F.col("_key")).select("key", "node", "leader"), "members")
+    docs = docs.withColumn("tie", F.xxhash64("text"))
+    sigs = signatures(docs)
+    # ids with several texts (there are mostly none) get a node for each text
+    several = materialize(sigs.groupBy("doc_id").agg(F.min("tie").alias("low"), F.max("tie").alias("high")).where("low <> high").select(F.col("doc_id").alias("_several")), "several")
+    plain = not several.head(1)
+
+    def with_node(df: DataFrame) -> DataFrame:
+        if plain:
+            return df.withColumn("node", F.col("doc_id"))
+        return df.join(hinted(several), F.col("doc_id") == F.col("_several"), "left").withColumn("node", F.when(F.col("_several").isNull(), F.col("doc_id")).otherwise(F.xxhash64("doc_id", "tie"))).drop("_several")
+
+    docs, keyed = with_node(docs), with_node(sigs) if plain else materialize(with_node(sigs), "nodes")
+    firsts = keyed.groupBy("text_key").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first <> last").select(F.col("text_key").alias("_key"), "first")
+    firsts = hinted(materialize(firsts, "firsts"))  # on its own, so that the join below can be split where a text has many copies
+    copies = materialize(keyed.select("node", "text_key").join(firsts, F.col("text_key") == F.col("_key")).where("node <> first").select(F.col("node").alias("_copy"), "first").distinct(), "copies")
+    gone = hinted(copies.select("_copy"))
+    single = keyed.select("node", "bands").join(gone, F.col("node") == F.col("_copy"), "left_anti")
+    banded = single.select("node", F.explode("bands").alias("key"))
+    leaders = banded.groupBy("key").agg(F.min("node").alias("leader"), F.max("node").alias("most")).where("leader <> most").select(F.col("key").alias("_key"), "leader")
+    leaders = hinted(materialize(leaders, "leaders"))
+    members = materialize(banded.join(leaders, F.col("key") == F.col("_key")).select("key", "node", "leader"), "members")
     pairs = materialize(members.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
-    checked = verify(pairs, docs)
-    links = checked.where("linked").select("a", "b")
-    labels = components(links)
-    pairs = cross_candidates(members, labels, docs)
-    if pairs.head(1):
-        links = links.unionByName(verify(pairs, docs).where("linked").select("a", "b"))
-    # copies follow the document that stands for them; an id with several texts ties their classes together
-    labels = components(links.unionByName(copies.select(F.col("node").alias("a"), F.col("doc_id").alias("b"))))
-    labels = labels.select(F.col("node").alias("_node"), "label")
-    out = sigs.select("doc_id").join(labels, F.col("doc_id") == F.col("_node"), "left").select("doc_id", F.coalesce("label", "doc_id").alias("class_id"))
-    return out.select(*[F.nullif(F.col(c), F.lit(null_id)).alias(c) for c in ("doc_id", "class_id")])
+    labels = components(verify(pairs, docs).where("linked").select("a", "b"))
+    # links found inside of buckets tie components together
+    of = lambda c, name: labels.select(F.col("node").alias(f"_{c}"), F.col("label").alias(name))
+    ties = cross_links(members, labels, docs)
+    ties = ties.join(of("a", "la"), F.col("a") == F.col("_a"), "left").join(of("b", "lb"), F.col("b") == F.col("_b"), "left")
+    upper = components(ties.select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")))
+    upper = upper.select(F.col("node").alias("_low"), F.col("label").alias("high"))
+    out = keyed.select("doc_id", "tie", "node").join(copies, F.col("node") == F.col("_copy"), "left").withColumn("node", F.coalesce("first", "node"))
+    out = out.join(of("n", "label"), F.col("node") == F.col("_n"), "left").withColumn("label", F.coalesce("label", "node"))
+    out = out.join(upper, F.col("label") == F.col("_low"), "left").select("doc_id", "tie", F.coalesce("high", "label").alias("label"))
+    if plain:  # a node is an id, and so is the least of a class
+        out = out.select("doc_id", F.col("label").alias("class_id"), F.col("tie").alias("text_hash"), (F.col("doc_id") == F.col("label")).alias("representative"))
+    else:
+        out = materialize(out, "labelled")
+        least = out.groupBy("label").agg(F.min(F.struct("doc_id", "tie")).alias("least")).select(F.col("label").alias("_label"), "least")
+        out = out.join(least, F.col("label") == F.col("_label")).select("doc_id", F.col("least.doc_id").alias("class_id"), F.col("tie").alias("text_hash"), (F.struct("doc_id", "tie") == F.col("least")).alias("representative"))
+    return out.withColumns({c: F.nullif(F.col(c), F.lit(null_id)) for c in ("doc_id", "class_id")})
 
 
 def op3_near_dedup(spark, sf_dir: str) -> DataFrame:
-    return near_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return near_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "class_id")
