@@ -13,7 +13,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firmlens.llm.common import batches_of, find_package
+from firmlens.llm.common import CACHES, batches_of, enter, find_package
 
 
 def byte_alphabet() -> list[str]:
@@ -32,13 +32,24 @@ class WordBPE:
     """
 
     WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+").findall
+    #: What of a tokenizer file decides how text becomes words, and words ids; other files are refused.
+    KIND = {
+        "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+        "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+        "decoder": None}
+    MODEL = {"type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None, "byte_fallback": None, "ignore_merges": None}
     #: Two generations of distinct words are kept, so many each at most.
-    LIMIT = 300_000
+    LIMIT = 150_000
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
+        others = [k for k, v in self.KIND.items() if spec.get(k) != v] + [f"model.{k}" for k, v in self.MODEL.items() if (model.get(k) or None) != v]
+        if others:
+            raise ValueError(f"{path} isn't a tokenizer of this kind: {', '.join(others)}")
         self.suffix = model["end_of_word_suffix"] or ""
         self.vocab: dict[str, int] = model["vocab"]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
@@ -133,6 +144,7 @@ class WordBPE:
 
 
 _MODELS: dict[str, WordBPE] = {}
+CACHES.append(_MODELS)
 
 
 def model(path: str) -> WordBPE:
@@ -145,11 +157,14 @@ def model(path: str) -> WordBPE:
 def bpe_encode_decode(docs: DataFrame, tokenizer: str) -> DataFrame:
     """docs(doc_id, text) to doc_id, n_tokens, ids (little-endian 32-bit), decoded. One pass, no shuffle.
 
-    Null text: empty, so no tokens. Whole texts of any length; a word is encoded once per worker while it is kept.
+    Null text: empty, so no tokens and the empty string. Whole texts of any length; a word is encoded once per worker
+    while it is kept. Repeated rows and null ids: a row each, as they came. An empty table gives no rows; further columns
+    are not read.
     """
     find_package(docs.sparkSession)
 
     def run(frames):
+        enter("bpe")
         bpe = model(tokenizer)
         for frame in batches_of(frames, 1 << 20):
             got = bpe.encode_batch([t or "" for t in frame.column(1).to_pylist()])
@@ -160,12 +175,13 @@ def bpe_encode_decode(docs: DataFrame, tokenizer: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_tokens long, ids binary, decoded string")
 
 
-def digests(encoded: DataFrame) -> DataFrame:
-    """bpe_encode_decode's rows with SHA-256 digests in place of the ids and the text."""
-    return encoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+def with_digests(encoded: DataFrame) -> DataFrame:
+    """bpe_encode_decode's rows with the SHA-256 digests of the ids and of the text."""
+    return encoded.withColumns({"ids_sha256": F.sha2("ids", 256), "decoded_sha256": F.sha2(F.col("decoded").cast("binary"), 256)})
 
 
 def op10_bpe(spark, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return digests(bpe_encode_decode(spark.read.parquet(f"{sf_dir}/documents.parquet"), public_tokenizers.path("word_bpe_49k.json")))
+    encoded = bpe_encode_decode(spark.read.parquet(f"{sf_dir}/documents.parquet"), public_tokenizers.path("word_bpe_49k.json"))
+    return with_digests(encoded).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firmlens.llm.common import batches_of, find_package, get_file, materialize, new_folder, parallelism, put_file, release_memory, text_bytes, word_hashes
+from firmlens.llm.common import batches_of, enter, find_package, get_file, materialize, new_folder, parallelism, put_file, release_memory, text_bytes, word_hashes
 from firmlens.llm.suffix_dedup import NULL_ID, pack, unpack
 
 #: Words are hashed into 2 ** VOCAB_BITS numbers, so tables over words have a fixed size; number 0 is a text's start.
@@ -141,6 +141,7 @@ def rejected_words(docs: DataFrame, folder: str, shards: int) -> list[str]:
     ends = ((np.arange(1, shards, dtype=object) << 64) // shards).astype(np.uint64)
 
     def run(frames):
+        enter("classifier")
         held, size = [], 0
 
         def close():
@@ -167,6 +168,7 @@ def rejected_words(docs: DataFrame, folder: str, shards: int) -> list[str]:
             yield close()
 
     def add(part: pd.DataFrame) -> pd.DataFrame:
+        enter("classifier")
         got = [unpack(raw, *["u1"] * 8, "<u4", "<u4") for raw in part["words"]]
         words, number = np.unique(np.concatenate([np.cumsum(from_planes(g[:8]), dtype=np.uint64) for g in got]), return_inverse=True)
         a, b = (np.bincount(number, np.concatenate([g[k] for g in got]), len(words)) for k in (8, 9))
@@ -208,6 +210,7 @@ def write_blocks(docs: DataFrame, folder: str, shards: int, names: list[str]) ->
     (block, shard, asks), to be read once: the block's distinct pairs and how often its training documents hold each."""
 
     def run(frames):
+        enter("classifier")
         held, size, docs_held = [], 0, 0
 
         def close():
@@ -267,6 +270,7 @@ def count_shards(blocks: DataFrame) -> DataFrame:
     range of words, whose number stands as shard."""
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
+        enter("classifier")
         got = [unpack(raw, *["u1"] * (KEY_BITS // 8), "<u4") for raw in part["asks"]]
         asked = [np.cumsum(from_planes(g[:-1]), dtype=np.uint64) for g in got]
         keys, number = np.unique(np.concatenate(asked), return_inverse=True)
@@ -298,6 +302,7 @@ def lower_orders(counted: DataFrame) -> tuple:
     row a range, whose size doesn't depend on the text."""
 
     def add(part: pd.DataFrame) -> pd.DataFrame:
+        enter("classifier")
         tables = np.zeros((5, RANGE), np.int64)
         of = np.zeros(4, np.int64)
         for raw in part["words"]:
@@ -332,6 +337,7 @@ def score_blocks(counted: DataFrame, folder: str, tables: tuple) -> DataFrame:
     shared = counted.sparkSession.sparkContext.broadcast(tables)  # of fixed size: 3 * 8 * 2 ** VOCAB_BITS bytes
 
     def gather(part: pd.DataFrame) -> pd.DataFrame:
+        enter("classifier")
         total, weight, single, d2 = shared.value
         ids, n, folds, odds, langs, *folded = unpack(get_file(folder, part["block"].iloc[0]), *BLOCK_KINDS)
         keys, number, doc, times = pair_table(pairs(unfold_words(*folded), np.concatenate([[0], np.cumsum(n)])), n)

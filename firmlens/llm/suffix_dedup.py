@@ -13,7 +13,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firmlens.llm.common import MIX1, MIX2, batches_of, get_file, materialize, mix, new_folder, parallelism, put_file, release_memory, text_bytes
+from firmlens.llm.common import MIX1, MIX2, batches_of, enter, get_file, materialize, mix, new_folder, parallelism, put_file, release_memory, text_bytes
 
 #: Bytes of a match, of the sampled strings inside it, and so sampled strings in a window of which one is taken.
 MATCH, GRAM = 50, 24
@@ -248,6 +248,7 @@ def write_blocks(docs: DataFrame, folder: str, shards: int, carry: tuple[str, ..
     32-bit fingerprints: first those that two documents of the block have, then the others."""
 
     def run(frames):
+        enter("suffix")
         held, size = [], 0
 
         def close():
@@ -300,6 +301,7 @@ def shared_grams(grams: DataFrame) -> DataFrame:
     of its documents or another block has too; after them those that more than HOT_BLOCKS blocks have."""
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
+        enter("suffix")
         got = [unpack(raw, "<u4", "<u4") for raw in part["grams"]]
         every, blocks = np.unique(np.concatenate([x for pair in got for x in pair]), return_counts=True)
         shared = blocks > 1
@@ -326,6 +328,7 @@ def stretches(shared: DataFrame, folder: str, shards: int) -> DataFrame:
     w = MATCH - GRAM + 1
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
+        enter("suffix")
         block = part["block"].iloc[0]
         ids, offsets, body = load_block(folder, block)
         where, hashes = sample(body, offsets)
@@ -396,6 +399,7 @@ def repeated_spans(pieces: DataFrame) -> DataFrame:
     number of the stretch, first window, windows, id; runs that are of no use to any document of the block are left out."""
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
+        enter("suffix")
         names: dict[bytes, int] = {}
         numbers, lows, highs = [], [], []
         for raw in part["body"]:
@@ -492,6 +496,7 @@ def suffix_dedup(docs: DataFrame, *, keep_text: bool = False, carry: tuple[str,
     columns += [f"`{c}` {t}" for c, t in docs.select(*carry).dtypes] if carry else []
 
     def once(own: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
+        enter("suffix")
         names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *["text"] * keep_text]
         if not len(own):
             return pd.DataFrame({c: [] for c in [*names, *carry]})

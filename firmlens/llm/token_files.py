@@ -13,7 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firmlens.llm.common import batches_of, get_file, materialize, new_folder, parallelism, prefix_sums, put_file, text_bytes
+from firmlens.llm.common import CACHES, batches_of, enter, get_file, materialize, new_folder, parallelism, prefix_sums, put_file, text_bytes
 
 MAGIC = b"DACIDS01"
 #: Bits of a chunk, and bits between two entries of a level's rank directory.
@@ -208,6 +208,7 @@ class CachedEncoder:
 
 
 _ENCODERS: dict[str, CachedEncoder] = {}
+CACHES.append(_ENCODERS)
 
 
 def encoder(path: str) -> CachedEncoder:
@@ -235,6 +236,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, *, end_id: i
     d = d.repartitionByRange(n, "doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
 
     def write(frames):
+        enter("tokens")
         enc, pid = encoder(tokenizer), TaskContext.get().partitionId()
         doc_ids, lengths, parts, held, seq = [], [], [], 0, 0
 
@@ -272,6 +274,7 @@ def read_documents(files: DataFrame, folder: str, each=None, schema: str = "ids_
     kind = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}[schema.split()[1]]
 
     def read(frames):
+        enter("tokens")
         for frame in frames:
             for name, base in zip(frame.column(0).to_pylist(), frame.column(1).to_pylist(), strict=True):
                 doc_ids, starts, codes = load_file(get_file(folder, name))

@@ -76,11 +76,12 @@ def test_sampling_takes_one_string_in_every_window():
 
 
 def shingle_classes(rows):
-    """Classes by all pairs: equal texts, or Jaccard of 5-word shingles of 0.8 or more."""
+    """Classes by all pairs: equal texts, or weighted Jaccard of 5-word shingles, by occurrences, of 0.8 or more."""
     sets = []
     for _, t in rows:
         w = re.findall(r"[^\x20\x09-\x0D]+", t)
-        sets.append({tuple(w[i : i + 5]) for i in range(len(w) - 4)} or ({tuple(w)} if w else set()))
+        seen = collections.Counter([tuple(w[i : i + 5]) for i in range(len(w) - 4)] or ([tuple(w)] if w else []))
+        sets.append({(x, k) for x, n in seen.items() for k in range(n)})
     parent = {i: i for i, _ in rows}
 
     def find(i):
@@ -97,9 +98,10 @@ def shingle_classes(rows):
     return {i: find(i) for i, _ in rows}
 
 
-def test_op3_brute_force(spark):
-    got = {r["doc_id"]: r["class_id"] for r in queries.QUERIES["op3_near_dedup"](spark, TINY).collect()}
-    d = documents()
+@pytest.mark.parametrize("folder", [TINY, "/root/testdata/sf0.01"])
+def test_op3_brute_force(spark, folder):
+    got = {r["doc_id"]: r["class_id"] for r in queries.QUERIES["op3_near_dedup"](spark, folder).collect()}
+    d = pq.read_table(f"{folder}/documents.parquet").to_pandas()
     assert got == shingle_classes(list(zip(d.doc_id, d.text)))
 
 
