@@ -127,6 +127,17 @@ def word_count(text: Column) -> Column:
     return F.when(bare == "", F.lit(0)).otherwise(F.size(F.split(bare, WS_RUN))).cast("long")
 
 
+def text_size(docs: DataFrame) -> int:
+    """Bytes of all texts."""
+    return int(docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0)
+
+
+def in_order(docs: DataFrame) -> DataFrame:
+    """Each partition in order of (doc_id, text's hash): so a task that runs again, on rows that a shuffle gives in another
+    order, makes the same blocks under the same names."""
+    return docs.sortWithinPartitions("doc_id", F.xxhash64("text"))
+
+
 def prefix_sums(df: DataFrame, order: list[Column], sums: dict[str, Column], groups: list[str] | None = None) -> DataFrame:
     """Inclusive running totals in a total order, per group, without gathering a group in one task.
 

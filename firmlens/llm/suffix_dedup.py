@@ -13,14 +13,14 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firmlens.llm.common import MIX1, MIX2, batches_of, enter, get_file, materialize, mix, new_folder, parallelism, put_file, release_memory, text_bytes
+from firmlens.llm.common import MIX1, MIX2, batches_of, enter, get_file, in_order, materialize, mix, new_folder, parallelism, put_file, release_memory, text_bytes, text_size
 
 #: Bytes of a match, of the sampled strings inside it, and so sampled strings in a window of which one is taken.
 MATCH, GRAM = 50, 24
 #: Text bytes of a block (a unit of work that is kept in the shared folder), and of a chunk that is hashed at a time.
 BLOCK_BYTES, CHUNK = 8 << 20, 1 << 18
-#: Shards per partition of the session's shuffles: a shard's suffixes are sorted in one task's memory.
-SHARDS = 3
+#: Text bytes for a shard: its suffixes are sorted in one task's memory.
+SHARD_BYTES = 2 << 20
 #: Blocks that may hold a sampled string whose stretches stay together.
 HOT_BLOCKS = 256
 NO_HASH = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -293,7 +293,7 @@ def write_blocks(docs: DataFrame, folder: str, shards: int, carry: tuple[str, ..
             yield close()
 
     d = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc_id"), "text", F.col("text").isNull().alias("null_text"), *carry)
-    return d.mapInArrow(run, "block string, shard long, grams binary")
+    return in_order(d).mapInArrow(run, "block string, shard long, grams binary")
 
 
 def shared_grams(grams: DataFrame) -> DataFrame:
@@ -485,10 +485,10 @@ def suffix_dedup(docs: DataFrame, *, keep_text: bool = False, carry: tuple[str,
     3. The runs of windows with their owners go back to the blocks, which cut them out of documents with larger ids.
 
     Null text: empty. Null doc_id: larger than all others. Rows with one doc_id do not match each other. Repeated rows
-    stay rows of their own. An empty table gives no rows; further columns are not read.
+    stay rows of their own. An empty table gives no rows; further columns are not read. docs is read twice.
     """
     spark = docs.sparkSession
-    folder, shards = new_folder(spark, "blocks"), SHARDS * parallelism(spark)
+    folder, shards = new_folder(spark, "blocks"), 1 + text_size(docs) // SHARD_BYTES
     shared = shared_grams(write_blocks(docs, folder, shards, carry))
     spans = repeated_spans(stretches(shared, folder, shards))
     blocks = shared.select("block").distinct()
