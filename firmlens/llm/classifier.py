@@ -12,14 +12,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firmlens.llm.common import batches_of, enter, find_package, get_file, materialize, new_folder, parallelism, put_file, release_memory, text_bytes, word_hashes
+from firmlens.llm.common import CACHES, batches_of, in_order, text_size, enter, find_package, get_file, materialize, new_folder, parallelism, put_file, release_memory, text_bytes, word_hashes
 from firmlens.llm.suffix_dedup import NULL_ID, pack, unpack
 
-#: Words are hashed into 2 ** VOCAB_BITS numbers, so tables over words have a fixed size; number 0 is a text's start.
-VOCAB_BITS = 20
+#: Words are hashed into 2 ** VOCAB_BITS - 1 numbers, so tables over words have a fixed size; number 0 is a text's start.
+VOCAB_BITS = 22
 KEY_BITS = 2 * VOCAB_BITS
 #: Text bytes of a block: a pair that its documents hold is asked for once.
 BLOCK_BYTES = 12 << 20
+#: Text bytes for a shard of pairs; a shard's asks are counted in one task's memory.
+SHARD_BYTES = 2 << 20
 #: Ranges of word numbers in which the lower orders are summed.
 RANGES = 64
 RANGE = (1 << VOCAB_BITS) // RANGES
@@ -58,7 +60,7 @@ def shard_cuts(keys: np.ndarray, shards: int) -> np.ndarray:
 
 
 def word_numbers(hashes: np.ndarray) -> np.ndarray:
-    return ((hashes >> np.uint64(64 - VOCAB_BITS)) | np.uint64(1)).astype(np.uint32)
+    return np.maximum(hashes >> np.uint64(64 - VOCAB_BITS), np.uint64(1)).astype(np.uint32)
 
 
 def text_words(body: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -76,7 +78,7 @@ def pairs(words: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 def pair_table(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Distinct (pair, document) of a block in order: the distinct pairs, and per entry pair number, document, times.
-    counts: words of each document; a block has fewer than 2 ** 24 documents."""
+    counts: words of each document; a block has fewer than 2 ** (64 - KEY_BITS) documents."""
     doc = np.repeat(np.arange(len(counts), dtype=np.uint64), counts)
     both = np.sort(keys << np.uint64(64 - KEY_BITS) | doc)
     new = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]])) if len(both) else np.zeros(0, np.int64)
@@ -239,14 +241,14 @@ def write_blocks(docs: DataFrame, folder: str, shards: int, names: list[str]) ->
             words, at = word_hashes(body, offsets)
             held.append((frame.column(0).to_numpy(zero_copy_only=False), frame.column(3).to_numpy(zero_copy_only=False), frame.column(2).to_pylist(), words, np.diff(at)))
             size, docs_held = size + len(body), docs_held + frame.num_rows
-            if size >= BLOCK_BYTES or docs_held >= 1 << 20:
+            if size >= BLOCK_BYTES or docs_held >= 1 << 19:
                 yield close()
                 held, size, docs_held = [], 0, 0
         if held:
             yield close()
 
     d = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc_id"), "text", "lang", F.coalesce("fold", F.lit(0)).cast("int").alias("fold"))
-    return d.mapInArrow(run, "block string, shard long, asks binary")
+    return in_order(d).mapInArrow(run, "block string, shard long, asks binary")
 
 
 # ---------------------------------------------------------------- the model
@@ -271,7 +273,7 @@ def count_shards(blocks: DataFrame) -> DataFrame:
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
         enter("classifier")
-        got = [unpack(raw, *["u1"] * (KEY_BITS // 8), "<u4") for raw in part["asks"]]
+        got = [unpack(raw, *["u1"] * -(-KEY_BITS // 8), "<u4") for raw in part["asks"]]
         asked = [np.cumsum(from_planes(g[:-1]), dtype=np.uint64) for g in got]
         keys, number = np.unique(np.concatenate(asked), return_inverse=True)
         counts = np.zeros(len(keys), np.int64)
@@ -296,13 +298,13 @@ def count_shards(blocks: DataFrame) -> DataFrame:
     return materialize(blocks.groupBy("shard").applyInPandas(run, "block string, shard long, answer binary, words binary"), "counts")
 
 
-def lower_orders(counted: DataFrame) -> tuple:
-    """Tables over the 2 ** VOCAB_BITS word numbers: count as context, weight of the lower order, probability by
-    continuation; and the pairs' discounts. Shards' shares are summed by ranges of words in tasks; the driver gets one
-    row a range, whose size doesn't depend on the text."""
+def lower_orders(counted: DataFrame, folder: str) -> tuple:
+    """Files of tables over the word numbers, one a range: count as context, sum of the discounts of a context's pairs, number
+    of words that a word follows. Returned: the files' names, the discounts of pairs and of continuations, the number of
+    distinct pairs and the sum of the discounts of continuations. Shards' shares are summed by ranges of words in tasks;
+    the driver gets a few numbers a range."""
 
-    def add(part: pd.DataFrame) -> pd.DataFrame:
-        enter("classifier")
+    def merged(part: pd.DataFrame):
         tables = np.zeros((5, RANGE), np.int64)
         of = np.zeros(4, np.int64)
         for raw in part["words"]:
@@ -311,41 +313,99 @@ def lower_orders(counted: DataFrame) -> tuple:
                 table[b] += x
             tables[4][w] += n
             of += o if len(o) else 0
-        return pd.DataFrame({"shard": [int(part["shard"].iloc[0])], "words": [pack(tables.astype("<i8"), of.astype("<i8"))]})
+        return tables, of
+
+    def add(part: pd.DataFrame) -> pd.DataFrame:
+        enter("classifier")
+        tables, of = merged(part)
+        body = pack(tables.astype("<i8"))
+        name = hashlib.sha256(body).hexdigest()[:24]
+        put_file(folder, name, body)
+        into = np.bincount(np.minimum(tables[4], 5), minlength=6)[1:5]
+        twos = np.bincount(np.minimum(tables[4], 3), tables[4], 4)
+        return pd.DataFrame({"range": [int(part["shard"].iloc[0])], "name": [name], "of": [of.tolist()], "into": [into.tolist()], "three": [int((tables[4] >= 3).sum())], "kinds": [int(twos.sum())]})
 
     shares = counted.where(F.col("words").isNotNull()).select("shard", "words")
-    tables, of = np.zeros((5, RANGES, RANGE), np.int64), np.zeros(4, np.int64)
-    for row in shares.groupBy("shard").applyInPandas(add, "shard long, words binary").collect():
-        part, o = unpack(row["words"], "<i8", "<i8")
-        tables[:, row["shard"]] = part.reshape(5, RANGE)
-        of += o
-    total, ones, twos, more, into = tables.reshape(5, -1)
-    size = 1 << VOCAB_BITS
-    d2 = discounts(*of.tolist())
-    seen = np.maximum(total, 1)
-    weight = np.where(total > 0, (d2[0] * ones + d2[1] * twos + d2[2] * more) / seen, 1.0)
-    d1 = discounts(*np.bincount(np.minimum(into, 5), minlength=6)[1:5].tolist())
-    kinds = max(int(into.sum()), 1)
-    rest = discount(into, d1).sum() / kinds if into.any() else 1.0
-    single = (into - discount(into, d1)) / kinds + rest / (size // 2)  # word numbers are odd
-    return total, weight.astype(np.float64), single, d2
-
-
-def score_blocks(counted: DataFrame, folder: str, tables: tuple) -> DataFrame:
+    rows = shares.groupBy("shard").applyInPandas(add, "range int, name string, of array<long>, into array<long>, three long, kinds long").collect()
+    d2, d1 = (discounts(*(sum(r[c][k] for r in rows) for k in range(4))) for c in ("of", "into"))
+    ones, twos, three = sum(r["into"][0] for r in rows), sum(r["into"][1] for r in rows), sum(r["three"] for r in rows)
+    return {r["range"]: r["name"] for r in rows}, d2, d1, sum(r["kinds"] for r in rows), d1[0] * ones + d1[1] * twos + d1[2] * three
+
+
+_TABLES: dict[tuple, tuple] = {}
+CACHES.append(_TABLES)
+
+
+def load_tables(folder: str, names: dict[int, str], d2: tuple[float, float, float]) -> tuple:
+    """Count as context, sum of its pairs' discounts and number of words before, by word number; kept by a worker process."""
+    key = folder, *sorted(names.items())
+    if key not in _TABLES:
+        _TABLES.clear()
+        total, gamma, into = np.zeros(1 << VOCAB_BITS, "f8"), np.zeros(1 << VOCAB_BITS, "f4"), np.zeros(1 << VOCAB_BITS, "u4")
+        for r, name in names.items():
+            t, ones, twos, more, n = unpack(get_file(folder, name), "<i8")[0].reshape(5, RANGE)
+            own = slice(r * RANGE, (r + 1) * RANGE)
+            total[own], gamma[own], into[own] = t, d2[0] * ones + d2[1] * twos + d2[2] * more, n
+        _TABLES[key] = total, gamma, into
+    return _TABLES[key]
+
+
+def sums_by(keys: np.ndarray, *values: np.ndarray) -> tuple:
+    """Sums of values over equal keys: the place of each key among the distinct ones, and the sums by place."""
+    _, at = np.unique(keys, return_inverse=True)
+    return at, *[np.bincount(at, v) for v in values]
+
+
+def pair_probability(c, total, gamma, into, model) -> np.ndarray:
+    """Of pairs: count, context's count and sum of discounts, words before; model: see lower_orders."""
+    d2, d1, kinds, rest = model
+    single = (into - discount(into, d1)) / np.maximum(kinds, 1) + (rest / np.maximum(kinds, 1) if np.any(kinds) else 1.0) / ((1 << VOCAB_BITS) - 1)
+    return np.where(total > 0, (c - discount(c, d2) + gamma * single) / np.maximum(total, 1), single)
+
+
+def log_probabilities(keys, number, doc, times, counts, trusted, tables, model) -> np.ndarray:
+    """Natural log of the probability of each document, from its entries (pair number, document, times). Documents that
+    the counts hold (trusted) are judged as if they had never been counted: their own pairs are taken out of the pair
+    counts, of the contexts and of the continuations; the discounts stay."""
+    total, gamma, into = tables
+    d2, d1, kinds, rest = model
+    pair = restore(keys)
+    before, word = (pair >> np.uint64(VOCAB_BITS)).astype(np.int64), (pair & np.uint64((1 << VOCAB_BITS) - 1)).astype(np.int64)
+    logs = np.log(pair_probability(counts, total[before], gamma[before].astype("f8"), into[word].astype("i8"), model)) if len(keys) else np.zeros(0)
+    mine = trusted[doc]
+    n_docs = len(trusted)
+    out = np.bincount(doc[~mine], logs[number[~mine]] * times[~mine], n_docs).astype(float)  # of nothing it gives integers
+    if mine.any():
+        number, doc, times = number[mine], doc[mine], times[mine].astype(np.int64)
+        c, v, w = counts[number], before[number], word[number]
+        left = c - times
+        at, gone, more = sums_by(doc.astype(np.int64) << VOCAB_BITS | v, times, discount(left, d2) - discount(c, d2))
+        context, weight = total[v] - gone[at], gamma[v] + more[at]
+        at, vanished = sums_by(doc.astype(np.int64) << VOCAB_BITS | w, left == 0)
+        into_all = into[w].astype("i8")
+        into_left = into_all - vanished[at].astype(np.int64)
+        first = np.zeros(len(vanished), np.int64)
+        first[at] = np.arange(len(at))  # an entry for each (document, word)
+        change = np.bincount(doc[first], (discount(into_left, d1) - discount(into_all, d1))[first], n_docs)
+        lost = np.bincount(doc, left == 0, n_docs)
+        model = d2, d1, (kinds - lost)[doc], (rest + change)[doc]
+        p = pair_probability(left, context, weight, into_left, model)
+        out += np.bincount(doc, np.log(p) * times, n_docs)
+    return out
+
+
+def score_blocks(counted: DataFrame, folder: str, lower: tuple) -> DataFrame:
     """Per document: doc_id, lang, fold, n_words, log_prob (natural), repeats (the share of words whose pair stood before in
-    the document) and odds, from each block's file and the counts it asked for."""
-    shared = counted.sparkSession.sparkContext.broadcast(tables)  # of fixed size: 3 * 8 * 2 ** VOCAB_BITS bytes
+    the document) and odds, from each block's file, the counts it asked for and the tables of the lower orders."""
+    files, *model = lower
 
     def gather(part: pd.DataFrame) -> pd.DataFrame:
         enter("classifier")
-        total, weight, single, d2 = shared.value
+        tables = load_tables(folder, files, model[0])
         ids, n, folds, odds, langs, *folded = unpack(get_file(folder, part["block"].iloc[0]), *BLOCK_KINDS)
         keys, number, doc, times = pair_table(pairs(unfold_words(*folded), np.concatenate([[0], np.cumsum(n)])), n)
         counts = np.concatenate([unpack(raw, "<u4")[0] for raw in part.sort_values("shard")["answer"]]).astype(np.int64)
-        pair = restore(keys)
-        before, word = (pair >> np.uint64(VOCAB_BITS)).astype(np.int64), (pair & np.uint64((1 << VOCAB_BITS) - 1)).astype(np.int64)
-        p = weight[before] * single[word] + np.where(counts > 0, (counts - discount(counts, d2)) / np.maximum(total[before], 1), 0.0)
-        logs = np.bincount(doc, np.log(p)[number] * times, len(ids)) if len(doc) else np.zeros(len(ids))
+        logs = log_probabilities(keys, number, doc, times, counts, folds == TRUSTED, tables, model)
         repeats = 1 - np.bincount(doc, minlength=len(ids)) / np.maximum(n, 1)
         names = [x[1:] if x else None for x in langs.tobytes().decode().split("\n")]
         release_memory()
@@ -421,7 +481,8 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     largest log odds of a word for rejected text; and the share of repeated pairs. fit_limits sets the limits, or
     the largest of all trusted documents where fewer than LEAST_HELD are held out. A document
     is kept if its perplexity is not above its threshold, which is 0 where one of the other two limits is passed. Counts
-    are over all labelled text, perplexities over all words of every document.
+    are over all labelled text, perplexities over all words of every document; a document that the model has counted is
+    judged without its own counts. docs is read three times.
 
     Null text or no word: perplexity null, not kept; without any held-out trusted text (or labels) all others are kept.
     Ids labelled twice: trusted if every label says so, else toxic if one does. Repeated rows are scored each. An empty
@@ -435,7 +496,7 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     fold = kind + F.when(F.pmod(F.xxhash64("_id"), F.lit(10)) < HELD_OUT, 1).otherwise(0)
     labelled = materialize(labelled.select("_id", fold.alias("fold")).where("fold IS NOT NULL"), "labelled")
     few = labelled.count() <= BROADCAST_IDS
-    folder, shards = new_folder(spark, "classifier"), parallelism(spark)
+    folder, shards = new_folder(spark, "classifier"), 1 + text_size(docs) // SHARD_BYTES
 
     def labelled_docs(labelled: DataFrame, how: str) -> DataFrame:
         d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
@@ -444,7 +505,7 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     counted_docs = labelled_docs(labelled.where(F.col("fold").isin(TRUSTED, JUNK, TOXIC)), "inner")
     names = rejected_words(counted_docs.select("text", "fold"), folder, shards)
     counted = count_shards(write_blocks(labelled_docs(labelled, "left").select("doc_id", "text", "lang", "fold"), folder, shards, names))
-    judged = judge(score_blocks(counted, folder, lower_orders(counted)))
+    judged = judge(score_blocks(counted, folder, lower_orders(counted, folder)))
     return judged.select("doc_id", "lang", "n_words", "perplexity", "threshold", "kept")
 
 
