@@ -19,6 +19,9 @@ TARGET_LINK_KEYWORDS = ("about", "company", "services", "products", "solutions",
 CRITICAL_KEYWORDS = ("about-us", "company-profile")
 HIGH_KEYWORDS = ("services", "products", "solutions", "leistungen", "produkte", "lösungen")
 
+# Paths whose links have no place in the crawl order.
+EXCLUDED_PATHS = ("/media/", "/blog/", "/wp-content/", "/video/", "/hilfe-video/")
+
 # Path and snippet keywords that raise a candidate's score.
 CANDIDATE_PATHS = ("kontakt", "contact", "impressum", "legal", "about", "ueber", "über")
 SNIPPET_KEYWORDS = ("tel", "telefon", "phone", "zentrale", "hotline", "call", "service", "vertrieb", "sales")

@@ -135,7 +135,8 @@ def safe_name(url: Column, longest: int = 100) -> Column:
 
 def link_score(url: Column, text: Column, most_segments: int = 3) -> Column:
     """Score of a link for the crawl order: contact and imprint paths 100, critical and high keywords 100 and 90 less 5
-    for each segment over most_segments, keyword anywhere 80 less 5 a position, keyword inside a segment 50, in the text 40."""
+    for each segment over most_segments, keyword anywhere 80 less 5 a position, another target keyword as a segment 70
+    less 3 a segment, keyword inside a segment 50, in the text 40. Null for a link without a target keyword in address or text."""
     segments = F.filter(F.split(F.lower(path(url)), "/"), lambda s: s != "")
     n = F.size(segments)
     has = lambda words: F.arrays_overlap(segments, F.array(*[F.lit(w) for w in words]))
@@ -145,7 +146,15 @@ def link_score(url: Column, text: Column, most_segments: int = 3) -> Column:
     both = F.array(*[F.lit(w) for w in fixed.CRITICAL_KEYWORDS + fixed.HIGH_KEYWORDS])
     first = F.array_position(F.transform(segments, lambda s: F.array_contains(both, s)), True)
     anywhere = F.when(first > 0, 80 - (first - 1) * 5 - deep(15)).otherwise(0)
+    other = tuple(w for w in fixed.TARGET_LINK_KEYWORDS if w not in fixed.CRITICAL_KEYWORDS + fixed.HIGH_KEYWORDS)
+    target = F.when(has(other), 70 - F.least(F.lit(10), F.greatest(F.lit(0), n - most_segments) * 3)).otherwise(0)
     inside = F.when(F.exists(segments, lambda s: contains_any(s, fixed.TARGET_LINK_KEYWORDS)), 50).otherwise(0)
     in_text = F.when(contains_any(F.lower(text), fixed.TARGET_LINK_KEYWORDS), 40).otherwise(0)
     force = F.when(has(fixed.CONTACT_KEYWORDS + fixed.IMPRINT_KEYWORDS), 100).otherwise(0)
-    return F.greatest(force, critical, high, anywhere, inside, in_text).cast("int")
+    named = contains_any(F.lower(url), fixed.TARGET_LINK_KEYWORDS) | contains_any(F.lower(text), fixed.TARGET_LINK_KEYWORDS)
+    return F.when(named | (force > 0), F.greatest(force, critical, high, anywhere, target, inside, in_text)).cast("int")
+
+
+def excluded(url: Column, patterns: Sequence[str]) -> Column:
+    """Whether the path holds one of the patterns that keep a link out of the crawl order."""
+    return contains_any(F.lower(path(url)), [p.lower() for p in patterns if p])

@@ -43,16 +43,18 @@ def cap_per_page(rows: DataFrame, page: list[str], number: str, order: list[Colu
 def rank_and_cap(rows: DataFrame, site: str, order: list[Column], *, url: str = "source_url", most: int = 120, min_score: int = 0) -> DataFrame:
     """Candidates of a site by score (path keyword 100, snippet keyword 30, 10 a sighting up to 50), once a (number, url),
     the best `most`; rows under min_score go unless all would."""
-    seen = F.count(F.lit(1)).over(Window.partitionBy(site, "number"))
+    counts = rows.groupBy(F.col(site).alias("_site"), F.col("number").alias("_number")).agg(F.count(F.lit(1)).alias("_seen"))
+    rows = rows.join(counts, F.col(site).eqNullSafe(F.col("_site")) & F.col("number").eqNullSafe(F.col("_number")))
+    seen = F.col("_seen")
     score = (
         F.when(contains_any(F.lower(url), fixed.CANDIDATE_PATHS), 100).otherwise(0) + F.when(contains_any(F.lower("snippet"), fixed.SNIPPET_KEYWORDS), 30).otherwise(0)
         + F.least(F.lit(50), seen * 10))
-    rows = rows.withColumn("score", score.cast("int"))
+    rows = rows.withColumn("score", score.cast("int")).drop("_site", "_number", "_seen")
     first = F.row_number().over(Window.partitionBy(site, "number", url).orderBy(*order))
     rows = rows.withColumn("_first", first).where("_first = 1").drop("_first")
     if min_score > 0:
-        best = F.max("score").over(Window.partitionBy(site))
-        rows = rows.withColumn("_best", best).where((F.col("score") >= min_score) | (F.col("_best") < min_score)).drop("_best")
+        best = rows.groupBy(F.col(site).alias("_site")).agg(F.max("score").alias("_best"))
+        rows = rows.join(best, F.col(site).eqNullSafe(F.col("_site"))).where((F.col("score") >= min_score) | (F.col("_best") < min_score)).drop("_site", "_best")
     place = F.row_number().over(Window.partitionBy(site).orderBy(F.desc("score"), *order))
     return rows.withColumn("place", place).where(F.col("place") <= most)
 
@@ -71,7 +73,15 @@ def consolidate(rows: DataFrame, site: str, order: list[str]) -> DataFrame:
     out = rows.groupBy(site, "number").agg(
         F.min_by("classification", F.struct("_p", *order)).alias("classification"), F.min("_p").alias("priority"),
         F.sort_array(F.collect_list(F.when(F.col("_once"), source))).alias("sources"), F.count(F.lit(1)).alias("sightings"))
-    return out.withColumn("types", F.array_distinct(F.transform("sources", lambda s: s["type"])))
+    return out.withColumn("types", first_seen(F.transform("sources", lambda s: s["type"])))
+
+
+def first_seen(values: Column) -> Column:
+    """An array without nulls and repeats in any case, each value as it is first seen."""
+    keyed = F.transform(F.filter(values, lambda t: t.isNotNull()), lambda t, i: F.struct(F.lower(F.trim(t)).alias("k"), i.alias("i"), t.alias("t")))
+    first = lambda s: F.filter(s, lambda e, j: ~F.get(s, j - 1)["k"].eqNullSafe(e["k"]))
+    kept = F.transform(F.array(F.array_sort(keyed)), first)[0]
+    return F.transform(F.array_sort(F.transform(kept, lambda e: F.struct(e["i"], e["t"]))), lambda e: e["t"])
 
 
 def callable_numbers(numbers: DataFrame) -> DataFrame:
@@ -100,7 +110,7 @@ def person_contacts(numbers: DataFrame, site: str) -> DataFrame:
     s = numbers.where(F.lower("classification") != "non-business").withColumn("s", F.explode("sources"))
     s = s.select(site, "number", "classification", F.col("s.type").alias("type"), phones.person_text(F.col("s.associated_person_name")).alias("name"), phones.person_text(F.col("s.associated_person_role")).alias("role"), F.col("s.is_direct_dial").alias("direct"))
     s = s.where(~phones.is_fax(F.col("type")) & (F.col("name").isNotNull() | F.coalesce("direct", F.lit(False))))
-    s = s.dropDuplicates([site, "number", "name", "role"])
+    s = s.withColumns({"_n": F.lower("name"), "_r": F.lower("role")}).dropDuplicates([site, "number", "_n", "_r"]).drop("_n", "_r")
     cls = F.lower("classification")
     return s.withColumn("score", F.when(F.col("direct"), 40).otherwise(0) + phones.role_score(F.col("role")) + F.when(cls == "primary", 20).when(cls == "secondary", 10).otherwise(0))
 

@@ -17,6 +17,13 @@ def small(table: DataFrame) -> DataFrame:
     return F.broadcast(table) if table.limit(SMALL_TABLE + 1).count() <= SMALL_TABLE else table
 
 
+def all_pairs(rows: DataFrame, few: DataFrame) -> DataFrame:
+    """Every row with every row of a table that a count shows to be small; a larger one is an error."""
+    if few.limit(SMALL_TABLE + 1).count() > SMALL_TABLE:
+        raise ValueError(f"a table of more than {SMALL_TABLE} rows against all others")
+    return rows.crossJoin(F.broadcast(few))
+
+
 def tag_texts(rows: DataFrame, taxonomy: DataFrame, *, key: str, text: str) -> DataFrame:
     """(key, category, tag) for each tag of taxonomy(category, tag, keyword) one of whose keywords the text holds.
 

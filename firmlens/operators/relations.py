@@ -72,8 +72,10 @@ def stack(*frames: DataFrame) -> DataFrame:
 
 def duplicate_flags(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     """rows with n_<column> (rows of the same value) and is_dup_<column>."""
+    # counts are summed before the shuffle and joined back, so that a value that many rows have isn't one task's work
     for c in columns:
-        rows = rows.withColumn(f"n_{c}", F.count(F.lit(1)).over(Window.partitionBy(c)))
+        n = rows.groupBy(F.col(c).alias(f"_{c}")).agg(F.count(F.lit(1)).alias(f"n_{c}"))
+        rows = rows.join(n, F.col(c).eqNullSafe(F.col(f"_{c}"))).drop(f"_{c}")
         rows = rows.withColumn(f"is_dup_{c}", (F.col(f"n_{c}") > 1) & F.col(c).isNotNull())
     return rows
 
@@ -90,9 +92,10 @@ def duplicate_stats(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def chunk_jobs(rows: DataFrame, group: str, order: list[Column], size: int = 10, most: int | None = None) -> DataFrame:
     """rows with a chunk number of `size` rows within the group, chunks over `most` left out."""
-    n = F.row_number().over(Window.partitionBy(group).orderBy(*order))
-    rows = rows.withColumn("chunk", F.floor((n - 1) / size).cast("int"))
-    return rows if most is None else rows.where(F.col("chunk") < most)
+    rows = rows.withColumn("_n", F.row_number().over(Window.partitionBy(group).orderBy(*order)))
+    if most is not None:  # a limit on the row number itself is one on what each task sends
+        rows = rows.where(F.col("_n") <= most * size)
+    return rows.withColumn("chunk", F.floor((F.col("_n") - 1) / size).cast("int")).drop("_n")
 
 
 def stop_after_blanks(lines: DataFrame, group: str, order: str, text: str, most: int = 3) -> DataFrame:

@@ -10,6 +10,7 @@ from firmlens.functions.text import blank_to_null, report_cell
 
 #: Types that the short contact report leaves out, and the order of classes in the detailed one.
 EXCLUDED_TYPES = ("Unknown", "Fax", "Mobile", "Date", "ID")
+MAX_METRICS = 1000
 CLASS_ORDER = ("Primary", "Secondary", "Support", "Low Relevance", "Non-Business")
 
 
@@ -56,9 +57,12 @@ def failed_rows(rows: DataFrame, stage: Column, reason: Column, run_time: str) -
 
 
 def metrics_markdown(metrics: DataFrame, title: str) -> str:
-    """A small metrics table (name, value) as Markdown text for a report file; at most a thousand lines."""
+    """A small metrics table (name, value) as Markdown text for a report file; more than MAX_METRICS rows are an error."""
     lines = [f"# {title}", "", "| metric | value |", "| --- | --- |"]
-    return "\n".join([*lines, *(f"| {r['name']} | {r['value']} |" for r in metrics.orderBy("name").limit(1000).collect())])
+    rows = metrics.orderBy("name").limit(MAX_METRICS + 1).collect()
+    if len(rows) > MAX_METRICS:
+        raise ValueError(f"more than {MAX_METRICS} metrics for one report")
+    return "\n".join([*lines, *(f"| {r['name']} | {r['value']} |" for r in rows)])
 
 
 def redact(text: Column, words: tuple[str, ...] = ("key", "token", "secret", "password")) -> Column:

@@ -46,11 +46,12 @@ FROM ({_CLASSIFIED}) GROUP BY source, number
 
 
 def evidence_support(spark, sf_dir):
-    """Whether the start of a benchmark item backs the start of the document with its number, or the document itself."""
-    d = read(spark, sf_dir, "documents").select("doc_id", F.array_join(F.slice(F.split("text", " "), 2, 4), " ").alias("said"), F.left("text", F.lit(60)).alias("head"))
-    b = read(spark, sf_dir, "benchmark").select(F.col("item_id").alias("doc_id"), F.left("text", F.lit(120)).alias("item"))
-    j = d.join(b, "doc_id", "left")
-    return j.select("doc_id", matching.supported(F.col("said"), F.array(F.coalesce("item", F.lit("")), F.reverse("head"))).alias("backed"), matching.supported(F.col("said"), F.array("head")).alias("backed_by_itself"))
+    """Whether a document backs the benchmark item with its number, and whether the item backs the document's source name."""
+    d = read(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "source")
+    b = read(spark, sf_dir, "benchmark").select(F.col("item_id").alias("doc_id"), F.col("text").alias("item"))
+    j = d.join(b, "doc_id", "left").withColumn("item", F.coalesce("item", F.lit("")))
+    backed = lambda e, *ts: matching.supported(F.col(e), F.array(*[F.col(t) for t in ts]))
+    return j.select("doc_id", backed("item", "text").alias("backed"), backed("source", "item", "text").alias("source_backed"))
 
 
 def _backed(texts):
@@ -59,9 +60,11 @@ def _backed(texts):
 
 
 EVIDENCE_SUPPORT = f"""
-WITH d AS (SELECT doc_id, array_to_string(string_split(text, ' ')[2:5], ' ') AS said, left(text, 60) AS head FROM documents),
-j AS (SELECT d.doc_id, {s_match_text('said')} AS e, list_distinct({s_tokens('said')}) AS ts, coalesce(left(text, 120), '') AS item, reverse(head) AS back, head FROM d LEFT JOIN benchmark ON item_id = doc_id)
-SELECT doc_id, {_backed(['item', 'back'])} AS backed, {_backed(['head'])} AS backed_by_itself FROM j
+WITH j AS (SELECT d.doc_id, coalesce(d.text, '') AS text, d.source, coalesce(b.text, '') AS item FROM documents d LEFT JOIN benchmark b ON item_id = doc_id),
+i AS (SELECT *, {s_match_text('item')} AS e, list_distinct({s_tokens('item')}) AS ts FROM j),
+k AS (SELECT doc_id, source, item, text, {_backed(['text'])} AS backed FROM i),
+l AS (SELECT *, {s_match_text('source')} AS e, list_distinct({s_tokens('source')}) AS ts FROM k)
+SELECT doc_id, backed, {_backed(['item', 'text'])} AS source_backed FROM l
 """
 
 
@@ -79,15 +82,15 @@ SELECT s_suppkey, CASE WHEN s_suppkey % 3 = 0 AND s_suppkey % 2 = 0 THEN 'Acme f
 
 
 def response_cache(spark, sf_dir):
-    """Orders whose customer and status were answered before, and the others."""
+    """Orders whose customer and status an urgent order has had answered, and the others."""
     o = read(spark, sf_dir, "orders").withColumn("key", F.sha1(F.concat_ws("|", F.col("o_custkey").cast("string"), "o_orderstatus").cast("binary")))
-    cache = o.where("o_orderkey < 1000").groupBy("key").agg(F.max("o_orderkey").alias("answer"))
+    cache = o.where("o_orderpriority = '1-URGENT'").groupBy("key").agg(F.max("o_orderkey").alias("answer"))
     hits, misses = relations.cached(o, cache, "key")
     return relations.stack(hits.agg(F.lit("hit").alias("kind"), F.count(F.lit(1)).alias("n"), F.max("answer").alias("last")), misses.agg(F.lit("miss").alias("kind"), F.count(F.lit(1)).alias("n"), F.lit(None).cast("long").alias("last")))
 
 
 RESPONSE_CACHE = """
-WITH c AS (SELECT o_custkey, o_orderstatus, max(o_orderkey) AS answer FROM orders WHERE o_orderkey < 1000 GROUP BY ALL),
+WITH c AS (SELECT o_custkey, o_orderstatus, max(o_orderkey) AS answer FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY ALL),
 j AS (SELECT answer FROM orders LEFT JOIN c USING (o_custkey, o_orderstatus))
 SELECT CASE WHEN answer IS NULL THEN 'miss' ELSE 'hit' END AS kind, count(*) AS n, max(answer) AS last FROM j GROUP BY 1
 """

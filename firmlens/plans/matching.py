@@ -49,20 +49,20 @@ SELECT DISTINCT p_partkey, category, tag FROM (SELECT p_partkey, {s_match_text("
 
 
 def taxonomy_alignment(spark, sf_dir):
-    """Tag sets of brands against each other: brands are both targets and partners."""
+    """Tag sets of brands (tags that eight of its parts have) against each other: brands are both targets and partners."""
     p = read(spark, sf_dir, "part").select("p_partkey", "p_brand")
-    tags = _tags(spark, sf_dir).join(p, "p_partkey").groupBy("p_brand", "category", "tag").agg(F.count(F.lit(1)).alias("n")).where(F.pmod("n", F.lit(2)) == 0)
+    tags = _tags(spark, sf_dir).join(p, "p_partkey").groupBy("p_brand", "category", "tag").agg(F.count(F.lit(1)).alias("n")).where("n >= 8")
     t = tags.select(F.col("p_brand").alias("target"), "category", "tag")
     q = tags.select(F.col("p_brand").alias("partner"), "category", "tag")
-    brands = matching.small(p.select("p_brand").distinct())
-    pairs = brands.select(F.col("p_brand").alias("target"), F.lit(1).alias("k")).join(brands.select(F.col("p_brand").alias("partner"), F.lit(1).alias("k")), "k").drop("k").where("target <> partner")
+    brands = p.select("p_brand").distinct()
+    pairs = matching.all_pairs(brands.select(F.col("p_brand").alias("target")), brands.select(F.col("p_brand").alias("partner"))).where("target <> partner")
     return matching.taxonomy_alignment(t, q, pairs)
 
 
 _W = "CASE " + " ".join(f"WHEN tag = '{t}' THEN {w}" for t, w in fixed.GENERIC_TAG_WEIGHTS.items()) + " " + " ".join(f"WHEN category = '{c}' THEN {w}" for c, w in fixed.TAG_WEIGHTS.items()) + " ELSE 0 END"
 _PEN = ", ".join(f"('{t}', '{p}', {v})" for t, ps in fixed.DOMAIN_PENALTIES.items() for p, v in ps.items())
 TAXONOMY_ALIGNMENT = f"""
-WITH g AS (SELECT p_brand, category, tag FROM ({TAXONOMY_TAGS}) JOIN part USING (p_partkey) GROUP BY ALL HAVING count(*) % 2 = 0),
+WITH g AS (SELECT p_brand, category, tag FROM ({TAXONOMY_TAGS}) JOIN part USING (p_partkey) GROUP BY ALL HAVING count(*) >= 8),
 b AS (SELECT DISTINCT p_brand FROM part),
 s AS (SELECT t.p_brand AS target, p.p_brand AS partner, sum({_W.replace('tag =', 't.tag =').replace('category =', 't.category =')}) AS overlap, string_agg(DISTINCT t.tag, ',' ORDER BY t.tag) AS shared, bool_or(t.category IN ('audience', 'workflow')) AS close
       FROM g t JOIN g p ON t.category = p.category AND t.tag = p.tag GROUP BY ALL),
@@ -132,9 +132,9 @@ def dense_rank(spark, sf_dir):
     e = read(spark, sf_dir, "embeddings")
     flat = e.select("vec_id", "label", F.posexplode("embedding").alias("i", "x")).withColumn("x", F.col("x").cast("double"))
     centre = flat.groupBy("label", "i").agg(F.avg("x").alias("c"))
-    means = centre.groupBy(F.col("label").alias("partner")).agg(F.array_sort(F.collect_list(F.struct("i", "c"))).alias("cs")).select("partner", F.transform("cs", lambda x: x["c"]).alias("m"), F.lit(1).alias("k"))
+    means = centre.groupBy(F.col("label").alias("partner")).agg(F.array_sort(F.collect_list(F.struct("i", "c"))).alias("cs")).select("partner", F.transform("cs", lambda x: x["c"]).alias("m"))
     dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
-    both = e.select("vec_id", "embedding", F.lit(1).alias("k")).join(matching.small(means), "k")
+    both = matching.all_pairs(e.select("vec_id", "embedding"), means)
     cos = dot(F.col("embedding"), F.col("m")) / F.sqrt(dot(F.col("embedding"), F.col("embedding")) * dot(F.col("m"), F.col("m")))
     both = both.select("vec_id", "partner", F.round(cos, 6).alias("cosine"))
     from pyspark.sql import Window

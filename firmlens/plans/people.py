@@ -30,8 +30,10 @@ def s_valid(raw: str, nsn: str) -> str:
 
 _CODES = r"^\+(49|43|41|1)"
 CANDIDATES = rf"""
-SELECT doc_id, lang, source, i - 1 AS pos, trim(m) AS raw, {s_e164('trim(m)')} AS number, regexp_replace({s_e164('trim(m)')}, '{_CODES}', '') AS national
-FROM (SELECT doc_id, lang, source, unnest(ms) AS m, unnest(range(1, len(ms) + 1)) AS i FROM (SELECT doc_id, lang, source, regexp_extract_all(text, '{phones.CANDIDATE}') AS ms FROM documents))
+SELECT doc_id, lang, source, i - 1 AS pos, trim(m) AS raw, {s_e164('trim(m)')} AS number, regexp_replace({s_e164('trim(m)')}, '{_CODES}', '') AS national, text, start, start + length(m) AS finish
+FROM (SELECT doc_id, lang, source, text, m, i, CAST(coalesce(list_sum(list_transform(ps[1:i], lambda p: length(p))), 0) + coalesce(list_sum(list_transform(ms[1:i - 1], lambda p: length(p))), 0) AS BIGINT) AS start
+      FROM (SELECT doc_id, lang, source, text, ms, ps, unnest(ms) AS m, unnest(range(1, len(ms) + 1)) AS i
+            FROM (SELECT doc_id, lang, source, text, regexp_extract_all(text, '{phones.CANDIDATE}') AS ms, string_split_regex(text, '{phones.CANDIDATE}') AS ps FROM documents)))
 """
 VALID = f"SELECT * FROM ({CANDIDATES}) WHERE number IS NOT NULL AND {s_valid('raw', 'national')}"
 
@@ -41,11 +43,15 @@ def found(spark, sf_dir):
 
 
 def phone_candidates(spark, sf_dir):
-    c = found(spark, sf_dir)
-    return c.select("doc_id", "pos", "raw", "number", "national", F.contains("snippet", F.col("raw")).alias("in_snippet"))
+    return found(spark, sf_dir).select("doc_id", "pos", "raw", "number", "national", F.md5("snippet").alias("snippet_md5"))
 
 
-PHONE_CANDIDATES = f"SELECT doc_id, CAST(pos AS INT) AS pos, raw, number, national, true AS in_snippet FROM ({VALID})"
+PHONE_CANDIDATES = f"""
+SELECT doc_id, CAST(pos AS INT) AS pos, raw, number, national,
+       md5(trim(CASE WHEN start > 150 THEN regexp_extract(substr(text, 1, start - 150), '([^ ]*)$', 1) ELSE '' END || substr(text, greatest(start - 150, 0) + 1, finish + 150 - greatest(start - 150, 0))
+                || regexp_extract(substr(text, finish + 151), '^([^ ]*)', 1))) AS snippet_md5
+FROM ({VALID})
+"""
 
 
 def sourced(spark, sf_dir):

@@ -13,15 +13,20 @@ from firmlens.streaming import rows
 
 
 def csv_scan(spark, sf_dir):
-    """Customers as a semicolon list, read back with profile names and defaults."""
+    """Customers as semicolon lists, with quotes, separators and line ends inside of values, read back by the whole loader."""
     path = shared_folder(spark, "csv")
-    c = read(spark, sf_dir, "customer").select(F.col("c_name").alias("company"), F.concat(F.lit("http://c"), F.col("c_custkey").cast("string"), F.lit(".example.com")).alias("Website"), F.col("c_mktsegment").alias("Industry"))
-    c.write.option("header", True).option("sep", ";").csv(path)
-    t = delimited.apply_profile(delimited.read_delimited(spark, path), "default", {"Description": ""})
-    return t.select("CompanyName", urls.host(F.col("GivenURL")).alias("host"), "Industry", "Description")
+    name = F.when(F.pmod("c_custkey", F.lit(3)) == 0, F.concat(F.lit('The "'), F.col("c_name"), F.lit('"; Inc'))).when(F.pmod("c_custkey", F.lit(3)) == 1, F.concat(F.col("c_name"), F.lit("\nand sons"))).otherwise(F.col("c_name"))
+    phone = F.when(F.pmod("c_custkey", F.lit(4)) > 0, F.concat(F.lit("'030 "), (F.col("c_custkey") + 1234567).cast("string"))).otherwise("n/a")
+    c = read(spark, sf_dir, "customer").select(name.alias("company"), phone.alias("PhoneNumber"), F.concat(F.lit("http://c"), F.col("c_custkey").cast("string"), F.lit(".example.com")).alias("Website"), F.col("c_mktsegment").alias("Industry"))
+    c.write.options(header=True, sep=";", quote='"', escape='"', quoteAll=True).csv(path)
+    t = delimited.load_companies(spark, path, phone_region="DE")
+    return t.select("CompanyName", urls.host(F.col("GivenURL")).alias("host"), "Industry", "Description", F.col("NormalizedGivenPhoneNumber").alias("phone"))
 
 
-CSV_SCAN = "SELECT c_name AS CompanyName, 'c' || c_custkey || '.example.com' AS host, c_mktsegment AS Industry, '' AS Description FROM customer"
+CSV_SCAN = """
+SELECT CASE c_custkey % 3 WHEN 0 THEN 'The "' || c_name || '"; Inc' WHEN 1 THEN c_name || chr(10) || 'and sons' ELSE c_name END AS CompanyName, 'c' || c_custkey || '.example.com' AS host,
+       c_mktsegment AS Industry, '' AS Description, CASE WHEN c_custkey % 4 > 0 THEN '+4930' || (c_custkey + 1234567) END AS phone FROM customer
+"""
 
 
 def jsonl_last(spark, sf_dir):
@@ -40,14 +45,14 @@ JSONL_LAST = "SELECT o_custkey, max(o_orderkey) AS o_orderkey, arg_max(o_orderst
 def cached_texts(spark, sf_dir):
     """Page texts of a host, newest first, up to a budget."""
     p = read(spark, sf_dir, "pages")
-    files = p.select(urls.host(F.col("url")).alias("host"), F.col("url").alias("path"), F.col("page_id").alias("mtime"), F.left("html", F.lit(900)).alias("text"))
-    return records.newest_texts(files, most=3, budget=2000, least=50).select("host", F.md5("text").alias("text_md5"), "files")
+    files = p.select(urls.host(F.col("url")).alias("host"), F.col("url").alias("path"), F.col("page_id").alias("mtime"), F.col("html").alias("text"))
+    return records.newest_texts(files).select("host", F.md5("text").alias("text_md5"), "files")
 
 
 CACHED_TEXTS = r"""
-WITH f AS (SELECT regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)', 1)), '^www\.', '') AS host, url AS path, page_id AS mtime, left(html, 900) AS text FROM pages),
+WITH f AS (SELECT regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)', 1)), '^www\.', '') AS host, url AS path, page_id AS mtime, html AS text FROM pages),
 r AS (SELECT *, row_number() OVER (PARTITION BY host ORDER BY mtime DESC, path) AS n FROM f QUALIFY n <= 3),
-t AS (SELECT host, left(string_agg(text, chr(10) ORDER BY n), 2000) AS text, count(*) AS files FROM r GROUP BY host)
+t AS (SELECT host, left(string_agg(text, chr(10) ORDER BY n), 40000) AS text, count(*) AS files FROM r GROUP BY host)
 SELECT host, md5(text) AS text_md5, files FROM t WHERE length(text) >= 50
 """
 

@@ -11,12 +11,16 @@ from firmlens.plans.web import read
 
 
 def orders_to_resume(spark, sf_dir):
-    """Customers without an order yet; those without a key would stay."""
-    done = read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"))
-    return relations.remaining(read(spark, sf_dir, "customer").select("c_custkey", "c_name"), done, ["c_custkey"])
+    """Customers without a partly done order; those without a key (every eleventh here) stay."""
+    done = read(spark, sf_dir, "orders").where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("key"))
+    todo = read(spark, sf_dir, "customer").select(F.when(F.pmod("c_custkey", F.lit(11)) > 0, F.col("c_custkey")).alias("key"), "c_name")
+    return relations.remaining(todo, done, ["key"])
 
 
-ORDERS_TO_RESUME = "SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)"
+ORDERS_TO_RESUME = """
+SELECT CASE WHEN c_custkey % 11 > 0 THEN c_custkey END AS key, c_name FROM customer
+WHERE c_custkey % 11 = 0 OR c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL AND o_orderstatus = 'P')
+"""
 
 
 def overlay_stitch(spark, sf_dir):
@@ -215,13 +219,13 @@ FREQUENCIES = " UNION ALL ".join(f"SELECT '{c}' AS name, coalesce(CAST({c} AS VA
 def golden_eval(spark, sf_dir):
     """Labelled documents as judged cases; the languages found stand for the partners matched."""
     cases = read(spark, sf_dir, "labels").select(F.col("doc_id").cast("string").alias("case_id"), F.array(F.lit("EN"), F.lit("de ")).alias("allowed"), (F.col("quality") == 0).alias("expect_no_match"))
-    d = read(spark, sf_dir, "documents").where(F.pmod("n_chars", F.lit(10)) > 0)
+    d = read(spark, sf_dir, "documents")
     rows = d.select(F.col("doc_id").cast("string").alias("case_id"), F.when(F.pmod("doc_id", F.lit(5)) == 0, F.lit("No suitable match found")).otherwise(F.col("lang")).alias("matched"), F.when(F.pmod("doc_id", F.lit(9)) == 0, "no_match").otherwise("strong").alias("confidence"))
     return relations.golden_eval(cases, rows)
 
 
 GOLDEN_EVAL = """
-WITH r AS (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 'no suitable match found' ELSE lang END AS matched, CASE WHEN doc_id % 9 = 0 THEN 'no_match' ELSE 'strong' END AS conf, true AS seen FROM documents WHERE n_chars % 10 > 0),
+WITH r AS (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 'no suitable match found' ELSE lang END AS matched, CASE WHEN doc_id % 9 = 0 THEN 'no_match' ELSE 'strong' END AS conf, true AS seen FROM documents),
 j AS (SELECT quality = 0 AS nm, coalesce(seen, false) AS seen, matched IS NULL OR matched = 'no suitable match found' OR conf = 'no_match' AS none, coalesce(matched IN ('en', 'de'), false) AS hit FROM labels LEFT JOIN r USING (doc_id)),
 k AS (SELECT *, seen AND CASE WHEN nm THEN none ELSE hit END AS ok FROM j)
 SELECT count(*) AS cases, count(*) FILTER (NOT seen) AS missing, count(*) FILTER (ok) AS passes, round(count(*) FILTER (ok) / count(*), 6) AS pass_rate,

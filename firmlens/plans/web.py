@@ -124,7 +124,7 @@ def html_text(spark, sf_dir):
 
 
 def link_topk(spark, sf_dir):
-    return html.top_links(read(spark, sf_dir, "pages"), most=3)
+    return html.top_links(read(spark, sf_dir, "pages"), most=3, exclude=fixed.EXCLUDED_PATHS)
 
 
 def text_lines(spark, sf_dir):

@@ -19,7 +19,7 @@ def last_by_row(rows: DataFrame, key: str, order: str) -> DataFrame:
     return last_wins(rows, [key], order)
 
 
-def newest_texts(files: DataFrame, *, most: int = 3, budget: int = 20_000, least: int = 50) -> DataFrame:
+def newest_texts(files: DataFrame, *, most: int = 3, budget: int = 40_000, least: int = 50) -> DataFrame:
     """files(host, path, mtime, text) to one text a host: the newest files, joined up to the budget of characters; hosts
     with fewer than `least` go."""
     w = Window.partitionBy("host").orderBy(F.desc("mtime"), "path")
