@@ -34,6 +34,12 @@ TYPE_PRIORITY = {
     "RA-MICRO Online": 20, "Vertragsmanagement": 21, "Direct Dial": 25, "Mobile": 30, "Fax": 80, "Unknown": 99,
 }
 
+# What the type of a model's output adds to its score; other types nothing.
+OUTPUT_TYPES = {
+    "Direct Dial": 25, "Sales": 20, "Main Office": 15, "Support": 10, "Mobile": 5, "Hotline": 3, "HR": -5, "Billing": -5,
+    "Other Department": 0, "Fax": -100, "Unknown": -10,
+}
+
 # Keywords of a person's role and their scores, first tier that holds one; any other role: 10, none: 0.
 ROLE_TIERS = (
     (-50, ("janitor", "caretaker", "facility", "facilities", "hausmeister", "hauswart", "security", "wach", "pförtner", "porter", "cleaner", "reinigung", "cleaning", "driver", "fahrer", "chauffeur", "intern", "praktikant", "trainee", "azubi")),
@@ -79,6 +85,42 @@ STOPWORDS = (
     "fokus", "support", "offered", "offering", "offerings", "angebot", "angebote",
 )
 
+# Words of a match's reasons that say something of this pair, and words that would fit any.
+SPECIFIC_MARKERS = (
+    "gemeinsame zielgruppe", "zielgruppe", "buyer", "buying center", "shared audience", "shared target audience", "same audience",
+    "gemeinsame ansprechpartner", "gemeinsame entscheider", "ähnliche produkte", "ähnliche services", "ähnliche produkt",
+    "gemeinsame branche", "überschneidende marktsegmente", "ähnliche branchenanforderungen", "gemeinsame kunden",
+    "anwendungsfälle", "workflow", "use cases", "einzelhändler", "law firms", "kanzlei", "marken", "logistik", "rfid",
+    "e-commerce", "vertrieb",
+)
+GENERIC_MARKERS = (
+    "digitale lösungen", "digitale software", "softwarelösungen", "digitalisierungslösungen", "plattformen", "technologie",
+    "automatisierung", "effizienzsteigerung", "prozessoptimierung", "transparenz", "innovation", "innovativ",
+    "künstliche intelligenz", "ki ",
+)
+
+# A partner's fields in its summary with their labels, and those that a matching model is told.
+SUMMARY_FIELDS = (
+    ("industry", "Industry"), ("usp", "USP"), ("services_products", "Services/Products"), ("target_audience", "Target Audience"),
+    ("business_model", "Business Model"), ("company_size", "Company Size"), ("innovation_level", "Innovation Level"),
+    ("geographic_reach", "Geographic Reach"), ("partnership_notes", "Partnership Notes"),
+)
+PAYLOAD_FIELDS = ("partner_id", "name", "rank", "target_audience", "services_products", "usp", "industry", "business_model", "match_candidate_summary")
+
+# Columns that may describe a company, in order; columns of found numbers; words of pages that block.
+FALLBACK_COLUMNS = ("Combined_Description", "Description", "Beschreibung", "categories", "products", "pdf_text")
+RETRIEVED_COLUMNS = ("phonenumber_found", "top_number_1", "top_number_2", "top_number_3", "found_number", "bestpersoncontactnumber")
+BLOCK_WORDS = ("access denied", "captcha", "cloudflare", "bot detection", "verify you are human", "enable javascript", "forbidden", "service unavailable", "temporarily unavailable")
+
+# Lines of a contact page that are no contacts, headings that contacts follow, words that no role holds.
+CONTACT_NOISE = (
+    "mehr lesen", "download", "zum hallenplan", "produkte", "zum produkt", "keywords", "wir bieten", "branche", "über uns", "halles",
+    "standnummer", "hersteller", "video", "kontaktinformation", "sprache", "kontakt per e-mail", "zum ausstellerverzeichnis", "hallenplan",
+    "programm", "news", "newsletter", "impressum", "datenschutz", "agb",
+)
+CONTACT_HEADINGS = ("mitarbeiter", "ansprechpartner", "contacts", "kontakt", "team")
+NO_ROLE = ("zum produkt", "download", "hallenplan")
+
 # Weights of a shared tag by category, lower for generic tags; points off for unlike domains.
 TAG_WEIGHTS = {"audience": 26, "workflow": 18, "domain": 14}
 GENERIC_TAG_WEIGHTS = {"sme_buyers": 10, "workflow_automation": 8}

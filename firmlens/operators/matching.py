@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from firmlens.functions import fixed
 from firmlens.functions.text import clean_text, contains_any, match_text, match_tokens
+from firmlens.shared import find_package
 
 #: Rows that a partner or taxonomy table may have to be broadcast; larger ones are joined by their keys.
 SMALL_TABLE = 100_000
+#: Terms of all partners that are sent to every task as postings (about 24 bytes each).
+MAX_TERMS = 4_000_000
 
 
 def small(table: DataFrame) -> DataFrame:
@@ -107,6 +114,141 @@ def tfidf_cosine(targets: DataFrame, partners: DataFrame) -> DataFrame:
     return out.select("target", "partner", (F.col("dot") / F.sqrt(F.col("tnorm") * (F.col("plain") + F.col("more")))).alias("cosine"))
 
 
+def hashed_terms(tokens: Column) -> tuple[Column, Column]:
+    """Of an array of tokens: their 64-bit hashes, and those with the hashes of pairs of neighbours (1- and 2-grams)."""
+    one = F.transform(tokens, lambda t: F.xxhash64(t))
+    two = F.transform(F.sequence(F.lit(1), F.size(tokens) - 1), lambda i: F.xxhash64(F.get(tokens, i - 1), F.get(tokens, i)))
+    return one, F.concat(one, F.when(F.size(tokens) > 1, two).otherwise(F.array().cast("array<bigint>")))
+
+
+def _distinct(rows: np.ndarray, terms: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (row, term) with their summed weights, in order."""
+    order = np.lexsort((terms, rows))
+    r, t = rows[order], terms[order]
+    first = np.flatnonzero(np.concatenate([[True], (r[1:] != r[:-1]) | (t[1:] != t[:-1])])) if len(r) else np.zeros(0, np.int64)
+    return r[first], t[first], np.add.reduceat(weights[order], first) if len(first) else np.zeros(0)
+
+
+class PartnerIndex:
+    """Postings of a small partner table: by term, which partners have it, how often; and each partner's plain norm."""
+
+    def __init__(self, sparse: list, dense: list):
+        self.size = len(sparse)
+        flat = lambda xs: (np.repeat(np.arange(len(xs)), [len(x) for x in xs]), np.array([t for x in xs for t in x], np.int64))
+        self.sparse = self.postings(*_distinct(*flat(sparse), np.ones(sum(map(len, sparse)))))
+        p, t, n = _distinct(*flat(dense), np.ones(sum(map(len, dense))))
+        tf = 1 + np.log(n) if len(n) else n
+        terms, df = np.unique(t, return_counts=True)
+        self.plain = np.bincount(p, (tf * self.idf(df[np.searchsorted(terms, t)])) ** 2, self.size) if len(p) else np.zeros(self.size)
+        self.dense = self.postings(p, t, tf)
+
+    def idf(self, df: np.ndarray) -> np.ndarray:
+        return np.log((2.0 + self.size) / (1.0 + df)) + 1.0
+
+    @staticmethod
+    def postings(partner, term, weight):
+        order = np.argsort(term, kind="stable")
+        terms, first = np.unique(term[order], return_index=True)
+        return terms, np.append(first, len(term)), partner[order], weight[order]
+
+    @staticmethod
+    def find(index, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """For terms: which of them are known, how many partners have each of these, and those partners and weights."""
+        known, bounds, partner, weight = index
+        at = np.minimum(np.searchsorted(known, terms), max(len(known) - 1, 0))
+        hit = np.flatnonzero(known[at] == terms) if len(known) else np.zeros(0, np.int64)
+        low = bounds[at[hit]]
+        n = bounds[at[hit] + 1] - low
+        where = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        return hit, n, partner[where], weight[where]
+
+    def scores(self, n_rows: int, sparse: tuple, dense: tuple) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of rows against all partners: sums of shared weights, numbers of shared terms, cosines."""
+        shape = (n_rows, self.size)
+        cells = lambda rows, partners, w: np.bincount(rows * self.size + partners, w, n_rows * self.size).reshape(shape)
+        row, term, weight = sparse
+        hit, n, partner, _ = self.find(self.sparse, term)
+        rows = np.repeat(row[hit], n)
+        score, terms = cells(rows, partner, np.repeat(weight[hit], n)), cells(rows, partner, None)
+        row, term, count = dense
+        hit, n, partner, ptf = self.find(self.dense, term)
+        df = np.zeros(len(term))
+        df[hit] = n
+        ttf, tidf = 1 + np.log(np.maximum(count, 1)), self.idf(df + 1)
+        norm = np.bincount(row, (ttf * tidf) ** 2, n_rows) if len(row) else np.zeros(n_rows)
+        rows, t, i, plain = np.repeat(row[hit], n), np.repeat(ttf[hit], n), np.repeat(tidf[hit], n), np.repeat(self.idf(df[hit]), n)
+        dot = cells(rows, partner, t * i * ptf * i)
+        more = cells(rows, partner, (ptf * i) ** 2 - (ptf * plain) ** 2)
+        return score, terms, dot / np.sqrt(np.maximum(norm[:, None] * (self.plain + more), 1e-300))
+
+
+SCORED = "partner long, score long, terms long, cosine double, sparse_rank int, dense_rank int, fused double, place int"
+
+
+def score_partners(targets: DataFrame, partners: DataFrame, weights: dict[str, int], *, k: int = 60, top: int = 10) -> DataFrame:
+    """Per row of targets(target, dense, and array columns of terms by weights): the partners among its first `top` by
+    shared terms, or by TF-IDF cosine of 1- and 2-grams (each SCORED column null where a partner is not among them), and
+    their place by reciprocal rank fusion.
+
+    partners: partner, position (its place in the list, which breaks ties), sparse, dense. All are arrays of hashed terms.
+    The partner table is a parameter of a run: MAX_TERMS terms and SMALL_TABLE rows at most are sent to every task as
+    postings, and each target's terms are folded against them in place, so that nothing is shuffled; a larger table is an
+    error (term_overlap, tfidf_cosine and rank_fusion join on terms instead). Cosines count to six decimals in ranks. The
+    corpus of a target is itself and all partners. Targets without any shared term give no rows.
+    """
+    find_package(targets.sparkSession)
+    size = partners.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.size("sparse") + F.size("dense")), F.lit(0)).alias("terms")).first()
+    if size["rows"] > SMALL_TABLE or size["terms"] > MAX_TERMS:
+        raise ValueError(f"{size['rows']} partners with {size['terms']} terms are too many to send to every task")
+    rows = partners.select("partner", "position", "sparse", "dense").orderBy("position", "partner").collect()
+    names = np.array([r["partner"] for r in rows], np.int64)
+    shared = targets.sparkSession.sparkContext.broadcast(PartnerIndex([r["sparse"] for r in rows], [r["dense"] for r in rows]))
+    columns = list(weights.items())
+    kind = dict(targets.dtypes)["target"]
+
+    def ranks(values: np.ndarray, some: np.ndarray) -> np.ndarray:
+        """Places of the first `top` by value among those that are some, else 0; the list's order breaks ties."""
+        order = np.argsort(-values, kind="stable")
+        order = order[some[order]][:top]
+        out = np.zeros(len(values), np.int64)
+        out[order] = np.arange(1, len(order) + 1)
+        return out
+
+    def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        lists = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+        sizes = np.diff(lists.offsets.to_numpy())
+        return np.repeat(np.arange(len(sizes)), sizes), lists.flatten().to_numpy(zero_copy_only=False)
+
+    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = shared.value
+        step = max(1, min(512, 4_000_000 // max(index.size, 1)))
+        for whole in frames:
+            for start in range(0, whole.num_rows, step):
+                frame = whole.slice(start, step)
+                parts = [(*flat(frame.column(frame.schema.get_field_index(c))), w) for c, w in columns]
+                sparse = _distinct(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]), np.concatenate([np.full(len(p[0]), float(p[2])) for p in parts]))
+                own = flat(frame.column(frame.schema.get_field_index("dense")))
+                score, terms, cosine = index.scores(frame.num_rows, sparse, _distinct(*own, np.ones(len(own[0]))))
+                cosine = np.round(cosine, 6)
+                out: list[tuple] = []
+                for i in range(frame.num_rows):
+                    s, d = ranks(score[i], terms[i] > 0), ranks(cosine[i], cosine[i] > 0)
+                    at = np.flatnonzero((s > 0) | (d > 0))
+                    fused = np.where(s[at] > 0, 1.0 / (k + s[at]), 0.0) + np.where(d[at] > 0, 1.0 / (k + d[at]), 0.0)
+                    places = np.empty(len(at), np.int64)
+                    places[np.lexsort((at, -np.where(d[at] > 0, cosine[i][at], 0.0), -fused))] = np.arange(1, len(at) + 1)
+                    for a, f, p in zip(at, fused, places, strict=True):
+                        x, y = s[a] > 0, d[a] > 0
+                        out.append((i, int(names[a]), int(score[i][a]) if x else None, int(terms[i][a]) if x else None, float(cosine[i][a]) if y else None, int(s[a]) if x else None, int(d[a]) if y else None, float(f), int(p)))
+                if out:
+                    cols = list(zip(*out, strict=True))
+                    types = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int32(), pa.float64(), pa.int32())
+                    target = frame.column(frame.schema.get_field_index("target")).take(pa.array(cols[0], pa.int64()))
+                    yield pa.RecordBatch.from_arrays([target, *[pa.array(c, t) for c, t in zip(cols[1:], types, strict=True)]], names=["target", *[x.split()[0] for x in SCORED.split(", ")]])
+
+    return targets.select("target", "dense", *weights).mapInArrow(run, f"target {kind}, {SCORED}")
+
+
 def rank_fusion(sparse: DataFrame, dense: DataFrame, *, k: int = 60, top: int = 10, keep: int = 5) -> DataFrame:
     """Reciprocal rank fusion of sparse(target, partner, score) and dense(target, partner, cosine): the first `top` of each
     count 1 / (k + rank); the best `keep` pairs of a target by (fused, cosine, partner)."""

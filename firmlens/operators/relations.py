@@ -202,3 +202,65 @@ def newest_completed(runs: DataFrame, by: str) -> DataFrame:
     """The newest completed run of each input."""
     done = runs.where(F.col("status") == "completed")
     return last_wins(done, [by], "started_at")
+
+
+# ---------------------------------------------------------------- workers, sheets, sites
+
+def stitch_summary(base: DataFrame, extra: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(name, n): rows of either side, matched base rows, and rows of either side that the other lacks."""
+    b, e, k = base.select(*keys), extra.select(*keys), list(keys)
+    counts = {"base": b, "extra": e, "matched": b.join(e.distinct(), k, "left_semi"), "base_only": b.join(e.distinct(), k, "left_anti"), "extra_only": e.join(b.distinct(), k, "left_anti")}
+    return stack(*[df.agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("n")) for name, df in counts.items()])
+
+
+def row_jobs(rows: DataFrame, row_id: str, first: int, last: int, jobs: int) -> DataFrame:
+    """Rows first … last with the number and the bounds of their job: ranges of equal length, so that workers' results are
+    merged in order of rows by sorting on (job, row_id) alone."""
+    size = max(1, -(-(last - first + 1) // max(1, jobs)))
+    job = F.floor((F.col(row_id) - first) / size)
+    rows = rows.where(F.col(row_id).between(first, last)).withColumn("job", job)
+    return rows.withColumns({"first_row": first + F.col("job") * size, "last_row": F.least(F.lit(last).cast("long"), first + (F.col("job") + 1) * size - 1)})
+
+
+def write_back(sheet: DataFrame, results: DataFrame, keys: Sequence[str], column: str, found: str) -> DataFrame:
+    """The rows of sheets with the result of the same place (of several the greatest) in an empty cell."""
+    r = results.groupBy(*keys).agg(F.max(found).alias("_found"))
+    return sheet.join(r, list(keys), "left").withColumn(column, F.coalesce(blank_to_null(F.col(column)), blank_to_null(F.col("_found")), F.lit(""))).drop("_found")
+
+
+def sheet_summary(rows: DataFrame, sheet: str, kept: Column) -> DataFrame:
+    return rows.groupBy(sheet).agg(F.count(F.lit(1)).alias("total"), F.count_if(kept).alias("kept"), F.count_if(~kept).alias("dropped"))
+
+
+def site_inputs(rows: DataFrame, site: str, name: str, row: str) -> DataFrame:
+    """Per site its names, in order, and its input rows' number."""
+    return rows.groupBy(site).agg(F.array_join(F.array_sort(F.collect_set(name)), ", ").alias("names"), F.count(row).alias("rows"))
+
+
+def merge_absent(new: DataFrame, cached: DataFrame, key: str) -> DataFrame:
+    """New rows, and cached ones whose key no new row has."""
+    return new.unionByName(cached.join(new.select(key).distinct(), key, "left_anti"))
+
+
+def only_inputs(rows: DataFrame, inputs: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows that share one of the keys with an input row."""
+    marked = rows.withColumn("_row", F.monotonically_increasing_id()) if len(keys) > 1 else rows
+    parts = [marked.join(inputs.select(k).where(F.col(k).isNotNull()).distinct(), k, "left_semi").select(*marked.columns) for k in keys]
+    return parts[0] if len(parts) == 1 else stack(*parts).dropDuplicates(["_row"]).drop("_row")
+
+
+def first_seen_rows(rows: DataFrame, key: str, order: str) -> DataFrame:
+    """The first row of each key by order, whatever workers saw it."""
+    rest = [c for c in rows.columns if c != key]
+    best = rows.groupBy(key).agg(F.min_by(F.struct(*rest), F.col(order)).alias("_r"))
+    return best.select(key, *[F.col(f"_r.{c}").alias(c) for c in rest])
+
+
+def failure_counts(rows: DataFrame, stage: str) -> DataFrame:
+    return rows.where(F.col(stage).isNotNull()).groupBy(stage).agg(F.count(F.lit(1)).alias("n"))
+
+
+def average_durations(tasks: DataFrame, task: str, seconds: str) -> DataFrame:
+    """Average time of each task as text, N/A where nothing was measured."""
+    mean = F.try_divide(F.sum(seconds), F.count_if(F.col(seconds) > 0))
+    return tasks.groupBy(task).agg(F.coalesce(F.format_string("%.2f", mean.cast("double")), F.lit("N/A")).alias("average"))

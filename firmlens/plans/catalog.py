@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from firmlens.plans import calls, matching, people, runs, tables, web
+from firmlens.plans import calls, completion, matching, people, ranking, runs, tables, web
 
-_ALL = web.QUERIES | people.QUERIES | matching.QUERIES | tables.QUERIES | runs.QUERIES | calls.QUERIES
+_ALL = web.QUERIES | people.QUERIES | matching.QUERIES | tables.QUERIES | runs.QUERIES | calls.QUERIES | ranking.QUERIES | completion.QUERIES
 
 QUERIES = {name: query for name, (query, _) in _ALL.items()}
 ORACLE_SQL = {name: sql for name, (_, sql) in _ALL.items() if sql}

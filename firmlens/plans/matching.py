@@ -73,56 +73,58 @@ SELECT target, partner, CAST(overlap - penalty AS BIGINT) AS score, shared, CAST
 """
 
 
-def _target_terms(spark, sf_dir):
-    return matching.weighted_terms(read(spark, sf_dir, "documents").select(F.col("doc_id").alias("target"), "text", "source"), "target", {"text": 4, "source": 2})
-
-
-def _partner_tokens(spark, sf_dir):
-    t = read(spark, sf_dir, "benchmark").select(F.col("item_id").alias("partner"), F.explode(match_tokens(F.col("text"))).alias("token"))
-    return t.groupBy("partner", "token").agg(F.count(F.lit(1)).alias("n"))
+def _scored(spark, sf_dir):
+    """Documents as companies against benchmark items as partners, in list order from the last item to the first."""
+    tokens = match_tokens(F.col("text")).alias("tokens")
+    one, both = matching.hashed_terms(F.col("tokens"))
+    d = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("target"), tokens, match_tokens(F.col("source")).alias("names"))
+    targets = d.select("target", one.alias("own"), matching.hashed_terms(F.col("names"))[0].alias("listed"), both.alias("dense"))
+    b = read(spark, sf_dir, "benchmark").select(F.col("item_id").alias("partner"), tokens)
+    partners = b.select("partner", (-F.col("partner")).alias("position"), one.alias("sparse"), both.alias("dense"))
+    return matching.score_partners(targets, partners, {"own": 4, "listed": 2})
 
 
 def token_overlap(spark, sf_dir):
-    return matching.term_overlap(_target_terms(spark, sf_dir), _partner_tokens(spark, sf_dir))
+    return _scored(spark, sf_dir).where("sparse_rank IS NOT NULL").select("target", "partner", "score", "terms", "sparse_rank")
 
 
 _TT = f"SELECT target, token, sum(w) AS weight FROM (SELECT doc_id AS target, unnest({s_tokens('text')}) AS token, 4 AS w FROM documents UNION ALL SELECT doc_id, unnest({s_tokens('source')}), 2 FROM documents) GROUP BY ALL"
-_PT = f"SELECT item_id AS partner, token, count(*) AS n FROM (SELECT item_id, unnest({s_tokens('text')}) AS token FROM benchmark) GROUP BY ALL"
-TOKEN_OVERLAP = f"SELECT target, partner, CAST(sum(weight) AS BIGINT) AS score, count(*) AS terms FROM ({_TT}) t JOIN ({_PT}) p USING (token) GROUP BY ALL"
+_PT = f"SELECT DISTINCT item_id AS partner, unnest({s_tokens('text')}) AS token FROM benchmark"
+TOKEN_OVERLAP = f"""
+SELECT target, partner, CAST(sum(weight) AS BIGINT) AS score, count(*) AS terms, CAST(row_number() OVER (PARTITION BY target ORDER BY sum(weight) DESC, partner DESC) AS INT) AS sparse_rank FROM ({_TT}) t JOIN ({_PT}) p USING (token) GROUP BY target, partner QUALIFY sparse_rank <= 10
+"""
 
 
-def _counts(spark, sf_dir):
-    t = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("target"), F.explode(match_tokens(F.col("text"))).alias("token"))
-    return t.groupBy("target", "token").agg(F.count(F.lit(1)).alias("n"))
+def tfidf_cosine(spark, sf_dir):
+    return _scored(spark, sf_dir).where("dense_rank IS NOT NULL").select("target", "partner", "cosine", "dense_rank")
 
 
-def tfidf_cosine(spark, sf_dir):
-    return matching.tfidf_cosine(_counts(spark, sf_dir), _partner_tokens(spark, sf_dir)).withColumn("cosine", F.round("cosine", 6))
+def _grams(key, table):
+    ts = f"SELECT {key[0]} AS {key[1]}, {s_tokens('text')} AS ts FROM {table}"
+    return f"SELECT {key[1]}, token, count(*) AS n FROM (SELECT {key[1]}, unnest(list_concat(ts, list_transform(range(1, len(ts)), lambda i: ts[i] || ' ' || ts[i + 1]))) AS token FROM ({ts})) GROUP BY ALL"
 
 
 TFIDF_COSINE = f"""
-WITH p AS ({_PT}), t AS (SELECT target, token, count(*) AS n FROM (SELECT doc_id AS target, unnest({s_tokens('text')}) AS token FROM documents) GROUP BY ALL),
-n AS (SELECT CAST(count(DISTINCT partner) + 1 AS DOUBLE) AS n FROM p), df AS (SELECT token, CAST(count(*) AS DOUBLE) AS df FROM p GROUP BY token),
+WITH p AS ({_grams(('item_id', 'partner'), 'benchmark')}), t AS ({_grams(('doc_id', 'target'), 'documents')}),
+n AS (SELECT CAST(count(*) + 1 AS DOUBLE) AS n FROM benchmark), df AS (SELECT token, CAST(count(*) AS DOUBLE) AS df FROM p GROUP BY token),
 pw AS (SELECT partner, token, 1 + ln(p.n) AS tf, df FROM p JOIN df USING (token)),
 pn AS (SELECT partner, sum((tf * (ln((1 + n.n) / (1 + df)) + 1)) ** 2) AS plain FROM pw, n GROUP BY partner),
 tw AS (SELECT target, token, 1 + ln(t.n) AS tf, ln((1 + n.n) / (2 + coalesce(df, 0))) + 1 AS idf FROM t LEFT JOIN df USING (token), n),
 tn AS (SELECT target, sum((tf * idf) ** 2) AS norm FROM tw GROUP BY target),
-b AS (SELECT target, partner, sum(tw.tf * idf * pw.tf * idf) AS dot, sum((pw.tf * idf) ** 2 - (pw.tf * (ln((1 + n.n) / (1 + df)) + 1)) ** 2) AS more FROM tw JOIN pw USING (token), n GROUP BY ALL)
-SELECT target, partner, round(dot / sqrt(norm * (plain + more)), 6) AS cosine FROM b JOIN tn USING (target) JOIN pn USING (partner)
+b AS (SELECT target, partner, sum(tw.tf * idf * pw.tf * idf) AS dot, sum((pw.tf * idf) ** 2 - (pw.tf * (ln((1 + n.n) / (1 + df)) + 1)) ** 2) AS more FROM tw JOIN pw USING (token), n GROUP BY ALL),
+c AS (SELECT target, partner, round(dot / sqrt(norm * (plain + more)), 6) AS cosine FROM b JOIN tn USING (target) JOIN pn USING (partner))
+SELECT *, CAST(row_number() OVER (PARTITION BY target ORDER BY cosine DESC, partner DESC) AS INT) AS dense_rank FROM c WHERE cosine > 0 QUALIFY dense_rank <= 10
 """
 
 
 def partner_shortlist(spark, sf_dir):
-    out = matching.rank_fusion(token_overlap(spark, sf_dir), tfidf_cosine(spark, sf_dir), k=60, top=10, keep=5)
-    return out.select("target", "partner", "place", F.round("fused", 6).alias("fused"), "sparse_rank", "dense_rank")
+    return _scored(spark, sf_dir).where("place <= 5").select("target", "partner", "place", F.round("fused", 6).alias("fused"), "sparse_rank", "dense_rank")
 
 
 PARTNER_SHORTLIST = f"""
-WITH s AS (SELECT target, partner, row_number() OVER (PARTITION BY target ORDER BY score DESC, partner) AS sparse_rank FROM ({TOKEN_OVERLAP}) QUALIFY sparse_rank <= 10),
-d AS (SELECT target, partner, cosine, row_number() OVER (PARTITION BY target ORDER BY cosine DESC, partner) AS dense_rank FROM ({TFIDF_COSINE}) QUALIFY dense_rank <= 10),
-f AS (SELECT target, partner, coalesce(cosine, 0) AS cosine, CAST(sparse_rank AS INT) AS sparse_rank, CAST(dense_rank AS INT) AS dense_rank,
-        coalesce(1.0::DOUBLE / (60 + sparse_rank), 0) + coalesce(1.0::DOUBLE / (60 + dense_rank), 0) AS fused FROM s FULL JOIN d USING (target, partner))
-SELECT target, partner, CAST(row_number() OVER (PARTITION BY target ORDER BY fused DESC, cosine DESC, partner) AS INT) AS place, round(fused, 6) AS fused, sparse_rank, dense_rank FROM f
+WITH f AS (SELECT target, partner, coalesce(cosine, 0) AS cosine, sparse_rank, dense_rank, coalesce(1.0::DOUBLE / (60 + sparse_rank), 0) + coalesce(1.0::DOUBLE / (60 + dense_rank), 0) AS fused
+           FROM ({TOKEN_OVERLAP}) s FULL JOIN ({TFIDF_COSINE}) d USING (target, partner))
+SELECT target, partner, CAST(row_number() OVER (PARTITION BY target ORDER BY fused DESC, cosine DESC, partner DESC) AS INT) AS place, round(fused, 6) AS fused, sparse_rank, dense_rank FROM f
 QUALIFY place <= 5
 """
 
