@@ -133,26 +133,22 @@ def safe_name(url: Column, longest: int = 100) -> Column:
     return F.concat(F.left(plain, F.lit(longest)), F.lit("_"), F.left(F.sha2(url.cast("binary"), 256), F.lit(8)))
 
 
-def link_score(url: Column, text: Column, most_segments: int = 3) -> Column:
+def link_score(url: Column, text: Column, most_segments: int = 3, *, critical: Sequence[str] = fixed.CRITICAL_KEYWORDS, high: Sequence[str] = fixed.HIGH_KEYWORDS, target: Sequence[str] = fixed.TARGET_LINK_KEYWORDS, force: Sequence[str] = fixed.CONTACT_KEYWORDS + fixed.IMPRINT_KEYWORDS) -> Column:
     """Score of a link for the crawl order: contact and imprint paths 100, critical and high keywords 100 and 90 less 5
     for each segment over most_segments, keyword anywhere 80 less 5 a position, another target keyword as a segment 70
     less 3 a segment, keyword inside a segment 50, in the text 40. Null for a link without a target keyword in address or text."""
     segments = F.filter(F.split(F.lower(path(url)), "/"), lambda s: s != "")
     n = F.size(segments)
-    has = lambda words: F.arrays_overlap(segments, F.array(*[F.lit(w) for w in words]))
-    deep = lambda most: F.least(F.lit(most), F.greatest(F.lit(0), n - most_segments) * 5)
-    critical = F.when(has(fixed.CRITICAL_KEYWORDS), 100 - deep(20)).otherwise(0)
-    high = F.when(has(fixed.HIGH_KEYWORDS), 90 - deep(20)).otherwise(0)
-    both = F.array(*[F.lit(w) for w in fixed.CRITICAL_KEYWORDS + fixed.HIGH_KEYWORDS])
+    has = lambda words: F.arrays_overlap(segments, F.array(*[F.lit(w) for w in words]).cast("array<string>"))
+    deep = lambda most, each=5: F.least(F.lit(most), F.greatest(F.lit(0), n - most_segments) * each)
+    both = F.array(*[F.lit(w) for w in (*critical, *high)]).cast("array<string>")
     first = F.array_position(F.transform(segments, lambda s: F.array_contains(both, s)), True)
-    anywhere = F.when(first > 0, 80 - (first - 1) * 5 - deep(15)).otherwise(0)
-    other = tuple(w for w in fixed.TARGET_LINK_KEYWORDS if w not in fixed.CRITICAL_KEYWORDS + fixed.HIGH_KEYWORDS)
-    target = F.when(has(other), 70 - F.least(F.lit(10), F.greatest(F.lit(0), n - most_segments) * 3)).otherwise(0)
-    inside = F.when(F.exists(segments, lambda s: contains_any(s, fixed.TARGET_LINK_KEYWORDS)), 50).otherwise(0)
-    in_text = F.when(contains_any(F.lower(text), fixed.TARGET_LINK_KEYWORDS), 40).otherwise(0)
-    force = F.when(has(fixed.CONTACT_KEYWORDS + fixed.IMPRINT_KEYWORDS), 100).otherwise(0)
-    named = contains_any(F.lower(url), fixed.TARGET_LINK_KEYWORDS) | contains_any(F.lower(text), fixed.TARGET_LINK_KEYWORDS)
-    return F.when(named | (force > 0), F.greatest(force, critical, high, anywhere, target, inside, in_text)).cast("int")
+    others = [w for w in target if w not in critical and w not in high]
+    scores = (
+        F.when(has(force), 100), F.when(has(critical), 100 - deep(20)), F.when(has(high), 90 - deep(20)), F.when(first > 0, 80 - (first - 1) * 5 - deep(15)),
+        F.when(has(others), 70 - deep(10, 3)), F.when(F.exists(segments, lambda s: contains_any(s, target)), 50), F.when(contains_any(F.lower(text), target), 40))
+    named = contains_any(F.lower(url), target) | contains_any(F.lower(text), target) | has(force)
+    return F.when(named, F.coalesce(F.greatest(*scores), F.lit(0))).cast("int")
 
 
 def excluded(url: Column, patterns: Sequence[str]) -> Column:

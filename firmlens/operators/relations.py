@@ -263,4 +263,4 @@ def failure_counts(rows: DataFrame, stage: str) -> DataFrame:
 def average_durations(tasks: DataFrame, task: str, seconds: str) -> DataFrame:
     """Average time of each task as text, N/A where nothing was measured."""
     mean = F.try_divide(F.sum(seconds), F.count_if(F.col(seconds) > 0))
-    return tasks.groupBy(task).agg(F.coalesce(F.format_string("%.2f", mean.cast("double")), F.lit("N/A")).alias("average"))
+    return tasks.groupBy(task).agg(F.when(mean.isNotNull(), F.format_string("%.2f", mean.cast("double"))).otherwise("N/A").alias("average"))

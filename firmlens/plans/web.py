@@ -123,8 +123,12 @@ def html_text(spark, sf_dir):
     return t.select("page_id", F.length("text").cast("long").alias("n_chars"), F.size(F.split("text", "\n")).cast("long").alias("n_lines"), F.md5("text").alias("text_md5"))
 
 
+LINK_WORDS = {"critical": ("the",), "high": ("de", "in"), "target": ("the", "de", "in", "is", "en", "la", "er"), "force": ("was",)}
+
+
 def link_topk(spark, sf_dir):
-    return html.top_links(read(spark, sf_dir, "pages"), most=3, exclude=fixed.EXCLUDED_PATHS)
+    """The best links of each page, by common words as keywords: the pages' links are such words."""
+    return html.top_links(read(spark, sf_dir, "pages"), most=3, exclude=(*fixed.EXCLUDED_PATHS, "/los"), **LINK_WORDS)
 
 
 def text_lines(spark, sf_dir):

@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def find_package(spark: SparkSession) -> None:
@@ -27,3 +27,10 @@ def shared_folder(spark: SparkSession, name: str) -> str:
         base = f"file://{tempfile.mkdtemp(prefix='spark-firmlens-')}"
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base}/firmlens/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df written to a fresh shared folder and read back: what was dear to make, model calls above all, is made once."""
+    path = shared_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -100,10 +100,10 @@ def page_text(pages: DataFrame) -> DataFrame:
     return _parsed(pages).select("page_id", "url", clean_lines(F.col("raw")).alias("text"))
 
 
-def top_links(pages: DataFrame, *, most: int = 3, least: int = 0, exclude: tuple[str, ...] = ()) -> DataFrame:
+def top_links(pages: DataFrame, *, most: int = 3, least: int = 0, exclude: tuple[str, ...] = (), **keywords) -> DataFrame:
     """The best links of each page within its host, by score, then address: the crawl order without a crawler.
 
-    Links without a target keyword and links whose path holds one of `exclude` have no place in it. Null html: no links;
+    keywords: those of urls.link_score. Links without a target keyword and links whose path holds one of `exclude` have no place in it. Null html: no links;
     repeated rows of a page count once; an empty table gives no rows; further columns are not read.
     """
 
@@ -116,6 +116,6 @@ def top_links(pages: DataFrame, *, most: int = 3, least: int = 0, exclude: tuple
     links = links.mapInArrow(join, "page_id long, url string, target string, text string")
     links = links.where(urls.scheme(F.col("target")).isin("http", "https") & (urls.host(F.col("target")) == urls.host(F.col("url"))))
     links = links.where(~urls.excluded(F.col("target"), exclude))
-    links = links.groupBy("page_id", urls.normalize(F.col("target")).alias("link")).agg(F.max(urls.link_score(urls.normalize(F.col("target")), F.col("text"))).alias("score"))
+    links = links.groupBy("page_id", urls.normalize(F.col("target")).alias("link")).agg(F.max(urls.link_score(urls.normalize(F.col("target")), F.col("text"), **keywords)).alias("score"))
     w = Window.partitionBy("page_id").orderBy(F.desc("score"), "link")
     return links.where(F.col("score") >= least).withColumn("place", F.row_number().over(w)).where(F.col("place") <= most)
