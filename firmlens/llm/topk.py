@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firmlens.llm.common import materialize
+from firmlens.llm.common import materialize, parallelism
 
 #: Rows of a block of candidates and of a block of queries; a task holds one block of each and their scores.
 CANDIDATES, QUERIES = 8192, 512
@@ -104,8 +104,8 @@ def top_k(vectors: DataFrame, is_query, *, k: int = 20, scale: float = 64.0) ->
 
     Components become floor(scale * x); the score is the integer inner product over shared components; a query is never
     its own candidate (rows are told apart by vec_id). Every query meets every row: candidates and queries are packed
-    in blocks of fixed size, each query block is sent to each of as many buckets as there are candidate blocks, and the
-    joined pairs of blocks give k rows a query. What a task holds doesn't grow with the table.
+    in blocks of fixed size and written, each query block is sent to each of as many buckets as there are candidate
+    blocks, and the joined pairs of blocks give k rows a query. What a task holds doesn't grow with the table.
 
     Vectors that are null, or hold a null or non-finite component, take no part; null vec_id neither. Repeated vec_id:
     each row is a candidate, and the query's best are taken over all rows of that id (one list an id). Scores are exact
@@ -123,19 +123,30 @@ def top_k(vectors: DataFrame, is_query, *, k: int = 20, scale: float = 64.0) ->
     asked = ints.where(is_query(F.col("vec_id"))).dropDuplicates(["vec_id", "v"])
     n_asked = asked.count()
     schema = "ids binary, terms binary, bounds binary, rows binary, weights binary"
-    blocks = ints.repartition(buckets).mapInArrow(lambda it: pack(it, CANDIDATES), schema)
-    blocks = blocks.select(F.pmod(F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) + F.spark_partition_id(), F.lit(buckets)).alias("bucket"), *[F.col(c).alias(f"c_{c}") for c in blocks.columns])
-    queries = asked.repartition(max(1, -(-n_asked // QUERIES))).mapInArrow(lambda it: pack(it, QUERIES), schema)
-    queries = queries.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(buckets - 1).cast("long"))).alias("bucket"), *[F.col(c).alias(f"q_{c}") for c in queries.columns])
+    # blocks are written before they meet: what a block holds depends on the order in which a shuffle gave its rows
+    number = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) + F.spark_partition_id()
+    blocks = ints.repartition(buckets).mapInArrow(lambda it: pack(it, CANDIDATES), schema).withColumn("bucket", F.pmod(number, F.lit(buckets)))
+    blocks = materialize(blocks, "candidates")
+    asked = asked.repartition(max(1, -(-n_asked // QUERIES))).mapInArrow(lambda it: pack(it, QUERIES), schema).withColumn("part", number)
+    asked = materialize(asked, "queries")
+    # where there are few buckets, each is searched in several tasks
+    groups = max(1, -(-2 * parallelism(spark) // buckets))
+    upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+    blocks = blocks.select("bucket", upto(groups).alias("group"), *[F.col(c).alias(f"c_{c}") for c in ("ids", "terms", "bounds", "rows", "weights")])
+    queries = asked.select(upto(buckets).alias("bucket"), F.pmod("part", F.lit(groups)).alias("group"), *[F.col(c).alias(f"q_{c}") for c in ("ids", "terms", "bounds", "rows", "weights")])
 
     def search(frames):
+        last = candidates = None
         for frame in frames:
+            ids, buckets = frame.column(frame.schema.get_field_index("c_ids")), frame.column(0)
             for i in range(frame.num_rows):
                 row = frame.slice(i, 1).to_pylist()[0]
-                found = search_block(load(row, "q_"), load(row, "c_"), k)
+                if last != (buckets[i], ids[i]):  # rows come by bucket, so a block is unpacked once a task
+                    last, candidates = (buckets[i], ids[i]), load(row, "c_")
+                found = search_block(load(row, "q_"), candidates, k)
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in found], names=["query_id", "vec_id", "score"])
 
-    pairs = queries.join(blocks, "bucket").mapInArrow(search, "query_id long, vec_id long, score long")
+    pairs = queries.join(blocks, ["bucket", "group"]).mapInArrow(search, "query_id long, vec_id long, score long")
     from pyspark.sql import Window
 
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
