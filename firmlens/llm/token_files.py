@@ -13,7 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firmlens.llm.common import CACHES, batches_of, enter, get_file, materialize, new_folder, parallelism, prefix_sums, put_file, text_bytes
+from firmlens.llm.common import CACHES, batches_of, enter, get_file, materialize, new_folder, open_store, parallelism, prefix_sums, put_file, text_bytes
 
 MAGIC = b"DACIDS01"
 #: Bits of a chunk, and bits between two entries of a level's rank directory.
@@ -99,6 +99,52 @@ def load_file(body: bytes) -> tuple[list, np.ndarray, Codes]:
     return [d if k else None for d, k in zip(numbers, known, strict=True)], starts, Codes.load(body, 24 + 17 * n)
 
 
+class TokenFile:
+    """A file of token ids, read by ranges: of any document, only the bytes that its ids need."""
+
+    def __init__(self, uri: str, name: str):
+        fs, path = open_store(uri)
+        self.file = fs.open_input_file(f"{path}/{name}")
+        if self._read(0, 8) != MAGIC:
+            raise ValueError("not a file of token ids")
+        (self.documents,) = struct.unpack("<Q", self._read(8, 8))
+        at = 24 + 17 * self.documents
+        _, depth = struct.unpack("<QI", self._read(at, 12))
+        at, self.levels = at + 12, []
+        for _ in range(depth):
+            sizes = struct.unpack("<QQQ", self._read(at, 24))
+            starts = (at + 24, at + 24 + sizes[0], at + 24 + sizes[0] + sizes[1])
+            self.levels.append(starts)
+            at = starts[2] + 4 * sizes[2]
+
+    def _read(self, at: int, n: int) -> bytes:
+        return self.file.read_at(n, at)
+
+    def tokens(self, document: int, first: int = 0, last: int | None = None) -> np.ndarray:
+        """Ids first … last - 1 (to its end) of the document at that place in the file."""
+        if not 0 <= document < self.documents:
+            raise IndexError(document)
+        low, high = struct.unpack("<qq", self._read(16 + 9 * self.documents + 8 * document, 16))
+        start, end = low + first, high if last is None else min(low + last, high)
+        if not low <= start <= end:
+            raise IndexError(f"{first}:{last} of {high - low}")
+        out = np.zeros(end - start, np.uint64)
+        where = np.arange(end - start)
+        for k, (chunks, bitmap, rank) in enumerate(self.levels):
+            out[where] |= np.frombuffer(self._read(chunks + start, end - start), np.uint8).astype(np.uint64) << np.uint64(CHUNK_BITS * k)
+            base = start // RANK_STEP * RANK_STEP
+            bits = np.unpackbits(np.frombuffer(self._read(bitmap + base // 8, -(-end // 8) - base // 8), np.uint8))[: end - base]
+            own = np.flatnonzero(bits[start - base :])
+            if not len(own):
+                break
+            start = struct.unpack("<I", self._read(rank + 4 * (base // RANK_STEP), 4))[0] + int(bits[: start - base].sum())
+            end, where = start + len(own), where[own]
+        return out.astype(np.uint32) if len(self.levels) <= 4 else out
+
+    def close(self) -> None:
+        self.file.close()
+
+
 # ---------------------------------------------------------------- encoding by the library
 
 class CachedEncoder:
