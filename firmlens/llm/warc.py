@@ -8,6 +8,7 @@ import struct
 
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,16 +32,24 @@ RECORDS = "page_id long, url string, record_type string, payload_digest string,
 
 # ---------------------------------------------------------------- records and files
 
-def record(page_id, url, digest: str, payload: bytes, refers_to, date: str) -> bytes:
-    """One WARC/1.1 record. refers_to: None for a response; a revisit keeps the HTTP header but no payload."""
+def info(number: str, date: str) -> bytes:
+    """The record that says how an archive was made."""
+    block = b"software: firmlens\r\nformat: WARC File Format 1.1\r\n"
+    head = ["WARC/1.1", "WARC-Type: warcinfo", f"WARC-Record-ID: <urn:warcinfo:{number}>", f"WARC-Date: {date}", "Content-Type: application/warc-fields", f"Content-Length: {len(block)}"]
+    return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+def record(page_id, url, digest: str, payload: bytes, refers_to, date: str, again: int | None = None) -> bytes:
+    """One WARC/1.1 record. refers_to: None for a response; a revisit keeps the HTTP header but no payload. A record is
+    named by page and digest; again tells repeated rows of one page and payload apart."""
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
     block = http + payload if refers_to is None else http
-    head = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: <urn:page:{'' if page_id is None else page_id}>", f"WARC-Date: {date}"]
+    head = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: <urn:page:{'' if page_id is None else page_id}:{digest[:32]}{'' if again is None else f':{again}'}>", f"WARC-Date: {date}"]
     if url is not None:
         head.append("WARC-Target-URI: " + re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url))
     head.append(f"WARC-Payload-Digest: sha256:{digest}")
     if refers_to is not None:
-        head += [f"WARC-Profile: {REVISIT_PROFILE}", f"WARC-Refers-To: <urn:page:{refers_to}>"]
+        head += [f"WARC-Profile: {REVISIT_PROFILE}", f"WARC-Refers-To: <urn:page:{refers_to}:{digest[:32]}>"]
     head += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
@@ -60,7 +69,7 @@ def headers(raw: bytes) -> tuple[str, dict[str, str]]:
 
 
 def _page(uri: str):
-    m = re.fullmatch(r"<urn:page:(-?\d*)>", uri)
+    m = re.fullmatch(r"<urn:page:(-?\d*):[0-9a-f]{32}(?::\d+)?>", uri)
     if not m:
         raise ValueError(f"bad record id {uri[:80]!r}")
     return int(m[1]) if m[1] else None
@@ -80,6 +89,8 @@ def parse(raw: bytes) -> dict:
     if not fields["content-length"].isdigit() or int(fields["content-length"]) + 4 != len(rest) or not rest.endswith(b"\r\n\r\n"):
         raise ValueError("the block is not as long as Content-Length says")
     kind = fields["warc-type"]
+    if kind == "warcinfo":
+        return dict.fromkeys(f.split()[0] for f in RECORDS.split(", ")) | {"record_type": kind}
     if kind not in ("response", "revisit"):
         raise ValueError(f"unknown record type {kind[:40]!r}")
     http, gap, payload = rest[:-4].partition(b"\r\n\r\n")
@@ -101,11 +112,13 @@ def parse(raw: bytes) -> dict:
 
 
 class ArchiveWriter:
-    """Bytes of one archive: the dictionary's frame, then a frame for each record."""
+    """Bytes of one archive: the dictionary's frame, then a frame for each record, first the archive's own."""
 
-    def __init__(self, dictionary: bytes, level: int = 3):
+    def __init__(self, dictionary: bytes, level: int = 3, first: bytes | None = None):
         self.parts = [struct.pack("<II", DICT_MAGIC, len(dictionary)) + dictionary] if dictionary else []
         self.compress = zstandard.ZstdCompressor(level=level, dict_data=zstandard.ZstdCompressionDict(dictionary) if dictionary else None, write_checksum=True).compress
+        if first is not None:
+            self.parts.append(self.compress(first))
         self.size, self.records = sum(map(len, self.parts)), 0
 
     def add(self, raw: bytes) -> None:
@@ -165,18 +178,28 @@ def write_archives(pages: DataFrame, folder: str, *, date: str = "2000-01-01T00:
     others revisits of it. Only digests are grouped; a digest that many pages share is a skewed plain join, which
     adaptive execution splits. Null html: empty; null page_id: larger than all; equal page_id: each a record; no url:
     no target header. A file is named by its content and put in place whole, so that a repeated task does no harm;
-    readers take the files of the returned table only.
+    readers take the files of the returned table only. Record ids are made of page and digest, of rows equal in both with
+    a running number. Pages of any length are one record. An empty table gives no file; further columns are not read.
     """
     digest = F.sha2(F.coalesce(F.col("html"), F.lit("")), 256)
     dictionary = train_dictionary(pages)
-    pages = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html"), digest.alias("digest"))
+    pages = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html"), digest.alias("digest"), F.monotonically_increasing_id().alias("row"))
     firsts = pages.where(F.octet_length("html") >= min_revisit_bytes).groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("copies"))
     firsts = firsts.where((F.col("copies") > 1) & F.col("first").isNotNull()).select(F.col("digest").alias("_digest"), "first")
+    # rows of one page and payload (there are mostly none): all but the first get a number of their own
+    same = pages.groupBy(F.col("page_id").alias("_page"), F.col("digest").alias("_same")).agg(F.min("row").alias("lowest"), F.count(F.lit(1)).alias("copies")).where("copies > 1").drop("copies")
+    same = materialize(same, "repeated-pages")
     ready = pages.join(firsts, F.col("digest") == F.col("_digest"), "left")
-    ready = ready.select("page_id", "url", "html", "digest", F.when(F.col("page_id").isNull() | (F.col("page_id") != F.col("first")), F.col("first")).alias("refers_to"))
+    if same.head(1):
+        ready = ready.join(same, (F.col("digest") == F.col("_same")) & F.col("page_id").eqNullSafe(F.col("_page")), "left").withColumn("again", F.when(F.col("row") > F.col("lowest"), F.col("row")))
+    else:
+        ready = ready.withColumn("again", F.lit(None).cast("long"))
+    ready = ready.select("page_id", "url", "html", "digest", "again", F.when(F.col("page_id").isNull() | (F.col("page_id") != F.col("first")), F.col("first")).alias("refers_to"))
 
     def write(frames):
-        archive = ArchiveWriter(dictionary)
+        part, seq = TaskContext.get().partitionId(), 0
+        start = lambda: ArchiveWriter(dictionary, first=info(f"{part}-{seq}", date))
+        archive = start()
 
         def close():
             body = archive.bytes()
@@ -187,12 +210,13 @@ def write_archives(pages: DataFrame, folder: str, *, date: str = "2000-01-01T00:
         for frame in frames:
             body, at = text_bytes(frame.column(2))
             view = body.tobytes()
-            ids, urls, digests, refs = (frame.column(i).to_pylist() for i in (0, 1, 3, 4))
+            ids, urls, digests, again, refs = (frame.column(i).to_pylist() for i in (0, 1, 3, 4, 5))
             for i in range(frame.num_rows):
-                archive.add(record(ids[i], urls[i], digests[i], view[at[i] : at[i + 1]], refs[i], date))
+                archive.add(record(ids[i], urls[i], digests[i], view[at[i] : at[i + 1]], refs[i], date, again[i]))
                 if archive.size >= FILE_BYTES:
                     yield close()
-                    archive = ArchiveWriter(dictionary)
+                    seq += 1
+                    archive = start()
         if archive.records:
             yield close()
 
@@ -200,7 +224,8 @@ def write_archives(pages: DataFrame, folder: str, *, date: str = "2000-01-01T00:
 
 
 def read_archives(files: DataFrame, folder: str, *, payloads: bool = True) -> DataFrame:
-    """The records of an archive table's files. A record that fails a check comes with `error` and null fields."""
+    """The records of an archive table's files, but for those about the archives. A record that fails a check comes with
+    `error` and null fields. An empty table gives no rows."""
     names = [f.split()[0] for f in RECORDS.split(", ")]
     spark = files.sparkSession
 
@@ -214,6 +239,8 @@ def read_archives(files: DataFrame, folder: str, *, payloads: bool = True) -> Da
                         row = parse(raw)
                     except ValueError as e:
                         row = dict.fromkeys(names) | {"error": str(e)[:500]}
+                    if row["record_type"] == "warcinfo":
+                        continue
                     if not payloads:
                         row["payload"] = None
                     held += len(row["payload"] or b"")

@@ -1,8 +1,11 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns, for each operator and stage."""
 
 import collections
+import glob
+import math
 import os
 import random
+import re
 import shutil
 
 import numpy as np
@@ -184,12 +187,30 @@ def test_warc(spark):
     folder = new_folder(spark, "w")
     out = warc.read_archives(warc.write_archives(spark.createDataFrame(rows, schema), folder), folder).collect()
     assert len(out) == len(rows) and not any(r["error"] for r in out)
+    names = [re.search(rb"WARC-Record-ID: (<[^>]*>)", raw)[1] for p in glob.glob(f"{folder.removeprefix('file://')}/*.warc.zst") for raw in warc.read_frames(open(p, "rb").read())]
+    assert len(set(names)) == len(names) > len(rows)
     kinds = sorted((r["page_id"] or -1, r["record_type"], r["refers_to"]) for r in out)
     assert kinds == [(-1, "revisit", 2), (2, "response", None), (2, "response", None), (3, "revisit", 2), *[(i, "response", None) for i in (5, 6, 7, 8, 9)]]
     folder = new_folder(spark, "w")
     assert warc.read_archives(warc.write_archives(spark.createDataFrame([], schema), folder), folder).count() == 0
 
 
+def test_topk_over_many_blocks(spark, monkeypatch):
+    """Small blocks, repeated rows, clashing columns: the same as by all pairs."""
+    monkeypatch.setattr(topk, "CANDIDATES", 16)
+    monkeypatch.setattr(topk, "QUERIES", 3)
+    rng = random.Random(4)
+    rows = [(i, [rng.choice([0.0, 0.0, rng.uniform(-2, 2)]) for _ in range(5)], 7, "x") for i in range(150)] + [(33, [1.0] * 5, 7, "x")] * 2
+    got = {}
+    for r in topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>, rank int, bucket string"), lambda i: i % 20 == 0, k=6).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    ints = [(r[0], [math.floor(64 * x) for x in r[1]]) for r in rows]
+    for q, v in ints:
+        if q % 20 == 0:
+            best = sorted(((-sum(a * b for a, b in zip(v, w)), i) for i, w in ints if i != q))[:6]
+            assert sorted(got[q]) == [(n + 1, i, -s) for n, (s, i) in enumerate(best)]
+
+
 def test_topk_empty(spark):
     assert topk.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>, rank int"), lambda i: i % 20 == 0).count() == 0
     assert topk.top_k(spark.createDataFrame([(20, [1.0])], "vec_id long, embedding array<float>"), lambda i: i % 20 == 0).count() == 0

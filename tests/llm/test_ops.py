@@ -260,6 +260,28 @@ def test_cached_encoder_and_codes():
                 assert (codes.decode(a, b) == x[a:b]).all()
 
 
+def test_token_file_ranges(tmp_path):
+    """Any token of any document, by reading its own bytes only."""
+    rng = np.random.default_rng(7)
+    lengths = [0, 1, 700, 3, 0, 5000, 40]
+    for high in (200, 70_000, 2**31):
+        ids = rng.integers(0, high, sum(lengths)).astype(np.uint32)
+        body = token_files.dump_file(list(range(len(lengths))), lengths, ids)
+        (tmp_path / "f").write_bytes(body)
+        f, at = token_files.TokenFile(f"file://{tmp_path}", "f"), 0
+        read, sizes = f._read, []
+        f._read = lambda at, n: (sizes.append(n), read(at, n))[1]
+        for d, n in enumerate(lengths):
+            assert (f.tokens(d) == ids[at : at + n]).all()
+            for _ in range(5):
+                a, b = sorted(rng.integers(0, n + 1, 2).tolist())
+                assert (f.tokens(d, a, b) == ids[at + a : at + b]).all()
+            at += n
+        sizes.clear()
+        assert f.tokens(5, 4000, 4001) == ids[704 + 4000] and sum(sizes) < 1000
+        f.close()
+
+
 def test_op10_library(spark):
     import public_tokenizers
     from tokenizers import Tokenizer
@@ -289,12 +311,13 @@ def test_word_hashes_tell_words():
 # ---------------------------------------------------------------- archives
 
 def test_archive_round_trip_and_checks():
-    writer = warc.ArchiveWriter(b"\x37\xa4\x30\xec" * 0 + b"some raw dictionary WARC/1.1 HTTP/1.1 200 OK")
+    writer = warc.ArchiveWriter(b"some raw dictionary WARC/1.1 HTTP/1.1 200 OK", first=warc.info("0-0", "2000-01-01T00:00:00Z"))
     digest = hashlib.sha256(b"<p>x</p>").hexdigest()
     good = warc.record(1, "http://a.b/c d\r\nX: y", digest, b"<p>x</p>", None, "2000-01-01T00:00:00Z")
     writer.add(good)
     writer.add(warc.record(2, None, digest, b"<p>x</p>", 1, "2000-01-01T00:00:00Z"))
-    one, two = [warc.parse(r) for r in warc.read_frames(writer.bytes())]
+    about, one, two = [warc.parse(r) for r in warc.read_frames(writer.bytes())]
+    assert about["record_type"] == "warcinfo" and about["page_id"] is None
     assert (one["page_id"], one["payload"], one["url"]) == (1, b"<p>x</p>", "http://a.b/c%20d%0D%0AX:%20y")
     assert (two["record_type"], two["refers_to"], two["payload_bytes"], two["payload"]) == ("revisit", 1, 8, None)
     for bad in (good.replace(b"WARC/1.1", b"WARC/9.9"), good.replace(b"Content-Length: 8", b"Content-Length: 9"), good[:-5], good.replace(b"<p>x", b"<p>y"), good.replace(b"WARC-Date", b"WARC-Dote")):
