@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -111,5 +113,16 @@ def role_score(role: Column) -> Column:
     return out.otherwise(10)
 
 
+def parse_regions(given: str | None, default: tuple[str, ...] = ("DE", "AT", "CH")) -> tuple[str, ...]:
+    """Region codes of a setting: a list literal or separated by commas; the default where there is none."""
+    found = re.findall(r"[A-Za-z]{2}", given or "") if re.fullmatch(r"[\s\[\](){}'\",;A-Za-z]*", given or "") else []
+    return tuple(dict.fromkeys(x.upper() for x in found)) or default
+
+
+def other_numbers(every: Column, best: Column) -> Column:
+    """Of an array of numbers those that are not among the best, in order, once each."""
+    return F.array_except(every, F.coalesce(best, F.array().cast("array<string>")))
+
+
 def person_text(c: Column) -> Column:
     return blank_to_null(c, fixed.PERSON_BLANKS)

@@ -127,6 +127,11 @@ def input_status(url: Column) -> Column:
     return F.struct(F.when(fine, F.concat(scheme(u), F.lit("://"), h, tail)).alias("url"), F.when(fine, "Valid").otherwise("InvalidURL").alias("status"))
 
 
+def sales_url(canonical: Column, given: Column) -> Column:
+    """The canonical address, else the given one."""
+    return F.coalesce(F.nullif(F.trim(canonical), F.lit("")), F.nullif(F.trim(given), F.lit("")))
+
+
 def safe_name(url: Column, longest: int = 100) -> Column:
     """A file name for a URL: a prefix of it and eight digits of its SHA-256."""
     plain = F.regexp_replace(F.regexp_replace(url, "^https?://", ""), r"[^0-9A-Za-z_.\-]", "_")

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import json
+from collections.abc import Sequence
+from datetime import datetime
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from firmlens.functions import phones, urls
@@ -68,3 +72,37 @@ def metrics_markdown(metrics: DataFrame, title: str) -> str:
 def redact(text: Column, words: tuple[str, ...] = ("key", "token", "secret", "password")) -> Column:
     """Configuration text with the values of telling names masked."""
     return F.regexp_replace(text, r'(?i)("?[A-Za-z0-9_]*(' + "|".join(words) + r')[A-Za-z0-9_]*"?\s*[:=]\s*"?)[^",}\s]+', "$1***")
+
+
+def run_id(now: datetime, name: str = "") -> str:
+    """The name of a run that starts now: day and time, and what it is called."""
+    stamp = now.strftime("%Y%m%d_%H%M%S")
+    return f"{stamp}_{name}" if name else stamp
+
+
+def redacted(value: object, words: tuple[str, ...] = ("key", "token", "secret", "password")) -> object:
+    """A setting without the values of telling names, at any depth."""
+    if isinstance(value, dict):
+        return {k: "***" if any(w in str(k).lower() for w in words) and not isinstance(v, (dict, list)) else redacted(v, words) for k, v in value.items()}
+    return [redacted(v, words) for v in value] if isinstance(value, list) else value
+
+
+def manifest(spark: SparkSession, name: str, started: datetime, finished: datetime, *, status: str, pipeline: str, source: str, settings: dict, outputs: DataFrame) -> DataFrame:
+    """One row of a run's history: when it ran, on what, with which settings (secrets masked), its output files and bytes.
+    outputs: an inventory of files."""
+    written = outputs.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("size_bytes"), F.lit(0)).alias("bytes")).first()
+    row = (name, pipeline, status, started, finished, source, json.dumps(redacted(settings), sort_keys=True), written["files"], written["bytes"])
+    return spark.createDataFrame([row], "run_id string, pipeline_name string, status string, started_at timestamp, finished_at timestamp, input string, settings string, files long, bytes long")
+
+
+def append_history(manifests: DataFrame, path: str) -> None:
+    """Add manifests to a history of JSON lines, which `relations.history` reads."""
+    manifests.write.mode("append").json(path)
+
+
+def examples_markdown(rows: DataFrame, title: str, columns: Sequence[str], most: int = 20) -> str:
+    """The first rows as a Markdown page: a section a row, blank values left out. `most` is the page's own limit."""
+    out = [f"# {title}"]
+    for i, r in enumerate(rows.select(*columns).orderBy(*columns).limit(most).collect(), 1):
+        out += ["", f"## {i}", *[f"- {c}: {r[c]}" for c in columns if r[c] not in (None, "")]]
+    return "\n".join(out)

@@ -14,6 +14,12 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str) -> Da
     return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
 
 
+def expected_rows(lines: DataFrame, value: str = "value") -> DataFrame:
+    """The number of rows that a run's log (lines of text) says it expects: the last `… 123 rows` in it."""
+    n = F.regexp_extract(value, r"(?i)(\d+) rows", 1).try_cast("long")
+    return lines.select(n.alias("rows"), F.monotonically_increasing_id().alias("_at")).where("rows IS NOT NULL").agg(F.max_by("rows", "_at").alias("rows"))
+
+
 def last_by_row(rows: DataFrame, key: str, order: str) -> DataFrame:
     """Of rows with one key the last one written."""
     return last_wins(rows, [key], order)

@@ -211,3 +211,34 @@ def test_larger_partner_tables_are_refused(spark, monkeypatch):
     monkeypatch.setattr(matching, "MAX_TERMS", 3)
     with pytest.raises(ValueError):
         matching.score_partners(t, p, {"own": 2})
+
+
+def test_manifest_and_history(spark, tmp_path):
+    from datetime import datetime
+
+    from firmlens.operators import reports
+
+    out = tmp_path / "out"
+    out.mkdir()
+    (out / "a.csv").write_text("k\n1\n")
+    at = datetime(2024, 5, 6, 7, 8, 9)
+    for i, status in enumerate(("failed", "completed")):
+        m = reports.manifest(spark, reports.run_id(at.replace(second=i), "x"), at, at, status=status, pipeline="p", source="in.csv", settings={"a": 1, "llm": {"api_key": "s", "n": [{"token": "t"}]}}, outputs=files.inventory(spark, str(out)))
+        reports.append_history(m, str(tmp_path / "history"))
+    h = relations.history(spark.read.json(str(tmp_path / "history")), pipeline="p", status="completed", contains="X", last=5).collect()
+    assert [(r["run_id"], r["files"], r["bytes"]) for r in h] == [("20240506_070801_x", 1, 4)] and json.loads(h[0]["settings"]) == {"a": 1, "llm": {"api_key": "***", "n": [{"token": "***"}]}}
+    text = reports.examples_markdown(spark.createDataFrame([("b", None), ("a", "x")], "k string, v string"), "T", ["k", "v"])
+    assert text == "# T\n\n## 1\n- k: a\n- v: x\n\n## 2\n- k: b"
+    with pytest.raises(ValueError):
+        reports.metrics_markdown(spark.range(1001).selectExpr("CAST(id AS STRING) AS name", "id AS value"), "T")
+
+
+def test_settings_and_logs(spark):
+    from firmlens.functions import phones
+    from firmlens.sources import records
+
+    assert phones.parse_regions("['de', \"CH\"]") == ("DE", "CH") and phones.parse_regions("de, at,de") == ("DE", "AT") and phones.parse_regions(None) == phones.parse_regions("49") == ("DE", "AT", "CH")
+    log = spark.createDataFrame([("x",), ("Loaded 12 rows",), ("now 15 rows to do",), ("end",)], "value string").coalesce(1)
+    assert records.expected_rows(log).first()["rows"] == 15
+    assert one(spark, F.to_json(phones.other_numbers(F.array("a", "b", "a"), F.array("b"))), a="1", b="2") == '["1"]'
+    assert one(spark, urls.sales_url(F.col("a"), F.col("b")), a=" ", b="http://b") == "http://b"
