@@ -44,9 +44,12 @@ _ODD_INV = np.uint64(pow(int(_ODD), -1, 1 << KEY_BITS))
 
 def scramble(pair: np.ndarray) -> np.ndarray:
     """A bijection of KEY_BITS-bit numbers that spreads pairs evenly over the range, so that shards are ranges."""
-    x = (pair * _ODD) & _MASK
+    x = pair * _ODD
+    x &= _MASK
     x ^= x >> np.uint64(VOCAB_BITS)
-    return (x * _ODD) & _MASK
+    x *= _ODD
+    x &= _MASK
+    return x
 
 
 def restore(key: np.ndarray) -> np.ndarray:
@@ -73,14 +76,19 @@ def pairs(words: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Scrambled (word before, word) of each word; the first of a text has the start mark before it."""
     before = np.concatenate([np.zeros(1, np.uint32), words[:-1]]) if len(words) else words
     before[at[:-1][np.diff(at) > 0]] = 0
-    return scramble(before.astype(np.uint64) << np.uint64(VOCAB_BITS) | words.astype(np.uint64))
+    both = before.astype(np.uint64)
+    both <<= np.uint64(VOCAB_BITS)
+    both |= words
+    return scramble(both)
 
 
 def pair_table(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Distinct (pair, document) of a block in order: the distinct pairs, and per entry pair number, document, times.
     counts: words of each document; a block has fewer than 2 ** (64 - KEY_BITS) documents."""
     doc = np.repeat(np.arange(len(counts), dtype=np.uint64), counts)
-    both = np.sort(keys << np.uint64(64 - KEY_BITS) | doc)
+    doc |= keys << np.uint64(64 - KEY_BITS)
+    doc.sort()
+    both = doc
     new = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]])) if len(both) else np.zeros(0, np.int64)
     times = np.diff(np.append(new, len(both))).astype(np.int32)
     both = both[new]
@@ -219,14 +227,19 @@ def write_blocks(docs: DataFrame, folder: str, shards: int, names: list[str]) ->
             ids, folds = np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])
             langs = [x for h in held for x in h[2]]
             hashes, counts = np.concatenate([h[3] for h in held]), np.concatenate([h[4] for h in held])
+            held.clear()
             at = np.concatenate([[0], np.cumsum(counts)])
             odds, words = word_odds(hashes, at, folder, names), word_numbers(hashes)
+            del hashes
             tags = np.frombuffer("\n".join("" if x is None else "=" + x for x in langs).encode(), np.uint8)
             body = pack(ids.astype("<i8"), counts.astype("<i4"), folds.astype("i1"), odds, tags, *fold_words(words))
             block = hashlib.sha256(body).hexdigest()[:24]
             put_file(folder, block, body)
+            del body
             unique, number, doc, times = pair_table(pairs(words, at), counts)
-            learned = np.bincount(number, (folds[doc] == TRUSTED) * times, len(unique)).astype("<u4") if len(unique) else np.zeros(0, "<u4")
+            mine = folds[doc] == TRUSTED
+            learned = np.bincount(number[mine], times[mine], len(unique)).astype("<u4") if len(unique) else np.zeros(0, "<u4")
+            del words, number, doc, times, mine
             cuts = shard_cuts(unique, shards)
             some = [s for s in range(shards) if s == 0 or cuts[s] < cuts[s + 1]]  # at least one row names the block
             asks = []
@@ -341,7 +354,7 @@ def load_tables(folder: str, names: dict[int, str], d2: tuple[float, float, floa
     key = folder, *sorted(names.items())
     if key not in _TABLES:
         _TABLES.clear()
-        total, gamma, into = np.zeros(1 << VOCAB_BITS, "f8"), np.zeros(1 << VOCAB_BITS, "f4"), np.zeros(1 << VOCAB_BITS, "u4")
+        total, gamma, into = np.zeros(1 << VOCAB_BITS, "f4"), np.zeros(1 << VOCAB_BITS, "f4"), np.zeros(1 << VOCAB_BITS, "u4")
         for r, name in names.items():
             t, ones, twos, more, n = unpack(get_file(folder, name), "<i8")[0].reshape(5, RANGE)
             own = slice(r * RANGE, (r + 1) * RANGE)
@@ -371,7 +384,7 @@ def log_probabilities(keys, number, doc, times, counts, trusted, tables, model)
     d2, d1, kinds, rest = model
     pair = restore(keys)
     before, word = (pair >> np.uint64(VOCAB_BITS)).astype(np.int64), (pair & np.uint64((1 << VOCAB_BITS) - 1)).astype(np.int64)
-    logs = np.log(pair_probability(counts, total[before], gamma[before].astype("f8"), into[word].astype("i8"), model)) if len(keys) else np.zeros(0)
+    logs = np.log(pair_probability(counts, total[before].astype("f8"), gamma[before].astype("f8"), into[word].astype("i8"), model)) if len(keys) else np.zeros(0)
     mine = trusted[doc]
     n_docs = len(trusted)
     out = np.bincount(doc[~mine], logs[number[~mine]] * times[~mine], n_docs).astype(float)  # of nothing it gives integers
@@ -380,7 +393,7 @@ def log_probabilities(keys, number, doc, times, counts, trusted, tables, model)
         c, v, w = counts[number], before[number], word[number]
         left = c - times
         at, gone, more = sums_by(doc.astype(np.int64) << VOCAB_BITS | v, times, discount(left, d2) - discount(c, d2))
-        context, weight = total[v] - gone[at], gamma[v] + more[at]
+        context, weight = total[v].astype("f8") - gone[at], gamma[v] + more[at]
         at, vanished = sums_by(doc.astype(np.int64) << VOCAB_BITS | w, left == 0)
         into_all = into[w].astype("i8")
         into_left = into_all - vanished[at].astype(np.int64)

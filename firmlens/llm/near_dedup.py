@@ -20,6 +20,8 @@ BANDS, ROWS = 32, 6
 COORDS = BANDS * ROWS
 #: Rows, and bytes of shingles, of a slice of a bucket that is compared inside; ids that may be broadcast (8 bytes each).
 SLICE, SLICE_BYTES, BROADCAST_IDS = 256, 4 << 20, 400_000
+#: Edges between components that one task may join (16 bytes each); more take distributed rounds until so few are left.
+SMALL_EDGES = 100_000
 
 
 # ---------------------------------------------------------------- shingles
@@ -185,16 +187,41 @@ def verify(pairs: DataFrame, docs: DataFrame, threshold: float = SIMILARITY) ->
     return materialize(joined.mapInArrow(run, "a long, b long, linked boolean"), "verified")
 
 
+def joined_nodes(edges: DataFrame) -> DataFrame:
+    """components of at most SMALL_EDGES edges, in one task."""
+
+    def run(frames):
+        enter("near")
+        up: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while up[x] != x:
+                up[x] = x = up[up[x]]
+            return x
+
+        for frame in frames:
+            for a, b in zip(frame.column(0).to_pylist(), frame.column(1).to_pylist(), strict=True):
+                a, b = root(up.setdefault(a, a)), root(up.setdefault(b, b))
+                up[max(a, b)] = min(a, b)
+        yield pa.RecordBatch.from_arrays([pa.array(list(up), pa.int64()), pa.array([root(x) for x in up], pa.int64())], names=["node", "label"])
+
+    return materialize(edges.select("a", "b").coalesce(1).mapInArrow(run, "node long, label long"), "labels", 1)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, label: the least node of each connected component of edges(a, b); nodes without an edge are left out.
 
     Each round every node hooks to its least neighbour, the chains are flattened by doubling, and edges between the new
-    labels are what is left; rounds end when none is. Tables shrink, so their number of files follows the edges.
+    labels are what is left; rounds end when few are (SMALL_EDGES, counted), which one task joins. Tables shrink, so their
+    number of files follows the edges.
     """
     edges = materialize(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct(), "edges")
-    parts = min(parallelism(edges.sparkSession), 1 + edges.count() // 50_000)
+    left = edges.count()
+    if left <= SMALL_EDGES:
+        return joined_nodes(edges)
+    parts = min(parallelism(edges.sparkSession), 1 + left // 50_000)
     labels = materialize(edges.select(F.col("a").alias("node")).union(edges.select(F.col("b").alias("node"))).distinct().withColumn("label", F.col("node")), "labels", parts)
-    while edges.head(1):
+    while left > SMALL_EDGES:
         both = edges.select(F.col("a").alias("n"), F.col("b").alias("m")).union(edges.select(F.col("b").alias("n"), F.col("a").alias("m")))
         parent = materialize(both.groupBy("n").agg(F.min("m").alias("m")).select("n", F.least("n", "m").alias("p")), "parents", parts)
         while True:
@@ -208,7 +235,11 @@ def components(edges: DataFrame) -> DataFrame:
         low = edges.join(up, F.col("a") == F.col("_n")).select(F.col("_p").alias("a"), "b")
         low = low.join(up, F.col("b") == F.col("_n")).select("a", F.col("_p").alias("b"))
         edges = materialize(low.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct(), "edges", parts)
-    return labels
+        left = edges.count()
+    if not left:
+        return labels
+    up = joined_nodes(edges).select(F.col("node").alias("_n"), F.col("label").alias("_p"))
+    return materialize(labels.join(up, F.col("label") == F.col("_n"), "left").select("node", F.coalesce("_p", "label").alias("label")), "labels", parts)
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:

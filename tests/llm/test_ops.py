@@ -117,7 +117,9 @@ def test_dart_minhash_estimates_weighted_jaccard(weighted):
     assert abs((sig[0] == sig[1]).mean() - want) < 0.03
 
 
-def test_components_of_paths_and_stars(spark):
+@pytest.mark.parametrize("small", [0, 5, 100_000])
+def test_components_of_paths_and_stars(spark, monkeypatch, small):
+    monkeypatch.setattr(near_dedup, "SMALL_EDGES", small)
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, i) for i in range(101, 130)] + [(129, 200)]
     random.Random(2).shuffle(edges)
     got = {r["node"]: r["label"] for r in near_dedup.components(spark.createDataFrame(edges, "a long, b long")).collect()}
