@@ -16,12 +16,12 @@ from firmlens.llm.common import CACHES, batches_of, in_order, text_size, enter,
 from firmlens.llm.suffix_dedup import NULL_ID, pack, unpack
 
 #: Words are hashed into 2 ** VOCAB_BITS - 1 numbers, so tables over words have a fixed size; number 0 is a text's start.
-VOCAB_BITS = 22
+VOCAB_BITS = 21
 KEY_BITS = 2 * VOCAB_BITS
 #: Text bytes of a block: a pair that its documents hold is asked for once.
 BLOCK_BYTES = 12 << 20
 #: Text bytes for a shard of pairs; a shard's asks are counted in one task's memory.
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 8 << 20
 #: Ranges of word numbers in which the lower orders are summed.
 RANGES = 64
 RANGE = (1 << VOCAB_BITS) // RANGES
@@ -100,7 +100,7 @@ def pair_table(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.nda
 
 def planes(x: np.ndarray, bits: int = KEY_BITS) -> list[np.ndarray]:
     """Numbers of so many bits as byte planes: the random low bytes stay as they are, the others pack to little."""
-    return [(x >> np.uint64(k)).astype("u1") for k in range(0, bits, 8)]
+    return [(x >> x.dtype.type(k)).astype("u1") for k in range(0, bits, 8)]
 
 
 def from_planes(parts: list[np.ndarray]) -> np.ndarray:
@@ -111,16 +111,19 @@ def from_planes(parts: list[np.ndarray]) -> np.ndarray:
 
 
 def fold_words(words: np.ndarray) -> list[np.ndarray]:
-    """Words as ranks by frequency in three byte planes, which pack well, and the words by rank."""
+    """The words by rank of frequency, as byte planes of their differences, and each word's rank in three byte planes."""
     unique, inverse, n = np.unique(words, return_inverse=True, return_counts=True)
     order = np.argsort(-n, kind="stable")
     rank = np.empty(len(unique), np.uint32)
     rank[order] = np.arange(len(unique), dtype=np.uint32)
     r = rank[inverse]
-    return [unique[order].astype("<u4"), r.astype("u1"), (r >> 8).astype("u1"), (r >> 16).astype("u1")]
+    listed = unique[order].astype(np.uint32)  # equally frequent words stand in order, so differences are small
+    return [*planes(np.diff(listed, prepend=np.zeros(1, np.uint32)), 32), r.astype("u1"), (r >> 8).astype("u1"), (r >> 16).astype("u1")]
 
 
-def unfold_words(unique: np.ndarray, low: np.ndarray, mid: np.ndarray, high: np.ndarray) -> np.ndarray:
+def unfold_words(*parts: np.ndarray) -> np.ndarray:
+    *listed, low, mid, high = parts
+    unique = np.cumsum(from_planes(listed).astype(np.uint32), dtype=np.uint32)
     return unique[low.astype(np.int32) | mid.astype(np.int32) << 8 | high.astype(np.int32) << 16]
 
 
@@ -212,7 +215,7 @@ def word_odds(words: np.ndarray, at: np.ndarray, folder: str, names: list[str])
 
 # ---------------------------------------------------------------- blocks
 
-BLOCK_KINDS = ("<i8", "<i4", "i1", "<f8", "u1", "<u4", "u1", "u1", "u1")
+BLOCK_KINDS = ("<i8", "<i4", "i1", "<f8", "u1", *["u1"] * 7)
 
 
 def write_blocks(docs: DataFrame, folder: str, shards: int, names: list[str]) -> DataFrame:

@@ -215,7 +215,12 @@ def sample(body: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
 # ---------------------------------------------------------------- blocks in the shared folder
 
 def pack(*arrays: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(struct.pack(f"<{len(arrays)}Q", *[a.nbytes for a in arrays]) + b"".join(a.tobytes() for a in arrays))
+    """Arrays as one compressed body; in large ones repeats are found over all of it (copies of texts)."""
+    body = struct.pack(f"<{len(arrays)}Q", *[a.nbytes for a in arrays]) + b"".join(a.tobytes() for a in arrays)
+    if len(body) < 1 << 20:
+        return zstandard.ZstdCompressor(level=1).compress(body)
+    far = zstandard.ZstdCompressionParameters.from_level(1, window_log=24, enable_ldm=True)
+    return zstandard.ZstdCompressor(compression_params=far).compress(body)
 
 
 def unpack(raw: bytes, *kinds: str) -> list[np.ndarray]:
