@@ -141,7 +141,7 @@ def safe_name(url: Column, longest: int = 100) -> Column:
 def link_score(url: Column, text: Column, most_segments: int = 3, *, critical: Sequence[str] = fixed.CRITICAL_KEYWORDS, high: Sequence[str] = fixed.HIGH_KEYWORDS, target: Sequence[str] = fixed.TARGET_LINK_KEYWORDS, force: Sequence[str] = fixed.CONTACT_KEYWORDS + fixed.IMPRINT_KEYWORDS) -> Column:
     """Score of a link for the crawl order: contact and imprint paths 100, critical and high keywords 100 and 90 less 5
     for each segment over most_segments, keyword anywhere 80 less 5 a position, another target keyword as a segment 70
-    less 3 a segment, keyword inside a segment 50, in the text 40. Null for a link without a target keyword in address or text."""
+    less 3 a segment, keyword inside a segment 50, in the text 40."""
     segments = F.filter(F.split(F.lower(path(url)), "/"), lambda s: s != "")
     n = F.size(segments)
     has = lambda words: F.arrays_overlap(segments, F.array(*[F.lit(w) for w in words]).cast("array<string>"))
@@ -152,8 +152,12 @@ def link_score(url: Column, text: Column, most_segments: int = 3, *, critical: S
     scores = (
         F.when(has(force), 100), F.when(has(critical), 100 - deep(20)), F.when(has(high), 90 - deep(20)), F.when(first > 0, 80 - (first - 1) * 5 - deep(15)),
         F.when(has(others), 70 - deep(10, 3)), F.when(F.exists(segments, lambda s: contains_any(s, target)), 50), F.when(contains_any(F.lower(text), target), 40))
-    named = contains_any(F.lower(url), target) | contains_any(F.lower(text), target) | has(force)
-    return F.when(named, F.coalesce(F.greatest(*scores), F.lit(0))).cast("int")
+    return F.coalesce(F.greatest(*scores), F.lit(0)).cast("int")
+
+
+def is_target_link(url: Column, text: Column, *, target: Sequence[str] = fixed.TARGET_LINK_KEYWORDS, force: Sequence[str] = fixed.CONTACT_KEYWORDS + fixed.IMPRINT_KEYWORDS, **_) -> Column:
+    """Whether a link has a target keyword in its address or text, or a contact or imprint path: others aren't scored."""
+    return contains_any(F.lower(url), target) | contains_any(F.lower(text), target) | F.exists(F.split(F.lower(path(url)), "/"), lambda s: s.isin(*force))
 
 
 def excluded(url: Column, patterns: Sequence[str]) -> Column:

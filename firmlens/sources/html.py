@@ -115,7 +115,7 @@ def top_links(pages: DataFrame, *, most: int = 3, least: int = 0, exclude: tuple
     links = _parsed(pages).select("page_id", "url", F.explode("links").alias("l")).select("page_id", "url", F.col("l.href").alias("href"), F.col("l.text").alias("text"))
     links = links.mapInArrow(join, "page_id long, url string, target string, text string")
     links = links.where(urls.scheme(F.col("target")).isin("http", "https") & (urls.host(F.col("target")) == urls.host(F.col("url"))))
-    links = links.where(~urls.excluded(F.col("target"), exclude))
+    links = links.where(~urls.excluded(F.col("target"), exclude) & urls.is_target_link(urls.normalize(F.col("target")), F.col("text"), **keywords))
     links = links.groupBy("page_id", urls.normalize(F.col("target")).alias("link")).agg(F.max(urls.link_score(urls.normalize(F.col("target")), F.col("text"), **keywords)).alias("score"))
     w = Window.partitionBy("page_id").orderBy(F.desc("score"), "link")
     return links.where(F.col("score") >= least).withColumn("place", F.row_number().over(w)).where(F.col("place") <= most)

@@ -172,7 +172,7 @@ def test_html_text_brute_force(spark):
 def test_link_tiers(spark):
     score = lambda u, t="": one(spark, urls.link_score(F.col("u"), F.col("t")), u=u, t=t)
     assert score("http://a.de/team") == 70 and score("http://a.de/a/b/c/d/team") == 64 and score("http://a.de/about-us") == 100 and score("http://a.de/x/products") == 90
-    assert score("http://a.de/ourteam") == 50 and score("http://a.de/x", "Our team") == 40 and score("http://a.de/x", "more") is None and score("http://a.de/kontakt") == 100
+    assert score("http://a.de/ourteam") == 50 and score("http://a.de/x", "Our team") == 40 and score("http://a.de/x", "more") == 0 and score("http://a.de/kontakt") == 100
 
 
 def test_small_helpers(spark):
