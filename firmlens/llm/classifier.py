@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firmlens.llm.common import CACHES, batches_of, in_order, text_size, enter, find_package, get_file, materialize, new_folder, parallelism, put_file, release_memory, text_bytes, word_hashes
+from firmlens.llm.common import CACHES, batches_of, in_order, text_size, enter, find_package, get_file, materialize, new_folder, parallelism, put_file, release_memory, release_shuffles, text_bytes, word_hashes
 from firmlens.llm.suffix_dedup import NULL_ID, pack, unpack
 
 #: Words are hashed into 2 ** VOCAB_BITS - 1 numbers, so tables over words have a fixed size; number 0 is a text's start.
@@ -299,7 +299,7 @@ def count_shards(blocks: DataFrame) -> DataFrame:
         pair = restore(keys)
         before, word = (pair >> np.uint64(VOCAB_BITS)).astype(np.int64), (pair & np.uint64((1 << VOCAB_BITS) - 1)).astype(np.int64)
         b, at = np.unique(before, return_inverse=True)
-        stats = [np.bincount(at, w, len(b)).astype("<i8") for w in (counts, counts == 1, counts == 2, counts >= 3)]
+        stats = [np.bincount(at, w, len(b)).astype("<u4") for w in (counts, counts == 1, counts == 2, counts >= 3)]
         w, into = np.unique(word, return_counts=True)
         of = np.bincount(np.minimum(counts, 5), minlength=6)[1:5].astype("<i8")
         b_cuts, w_cuts = (np.searchsorted(x, np.arange(RANGES + 1) * RANGE) for x in (b, w))
@@ -307,7 +307,8 @@ def count_shards(blocks: DataFrame) -> DataFrame:
         for r in range(RANGES):
             i, j = slice(b_cuts[r], b_cuts[r + 1]), slice(w_cuts[r], w_cuts[r + 1])
             if r == 0 or i.start < i.stop or j.start < j.stop:
-                rows.append((None, r, None, pack((b[i] % RANGE).astype("<i4"), *[x[i] for x in stats], (w[j] % RANGE).astype("<i4"), into[j].astype("<i8"), of if r == 0 else of[:0])))
+                ids = [np.diff((x % RANGE).astype("<u2"), prepend=np.zeros(1, "<u2")) for x in (b[i], w[j])]
+                rows.append((None, r, None, pack(ids[0], *[x[i] for x in stats], ids[1], into[j].astype("<u4"), of if r == 0 else of[:0])))
         release_memory()
         return pd.DataFrame(rows, columns=["block", "shard", "answer", "words"])
 
@@ -324,7 +325,8 @@ def lower_orders(counted: DataFrame, folder: str) -> tuple:
         tables = np.zeros((5, RANGE), np.int64)
         of = np.zeros(4, np.int64)
         for raw in part["words"]:
-            b, *stats, w, n, o = unpack(raw, "<i4", "<i8", "<i8", "<i8", "<i8", "<i4", "<i8", "<i8")
+            b, *stats, w, n, o = unpack(raw, "<u2", "<u4", "<u4", "<u4", "<u4", "<u2", "<u4", "<i8")
+            b, w = (np.cumsum(x, dtype=np.uint16) for x in (b, w))
             for table, x in zip(tables, stats):
                 table[b] += x
             tables[4][w] += n
@@ -520,7 +522,9 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     counted_docs = labelled_docs(labelled.where(F.col("fold").isin(TRUSTED, JUNK, TOXIC)), "inner")
     names = rejected_words(counted_docs.select("text", "fold"), folder, shards)
+    release_shuffles(spark)
     counted = count_shards(write_blocks(labelled_docs(labelled, "left").select("doc_id", "text", "lang", "fold"), folder, shards, names))
+    release_shuffles(spark)
     judged = judge(score_blocks(counted, folder, lower_orders(counted, folder)))
     return judged.select("doc_id", "lang", "n_words", "perplexity", "threshold", "kept")
 

@@ -86,6 +86,12 @@ def release(spark: SparkSession, folders: list[str] | None = None) -> None:
         named.remove(folder)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let the driver's JVM collect plans that nothing refers to any more: with them their shuffle files go, which otherwise
+    stay on the executors' disks until the driver happens to collect. Call between steps whose results are written."""
+    spark._jvm.System.gc()
+
+
 def open_store(uri: str) -> tuple[pafs.FileSystem, str]:
     """Filesystem and path of a folder URI; used inside tasks. file:/x, file:///x and other schemes."""
     if uri.startswith("file:"):
