@@ -5,8 +5,10 @@ from __future__ import annotations
 import contextlib
 import contextvars
 import ctypes
+import gc
 import sys
 import tempfile
+import time
 import uuid
 from collections.abc import Iterator
 from pathlib import Path
@@ -89,7 +91,10 @@ def release(spark: SparkSession, folders: list[str] | None = None) -> None:
 def release_shuffles(spark: SparkSession) -> None:
     """Let the driver's JVM collect plans that nothing refers to any more: with them their shuffle files go, which otherwise
     stay on the executors' disks until the driver happens to collect. Call between steps whose results are written."""
-    spark._jvm.System.gc()
+    for _ in range(2):  # Python's own references first; what they held is found the second time
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.3)
 
 
 def open_store(uri: str) -> tuple[pafs.FileSystem, str]:
