@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from firmlens.llm import bpe, chat, classifier, mixing, near_dedup, quality_rules, suffix_dedup, token_files, topk, warc
+from firmlens.llm import alignment, bpe, chat, classifier, divergence, mixing, near_dedup, quality_rules, simhash, suffix_dedup, token_files, topk, warc
 
 QUERIES = {
     "op1_topk_search": topk.op1_topk_search,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_token_files": token_files.op8_token_files,
     "op9_warc": warc.op9_warc,
     "op10_bpe": bpe.op10_bpe,
+    "op11_divergence_audit": divergence.op11_divergence_audit,
+    "op12_simhash_dedup": simhash.op12_simhash_dedup,
+    "op13_tokenizer_alignment": alignment.op13_tokenizer_alignment,
 }
 
 ORACLE_SQL = {
@@ -23,4 +26,5 @@ ORACLE_SQL = {
     "op6_mix_sources": mixing.OP6_SQL,
     "op7_chat_format": chat.OP7_SQL,
     "op9_warc": warc.OP9_SQL,
+    "op11_divergence_audit": divergence.OP11_SQL,
 }
