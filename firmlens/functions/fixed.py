@@ -120,6 +120,13 @@ CONTACT_NOISE = (
 )
 CONTACT_HEADINGS = ("mitarbeiter", "ansprechpartner", "contacts", "kontakt", "team")
 NO_ROLE = ("zum produkt", "download", "hallenplan")
+NO_NAMES = ("e-mail senden", "email senden")
+
+# What counts as a number, a labelled number, an address and a name in a line of a contact page.
+CONTACT_PHONE = r"\+\d[\d\s()\-]+\d"
+CONTACT_TEL = r"tel\.?\s*[:\-]?\s*(\+?\d[\d\s()\-]+\d)"
+CONTACT_MAIL = r"[A-Z0-9._%+\-]+@[A-Z0-9.\-]+\.[A-Z]{2,}"
+CONTACT_NAME = r"[A-ZÄÖÜ][a-zA-ZÄÖÜäöüß\-']+(\s+[A-ZÄÖÜ][a-zA-ZÄÖÜäöüß\-']+){1,3}"
 
 # Weights of a shared tag by category, lower for generic tags; points off for unlike domains.
 TAG_WEIGHTS = {"audience": 26, "workflow": 18, "domain": 14}

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
 
-from pyspark.sql import Column
+import pandas as pd
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from firmlens.functions import fixed
+from firmlens.functions import fixed, jsonscan
+from firmlens.shared import find_package
 
 #: Latin letters whose decomposition starts with an ASCII letter, and that letter; ß and others without one are deleted.
 _ACCENTED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝ"
@@ -107,51 +109,27 @@ def json_field(c: Column, name: str) -> Column:
     return F.nullif(F.trim(F.regexp_extract(c, f'"{name}"\\s*:\\s*"([^"]+)"', 1)), F.lit(""))
 
 
-def balanced_json(c: Column) -> Column:
-    """The first object or array of a text whose brackets close, '' if there is none.
-
-    One fold over the characters keeps, for every bracket that is still open, where it starts, its closing bracket and how
-    deep it is nested in brackets of its own kind; brackets inside of strings don't count. The first start that closes wins.
-    """
-    state = "struct<at:int,start:int,done:int,deep:int,text:boolean,escape:boolean>"
-
-    def scan(body: Column, opening: str, closing: str) -> Column:
-        """struct(start, done) of the first such bracket that closes; done 0 if none does."""
+def _scanned(c: Column, name: str) -> Column:
+    """A function of jsonscan over a column, in Arrow batches; null where it finds nothing."""
+    find_package(SparkSession.active())
 
-        def step(s: Column, ch: Column) -> Column:
-            at = s["at"] + 1
-            inside = (s["start"] > 0) & (s["done"] == 0)
-            quote = inside & (ch == '"') & ~s["escape"]
-            plain = inside & ~s["text"] & ~quote
-            deep = F.when(plain & (ch == opening), s["deep"] + 1).when(plain & (ch == closing), s["deep"] - 1).otherwise(s["deep"])
-            begins = (s["start"] == 0) & (ch == opening)
-            return F.struct(
-                at.alias("at"), F.when(begins, at).otherwise(s["start"]).alias("start"), F.when(plain & (deep == 0), at).otherwise(s["done"]).alias("done"),
-                F.when(begins, 1).otherwise(deep).alias("deep"), F.when(quote, ~s["text"]).otherwise(s["text"]).alias("text"),
-                (inside & s["text"] & (ch == "\\") & ~s["escape"]).alias("escape"))
+    @F.pandas_udf("string")
+    def scan(texts: pd.Series) -> pd.Series:
+        found = getattr(jsonscan, name)
+        return texts.map(lambda t: found(t) or None, na_action="ignore")
 
-        zero = F.struct(*[F.lit(v).alias(n) for n, v in zip(("at", "start", "done", "deep", "text", "escape"), (0, 0, 0, 0, False, False), strict=True)]).cast(state)
-        return F.aggregate(F.split(body, ""), zero, step)
+    return scan(c.cast("string"))
 
-    def first(body: Column) -> Column:
-        found = F.array(*[scan(body, a, b) for a, b in ("{}", "[]")])
-        closed = F.array_sort(F.transform(F.filter(found, lambda s: s["done"] > 0), lambda s: F.struct(s["start"].alias("start"), s["done"].alias("done"))))
-        return let(closed, lambda x: F.when(F.size(x) > 0, F.substring(body, x[0]["start"], x[0]["done"] - x[0]["start"] + 1)).otherwise(F.lit("")))
 
-    def attempt(body: Column) -> Column:
-        # a first bracket that never closes hides later ones: they are looked for behind it
-        tries = F.array(body, F.regexp_replace(body, r"(?s)^[^{]*\{", ""), F.regexp_replace(body, r"(?s)^[^\[]*\[", ""))
-        return F.coalesce(F.get(F.filter(F.transform(tries, first), lambda x: x != ""), F.lit(0)), F.lit(""))
-
-    return let(F.coalesce(c, F.lit("")), attempt)
+def balanced_json(c: Column) -> Column:
+    """The first object or array of a text whose brackets close, '' if there is none: jsonscan.first_balanced."""
+    return F.coalesce(_scanned(c, "first_balanced"), F.lit(""))
 
 
 def fenced_json(c: Column) -> Column:
     """The JSON of a model's answer: of the first code fence that holds a closed object or array, else of the whole text;
     null without one."""
-    fences = F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(r"(?is)```(?:json)?\s*(.*?)\s*```"), F.lit(1))
-    found = F.filter(F.transform(F.concat(fences, F.array(c)), balanced_json), lambda x: x != "")
-    return F.get(found, F.lit(0))
+    return _scanned(c, "answer_json")
 
 
 def slug(c: Column) -> Column:

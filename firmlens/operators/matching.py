@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from firmlens.functions import fixed
-from firmlens.functions.text import clean_text, contains_any, match_text, match_tokens
+from firmlens.functions.text import clean_text, match_text, match_tokens
 from firmlens.shared import find_package
 
 #: Rows that a partner or taxonomy table may have to be broadcast; larger ones are joined by their keys.
@@ -31,24 +31,6 @@ def all_pairs(rows: DataFrame, few: DataFrame) -> DataFrame:
     return rows.crossJoin(F.broadcast(few))
 
 
-def tag_texts(rows: DataFrame, taxonomy: DataFrame, *, key: str, text: str) -> DataFrame:
-    """(key, category, tag) for each tag of taxonomy(category, tag, keyword) one of whose keywords the text holds.
-
-    Keywords count as substrings of the normalized text. The taxonomy is a small parameter, so it becomes one array
-    column and the rows aren't multiplied by it before they match; one above SMALL_TABLE keywords is an error.
-    """
-    words = [(r["category"], r["tag"], r["keyword"]) for r in taxonomy.select("category", "tag", match_text(F.col("keyword")).alias("keyword")).limit(SMALL_TABLE + 1).collect()]
-    if len(words) > SMALL_TABLE:
-        raise ValueError(f"a taxonomy of more than {SMALL_TABLE} keywords")
-    tags: dict[tuple[str, str], list[str]] = {}
-    for category, tag, keyword in words:
-        tags.setdefault((category, tag), []).append(keyword)
-    flat = match_text(F.col(text))
-    found = F.array(*[F.when(contains_any(F.col("_flat"), ks), F.struct(F.lit(c).alias("category"), F.lit(t).alias("tag"))) for (c, t), ks in sorted(tags.items())])
-    out = rows.select(key, flat.alias("_flat")).withColumn("_t", F.explode(F.filter(found, lambda x: x.isNotNull())))
-    return out.select(key, "_t.category", "_t.tag")
-
-
 def tag_weight(category: Column, tag: Column) -> Column:
     out = F.lit(None).cast("int")
     for t, w in fixed.GENERIC_TAG_WEIGHTS.items():

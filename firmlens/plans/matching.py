@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from firmlens.functions import fixed
 from firmlens.functions.text import match_tokens, partner_id, slug
-from firmlens.operators import matching
+from firmlens.operators import keywords, matching
 from firmlens.plans.web import read
 
 _ACCENTED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝ"
@@ -35,7 +35,7 @@ TAXONOMY = (
 
 def _tags(spark, sf_dir):
     p = read(spark, sf_dir, "part").select("p_partkey", F.concat_ws(" ", "p_name", "p_type").alias("text"))
-    return matching.tag_texts(p, spark.createDataFrame(list(TAXONOMY), "category string, tag string, keyword string"), key="p_partkey", text="text")
+    return keywords.tag_texts(p, spark.createDataFrame(list(TAXONOMY), "category string, tag string, keyword string"), key="p_partkey", text="text")
 
 
 def taxonomy_tags(spark, sf_dir):

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from firmlens.functions import fixed, urls
 from firmlens.functions.text import clean_lines, first_words, looks_english
-from firmlens.operators import contacts
+from firmlens.operators import contacts, crawl
+from firmlens.shared import written
 from firmlens.sources import html
 
 
@@ -131,6 +132,22 @@ def link_topk(spark, sf_dir):
     return html.top_links(read(spark, sf_dir, "pages"), most=3, exclude=(*fixed.EXCLUDED_PATHS, "/los"), **LINK_WORDS)
 
 
+def crawl_tables(spark, sf_dir):
+    """Entries and links of all pages: a host's first page begins its crawl, its others are known from a site map."""
+    p = read(spark, sf_dir, "pages")
+    at = urls.normalize(F.col("url"))
+    first = p.groupBy(urls.host(F.col("url")).alias("site")).agg(F.min("page_id").alias("first"))
+    own = p.select("page_id", urls.host(F.col("url")).alias("site"), at.alias("url"), urls.link_score(at, F.lit(""), **LINK_WORDS).alias("own"))
+    entries = own.join(first, "site").select("site", "url", F.when(F.col("page_id") == F.col("first"), 100).otherwise(F.col("own")).alias("score"), F.col("page_id").alias("position"))
+    return entries, html.page_links(p, exclude=(*fixed.EXCLUDED_PATHS, "/los"), **LINK_WORDS)
+
+
+def crawl_order(spark, sf_dir):
+    """What a crawl of all hosts would fetch, in which order."""
+    entries, links = crawl_tables(spark, sf_dir)
+    return crawl.crawl_order(entries, written(links, "links"))
+
+
 def text_lines(spark, sf_dir):
     t = read(spark, sf_dir, "documents").select("doc_id", clean_lines(F.col("text")).alias("t"), first_words(F.col("text")).alias("w"), looks_english(F.col("text")).alias("english"))
     return t.select("doc_id", F.md5("t").alias("lines_md5"), F.when(F.col("t") == "", 0).otherwise(F.size(F.split("t", "\n"))).cast("long").alias("n_lines"), F.md5("w").alias("words_md5"), "english")
@@ -153,5 +170,5 @@ FROM w
 QUERIES = {
     "url_normalize": (url_normalize, URL_NORMALIZE), "url_keys": (url_keys, URL_KEYS), "url_input": (url_input, URL_INPUT),
     "page_type_counts": (page_type_counts, PAGE_TYPE_COUNTS), "host_rollup": (host_rollup, HOST_ROLLUP),
-    "html_text": (html_text, None), "link_topk": (link_topk, None), "text_lines": (text_lines, TEXT_LINES),
+    "html_text": (html_text, None), "link_topk": (link_topk, None), "crawl_order": (crawl_order, None), "text_lines": (text_lines, TEXT_LINES),
 }

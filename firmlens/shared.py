@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from pathlib import Path
 
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -34,3 +35,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = shared_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def open_store(uri: str) -> tuple[pafs.FileSystem, str]:
+    """Filesystem and path of a URI or path; used inside of tasks."""
+    if "://" not in uri and not uri.startswith("file:"):
+        return pafs.LocalFileSystem(), uri
+    if uri.startswith("file:"):
+        return pafs.LocalFileSystem(), "/" + uri[5:].lstrip("/")
+    return pafs.FileSystem.from_uri(uri)

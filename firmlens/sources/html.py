@@ -100,22 +100,30 @@ def page_text(pages: DataFrame) -> DataFrame:
     return _parsed(pages).select("page_id", "url", clean_lines(F.col("raw")).alias("text"))
 
 
-def top_links(pages: DataFrame, *, most: int = 3, least: int = 0, exclude: tuple[str, ...] = (), **keywords) -> DataFrame:
-    """The best links of each page within its host, by score, then address: the crawl order without a crawler.
-
-    keywords: those of urls.link_score. Links without a target keyword and links whose path holds one of `exclude` have no place in it. Null html: no links;
-    repeated rows of a page count once; an empty table gives no rows; further columns are not read.
-    """
+def page_links(pages: DataFrame, *, exclude: tuple[str, ...] = (), **keywords) -> DataFrame:
+    """(page_id, url, link, score, position): the links of each page that stay on its host, both addresses normalized, in the
+    page's order. keywords: those of urls.link_score. Links without a target keyword and links whose path holds one of
+    `exclude` are left out. Null html: no links."""
 
     def join(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in frames:
             target = [urljoin(b or "", h) if h else None for b, h in zip(frame.column(1).to_pylist(), frame.column(2).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([frame.column(0), frame.column(1), pa.array(target, pa.string()), frame.column(3)], names=["page_id", "url", "target", "text"])
+            yield pa.RecordBatch.from_arrays([frame.column(0), frame.column(1), pa.array(target, pa.string()), *frame.columns[3:]], names=["page_id", "url", "target", "text", "position"])
 
-    links = _parsed(pages).select("page_id", "url", F.explode("links").alias("l")).select("page_id", "url", F.col("l.href").alias("href"), F.col("l.text").alias("text"))
-    links = links.mapInArrow(join, "page_id long, url string, target string, text string")
+    links = _parsed(pages).select("page_id", "url", F.posexplode("links").alias("position", "l")).select("page_id", "url", F.col("l.href").alias("href"), F.col("l.text").alias("text"), "position")
+    links = links.mapInArrow(join, "page_id long, url string, target string, text string, position int")
     links = links.where(urls.scheme(F.col("target")).isin("http", "https") & (urls.host(F.col("target")) == urls.host(F.col("url"))))
     links = links.where(~urls.excluded(F.col("target"), exclude) & urls.is_target_link(urls.normalize(F.col("target")), F.col("text"), **keywords))
-    links = links.groupBy("page_id", urls.normalize(F.col("target")).alias("link")).agg(F.max(urls.link_score(urls.normalize(F.col("target")), F.col("text"), **keywords)).alias("score"))
+    link = urls.normalize(F.col("target"))
+    return links.select("page_id", urls.normalize(F.col("url")).alias("url"), link.alias("link"), urls.link_score(link, F.col("text"), **keywords).alias("score"), "position")
+
+
+def top_links(pages: DataFrame, *, most: int = 3, least: int = 0, exclude: tuple[str, ...] = (), **keywords) -> DataFrame:
+    """The best links of each page within its host, by score, then address.
+
+    Links and keywords: those of page_links. Null html: no links; repeated rows of a page count once; an empty table gives
+    no rows; further columns are not read.
+    """
+    links = page_links(pages, exclude=exclude, **keywords).groupBy("page_id", "link").agg(F.max("score").alias("score"))
     w = Window.partitionBy("page_id").orderBy(F.desc("score"), "link")
     return links.where(F.col("score") >= least).withColumn("place", F.row_number().over(w)).where(F.col("place") <= most)

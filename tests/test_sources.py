@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from firmlens.functions import fixed, text, urls
 from firmlens.operators import completion, ranking, relations
-from firmlens.plans import catalog, web
+from firmlens.plans import catalog, runs, web
 from firmlens.sources import delimited, files
 from firmlens.sources import html as pages
 
@@ -242,3 +242,11 @@ def test_settings_and_logs(spark):
     assert records.expected_rows(log).first()["rows"] == 15
     assert one(spark, F.to_json(phones.other_numbers(F.array("a", "b", "a"), F.array("b"))), a="1", b="2") == '["1"]'
     assert one(spark, urls.sales_url(F.col("a"), F.col("b")), a=" ", b="http://b") == "http://b"
+
+
+def test_csv_scan_writes_in_parts(spark, monkeypatch, tmp_path):
+    read, path = runs.read, str(tmp_path / "csv")
+    monkeypatch.setattr(runs, "read", lambda *a: read(*a).repartition(4))
+    monkeypatch.setattr(runs, "shared_folder", lambda *a: path)
+    assert runs.csv_scan(spark, TINY).count() == read(spark, TINY, "customer").count()
+    assert len(list(tmp_path.glob("csv/part-*"))) == 4
