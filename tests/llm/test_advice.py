@@ -3,8 +3,6 @@
 import pytest
 
 from firmlens.llm import classifier
-from firmlens.operators import matching
-from firmlens.plans import runs
 
 LARGE = "/root/testdata/sf0.1"
 
@@ -27,21 +25,3 @@ def test_classifier_drops_toxic_and_junk(verdicts):
 
 def test_classifier_keeps_clean(verdicts):
     assert verdicts[1, 0] > 0.93
-
-
-def test_tag_texts_refuses_a_large_taxonomy(spark, monkeypatch):
-    rows = spark.createDataFrame([(1, "red and blue")], "k long, text string")
-    taxonomy = spark.createDataFrame([("c", "r", "red"), ("c", "b", "blue")], "category string, tag string, keyword string")
-    monkeypatch.setattr(matching, "SMALL_TABLE", 2)
-    assert matching.tag_texts(rows, taxonomy, key="k", text="text").count() == 2
-    monkeypatch.setattr(matching, "SMALL_TABLE", 1)
-    with pytest.raises(ValueError):
-        matching.tag_texts(rows, taxonomy, key="k", text="text")
-
-
-def test_csv_scan_writes_in_parts(spark, monkeypatch, tmp_path):
-    read, path = runs.read, str(tmp_path / "csv")
-    monkeypatch.setattr(runs, "read", lambda *a: read(*a).repartition(4))
-    monkeypatch.setattr(runs, "shared_folder", lambda *a: path)
-    assert runs.csv_scan(spark, "/root/testdata/sf0.001").count() == read(spark, "/root/testdata/sf0.001", "customer").count()
-    assert len(list(tmp_path.glob("csv/part-*"))) == 4
