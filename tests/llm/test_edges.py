@@ -42,9 +42,38 @@ def test_mixing(docs):
 
 
 def test_mixing_comes_near_its_targets(spark):
-    """Where a source has documents of all sizes, its words are off by less than a hundredth."""
-    sums = mixing.mix_sources(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).groupBy("source").agg({"target": "first", "taken": "sum"}).collect()
-    assert len(sums) == 20 and all(abs(r["sum(taken)"] - r["first(target)"]) < 0.01 * r["first(target)"] for r in sums)
+    """A source's words are off its target by less than its largest document."""
+    out = mixing.mix_sources(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    sums = out.groupBy("source").agg({"target": "first", "taken": "sum", "size": "max"}).collect()
+    assert len(sums) == 20 and all(abs(r["sum(taken)"] - r["first(target)"]) < r["max(size)"] for r in sums)
+    print("worst source", max(abs(r["sum(taken)"] / r["first(target)"] - 1) for r in sums))
+
+
+def test_mixing_keeps_each_document_s_expectation(spark):
+    """Over 200 offsets spread evenly over [0, 1) each document's mean copies are target / source_size, up to a step."""
+    rows = [(i, " ".join(["w"] * (3000 if i < 3 else 5 + i % 17)), f"s{i % 4}") for i in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    total, rate = collections.Counter(), {}
+    original = mixing.source_offset
+    try:
+        drawn = []
+        for at in range(200):
+            mixing.source_offset = lambda source, seed, at=at: mixing.F.lit((at + 0.5) / 200)
+            if not drawn:
+                drawn = mixing.mix_sources(docs).collect()
+                for r in drawn:
+                    rate[r["doc_id"]] = r["target"] / r["source_size"]
+                place = {}
+                for s in {r["source"] for r in drawn}:
+                    own = sorted((r for r in drawn if r["source"] == s), key=lambda r: (-r["size"], r["doc_id"]))
+                    place |= {r["doc_id"]: k + 1 for k, r in enumerate(own)}
+            got = {r["doc_id"]: r["copies"] for r in (drawn if at == 0 else mixing.mix_sources(docs).collect() if at % 50 == 0 else [])}
+            want = {d: math.floor(k * rate[d] + (at + 0.5) / 200) - math.floor((k - 1) * rate[d] + (at + 0.5) / 200) for d, k in place.items()}
+            assert not got or got == want
+            total.update(want)
+    finally:
+        mixing.source_offset = original
+    assert all(abs(total[d] / 200 - r) <= 0.01 for d, r in rate.items())
 
 
 def test_hosts_with_many_failures_go(spark):
