@@ -150,7 +150,7 @@ def document_bundles(texts: DataFrame, key: str, most_chars: int) -> DataFrame:
     rows = texts.where(F.trim(report_cell(F.col("text"))) != "").select(key, F.lower("file").alias("_low"), "file", part.alias("_part"))
     order = Window.partitionBy(key).orderBy("_low", "file", "_part")
     before = F.coalesce(F.sum(F.length("_part").cast("long") + 2).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long"))
-    kept = rows.withColumn("_before", before).where(F.col("_before") <= most_chars).withColumn("_part", F.left("_part", F.lit(most_chars + 1)))
+    kept = rows.withColumn("_before", before).where(F.col("_before") <= most_chars + 2).withColumn("_part", F.left("_part", F.lit(most_chars + 1)))
     joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_before", "_part"))), lambda p: p["_part"]), "\n\n")
     bundle = kept.groupBy(key).agg(joined.alias("bundle"))
     return bundle.withColumn("bundle", F.when(F.length("bundle") > most_chars, F.concat(F.left("bundle", F.lit(most_chars)), F.lit("\n\n[TRUNCATED]"))).otherwise(F.col("bundle")))
