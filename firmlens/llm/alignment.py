@@ -7,7 +7,6 @@ import io
 import os
 import re
 import uuid
-from collections import Counter
 from itertools import chain
 
 import numpy as np
@@ -21,8 +20,8 @@ from firmlens.llm.common import batches_of, enter, find_package, get_file, mater
 
 #: Bytes of text of a block, and of the slices in which texts are read.
 BLOCK, SLICE = 16 << 20, 1 << 20
-#: New units that are encoded at a time.
-RUN = 512
+#: New units that are encoded at a time; links of a group above which equal ids are counted before they are paired.
+RUN, MANY = 4096, 1 << 12
 
 #: Where neither tokenizer can join what stands on both sides: before a single space or line end between other characters.
 _SAFE = re.compile(r"(?<=\S)(?=[ \n]\S)")
@@ -30,54 +29,61 @@ _SAFE = re.compile(r"(?<=\S)(?=[ \n]\S)")
 
 # ---------------------------------------------------------------- groups of tokens
 
-def overlap_groups(a_ends: list[int], b_ends: list[int]) -> tuple[list[int], list[int]]:
+def overlap_groups(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each token of two sequences over the same bytes the number of its group, by order in the text.
 
-    Tokens are nodes of a bipartite graph with an edge where byte ranges overlap; union-find joins them. Its connected
-    components are the smallest groups that begin and end together.
+    Tokens are nodes of a bipartite graph with an edge where byte ranges overlap; union-find joins them: roots hook to
+    smaller ones over all edges at once, and paths are halved until they are flat. Its connected components are the smallest
+    groups that begin and end together.
     """
     n = len(a_ends)
-    up = list(range(n + len(b_ends)))
-
-    def root(x: int) -> int:
-        while up[x] != x:
-            up[x] = x = up[up[x]]
-        return x
-
-    i = j = 0
-    while i < n and j < len(b_ends):
-        a, b = root(i), root(n + j)
-        if a != b:
-            up[max(a, b)] = min(a, b)
-        end_a, end_b = a_ends[i], b_ends[j]
-        i, j = i + (end_a <= end_b), j + (end_b <= end_a)
-    number: dict[int, int] = {}
-    left = [number.setdefault(root(x), len(number)) for x in range(n)]
-    return left, [number[root(n + y)] for y in range(len(b_ends))]
-
-
-class Unit:
-    """What is known of a stretch of text that both tokenizers read on its own."""
-
-    __slots__ = ("counts", "groups", "pairs", "times")
-
-    def __init__(self, counts: tuple[int, int, int, int], groups: str, pairs: list[int], times: list[int]):
-        self.counts, self.groups, self.pairs, self.times = counts, groups, pairs, times
-
-
-def unit_of(groups: list[tuple[list[int], list[int]]]) -> Unit:
-    """Links of all of a group's members, counted without being listed one by one."""
-    pairs: Counter = Counter()
-    for left, right in groups:
-        if len(left) == 1 and len(right) == 1:
-            pairs[left[0] << 32 | right[0]] += 1
-        else:
-            for a, m in Counter(left).items():
-                for b, n in Counter(right).items():
-                    pairs[a << 32 | b] += m * n
-    counts = (sum(len(a) for a, _ in groups), sum(len(b) for _, b in groups), len(groups), sum(len(a) * len(b) for a, b in groups))
-    text = ";".join([f"{','.join(map(str, a))}|{','.join(map(str, b))}" for a, b in groups])
-    return Unit(counts, text, list(pairs), list(pairs.values()))
+    ends = np.union1d(a_ends, b_ends)  # what lies before one of these, behind the last, is in one token of each
+    left, right = np.searchsorted(a_ends, ends), n + np.searchsorted(b_ends, ends)
+    root = np.arange(n + len(b_ends))
+    while True:
+        x, y = root[left], root[right]
+        apart = x != y
+        if not apart.any():
+            break
+        np.minimum.at(root, np.maximum(x, y)[apart], np.minimum(x, y)[apart])
+        while (root[root] != root).any():
+            root = root[root]
+    first, of_a = np.unique(root[:n], return_inverse=True)
+    return of_a, np.searchsorted(first, root[n:])
+
+
+def bipartite(a: np.ndarray, b: np.ndarray, of_a: np.ndarray, of_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All links of groups' members as (pair of ids, how often, group), by group. Small groups are listed link by link, in a
+    large one equal ids are counted first."""
+    groups = int(of_a[-1]) + 1
+    na, nb = np.bincount(of_a, minlength=groups), np.bincount(of_b, minlength=groups)
+    at_a, at_b = np.cumsum(na) - na, np.cumsum(nb) - nb
+    large = na * nb > MANY
+    n = np.where(large, 0, na * nb)
+    group = np.repeat(np.arange(groups), n)
+    nth = np.arange(len(group)) - np.repeat(np.cumsum(n) - n, n)
+    pairs = a[at_a[group] + nth // nb[group]] << 32 | b[at_b[group] + nth % nb[group]]
+    times = np.ones(len(pairs), np.int64)
+    if not large.any():
+        return pairs, times, group
+    parts = [(pairs, times, group)]
+    for g in np.flatnonzero(large):
+        x, m = np.unique(a[at_a[g] : at_a[g] + na[g]], return_counts=True)
+        y, k = np.unique(b[at_b[g] : at_b[g] + nb[g]], return_counts=True)
+        parts.append(((x[:, None] << 32 | y).reshape(-1), (m[:, None] * k).reshape(-1), np.full(len(x) * len(y), g)))
+    pairs, times, group = (np.concatenate(c) for c in zip(*parts))
+    order = np.argsort(group, kind="stable")
+    return pairs[order], times[order], group[order]
+
+
+class Units:
+    """What is known of some units: whether their tokens' bytes are their own, numbers (tokens of both, groups, links), groups as
+    text, and the id pairs of their links with how often each stands there (n + 1 offsets)."""
+
+    def __init__(self, n: int):
+        self.good, self.counts, self.groups = np.zeros(n, bool), np.zeros((n, 4), np.int64), [""] * n
+        self.pairs: list[np.ndarray] = [np.zeros(0, np.int64)] * n
+        self.times: list[np.ndarray] = [np.zeros(0, np.int64)] * n
 
 
 class Aligner:
@@ -96,6 +102,9 @@ class Aligner:
         self.a_bytes = [bytes(code[c] for c in s) if (s := self.a.id_to_token(i)) and all(c in code for c in s) else (s or "").encode() for i in range(self.a.get_vocab_size())]
         strings = [self.b.id_to_piece(i) for i in range(len(self.b))]
         self.b_bytes = [bytes([int(s[3:5], 16)]) if self.b.is_byte(i) else s.replace("▁", " ").encode() for i, s in enumerate(strings)]
+        self.a_sizes, self.b_sizes = (np.array(list(map(len, x)), np.int64) for x in (self.a_bytes, self.b_bytes))
+        self.spelled = [f"{i}{mark}" for i in range(max(len(self.a_bytes), len(self.b_bytes))) for mark in ",|;"]
+        self.spelled_sizes = np.array(list(map(len, self.spelled)), np.int64)
         self.check(byte_level, pieces, strings)
 
     def check(self, byte_level: str, pieces: str, strings: list[str]) -> None:
@@ -121,44 +130,55 @@ class Aligner:
             out.append(u[1:] if u[0] == " " and u[1:].split() == [u[1:]] else u)
         return out
 
-    def align(self, units: list[str]) -> list[Unit | None]:
-        """Of each unit its groups; None where the bytes of its tokens aren't its own."""
-        out: list[Unit | None] = [None] * len(units)
-        whole = [u if u[0] in " \n" else " " + u for u in units]
+    def align(self, units: list[str]) -> Units:
+        """Of each unit its groups. Regular units are encoded in runs, as one text, others each on its own."""
+        out = Units(len(units))
         fit = [i for i, u in enumerate(units) if "▁" not in u and (w := u[1:] if u[0] == "\n" else u) and w.split() == [w]]
         alone = sorted(set(range(len(units))) - set(fit))
-        for run in [fit[k : k + RUN] for k in range(0, len(fit), RUN)] + [[i] for i in alone]:
-            text = "".join([whole[i] for i in run])
-            try:
-                body = text.encode()
-            except UnicodeEncodeError:
-                continue
-            lead = text[0] != " "  # the second tokenizer puts a space of its own before the text
-            a = self.a.encode(text, add_special_tokens=False).ids
-            b = self.b.encode(text if lead else text[1:], num_threads=1)
-            if lead:
-                b = b[1:] if b and self.b_bytes[b[0]] == b" " else []
-            a_parts, b_parts = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-            if b"".join(a_parts) != body or b"".join(b_parts) != body:
-                if len(run) > 1:
-                    for i in run:
-                        out[i] = self.align([units[i]])[0]
-                continue
-            a_ends = np.cumsum([len(p) for p in a_parts]).tolist()
-            b_ends = np.cumsum([len(p) for p in b_parts]).tolist()
-            left, right = overlap_groups(a_ends, b_ends)
-            groups: list[tuple[list[int], list[int]]] = [([], []) for _ in range(left[-1] + 1)]
-            ends = [0] * len(groups)
-            for i, g, end in zip(a, left, a_ends, strict=True):
-                groups[g][0].append(i)
-                ends[g] = end
-            for i, g in zip(b, right, strict=True):
-                groups[g][1].append(i)
-            cuts = np.searchsorted(ends, np.cumsum([len(whole[i].encode()) for i in run]), side="right").tolist()
-            for i, low, high in zip(run, [0, *cuts], cuts):
-                out[i] = unit_of(groups[low:high])
+        todo = [[i] for i in alone] + [fit[k : k + RUN] for k in range(0, len(fit), RUN)]
+        while todo:
+            run = todo.pop()
+            if not self.align_run([u if u[0] in " \n" else " " + u for u in map(units.__getitem__, run)], run, out) and len(run) > 1:
+                todo += [run[: len(run) // 2], run[len(run) // 2 :]]
         return out
 
+    def align_run(self, texts: list[str], run: list[int], out: Units) -> bool:
+        """Whether the tokens' bytes are the texts'; then out has what is known of these."""
+        text = "".join(texts)
+        body = text.encode()
+        lead = text[0] != " "  # the second tokenizer puts a space of its own before the text
+        a = self.a.encode(text, add_special_tokens=False).ids
+        b = self.b.encode(text if lead else text[1:], num_threads=1)
+        if lead:
+            b = b[1:] if b and self.b_bytes[b[0]] == b" " else []
+        if b"".join([self.a_bytes[i] for i in a]) != body or b"".join([self.b_bytes[i] for i in b]) != body:
+            return False
+        a, b = np.array(a, np.int64), np.array(b, np.int64)
+        a_ends = np.cumsum(self.a_sizes[a])
+        of_a, of_b = overlap_groups(a_ends, np.cumsum(self.b_sizes[b]))
+        groups = int(of_a[-1]) + 1
+        na, nb = np.bincount(of_a, minlength=groups), np.bincount(of_b, minlength=groups)
+        of_group = np.searchsorted(np.cumsum([len(t.encode()) for t in texts]), a_ends[np.cumsum(na) - 1])  # its unit
+        n = len(run)
+        numbers = [np.bincount(of_group, w, n) for w in (na, nb, np.ones(groups), na * nb)]
+        out.counts[run] = np.stack(numbers, axis=1).astype(np.int64)
+        out.good[run] = True
+        # as text: each id with what follows it: a comma, a bar behind the last of the first side, a semicolon behind the group
+        order = np.lexsort((np.repeat([0, 1], [len(a), len(b)]), np.concatenate([of_a, of_b])))
+        last_a, last_b = np.cumsum(na + nb) - nb - 1, np.cumsum(na + nb) - 1
+        mark = np.zeros(len(order), np.int64)
+        mark[last_a], mark[last_b] = 1, 2
+        index = np.concatenate([a, b])[order] * 3 + mark
+        said = "".join(map(self.spelled.__getitem__, index.tolist()))
+        ends = np.cumsum(self.spelled_sizes[index])[last_b]
+        cuts = [0, *ends[np.searchsorted(of_group, np.arange(n), side="right") - 1].tolist()]
+        pairs, times, group = bipartite(a, b, of_a, of_b)
+        bounds = np.searchsorted(of_group[group], np.arange(n + 1)).tolist()
+        for k, i in enumerate(run):
+            out.groups[i] = said[cuts[k] : cuts[k + 1] - 1]
+            out.pairs[i], out.times[i] = pairs[bounds[k] : bounds[k + 1]], times[bounds[k] : bounds[k + 1]]
+        return True
+
 
 # ---------------------------------------------------------------- blocks
 
@@ -168,59 +188,79 @@ class Block:
     def __init__(self, aligner: Aligner):
         self.aligner, self.bytes = aligner, 0
         self.codes: dict[str, int] = {}
-        self.pair_codes: dict[int, int] = {}
         self.groups: list[str] = []
-        self.counts: list[tuple[int, int, int, int]] = []
-        self.good: list[bool] = []
-        self.pairs: list[np.ndarray] = []  # of each unit, codes of pairs
-        self.times: list[np.ndarray] = []
+        self.good, self.counts = np.zeros(0, bool), np.zeros((0, 4), np.int64)
+        self.known, self.known_codes = np.zeros(0, np.int64), np.zeros(0, np.int64)  # pairs in order, and their codes
+        self.pairs, self.times, self.bounds = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(1, np.int64)  # of units, codes of pairs
         self.documents = np.zeros(0, np.int64)  # of each pair, documents that hold it
         self.ids: list = []
         self.rows: list[tuple] = []
         self.bags: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # of a slice's documents: units, occurrences, sizes
 
+    def pair_codes(self, pairs: np.ndarray) -> np.ndarray:
+        """Numbers of pairs, new ones counted on."""
+        distinct, which = np.unique(pairs, return_inverse=True)
+        at = np.minimum(np.searchsorted(self.known, distinct), max(len(self.known) - 1, 0))
+        new = self.known[at] != distinct if len(self.known) else np.ones(len(distinct), bool)
+        codes = np.zeros(len(distinct), np.int64)
+        codes[~new] = self.known_codes[at[~new]]
+        codes[new] = len(self.known) + np.arange(int(new.sum()))
+        known, numbers = np.concatenate([self.known, distinct[new]]), np.concatenate([self.known_codes, codes[new]])
+        order = np.argsort(known, kind="stable")
+        self.known, self.known_codes = known[order], numbers[order]
+        return codes[which]
+
     def learn(self, units: list[str]) -> None:
         new = [u for u in dict.fromkeys(units) if u not in self.codes]
-        pair_codes = self.pair_codes
-        for u, got in zip(new, self.aligner.align(new), strict=True):
-            self.codes[u] = len(self.codes)
-            self.good.append(got is not None)
-            got = got or Unit((0, 0, 0, 0), "", [], [])
-            self.counts.append(got.counts)
-            self.groups.append(got.groups)
-            self.pairs.append(np.array([pair_codes.setdefault(p, len(pair_codes)) for p in got.pairs], np.int32))
-            self.times.append(np.array(got.times, np.int64))
+        if not new:
+            return
+        got = self.aligner.align(new)
+        self.codes.update(zip(new, range(len(self.codes), len(self.codes) + len(new)), strict=True))
+        self.groups += got.groups
+        self.good, self.counts = np.concatenate([self.good, got.good]), np.concatenate([self.counts, got.counts])
+        self.pairs = np.concatenate([self.pairs, self.pair_codes(np.concatenate(got.pairs))])
+        self.times = np.concatenate([self.times, *got.times])
+        self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(list(map(len, got.pairs)))])
 
     def add(self, ids: list, texts: list[str | None]) -> None:
         split = [self.aligner.units(t) if t else [] for t in texts]
         self.bytes += sum(len(t or "") for t in texts)
-        self.learn(list(chain.from_iterable(split)))
-        own = [[self.codes[u] for u in us] for us in split]
-        own = [cs if all(map(self.good.__getitem__, cs)) else [] for cs in own]  # a text that doesn't come back whole has no tokens
+        flat = list(chain.from_iterable(split))
+        self.learn(flat)
+        unit = np.fromiter(map(self.codes.__getitem__, flat), np.int64, len(flat))
+        doc = np.repeat(np.arange(len(texts)), list(map(len, split)))
+        whole = np.ones(len(texts), bool)
+        whole[doc[~self.good[unit]]] = False  # a text that doesn't come back whole has no tokens
+        unit, doc = unit[whole[doc]], doc[whole[doc]]
+        sums = [np.bincount(doc, self.counts[unit, k], len(texts)).astype(np.int64).tolist() for k in range(4)]
+        cuts = np.searchsorted(doc, np.arange(len(texts) + 1)).tolist()
+        said = list(map(self.groups.__getitem__, unit.tolist()))
+        digests = [hashlib.sha256(";".join(said[i:j]).encode()).hexdigest() if j > i else "" for i, j in zip(cuts, cuts[1:])]
         self.ids += ids
-        for cs in own:
-            sums = np.array([self.counts[c] for c in cs], np.int64).sum(axis=0).tolist() if cs else [0, 0, 0, 0]
-            digest = hashlib.sha256(";".join([self.groups[c] for c in cs]).encode()).hexdigest() if cs else ""
-            self.rows.append((*sums, digest))
-        doc = np.repeat(np.arange(len(own)), [len(cs) for cs in own])
-        unit = np.fromiter(chain.from_iterable(own), np.int64, len(doc))
+        self.rows += zip(*sums, digests, strict=True)
         key, times = np.unique(doc << 32 | unit, return_counts=True)
         doc, unit = key >> 32, key & 0xFFFFFFFF
-        self.bags.append((unit.astype(np.uint32), times.astype(np.uint32), np.bincount(doc, minlength=len(own)).astype(np.uint32)))
-        if len(unit):
-            held = [self.pairs[u] for u in unit.tolist()]
-            seen = np.unique(np.repeat(doc, list(map(len, held))) << 32 | np.concatenate(held)) & 0xFFFFFFFF
-            more = np.bincount(seen, minlength=len(self.pair_codes))
-            more[: len(self.documents)] += self.documents
-            self.documents = more
+        self.bags.append((unit.astype(np.uint32), times.astype(np.uint32), np.bincount(doc, minlength=len(texts)).astype(np.uint32)))
+        low = self.bounds[unit]
+        n = self.bounds[unit + 1] - low
+        where = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        seen = np.unique(np.repeat(doc, n) << 32 | self.pairs[where]) & 0xFFFFFFFF
+        more = np.bincount(seen, minlength=len(self.known))
+        more[: len(self.documents)] += self.documents
+        self.documents = more
+
+    def pair_values(self) -> np.ndarray:
+        """The pairs by code."""
+        out = np.zeros(len(self.known), np.int64)
+        out[self.known_codes] = self.known
+        return out
 
     def dump(self) -> bytes:
         """All that the second pass needs, as one compressed Arrow file."""
-        sizes = lambda lists: np.array([len(x) for x in lists], np.uint32)
         columns = {
-            "unit_pairs": np.concatenate(self.pairs) if self.pairs else np.zeros(0, np.int32), "unit_times": np.concatenate(self.times) if self.times else np.zeros(0, np.int64), "unit_sizes": sizes(self.pairs),
+            "unit_pairs": self.pairs.astype(np.uint32), "unit_times": self.times, "unit_sizes": np.diff(self.bounds).astype(np.uint32),
             **{name: np.concatenate([b[i] for b in self.bags]) if self.bags else np.zeros(0, np.uint32) for i, name in enumerate(("units", "times", "sizes"))},
-            "pairs": np.fromiter(self.pair_codes, np.int64, len(self.pair_codes)),
+            "pairs": self.pair_values(),
         }
         lists = pa.RecordBatch.from_arrays([pa.array([v], pa.list_(pa.from_numpy_dtype(v.dtype))) for v in columns.values()], names=list(columns))
         rows = list(zip(*self.rows)) or [()] * 5
@@ -263,8 +303,8 @@ def token_groups(docs: DataFrame, byte_level: str, pieces: str) -> DataFrame:
         for frame in batches_of(frames, SLICE):
             out = []
             for text in frame.column(1).to_pylist():
-                got = both.align(both.units(text)) if text else []
-                whole = ";".join([u.groups for u in got]) if all(got) else ""
+                got = both.align(both.units(text) if text else [])
+                whole = ";".join(got.groups) if got.good.all() else ""
                 out.append([dict(zip("ab", [list(map(int, side.split(","))) for side in g.split("|")])) for g in whole.split(";") if g])
             yield pa.RecordBatch.from_arrays([frame.column(0), pa.array(out, kind)], names=["doc_id", "groups"])
 
@@ -301,9 +341,8 @@ def align_documents(docs: DataFrame, byte_level: str, pieces: str) -> tuple[Data
         def close():
             name = uuid.uuid4().hex  # a task that runs again writes another file; only those in the written list are read
             put_file(folder, name, block.dump())
-            pairs = np.fromiter(block.pair_codes, np.int64, len(block.pair_codes))
-            n = np.zeros(len(pairs), np.int64)
-            n[: len(block.documents)] = block.documents
+            pairs = block.pair_values()
+            n = np.concatenate([block.documents, np.zeros(len(pairs) - len(block.documents), np.int64)])
             held = np.flatnonzero(n)  # none of those that only texts without tokens have
             pairs, n = np.append(pairs[held], -1), np.append(n[held], 0)  # one row at least, so that no block is lost
             for a in range(0, len(pairs), 1 << 16):

@@ -254,13 +254,31 @@ def test_units_are_read_as_whole_texts_are():
     for _ in range(400):
         text = "".join(rng.choices(letters, k=rng.randint(1, 14)))
         got = both.align(both.units(text))
-        own = ";".join(u.groups for u in got) if all(got) else ""
+        own = ";".join(got.groups) if got.good.all() else ""
         want = next(iter(alignment_rows([1], [text])))
         assert (hashlib.sha256(own.encode()).hexdigest() if own else "") == want[-1], repr(text)
 
 
 def test_overlap_groups():
-    assert alignment.overlap_groups([1, 3, 6, 7], [2, 3, 7]) == ([0, 0, 1, 1], [0, 0, 1])
+    left, right = alignment.overlap_groups(np.array([1, 3, 6, 7]), np.array([2, 3, 7]))
+    assert left.tolist() == [0, 0, 1, 1] and right.tolist() == [0, 0, 1]
+    rng = random.Random(2)
+    for _ in range(200):
+        n = rng.randint(1, 40)
+        a, b = (sorted({n, *rng.sample(range(1, n + 1), rng.randint(0, n - 1) // k)}) for k in (1, 3))
+        common = sorted(set(a) & set(b))
+        left, right = alignment.overlap_groups(np.array(a), np.array(b))
+        assert left.tolist() == np.searchsorted(common, a).tolist() and right.tolist() == np.searchsorted(common, b).tolist()
+
+
+@pytest.mark.parametrize("many", [1 << 12, 2])
+def test_links_of_large_groups(monkeypatch, many):
+    monkeypatch.setattr(alignment, "MANY", many)
+    a, b, of_a, of_b = np.array([5, 5, 6, 7, 5]), np.array([1, 2, 2, 9]), np.array([0, 0, 0, 1, 2]), np.array([0, 0, 1, 2])
+    got = collections.Counter()
+    for p, n, g in zip(*alignment.bipartite(a, b, of_a, of_b)):
+        got[int(p) >> 32, int(p) & 0xFFFFFFFF, int(g)] += int(n)
+    assert got == {(5, 1, 0): 2, (5, 2, 0): 2, (6, 1, 0): 1, (6, 2, 0): 1, (7, 2, 1): 1, (5, 9, 2): 1}
 
 
 def test_aligner_refuses_other_files():
