@@ -35,39 +35,31 @@ def crawl_order(entries: DataFrame, links: DataFrame, *, pages: DataFrame | None
     links = links.where("link IS NOT NULL").select("url", "link", number("score", "int"), number("position", "long")).where(F.col("score") >= least_score)
     seeds = entries.where("site IS NOT NULL AND url IS NOT NULL").select("site", "url", number("score", "int"), number("position", "long"))
     seeds = seeds.groupBy("site", "url").agg(F.min(F.struct("position", F.negative("score").alias("s"))).alias("e"))
-    queue = seeds.select("site", "url", F.lit(0).alias("depth"), (-F.col("e.s")).alias("score"), F.lit(0).alias("round"), F.col("e.position").alias("position"))
-    queue = written(fetchable(queue), "frontier")
-    taken: list[DataFrame] = []
+    # what each site has had so far: waiting where it has no place yet
+    had = seeds.select("site", "url", F.lit(0).alias("depth"), (-F.col("e.s")).alias("score"), F.lit(0).alias("round"), F.col("e.position").alias("position"), F.lit(None).cast("int").alias("place"))
+    had = written(fetchable(had), "frontier")
     for round_no in range(1, 1 << 30):
         order = [F.desc("score"), "depth", "round", "position", "url"]
-        ranked = queue.withColumn("n", F.row_number().over(Window.partitionBy("site").orderBy(*order)))
+        ranked = had.where("place IS NULL").drop("place").withColumn("n", F.row_number().over(Window.partitionBy("site").orderBy(*order)))
         if limit is not None:
             ranked = ranked.where(F.col("n") <= limit)
         brings = F.col("depth") < most_depth
         before = F.count_if(brings).over(Window.partitionBy("site").orderBy("n").rowsBetween(Window.unboundedPreceding, -1))
         ranked = ranked.withColumn("before", before).where(F.coalesce("before", F.lit(0)) == 0)
-        if taken:
-            sofar = _all(taken).groupBy("site").agg(F.max("place").alias("fetched"))
-            ranked = ranked.join(sofar, "site", "left")
+        if round_no == 1:
+            place = F.col("n")
         else:
-            ranked = ranked.withColumn("fetched", F.lit(0))
-        ranked = ranked.withColumn("place", F.coalesce("fetched", F.lit(0)) + F.col("n"))
+            ranked = ranked.join(had.groupBy("site").agg(F.max("place").alias("fetched")), "site")
+            place = F.coalesce("fetched", F.lit(0)) + F.col("n")
+        ranked = ranked.withColumn("now", place.cast("int"))
         if limit is not None:
-            ranked = ranked.where((F.col("place") <= most) | ((F.col("score") >= bypass_score) & (F.col("place") <= limit)))
-        now = written(ranked.select("site", "url", "depth", "score", F.col("place").cast("int").alias("place"), brings.alias("brings")), "fetched")
-        taken.append(now)
-        bringing = now.where("brings").select("site", "url", "depth")
+            ranked = ranked.where((F.col("now") <= most) | ((F.col("score") >= bypass_score) & (F.col("now") <= limit)))
+        now = written(ranked.select("site", "url", "depth", "now", brings.alias("brings")), "fetched")
+        placed = had.join(now.select("site", "url", "now"), ["site", "url"], "left").withColumn("place", F.coalesce("place", "now")).drop("now")
+        bringing = now.where("brings")
         if not bringing.head(1):
-            break
+            return placed.where("place IS NOT NULL").select("site", "url", "depth", "score", "place")
         new = bringing.join(links, "url").groupBy("site", "link", (F.col("depth") + 1).alias("depth")).agg(F.min(F.struct("position", F.negative("score").alias("s"))).alias("e"))
-        new = fetchable(new.select("site", F.col("link").alias("url"), "depth", (-F.col("e.s")).alias("score"), F.lit(round_no).alias("round"), "e.position"))
-        new = new.join(queue, ["site", "url"], "left_anti").join(_all(taken), ["site", "url"], "left_anti")
-        queue = written(queue.join(now, ["site", "url"], "left_anti").unionByName(new), "frontier")
-    return _all(taken).drop("brings")
-
-
-def _all(parts: list[DataFrame]) -> DataFrame:
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        new = new.select("site", F.col("link").alias("url"), "depth", (-F.col("e.s")).alias("score"), F.lit(round_no).alias("round"), "e.position", F.lit(None).cast("int").alias("place"))
+        had = written(placed.unionByName(fetchable(new).join(had.select("site", "url"), ["site", "url"], "left_anti")), "frontier")
+    raise AssertionError("rounds end when no page brings links")

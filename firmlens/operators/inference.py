@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from firmlens.functions.text import fenced_json
+from firmlens.operators.pressure import OVERLOAD, Pressure
+from firmlens.operators.pressure import call as call_provider
 from firmlens.shared import find_package
 
 CALLS = "task string, prompt_sha256 string, prompt string, response_text string, status string, tokens long"
@@ -29,17 +31,19 @@ def fill(template: str, values: dict[str, Column]) -> Column:
     return out
 
 
-def ask(prompts: DataFrame, cache: DataFrame, task: str, make: Callable[[], Provider], *, workers: int | None = None) -> DataFrame:
+def ask(prompts: DataFrame, cache: DataFrame, task: str, make: Callable[[], Provider], *, workers: int | None = None, ceiling: int = 0, pressure: Pressure | None = None, tries: int = 1) -> DataFrame:
     """Calls (CALLS) for prompts(prompt): each distinct prompt once, cached answers first, the provider for the rest.
 
-    A failing prompt gives status error and its text; it doesn't fail the task. workers: how many tasks call at a time.
+    A failing prompt gives status error and its text; it doesn't fail the task. workers: how many tasks call at a time, up to
+    ceiling (0: none). With pressure, tasks share what they know of an overloaded provider and leave it alone while it
+    cools down; an overloaded call is tried `tries` times.
     """
     find_package(prompts.sparkSession)
     p = prompts.select("prompt").where(F.col("prompt").isNotNull()).distinct().withColumn("prompt_sha256", F.sha2(F.concat_ws("\n", F.lit(task), "prompt"), 256))
     hits = p.join(cache.where(F.col("task") == task).select("prompt_sha256", "response_text", "status", "tokens"), "prompt_sha256")
     misses = p.join(cache.where(F.col("task") == task).select("prompt_sha256").distinct(), "prompt_sha256", "left_anti")
     if workers:
-        misses = misses.repartition(workers)
+        misses = misses.repartition(callers(workers, ceiling))
 
     def call(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         provider = make()
@@ -47,7 +51,7 @@ def ask(prompts: DataFrame, cache: DataFrame, task: str, make: Callable[[], Prov
             rows = []
             for prompt, digest in zip(frame.column("prompt").to_pylist(), frame.column("prompt_sha256").to_pylist(), strict=True):
                 try:
-                    text, tokens = provider(prompt)
+                    text, tokens = call_provider(provider, prompt, pressure, tries)
                     rows.append((task, digest, prompt, text, "ok", tokens))
                 except Exception as e:  # a provider may fail in any way; the row says how
                     rows.append((task, digest, prompt, str(e)[:500], "error", 0))
@@ -79,11 +83,6 @@ def rule_provider() -> Provider:
     return answer
 
 
-def backoff(attempt: int, base: float = 1.0, most: float = 30.0, jitter: float = 0.0) -> float:
-    """Seconds to wait before a retry: doubling from base up to most, plus a share (0 to 1) of a second."""
-    return min(most, base * 2 ** max(0, attempt - 1)) + min(max(jitter, 0.0), 1.0)
-
-
 def callers(wanted: int, ceiling: int) -> int:
     """How many tasks may call a provider at a time."""
     return max(1, min(wanted, ceiling)) if ceiling > 0 else max(1, wanted)
@@ -91,4 +90,4 @@ def callers(wanted: int, ceiling: int) -> int:
 
 def is_overload(message: Column) -> Column:
     """Whether an error says that the provider is overloaded."""
-    return F.lower(message).rlike("rate.?limit|exhausted|429|503")
+    return F.lower(message).rlike(OVERLOAD)

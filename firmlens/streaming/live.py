@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import threading
 import time
 from collections.abc import Callable, Mapping
 from datetime import datetime, timezone
@@ -28,7 +29,7 @@ class StatusListener(StreamingQueryListener):
 
     def __init__(self, path: str, name: str, fixed: Mapping[str, object] | None = None, clock: Callable[[], float] = time.monotonic):
         self.path, self.name, self.fixed, self.clock = path, name, dict(fixed or {}), clock
-        self.last, self.runs = None, set()
+        self.last, self.runs, self.lock = None, set(), threading.Lock()
         before = self.read()
         self.sums: dict[str, int] = {k: v for k, v in (before or {}).get("observed", {}).items()}
         self.batch = before["batch"] if before else -1
@@ -56,16 +57,20 @@ class StatusListener(StreamingQueryListener):
         pass
 
     def onQueryProgress(self, event) -> None:
-        p = event.progress
-        if self.name not in (p.observedMetrics or {}) or p.batchId <= self.batch:
-            return
-        self.runs.add(str(p.runId))
-        for k, v in p.observedMetrics[self.name].asDict().items():
-            self.sums[k] = self.sums.get(k, 0) + (v or 0)
-        self.batch = p.batchId
-        if self.last is None or self.clock() - self.last > EVERY:
+        if self.add(event.progress) and (self.last is None or self.clock() - self.last > EVERY):
             self.write()
 
+    def add(self, progress) -> bool:
+        """Count a batch, unless it was; whether it was new."""
+        with self.lock:
+            if self.name not in (progress.observedMetrics or {}) or progress.batchId <= self.batch:
+                return False
+            self.runs.add(str(progress.runId))
+            for k, v in progress.observedMetrics[self.name].asDict().items():
+                self.sums[k] = self.sums.get(k, 0) + (v or 0)
+            self.batch = progress.batchId
+            return True
+
     def onQueryIdle(self, event) -> None:
         pass
 
@@ -107,8 +112,9 @@ def read_live(spark: SparkSession, folder: str, kind: str, schema: str) -> DataF
     return rows.drop("batch")
 
 
-def write_live(events: DataFrame, outputs: Mapping[str, tuple[str, Callable[[DataFrame], DataFrame]]], target: str, checkpoint: str) -> None:
-    """Run the stream over all that is there into live tables target/<name>, by name (kind, what of a batch)."""
+def write_live(events: DataFrame, outputs: Mapping[str, tuple[str, Callable[[DataFrame], DataFrame]]], target: str, checkpoint: str, status: StatusListener | None = None) -> None:
+    """Run the stream over all that is there into live tables target/<name>, by name (kind, what of a batch). status: attached
+    while it runs; its file is up to date when this returns."""
 
     def each(batch: DataFrame, number: int) -> None:
         batch.persist()
@@ -118,4 +124,16 @@ def write_live(events: DataFrame, outputs: Mapping[str, tuple[str, Callable[[Dat
         finally:
             batch.unpersist()
 
-    events.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    streams = events.sparkSession.streams
+    if status:
+        streams.addListener(status)
+    try:
+        query = events.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        query.awaitTermination()
+    finally:
+        if status:
+            streams.removeListener(status)
+    if status:
+        for progress in query.recentProgress:  # listeners are told a little later than the stream ends
+            status.add(progress)
+        status.write()

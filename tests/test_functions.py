@@ -168,7 +168,7 @@ def test_stream_resumes_without_doubles(spark, tmp_path):
 
 
 def test_model_seam_asks_only_for_misses(spark):
-    from firmlens.operators import inference
+    from firmlens.operators import inference, pressure
 
     prompts = spark.createDataFrame([("a b",), ("a b",), ("c",), (None,)], "prompt string")
     first = inference.ask(prompts, spark.createDataFrame([], inference.CALLS), "t", inference.rule_provider, workers=2)
@@ -185,7 +185,7 @@ def test_model_seam_asks_only_for_misses(spark):
     assert {(r["prompt"], r["status"]) for r in again} == {("a b", "ok"), ("c", "ok"), ("new", "error")}
     assert [r["answer"]["words"] for r in inference.answers(cache, "is_b2b string, words long").orderBy("prompt").collect()] == [2, 1]
     assert len(inference.answers(cache, "array<struct<words:bigint>>").first()["answer"]) == 1
-    assert [inference.backoff(n) for n in (1, 2, 3, 10)] == [1, 2, 4, 30] and inference.callers(50, 6) == 6 and inference.callers(0, 6) == 1
+    assert [pressure.backoff(n) for n in (1, 2, 3, 10)] == [1, 2, 4, 30] and inference.callers(50, 6) == 6 and inference.callers(0, 6) == 1
 
 
 def test_match_decisions(spark):

@@ -2,7 +2,6 @@
 
 import json
 import random
-import time
 import types
 
 from pyspark.sql import functions as F
@@ -99,19 +98,12 @@ def test_live_outputs_with_a_replayed_batch(spark, tmp_path):
     outputs = {"csv": ("csv", wide), "json": ("json", wide), "failed": ("parquet", lambda b: b.where("n % 2 = 1"))}
     events = lambda: live.observed(spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(src), "live", "job", started="a")
     listener = live.StatusListener(f"file://{out}/status.json", "live")
-    spark.streams.addListener(listener)
-    live.write_live(events(), outputs, out, cp)
+    live.write_live(events(), outputs, out, cp, listener)
     last = max(int(p.name) for p in (tmp_path / "cp" / "commits").iterdir() if p.name.isdigit())
     for p in (tmp_path / "cp" / "commits").iterdir():  # the last batch was written, but the stream died before it was noted
         if p.name.strip(".").startswith(str(last)):
             p.unlink()
-    live.write_live(events(), outputs, out, cp)
-    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
-    for _ in range(50):
-        if (listener.read() or {}).get("observed", {}).get("jobs_started") == 12:
-            break
-        time.sleep(0.2)
-    spark.streams.removeListener(listener)
+    live.write_live(events(), outputs, out, cp, live.StatusListener(f"file://{out}/status.json", "live"))
     assert listener.read()["observed"] == {"rows_written": 0, "jobs_started": 12, "jobs_done": 0}
     want = sorted((10 * k + i, 'x;"\nü' if i else "") for k in range(3) for i in range(4))
     got = live.read_live(spark, f"{out}/csv", "csv", "n long, url string, s string, l string").collect()
