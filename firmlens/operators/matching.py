@@ -17,6 +17,8 @@ from firmlens.shared import find_package
 SMALL_TABLE = 100_000
 #: Terms of all partners that are sent to every task as postings (about 24 bytes each).
 MAX_TERMS = 4_000_000
+#: Partners whose rows may be decomposed with each target.
+LOW_RANK_PARTNERS = 1_000
 
 
 def small(table: DataFrame) -> DataFrame:
@@ -123,6 +125,53 @@ class PartnerIndex:
         terms, df = np.unique(t, return_counts=True)
         self.plain = np.bincount(p, (tf * self.idf(df[np.searchsorted(terms, t)])) ** 2, self.size) if len(p) else np.zeros(self.size)
         self.dense = self.postings(p, t, tf)
+        self._gram: np.ndarray | None = None
+
+    def gram(self) -> np.ndarray:
+        """Products of all partners' plain vectors, a block of terms at a time."""
+        if self._gram is None:
+            terms, bounds, partner, tf = self.dense
+            self._gram = np.zeros((self.size, self.size))
+            weight = tf * np.repeat(self.idf(np.diff(bounds)), np.diff(bounds))
+            for a in range(0, len(terms), 4096):
+                b = min(a + 4096, len(terms))
+                own = slice(bounds[a], bounds[b])
+                block = np.zeros((self.size, b - a))
+                block[partner[own], np.repeat(np.arange(b - a), np.diff(bounds[a : b + 1]))] = weight[own]
+                self._gram += block @ block.T
+        return self._gram
+
+    def reduced_cosines(self, term: np.ndarray, count: np.ndarray, most: int) -> np.ndarray:
+        """Cosines of one target, its distinct terms and their counts, to all partners after a truncated SVD of the TF-IDF rows of
+        the target and all partners to at most `most` dimensions.
+
+        The rows' products say all: with G = V diag(l) V', the reduced rows are the first columns of V by l, times the root of
+        l. The target moves the weights of its own terms only, so the partners' products are the plain ones with these
+        terms' parts exchanged. Fewer than four rows or terms: the rows themselves.
+        """
+        hit, n, partner, ptf = self.find(self.dense, term)
+        df = np.zeros(len(term))
+        df[hit] = n
+        ttf, tidf = 1 + np.log(np.maximum(count, 1)), self.idf(df + 1)
+        column = np.repeat(np.arange(len(hit)), n)
+        tf = np.zeros((self.size, len(hit)))
+        tf[partner, column] = ptf
+        g = np.zeros((self.size + 1, self.size + 1))
+        g[1:, 1:] = self.gram() + (tf * (tidf[hit] ** 2 - self.idf(df[hit]) ** 2)) @ tf.T
+        g[0, 1:] = g[1:, 0] = tf @ (ttf[hit] * tidf[hit] ** 2)
+        g[0, 0] = ((ttf * tidf) ** 2).sum()
+        length = np.sqrt(np.maximum(np.diag(g), 0))
+        length[length < 1e-12] = np.inf  # rows without terms
+        g /= length[:, None] * length
+        features = len(self.dense[0]) + len(term) - len(hit)
+        rows = self.size + 1
+        if rows >= 4 and features >= 4:
+            k = max(2, min(most, rows - 1, features - 1))
+            values, vectors = np.linalg.eigh(g)
+            reduced = vectors[:, -k:] * np.sqrt(np.maximum(values[-k:], 0))
+            g = reduced @ reduced.T
+        own = np.sqrt(np.maximum(np.diag(g), 0))
+        return np.where((own[1:] > 1e-9) & (own[0] > 1e-9), g[0, 1:] / np.maximum(own[1:] * own[0], 1e-300), 0.0)
 
     def idf(self, df: np.ndarray) -> np.ndarray:
         return np.log((2.0 + self.size) / (1.0 + df)) + 1.0
@@ -144,14 +193,18 @@ class PartnerIndex:
         where = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
         return hit, n, partner[where], weight[where]
 
-    def scores(self, n_rows: int, sparse: tuple, dense: tuple) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of rows against all partners: sums of shared weights, numbers of shared terms, cosines."""
+    def scores(self, n_rows: int, sparse: tuple | None, dense: tuple | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of rows against all partners: sums of shared weights, numbers of shared terms, cosines; zeros for what isn't given."""
         shape = (n_rows, self.size)
         cells = lambda rows, partners, w: np.bincount(rows * self.size + partners, w, n_rows * self.size).reshape(shape)
-        row, term, weight = sparse
-        hit, n, partner, _ = self.find(self.sparse, term)
-        rows = np.repeat(row[hit], n)
-        score, terms = cells(rows, partner, np.repeat(weight[hit], n)), cells(rows, partner, None)
+        score = terms = np.zeros(shape)
+        if sparse:
+            row, term, weight = sparse
+            hit, n, partner, _ = self.find(self.sparse, term)
+            rows = np.repeat(row[hit], n)
+            score, terms = cells(rows, partner, np.repeat(weight[hit], n)), cells(rows, partner, None)
+        if not dense:
+            return score, terms, np.zeros(shape)
         row, term, count = dense
         hit, n, partner, ptf = self.find(self.dense, term)
         df = np.zeros(len(term))
@@ -167,7 +220,7 @@ class PartnerIndex:
 SCORED = "partner long, score long, terms long, cosine double, sparse_rank int, dense_rank int, fused double, place int"
 
 
-def score_partners(targets: DataFrame, partners: DataFrame, weights: dict[str, int], *, k: int = 60, top: int = 10) -> DataFrame:
+def score_partners(targets: DataFrame, partners: DataFrame, weights: dict[str, int], *, k: int = 60, top: int = 10, sparse: bool = True, dense: bool = True, dimensions: int | None = None) -> DataFrame:
     """Per row of targets(target, dense, and array columns of terms by weights): the partners among its first `top` by
     shared terms, or by TF-IDF cosine of 1- and 2-grams (each SCORED column null where a partner is not among them), and
     their place by reciprocal rank fusion.
@@ -177,14 +230,23 @@ def score_partners(targets: DataFrame, partners: DataFrame, weights: dict[str, i
     postings, and each target's terms are folded against them in place, so that nothing is shuffled; a larger table is an
     error (term_overlap, tfidf_cosine and rank_fusion join on terms instead). Cosines count to six decimals in ranks. The
     corpus of a target is itself and all partners. Targets without any shared term give no rows.
+
+    sparse, dense: which of the two are asked for; what isn't is neither computed nor counted. dimensions: cosines after a
+    truncated SVD to as many (32 is usual), for each target of its own, from products of rows that all targets share; its
+    cost grows with the third power of the partners' number, so at most LOW_RANK_PARTNERS of them.
     """
     find_package(targets.sparkSession)
     size = partners.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.size("sparse") + F.size("dense")), F.lit(0)).alias("terms")).first()
     if size["rows"] > SMALL_TABLE or size["terms"] > MAX_TERMS:
         raise ValueError(f"{size['rows']} partners with {size['terms']} terms are too many to send to every task")
+    if dimensions and size["rows"] > LOW_RANK_PARTNERS:
+        raise ValueError(f"{size['rows']} partners are too many for a decomposition with each target")
     rows = partners.select("partner", "position", "sparse", "dense").orderBy("position", "partner").collect()
     names = np.array([r["partner"] for r in rows], np.int64)
-    shared = targets.sparkSession.sparkContext.broadcast(PartnerIndex([r["sparse"] for r in rows], [r["dense"] for r in rows]))
+    index = PartnerIndex([r["sparse"] for r in rows], [r["dense"] for r in rows])
+    if dimensions:
+        index.gram()
+    shared = targets.sparkSession.sparkContext.broadcast(index)
     columns = list(weights.items())
     kind = dict(targets.dtypes)["target"]
 
@@ -207,10 +269,17 @@ def score_partners(targets: DataFrame, partners: DataFrame, weights: dict[str, i
         for whole in frames:
             for start in range(0, whole.num_rows, step):
                 frame = whole.slice(start, step)
-                parts = [(*flat(frame.column(frame.schema.get_field_index(c))), w) for c, w in columns]
-                sparse = _distinct(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]), np.concatenate([np.full(len(p[0]), float(p[2])) for p in parts]))
-                own = flat(frame.column(frame.schema.get_field_index("dense")))
-                score, terms, cosine = index.scores(frame.num_rows, sparse, _distinct(*own, np.ones(len(own[0]))))
+                listed = counted = None
+                if sparse:
+                    parts = [(*flat(frame.column(frame.schema.get_field_index(c))), w) for c, w in columns]
+                    listed = _distinct(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]), np.concatenate([np.full(len(p[0]), float(p[2])) for p in parts]))
+                if dense:
+                    own = flat(frame.column(frame.schema.get_field_index("dense")))
+                    counted = _distinct(*own, np.ones(len(own[0])))
+                score, terms, cosine = index.scores(frame.num_rows, listed, None if dimensions else counted)
+                if dense and dimensions:
+                    cuts = np.searchsorted(counted[0], np.arange(frame.num_rows + 1))
+                    cosine = np.stack([index.reduced_cosines(counted[1][a:b], counted[2][a:b], dimensions) for a, b in zip(cuts, cuts[1:])])
                 cosine = np.round(cosine, 6)
                 out: list[tuple] = []
                 for i in range(frame.num_rows):

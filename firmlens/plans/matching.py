@@ -73,7 +73,7 @@ SELECT target, partner, CAST(overlap - penalty AS BIGINT) AS score, shared, CAST
 """
 
 
-def _scored(spark, sf_dir):
+def _scored(spark, sf_dir, **asked):
     """Documents as companies against benchmark items as partners, in list order from the last item to the first."""
     tokens = match_tokens(F.col("text")).alias("tokens")
     one, both = matching.hashed_terms(F.col("tokens"))
@@ -81,11 +81,11 @@ def _scored(spark, sf_dir):
     targets = d.select("target", one.alias("own"), matching.hashed_terms(F.col("names"))[0].alias("listed"), both.alias("dense"))
     b = read(spark, sf_dir, "benchmark").select(F.col("item_id").alias("partner"), tokens)
     partners = b.select("partner", (-F.col("partner")).alias("position"), one.alias("sparse"), both.alias("dense"))
-    return matching.score_partners(targets, partners, {"own": 4, "listed": 2})
+    return matching.score_partners(targets, partners, {"own": 4, "listed": 2}, **asked)
 
 
 def token_overlap(spark, sf_dir):
-    return _scored(spark, sf_dir).where("sparse_rank IS NOT NULL").select("target", "partner", "score", "terms", "sparse_rank")
+    return _scored(spark, sf_dir, dense=False).where("sparse_rank IS NOT NULL").select("target", "partner", "score", "terms", "sparse_rank")
 
 
 _TT = f"SELECT target, token, sum(w) AS weight FROM (SELECT doc_id AS target, unnest({s_tokens('text')}) AS token, 4 AS w FROM documents UNION ALL SELECT doc_id, unnest({s_tokens('source')}), 2 FROM documents) GROUP BY ALL"
@@ -96,7 +96,12 @@ SELECT target, partner, CAST(sum(weight) AS BIGINT) AS score, count(*) AS terms,
 
 
 def tfidf_cosine(spark, sf_dir):
-    return _scored(spark, sf_dir).where("dense_rank IS NOT NULL").select("target", "partner", "cosine", "dense_rank")
+    return _scored(spark, sf_dir, sparse=False).where("dense_rank IS NOT NULL").select("target", "partner", "cosine", "dense_rank")
+
+
+def lowrank_cosine(spark, sf_dir):
+    """As tfidf_cosine, after a truncated SVD of each document with all partners."""
+    return _scored(spark, sf_dir, sparse=False, dimensions=32).where("dense_rank IS NOT NULL").select("target", "partner", "cosine", "dense_rank")
 
 
 def _grams(key, table):
@@ -203,6 +208,6 @@ FROM customer LEFT JOIN supplier ON s_suppkey = c_custkey
 
 QUERIES = {
     "taxonomy_tags": (taxonomy_tags, TAXONOMY_TAGS), "taxonomy_alignment": (taxonomy_alignment, TAXONOMY_ALIGNMENT), "token_overlap": (token_overlap, TOKEN_OVERLAP),
-    "tfidf_cosine": (tfidf_cosine, TFIDF_COSINE), "partner_shortlist": (partner_shortlist, PARTNER_SHORTLIST), "dense_rank": (dense_rank, DENSE_RANK),
+    "tfidf_cosine": (tfidf_cosine, TFIDF_COSINE), "lowrank_cosine": (lowrank_cosine, None), "partner_shortlist": (partner_shortlist, PARTNER_SHORTLIST), "dense_rank": (dense_rank, DENSE_RANK),
     "match_gate": (match_gate, MATCH_GATE), "partner_dimension": (partner_dimension, PARTNER_DIMENSION), "partner_choice": (partner_choice, PARTNER_CHOICE),
 }
