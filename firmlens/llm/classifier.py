@@ -9,10 +9,11 @@ import itertools
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from firmlens.llm.common import CACHES, batches_of, in_order, text_size, enter, find_package, get_file, materialize, new_folder, parallelism, put_file, release_memory, release_shuffles, text_bytes, word_hashes
+from firmlens.llm.near_dedup import hinted
 from firmlens.llm.suffix_dedup import NULL_ID, pack, unpack
 
 #: Words are hashed into 2 ** VOCAB_BITS - 1 numbers, so tables over words have a fixed size; number 0 is a text's start.
@@ -30,7 +31,7 @@ HELD_OUT = 2
 #: What a labelled document is, as its fold: trusted, junk (quality 0) or toxic, counted or held out.
 TRUSTED, TRUSTED_HELD, JUNK, JUNK_HELD, TOXIC, TOXIC_HELD = 1, 2, 3, 4, 5, 6
 #: Quantiles of held-out trusted text that may be limits; QUANTILE is the limit of perplexity, and the last the others',
-#: where no rejected text is held out. Held-out documents that a language needs for its own median.
+#: where no rejected text is held out. Held-out documents that a language needs for a median and quantiles of its own.
 LEVELS, QUANTILE, LEAST_HELD = (0.9, 0.95, 0.97, 0.98, 0.99, 0.995, 1.0), 0.95, 20
 #: Standard deviations by which a word's log odds of rejected to trusted documents are lowered: few sightings prove little.
 SURE = 2.0
@@ -434,12 +435,12 @@ def score_blocks(counted: DataFrame, folder: str, lower: tuple) -> DataFrame:
     return materialize(answers.groupBy("block").applyInPandas(gather, "doc_id long, lang string, fold int, n_words long, log_prob double, repeats double, odds double"), "scored")
 
 
-def fit_limits(held: DataFrame, measures: list[str]) -> list[float]:
-    """A limit of each measure, of its quantiles LEVELS over held-out trusted text: those that together keep most of the
-    held-out trusted documents less the mean share kept of the held-out kinds of rejected ones. The driver gets one row
-    for each kind and combination of quantiles passed."""
-    quantiles = held.where(F.col("fold") == TRUSTED_HELD).agg(*[F.percentile_approx(m, list(LEVELS), 10_000).alias(m) for m in measures]).first()
-    passed = [sum((F.col(m) > x).cast("int") for x in quantiles[m]).alias(m) for m in measures]
+def fit_levels(held: DataFrame, limits: dict[str, Column]) -> dict[str, int]:
+    """Which of LEVELS is the limit of each measure, by arrays of the measures' quantiles at LEVELS over held-out trusted text:
+    those that together keep most of the held-out trusted documents less the mean share kept of the held-out kinds of
+    rejected ones. The driver gets one row for each kind and combination of quantiles passed."""
+    measures = list(limits)
+    passed = [sum((F.col(m) > F.get(q, F.lit(k))).cast("int") for k in range(len(LEVELS))).alias(m) for m, q in limits.items()]
     rows = held.select("fold", *passed).groupBy("fold", *measures).agg(F.count(F.lit(1)).alias("n")).collect()
     number = {f: np.zeros([len(LEVELS) + 1] * len(measures)) for f in {r["fold"] for r in rows}}
     for r in rows:
@@ -455,7 +456,7 @@ def fit_limits(held: DataFrame, measures: list[str]) -> list[float]:
     else:
         gain = kept[TRUSTED_HELD] - sum(rejected) / len(rejected)
         best = max(itertools.product(range(len(LEVELS)), repeat=len(measures)), key=lambda k: (gain[k], k))
-    return [quantiles[m][k] for m, k in zip(measures, best, strict=True)]
+    return dict(zip(measures, best, strict=True))
 
 
 def judge(scored: DataFrame) -> DataFrame:
@@ -468,25 +469,33 @@ def judge(scored: DataFrame) -> DataFrame:
     overall = trusted.agg(middle).first()["own"]
     if overall is None:
         return scored.withColumns({"threshold": F.lit(float("inf")), "kept": F.col("perplexity").isNotNull()})
-    by_lang = trusted.groupBy(F.col("lang").alias("_lang")).agg(middle, F.count(F.lit(1)).alias("n")).where(F.col("n") >= LEAST_HELD).drop("n")
-    by_lang = F.broadcast(materialize(by_lang, "medians", 1))
+    of_lang = lambda df, *c: df.groupBy(F.col("lang").alias("_lang")).agg(*c, F.count(F.lit(1)).alias("n")).where(F.col("n") >= LEAST_HELD).drop("n")
+    medians = hinted(materialize(of_lang(trusted, middle), "medians", 1))
 
     def centred(df: DataFrame) -> DataFrame:
-        return df.join(by_lang, F.col("lang").eqNullSafe(F.col("_lang")), "left").withColumns({"middle": F.coalesce("own", F.lit(overall)), "short": short})
+        return df.join(medians, F.col("lang").eqNullSafe(F.col("_lang")), "left").drop("_lang").withColumns({"middle": F.coalesce("own", F.lit(overall)), "short": short}).drop("own")
 
     off = F.abs(F.log("perplexity") - F.col("middle"))
     fit = centred(trusted).agg(F.regr_slope(off, F.col("short")).alias("slope"), F.regr_intercept(off, F.col("short")).alias("level"), F.avg(off).alias("mean")).first()
     slope, level = (fit["slope"], fit["level"]) if fit["slope"] is not None and fit["slope"] > 0 and fit["level"] > 0 else (0.0, fit["mean"] or 1.0)
     width = F.lit(slope) * F.col("short") + F.lit(level)
-    far = (F.log("perplexity") - F.col("middle")) / width
-    measures = ["far", "odds", "repeats"]
+    far = ((F.log("perplexity") - F.col("middle")) / width).alias("far")
     if trusted.count() < LEAST_HELD:  # too few to fit: nothing trusted, counted or held out, is dropped
         known = centred(scored.where(F.col("fold").isin(TRUSTED, TRUSTED_HELD) & F.col("perplexity").isNotNull()))
-        limit, most_odds, most_repeats = known.select(far.alias("far"), "odds", "repeats").agg(*[F.max(m) for m in measures]).first()
+        limit, most_odds, most_repeats = known.select(far, "odds", "repeats").agg(F.max("far"), F.max("odds"), F.max("repeats")).first()
+        limited = centred(scored).withColumn("limit", F.lit(limit))
     else:
-        limit, most_odds, most_repeats = fit_limits(centred(held).select("fold", far.alias("far"), "odds", "repeats"), measures)
-    threshold = F.when((F.col("odds") > most_odds) | (F.col("repeats") > most_repeats), 0.0).otherwise(F.exp(F.col("middle") + F.lit(limit) * width) * (1 + 1e-9))
-    return centred(scored).withColumn("threshold", threshold).withColumn("kept", F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(False)))
+        sample = centred(trusted).select("lang", far, "odds", "repeats")
+        quantiles = lambda m: F.percentile_approx(m, list(LEVELS), 10_000)
+        every = sample.agg(*[quantiles(m).alias(m) for m in ("far", "odds", "repeats")]).first()
+        given = {m: F.array(*[F.lit(x) for x in every[m]]) for m in ("far", "odds", "repeats")}
+        own = hinted(materialize(of_lang(sample, quantiles("far").alias("limits")), "quantiles", 1))
+        with_limits = lambda df: centred(df).join(own, F.col("lang").eqNullSafe(F.col("_lang")), "left").drop("_lang").withColumn("limits", F.coalesce("limits", given["far"]))
+        levels = fit_levels(with_limits(held).select("fold", far, "odds", "repeats", "limits"), {"far": F.col("limits"), "odds": given["odds"], "repeats": given["repeats"]})
+        most_odds, most_repeats = every["odds"][levels["odds"]], every["repeats"][levels["repeats"]]
+        limited = with_limits(scored).withColumn("limit", F.get("limits", F.lit(levels["far"])))
+    threshold = F.when((F.col("odds") > most_odds) | (F.col("repeats") > most_repeats), 0.0).otherwise(F.exp(F.col("middle") + F.col("limit") * width) * (1 + 1e-9))
+    return limited.withColumn("threshold", threshold).withColumn("kept", F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(False)))
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -496,8 +505,9 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     a hash of the id) are counted, two give the limits. Three measures are limited: the log of the perplexity under the
     trusted pair model, as its distance from the median of the held-out trusted text of its language (of all languages
     where a language, null is one, has fewer than LEAST_HELD of them), in units of the distances usual at its length; the
-    largest log odds of a word for rejected text; and the share of repeated pairs. fit_limits sets the limits, or
-    the largest of all trusted documents where fewer than LEAST_HELD are held out. A document
+    largest log odds of a word for rejected text; and the share of repeated pairs. fit_levels chooses a quantile of each
+    measure over the held-out trusted text; of the perplexity it is each language's own quantile (with the same exception
+    for small ones). Where fewer than LEAST_HELD are held out in all, the largest of all trusted documents count. A document
     is kept if its perplexity is not above its threshold, which is 0 where one of the other two limits is passed. Counts
     are over all labelled text, perplexities over all words of every document; a document that the model has counted is
     judged without its own counts. docs is read three times.

@@ -198,22 +198,29 @@ def test_op5_verdicts(spark, monkeypatch):
     far = lambda r: (log_p[r["doc_id"]] - middle(r)) / (slope * short(r) + level)
     measures = [far, lambda r: r["odds"], lambda r: r["repeats"]]
     limits = [[low([f(r) for r in fine], q) for q in classifier.LEVELS] for f in measures]
+    own = {}
+    for r in fine:
+        own.setdefault(r["lang"], []).append(far(r))
+    own = {lang: [low(xs, q) for q in classifier.LEVELS] for lang, xs in own.items() if len(xs) >= classifier.LEAST_HELD}
+    limit = lambda r, m, k: own.get(r["lang"], limits[0])[k] if m == 0 else limits[m][k]  # noqa: E731  perplexity: each language's own quantile
+    assert own and len({tuple(x) for x in own.values()}) == len(own)
     best = None
     for k in np.ndindex(*[len(classifier.LEVELS)] * 3):
-        passes = lambda r: all(f(r) <= limits[m][k[m]] * (1 + 1e-12) for m, f in enumerate(measures))  # noqa: B023, E731
+        passes = lambda r: all(f(r) <= limit(r, m, k[m]) + 1e-12 for m, f in enumerate(measures))  # noqa: B023, E731
         share = lambda n: np.mean([passes(r) for r in held if r["fold"] == n]) if any(r["fold"] == n for r in held) else None  # noqa: B023, E731
         others = [s for s in (share(4), share(6)) if s is not None]
         value = share(2) - sum(others) / len(others)
         if best is None or (value, k) > (best[0] - 1e-12, best[1]) and value > best[0] - 1e-12:
             best = (value, k)
     chosen = [limits[m][i] for m, i in enumerate(best[1])]
+    at = lambda r: limit(r, 0, best[1][0])
     off = 0
     for r in rows:
         out = got[r["doc_id"]]
         if r["n_words"]:
             passed = r["odds"] <= chosen[1] and r["repeats"] <= chosen[2]
-            assert out["threshold"] == pytest.approx(math.exp(middle(r) + chosen[0] * (slope * short(r) + level)) if passed else 0.0, rel=1e-5)
-            off += out["kept"] != (passed and far(r) <= chosen[0] + 1e-9)
+            assert out["threshold"] == pytest.approx(math.exp(middle(r) + at(r) * (slope * short(r) + level)) if passed else 0.0, rel=1e-5)
+            off += out["kept"] != (passed and far(r) <= at(r) + 1e-9)
         else:
             assert not out["kept"] and out["perplexity"] is None
     assert off == 0 and 0 < sum(r["kept"] for r in got.values()) < len(got)
