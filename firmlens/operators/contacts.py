@@ -67,12 +67,11 @@ def consolidate(rows: DataFrame, site: str, order: list[str]) -> DataFrame:
     """
     kept = [c for c in SOURCE_FIELDS if c in rows.columns]
     rows = rows.withColumn("_p", phones.class_priority(F.col("classification"), F.col("type")))
-    once = Window.partitionBy(site, "number", "original_full_url", "type").orderBy(*order)
-    rows = rows.withColumn("_once", F.row_number().over(once) == 1)
-    source = F.struct(*order, *kept)
-    out = rows.groupBy(site, "number").agg(
-        F.min_by("classification", F.struct("_p", *order)).alias("classification"), F.min("_p").alias("priority"),
-        F.sort_array(F.collect_list(F.when(F.col("_once"), source))).alias("sources"), F.count(F.lit(1)).alias("sightings"))
+    # sightings are put together before they are sent: a number that a site shows on every page is a row a (url, type) and task
+    seen = rows.groupBy(site, "number", F.col("original_full_url").alias("_u"), F.col("type").alias("_t")).agg(
+        F.min(F.struct(*order, *kept)).alias("_source"), F.min(F.struct("_p", *order, "classification")).alias("_best"), F.count(F.lit(1)).alias("_n"))
+    out = seen.groupBy(site, "number").agg(F.min("_best").alias("_best"), F.sort_array(F.collect_list("_source")).alias("sources"), F.sum("_n").alias("sightings"))
+    out = out.select(site, "number", F.col("_best.classification").alias("classification"), F.col("_best._p").alias("priority"), "sources", "sightings")
     return out.withColumn("types", first_seen(F.transform("sources", lambda s: s["type"])))
 
 

@@ -58,9 +58,14 @@ def greedy_top(numbers: DataFrame, persons: DataFrame, site: str, order: list[Co
     persons: (site, number) of the best persons."""
     types = F.lower(F.array_join("types", ", "))
     n = numbers.join(persons.select(site, "number").distinct().withColumn("_person", F.lit(True)), [site, "number"], "left")
-    n = n.withColumn("_at", F.row_number().over(Window.partitionBy(site).orderBy(*order)))
     sales, main = types.rlike("sales|vertrieb"), types.rlike("main|zentrale|headquarter|head office")
     person = F.coalesce("_person", F.lit(False))
+    # whatever a site has, only the first few of all, of persons, of sales lines (without persons too) and of main lines can get a slot
+    kinds = F.array(F.lit("all"), F.when(person, "person"), F.when(sales, "sales"), F.when(sales & ~person, "other sales"), F.when(main, "main"))
+    n = n.withColumn("_kind", F.explode(F.array_compact(kinds)))
+    n = n.withColumn("_n", F.row_number().over(Window.partitionBy(site, "_kind").orderBy(*order))).where(F.col("_n") <= max(most, 3))
+    n = n.withColumn("_n", F.row_number().over(Window.partitionBy(site, "number").orderBy("_kind"))).where(F.col("_n") == 1)
+    n = n.withColumn("_at", F.row_number().over(Window.partitionBy(site).orderBy(*order)))
     first = lambda c: F.min(F.when(c, F.col("_at")))
     slots = n.groupBy(site).agg(first(person).alias("p"), first(sales).alias("s1"), first(sales & ~person).alias("s2"))
     n = n.join(slots, site).withColumn("_s", F.when(F.col("s1") == F.col("p"), F.col("s2")).otherwise(F.col("s1")))

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from firmlens.functions import fixed
 from firmlens.functions.text import blank_to_null, contains_any
+from firmlens.operators.running import numbered, running_totals
+from firmlens.shared import written
 
 
 # ---------------------------------------------------------------- joins
@@ -71,15 +73,24 @@ def stack(*frames: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- duplicates and rollups
 
 def duplicate_flags(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """rows with n_<column> (rows of the same value) and is_dup_<column>."""
-    # counts are summed before the shuffle and joined back, so that a value that many rows have isn't one task's work
+    """rows with n_<column> (rows of the same value) and is_dup_<column>.
+
+    Values are counted before the shuffle; only those of several rows, a short list as a rule, are joined back, sent to all
+    tasks where a count shows that they are few. Null counts rows too and is no duplicate. rows is read once for each
+    column and once more, so what is dear to compute is written before.
+    """
     for c in columns:
-        n = rows.groupBy(F.col(c).alias(f"_{c}")).agg(F.count(F.lit(1)).alias(f"n_{c}"))
-        rows = rows.join(n, F.col(c).eqNullSafe(F.col(f"_{c}"))).drop(f"_{c}")
-        rows = rows.withColumn(f"is_dup_{c}", (F.col(f"n_{c}") > 1) & F.col(c).isNotNull())
+        n = rows.groupBy(F.col(c).alias(f"_{c}")).agg(F.count(F.lit(1)).alias(f"n_{c}")).where(F.col(f"n_{c}") > 1)
+        rows = rows.join(few(written(n, "repeated")), F.col(c).eqNullSafe(F.col(f"_{c}")), "left").drop(f"_{c}")
+        rows = rows.withColumn(f"n_{c}", F.coalesce(f"n_{c}", F.lit(1).cast("long"))).withColumn(f"is_dup_{c}", (F.col(f"n_{c}") > 1) & F.col(c).isNotNull())
     return rows
 
 
+def few(table: DataFrame, most: int = 100_000) -> DataFrame:
+    """A written table of short values with a broadcast hint where a count shows that it is small."""
+    return F.broadcast(table) if table.count() <= most else table
+
+
 def duplicate_stats(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row per column: distinct values, values on several rows, rows on those."""
     out = None
@@ -91,30 +102,32 @@ def duplicate_stats(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def chunk_jobs(rows: DataFrame, group: str, order: list[Column], size: int = 10, most: int | None = None) -> DataFrame:
-    """rows with a chunk number of `size` rows within the group, chunks over `most` left out."""
-    rows = rows.withColumn("_n", F.row_number().over(Window.partitionBy(group).orderBy(*order)))
-    if most is not None:  # a limit on the row number itself is one on what each task sends
-        rows = rows.where(F.col("_n") <= most * size)
+    """rows with a chunk number of `size` rows within the group, chunks over `most` left out. With a limit a task sends no more
+    than that of a group; without one numbers come from running totals, so that a group may have any size."""
+    if most is None:
+        rows = numbered(rows, group, order)
+    else:
+        rows = rows.withColumn("_n", F.row_number().over(Window.partitionBy(group).orderBy(*order))).where(F.col("_n") <= most * size)
     return rows.withColumn("chunk", F.floor((F.col("_n") - 1) / size).cast("int")).drop("_n")
 
 
 def stop_after_blanks(lines: DataFrame, group: str, order: str, text: str, most: int = 3) -> DataFrame:
-    """Non-blank lines before the first run of `most` blank ones."""
-    w = Window.partitionBy(group).orderBy(order)
-    blank = F.trim(F.coalesce(text, F.lit(""))) == ""
-    run = blank.cast("int")
-    for k in range(1, most):
-        run = run * F.coalesce(F.lag(blank.cast("int"), k).over(w), F.lit(0))
-    lines = lines.withColumn("_stop", run)
-    lines = lines.withColumn("_stopped", F.max("_stop").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return lines.where((F.col("_stopped") == 0) & ~blank).drop("_stop", "_stopped")
+    """Non-blank lines before the first run of `most` blank ones. Blank lines that follow as many filled ones make a run, so runs are
+    counts by (group, filled lines so far), whatever a group's size."""
+    filled = F.trim(F.coalesce(text, F.lit(""))) != ""
+    lines = running_totals(lines, group, [F.col(order)], {"_filled": filled.cast("long")})
+    runs = lines.where(~filled).groupBy(F.col(group).alias("_g"), F.col("_filled").alias("_f")).agg(F.count(F.lit(1)).alias("n"))
+    stops = runs.where(F.col("n") >= most).groupBy("_g").agg(F.min("_f").alias("_stop"))
+    lines = lines.where(filled).join(stops, F.col(group).eqNullSafe(F.col("_g")), "left")
+    return lines.where(F.col("_stop").isNull() | (F.col("_filled") <= F.col("_stop"))).drop("_filled", "_g", "_stop")
 
 
 def text_budget(rows: DataFrame, group: str, order: list[Column], text: str, budget: int) -> DataFrame:
-    """Rows up to the budget of characters of each group, the last one cut."""
-    before = F.coalesce(F.sum(F.length(text)).over(Window.partitionBy(group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    rows = rows.withColumn("_before", before).where(F.col("_before") < budget)
-    return rows.withColumn(text, F.left(F.col(text), (F.lit(budget) - F.col("_before")).cast("int"))).drop("_before")
+    """Rows up to the budget of characters of each group, the last one cut. Only lengths are summed up over a group; texts behind
+    the budget go before anything is joined."""
+    size = F.coalesce(F.length(text).cast("long"), F.lit(0).cast("long"))
+    rows = running_totals(rows, group, order, {"_upto": size}).withColumn("_before", F.col("_upto") - size).where(F.col("_before") < budget)
+    return rows.withColumn(text, F.left(F.col(text), (F.lit(budget) - F.col("_before")).cast("int"))).drop("_before", "_upto")
 
 
 # ---------------------------------------------------------------- gates, outcomes, profiles

@@ -6,7 +6,7 @@ import json
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from firmlens.functions import phones, urls
@@ -35,7 +35,8 @@ def short_contacts(numbers: DataFrame, site: str, most: int = 3) -> DataFrame:
     left_out = F.array(*[F.lit(t) for t in EXCLUDED_TYPES])
     fine = numbers.where((F.col("classification") != "Non-Business") & ~F.arrays_overlap("types", left_out))
     said = F.struct(class_place(F.col("classification")).alias("place"), F.col("number"), F.format_string("%s (%s)", "number", F.array_join("types", ", ")).alias("said"))
-    out = fine.groupBy(site).agg(F.slice(F.sort_array(F.collect_list(said)), 1, most).alias("top"))
+    fine = fine.select(site, said.alias("_said")).withColumn("_n", F.row_number().over(Window.partitionBy(site).orderBy("_said"))).where(F.col("_n") <= most)
+    out = fine.groupBy(site).agg(F.sort_array(F.collect_list("_said")).alias("top"))
     return out.select(site, F.array_join(F.transform("top", lambda x: x["said"]), "; ").alias("contacts"))
 
 

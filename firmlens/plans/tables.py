@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from firmlens.functions.text import age_text, rank_value
 from firmlens.operators import relations
 from firmlens.plans.web import read
+from firmlens.shared import written
 
 
 def orders_to_resume(spark, sf_dir):
@@ -87,7 +88,7 @@ DUP_STATS = " UNION ALL ".join(f"SELECT '{c}' AS name, count(*) AS distinct_valu
 
 def dup_flags(spark, sf_dir):
     d = read(spark, sf_dir, "documents").select("doc_id", F.md5("text").alias("text_md5"), "n_chars")
-    return relations.duplicate_flags(d, ["text_md5", "n_chars"]).select("doc_id", "n_text_md5", "is_dup_text_md5", "n_n_chars", "is_dup_n_chars")
+    return relations.duplicate_flags(written(d, "keys"), ["text_md5", "n_chars"]).select("doc_id", "n_text_md5", "is_dup_text_md5", "n_n_chars", "is_dup_n_chars")
 
 
 DUP_FLAGS = """
