@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from firmlens.functions import fixed, phones, urls
-from firmlens.functions.text import balanced_json, blank_to_null, clean_text, contains_any, first_usable, squeeze
+from firmlens.functions.text import blank_to_null, clean_text, contains_any, fenced_json, first_usable, squeeze
 
 # ---------------------------------------------------------------- columns by name
 
@@ -127,7 +127,7 @@ def artifact_rows(artifacts: DataFrame) -> DataFrame:
     matched_partner, match_reasoning, complete. The last file by name wins; files without JSON or row number go."""
     a = artifacts.withColumn("row_index", F.regexp_extract("path", r"Row(\d+)_[^/]*$", 1).try_cast("long")).where("row_index IS NOT NULL")
     kind = "phone_sales_line string, matched_partner_name string, match_rationale_features array<string>, matched_partner_description string"
-    a = a.withColumn("j", F.from_json(balanced_json(F.col("text")), kind)).where("j IS NOT NULL")
+    a = a.withColumn("j", F.from_json(fenced_json(F.col("text")), kind)).where("j IS NOT NULL")
     last = lambda c, when: F.max_by(F.when(when, c), F.when(when, F.col("path")))
     named = F.col("j.matched_partner_name").isNotNull()
     out = a.groupBy("row_index").agg(

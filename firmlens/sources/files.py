@@ -19,7 +19,7 @@ from firmlens.shared import find_package
 
 def read_texts(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """path and text of each file below a folder, at any depth."""
-    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(path)
+    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(path, wholetext=True)  # the reader overrides an option
     return files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
 
 

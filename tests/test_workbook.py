@@ -127,3 +127,9 @@ def test_word_documents(spark, tmp_path):
     whole = "=== FILE: a.docx ===\n" + "y" * 50 + "\n\n=== FILE: B.docx ===\none two\nx\n\n=== FILE: c.docx ===\nlater"
     for most in (10, 60, 71, 73, 100, len(whole), 1000):
         assert [tuple(r) for r in files.document_bundles(texts, "partner", most).collect()] == [("p", whole if len(whole) <= most else whole[:most] + "\n\n[TRUNCATED]")]
+
+
+def test_texts_are_read_whole(spark, tmp_path):
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d" / "a.txt").write_text('{\n "k": 1\n}\n')
+    assert [r.text for r in files.read_texts(spark, str(tmp_path), "*.txt").collect()] == ['{\n "k": 1\n}\n']
