@@ -5,20 +5,24 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from firmlens.operators import numbering
+from firmlens.operators import numbering, outreach
 from firmlens.plans.web import read
 from firmlens.shared import shared_folder
 from firmlens.sources import workbook
 from firmlens.sources.cache import KeyedCache
 
 
+def _phone():
+    return F.concat(F.lit("+49 30 "), (F.col("c_custkey") + 1_000_000).cast("string"))
+
+
 def _sheets(spark, sf_dir):
     """Customers as rows of workbooks: a file for each region and 20,000 customers, a sheet for each nation, of which every other
     has a fourth column. A nation's customers of a file are few enough for a sheet."""
     where = read(spark, sf_dir, "nation").join(read(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     c = read(spark, sf_dir, "customer").join(F.broadcast(where.select("n_nationkey", "n_name", "r_name")), F.col("c_nationkey") == F.col("n_nationkey"))  # 25 rows
     file = F.concat("r_name", F.lit("-"), F.floor(F.col("c_custkey") / 20_000).cast("string"), F.lit(".xlsx"))
-    cells = [F.col("c_name"), F.when(F.pmod("c_custkey", F.lit(7)) > 0, F.concat(F.lit("http://c"), F.col("c_custkey").cast("string"), F.lit(".example.com?a=1&b=<2>"))), F.when(F.pmod("c_custkey", F.lit(3)) > 0, F.col("c_phone"))]
+    cells = [F.col("c_name"), F.when(F.pmod("c_custkey", F.lit(7)) > 0, F.concat(F.lit("http://c"), F.col("c_custkey").cast("string"), F.lit(".example.com?a=1&b=<2>"))), F.when(F.pmod("c_custkey", F.lit(3)) > 0, _phone())]
     wide = F.pmod("c_nationkey", F.lit(2)) == 1
     c = c.select(file.alias("file"), F.col("n_name").alias("sheet"), F.col("c_nationkey").cast("int").alias("sheet_no"), "c_custkey", F.when(wide, F.array(*cells, "c_mktsegment")).otherwise(F.array(*cells)).alias("cells"))
     rows = c.withColumn("row_no", F.row_number().over(Window.partitionBy("file", "sheet").orderBy("c_custkey")).cast("long") + 1)
@@ -42,7 +46,7 @@ def workbook_union(spark, sf_dir):
 
 WORKBOOK_UNION = f"""{_PLACED}
 SELECT f AS SourceWorkbook, n_name AS SourceSheet, n AS SourceSheetRowNumber, c_name AS Name, 'http://c' || c_custkey || '.example.com?a=1&b=<2>' AS Website,
-       CASE WHEN c_custkey % 3 > 0 THEN c_phone ELSE '' END AS Phone, CASE WHEN c_nationkey % 2 = 1 THEN c_mktsegment END AS Industry FROM p WHERE c_custkey % 7 > 0
+       CASE WHEN c_custkey % 3 > 0 THEN '+49 30 ' || (c_custkey + 1000000) ELSE '' END AS Phone, CASE WHEN c_nationkey % 2 = 1 THEN c_mktsegment END AS Industry FROM p WHERE c_custkey % 7 > 0
 """
 
 
@@ -60,7 +64,7 @@ def workbook_back(spark, sf_dir):
 
 WORKBOOK_BACK = f"""{_PLACED},
 o AS (SELECT o_custkey, CAST(max(o_orderkey) AS VARCHAR) AS last FROM orders GROUP BY 1)
-SELECT f AS SourceWorkbook, n_name AS SourceSheet, n AS SourceSheetRowNumber, c_name AS Name, CASE WHEN c_custkey % 3 > 0 THEN c_phone ELSE coalesce('#' || last, '') END AS Phone,
+SELECT f AS SourceWorkbook, n_name AS SourceSheet, n AS SourceSheetRowNumber, c_name AS Name, CASE WHEN c_custkey % 3 > 0 THEN '+49 30 ' || (c_custkey + 1000000) ELSE coalesce('#' || last, '') END AS Phone,
        CASE WHEN c_nationkey % 2 = 1 THEN c_mktsegment END AS Industry, coalesce(last, '') AS "Order" FROM p LEFT JOIN o ON o_custkey = c_custkey
 """
 
@@ -106,3 +110,36 @@ SELECT *, coalesce(possibility IN ('too_short', 'too_long'), FALSE) AS impossibl
 QUERIES = {
     "workbook_union": (workbook_union, WORKBOOK_UNION), "workbook_back": (workbook_back, WORKBOOK_BACK), "keyed_cache": (keyed_cache, KEYED_CACHE), "number_plan": (number_plan, NUMBER_PLAN),
 }
+
+
+def sales_report(spark, sf_dir):
+    """Orders as match outputs of the companies behind their customers, pairs of which share an address, written as a CSV report and
+    read back."""
+    path = shared_folder(spark, "sales-report")
+    c, o = read(spark, sf_dir, "customer"), read(spark, sf_dir, "orders")
+    site = lambda k: F.concat(F.lit("http://c"), F.floor(k / 2).cast("string"), F.lit(".example.com"))
+    k = F.col("c_custkey")
+    inputs = c.select(
+        k.alias("row_id"), F.when(F.pmod(k, F.lit(9)) > 0, site(k)).alias("GivenURL"), F.col("c_name").alias("CompanyName"), F.when(F.pmod(k, F.lit(3)) == 0, _phone()).otherwise(" ").alias("PhoneNumber"),
+        F.lit("n").alias("Number"), F.col("c_mktsegment").alias("Industry"), F.col("c_name").alias("Description"), F.lit("+49 1").alias("Top_Number_1"))
+    odd = F.pmod("o_orderkey", F.lit(2)) == 1
+    outputs = o.select(
+        site(F.col("o_custkey") * 2).alias("analyzed_company_url"), F.when(odd, F.col("o_orderpriority")).alias("summary"), F.lit("Ruf an: {programmatic placeholder} Leads").alias("phone_sales_line"),
+        F.when(odd, F.floor(F.col("o_orderkey") / 4) + F.when(F.pmod("o_orderkey", F.lit(4)) == 1, 0.5).otherwise(0.25)).alias("avg_leads_per_day"), F.col("o_orderkey").alias("rank"), F.col("o_orderstatus").alias("matched_partner_name"),
+        F.array("o_orderstatus", "o_orderpriority").alias("match_rationale_features"), odd.alias("b2b_indicator"), F.when(odd, F.lit("Trade")).alias("industry"))
+    outreach.sales_report(outputs, inputs).write.options(header=True, quote='"', escape='"', emptyValue="").csv(path)
+    report = spark.read.options(header=True, quote='"', escape='"').csv(path)  # empty cells are null again
+    return report.select(F.col("Rank").cast("long").alias("order_no"), *[F.col(f"`{n}`").alias(a) for n, a in _SALES.items()], F.lit(len(report.columns)).alias("n_columns"))
+
+
+_SALES = {"Company Name": "company", "Original_Number": "number", "URL": "url", "Top_Number_1": "top", "CanonicalEntryURL": "entry", "sales_pitch": "pitch", "Short German Description": "description", "matched_golden_partner": "partner", "match_reasoning": "reasoning", "Industry": "industry", "B2B Indicator": "b2b", "Business Model": "model", "Original Row Number": "row_number"}
+SALES_REPORT = """
+WITH i AS (SELECT 'http://c' || (c_custkey // 2) || '.example.com' AS site, c_custkey AS k, c_name, c_mktsegment, row_number() OVER (PARTITION BY c_custkey // 2 ORDER BY c_custkey DESC) AS n FROM customer WHERE c_custkey % 9 > 0),
+o AS (SELECT *, 'http://c' || o_custkey || '.example.com' AS url, o_orderkey % 2 = 1 AS odd, o_orderkey // 4 + CASE WHEN o_orderkey % 4 = 1 THEN 0.5 ELSE 0.25 END AS leads FROM orders)
+SELECT o_orderkey AS order_no, c_name AS company, CASE WHEN k % 3 = 0 THEN '+49 30 ' || (k + 1000000) WHEN k IS NOT NULL THEN 'n' END AS number, url, CASE WHEN k IS NOT NULL THEN '+49 1' END AS top, CAST(NULL AS VARCHAR) AS entry,
+       'Ruf an: ' || CASE WHEN odd THEN CAST(CAST(round_even(leads, 0) AS BIGINT) AS VARCHAR) ELSE '{programmatic placeholder}' END || ' Leads' AS pitch, CASE WHEN odd THEN o_orderpriority ELSE c_name END AS description,
+       o_orderstatus AS partner, o_orderstatus || '; ' || o_orderpriority AS reasoning, CASE WHEN odd THEN 'Trade' ELSE c_mktsegment END AS industry, CASE WHEN odd THEN 'True' END AS b2b, CAST(NULL AS VARCHAR) AS model,
+       CAST(k + 1 AS VARCHAR) AS row_number, 65 AS n_columns
+FROM o LEFT JOIN i ON i.site = o.url AND i.n = 1
+"""
+QUERIES |= {"sales_report": (sales_report, SALES_REPORT)}

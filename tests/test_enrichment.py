@@ -65,3 +65,24 @@ def test_artifacts(spark, tmp_path):
         got = {r.path.rpartition("/")[2]: r.bytes for r in enrichment.write_artifacts(calls, f"file://{tmp_path}/a", "r1").collect()}
     assert got == {f"r1_t_{'a' * 24}_prompt.txt": 6, f"r1_t_{'a' * 24}_response.txt": 4, f"r1_t_{'b' * 24}_prompt.txt": 1, f"r1_t_{'b' * 24}_response.txt": 0}
     assert {p.name: p.stat().st_size for p in (tmp_path / "a").iterdir()} == got
+
+
+def test_sales_report(spark):
+    from firmlens.operators import outreach
+
+    inputs = spark.createDataFrame([(1, "http://a", "A1", " ", "7", "Trade"), (2, "http://a", "A2", "'030", "8", "Steel"), (3, None, "N", "1", "2", "x"), (4, "http://b", "B", None, None, None)], "row_id long, GivenURL string, CompanyName string, PhoneNumber string, Number string, Industry string")
+    outputs = spark.createDataFrame(
+        [("http://a", "Kurz", "Hallo {programmatic placeholder}!", 2.5, ["x", "y"], True, None, ["p1"]), ("http://a", None, "Hallo {programmatic placeholder}!", None, None, False, "Own", []), ("http://c", None, None, 3.5, None, None, None, None), (None, None, None, None, None, None, None, None), ("http://b", "", "  ", 1.0, [], None, "", None)],
+        "analyzed_company_url string, summary string, phone_sales_line string, avg_leads_per_day double, match_rationale_features array<string>, b2b_indicator boolean, industry string, shortlisted_partner_ids array<string>")
+    report = outreach.sales_report(outputs, inputs)
+    assert len(report.columns) == 65 and report.columns[:4] == ["Company Name", "Original_Number", "URL", "CanonicalEntryURL"] and report.columns[-1] == "ScrapeStatus"
+    pick = ("Company Name", "Original_Number", "sales_pitch", "Short German Description", "match_reasoning", "shortlisted_partner_ids", "Industry", "B2B Indicator", "Avg Leads Per Day", "Original Row Number", "found_number", "matched_golden_partner")
+    got = {(r["URL"], r["sales_pitch"]): [r[c] for c in pick] for r in report.collect()}
+    assert got == {
+        ("http://a", "Hallo 2!"): ["A2", "'030", "Hallo 2!", "Kurz", "x; y", "p1", "Steel", "True", "2.5", 3, None, ""],
+        ("http://a", "Hallo {programmatic placeholder}!"): ["A2", "'030", "Hallo {programmatic placeholder}!", None, "", "", "Own", "", "", 3, None, ""],
+        ("http://c", None): [None, None, None, None, "", "", None, "", "3.5", None, None, ""],
+        (None, None): [None, None, None, None, "", "", None, "", "", None, None, ""],
+        ("http://b", None): ["B", None, None, None, "", "", None, "", "1.0", 5, None, ""],
+    }
+    assert not outreach.sales_report(outputs.limit(0), inputs).count() and outreach.sales_report(outputs, inputs.limit(0)).count() == 5
