@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import struct
 import zlib
@@ -164,6 +165,10 @@ class CachedEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        spec = json.loads(self.tokenizer.to_str())
+        splits = spec["pre_tokenizer"] or {}
+        if spec["normalizer"] or splits.get("type") != "ByteLevel" or splits.get("add_prefix_space") or not splits.get("use_regex", True) or spec["model"].get("type") != "BPE":
+            raise ValueError(f"{path} isn't a byte-level tokenizer that splits words and changes no text")
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         size = self.tokenizer.get_vocab_size()
         self.widths = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(size)], np.int64)  # a character stands for a byte

@@ -269,6 +269,13 @@ def test_cached_encoder_and_codes():
                 assert (codes.decode(a, b) == x[a:b]).all()
 
 
+def test_cached_encoder_refuses_other_files():
+    import public_tokenizers
+
+    with pytest.raises(ValueError, match="byte-level"):
+        token_files.CachedEncoder(public_tokenizers.path("word_bpe_49k.json"))
+
+
 def test_token_file_ranges(tmp_path):
     """Any token of any document, by reading its own bytes only."""
     rng = np.random.default_rng(7)
