@@ -86,3 +86,30 @@ def test_sales_report(spark):
         ("http://b", None): ["B", None, None, None, "", "", None, "", "1.0", 5, None, ""],
     }
     assert not outreach.sales_report(outputs.limit(0), inputs).count() and outreach.sales_report(outputs, inputs.limit(0)).count() == 5
+
+
+def test_match_assessment(spark):
+    from firmlens.operators import gate
+
+    rows = [
+        ("both", "Acme", "strong", None, "Buyer", ["x"], ["small dental labs"], ["labs for dentists"], ["We serve dental labs"], ["labs, dentists"], True, 0.0, None),
+        ("fallback", "Acme", None, "Hoch", None, [" dental  labs ", "dental", "labs here"], ["nothing such"], None, ["We serve dental labs"], ["dental labs"], True, 0.0, None),
+        ("one side", "Acme", "high", None, "odd kind", [], ["dental labs"], [], ["We serve dental labs"], ["other"], True, 0.9, ["a"]),
+        ("weak", "Acme", "medium", None, "process", None, None, None, None, None, True, None, [" n/a ", "shared"]),
+        ("weak without", "Acme", "weak", None, "process", None, None, None, None, None, True, None, [" "]),
+        ("unknown", "Acme", "strong", None, "buyer", ["dental labs"], ["dental labs"], ["dental labs"], ["dental labs"], ["dental labs"], None, 1.0, ["a"]),
+        ("no name", " ", "strong", None, "buyer", ["dental labs"], None, None, ["dental labs"], None, True, 1.0, ["a"]),
+        ("none", None, None, None, None, None, None, None, None, None, None, None, None),
+    ]
+    df = spark.createDataFrame(rows, "k string, matched_partner_name string, match_confidence string, match_score string, overlap_type string, match_rationale_features array<string>, target_evidence array<string>, partner_evidence array<string>, target_texts array<string>, partner_texts array<string>, partner_known boolean, shortlist_score double, shortlist_overlap_features array<string>")
+    got = {r.k: (r.reason, r.match_confidence, r.overlap_type, r.target_evidence, r.partner_evidence) for r in gate.match_assessment(df).collect()}
+    assert got == {
+        "both": ("accepted_strong_validated_evidence", "strong", "audience", ["small dental labs"], ["labs for dentists"]),
+        "fallback": ("accepted_strong_validated_evidence", "strong", "mixed", ["dental labs", "dental"], ["dental labs", "dental"]),
+        "one side": ("rejected_strong_missing_evidence", "no_match", "odd kind", ["dental labs"], []),
+        "weak": ("accepted_weak_match", "weak", "workflow", [], []),
+        "weak without": ("rejected_weak_missing_evidence", "no_match", "workflow", [], []),
+        "unknown": ("matched_partner_data_missing", "no_match", None, [], []),
+        "no name": ("missing_partner_name", "no_match", None, [], []),
+        "none": ("missing_partner_match_output", "no_match", None, [], []),
+    }
