@@ -85,6 +85,24 @@ def legacy_columns(numbers: DataFrame, site: str) -> DataFrame:
     return n.groupBy(site).agg(pick("Primary", 1).alias("primary_1"), pick("Secondary", 1).alias("secondary_1"), pick("Secondary", 2).alias("secondary_2"))
 
 
+def unique_items(items: DataFrame, site: str, pos: str = "pos") -> DataFrame:
+    """A model's items (site, pos, number, …) without those that have no number, each number of a site once: at its first place."""
+    rest = [c for c in items.columns if c not in (site, "number")]
+    known = items.withColumn("number", F.trim("number")).where(F.coalesce("number", F.lit("")) != "")
+    first = known.groupBy(site, "number").agg(F.min_by(F.struct(*rest), F.col(pos)).alias("_i"))
+    return first.select(*[F.col(c) if c in (site, "number") else F.col(f"_i.{c}").alias(c) for c in items.columns])
+
+
+def left_over(items: DataFrame, candidates: DataFrame, chosen: DataFrame, site: str, order: list[Column], *, most: int = 2) -> tuple[DataFrame, DataFrame]:
+    """What a row's numbers leave out, for a report of examples: a model's unique items, and up to `most` snippets a site, whose number
+    is none of chosen(site, number)."""
+    taken = chosen.select(site, F.trim("number").alias("number")).where("number <> ''").distinct()
+    excluded = unique_items(items, site).join(taken, [site, "number"], "left_anti")
+    rest = candidates.withColumn("number", F.trim("number")).where(F.coalesce("number", F.lit("")) != "").join(taken, [site, "number"], "left_anti")
+    rest = rest.withColumn("place", F.row_number().over(Window.partitionBy(site).orderBy(*order))).where(F.col("place") <= most)
+    return excluded, rest
+
+
 def snippet_evidence(candidates: DataFrame, site: str, order: list[Column], *, most: int = 3, longest: int = 220) -> DataFrame:
     """Per number of a site its first `most` different (source_url, excerpt), excerpts cut to `longest` characters."""
     said = F.trim(F.coalesce("snippet", F.lit("")))

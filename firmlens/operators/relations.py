@@ -235,6 +235,12 @@ def row_jobs(rows: DataFrame, row_id: str, first: int, last: int, jobs: int) ->
     return rows.withColumns({"first_row": first + F.col("job") * size, "last_row": F.least(F.lit(last).cast("long"), first + (F.col("job") + 1) * size - 1)})
 
 
+def merge_jobs(rows: DataFrame, row_id: str, cached: Column) -> DataFrame:
+    """Workers' rows (with the job of row_jobs) with their place, from 1, in the merged output: rows that a cache had first, then by job
+    and row. Places come from running totals, so no task holds more than a range of the output."""
+    return numbered(rows.withColumn("_all", F.lit(0)), "_all", [~cached, F.col("job"), F.col(row_id)], "place").drop("_all")
+
+
 def write_back(sheet: DataFrame, results: DataFrame, keys: Sequence[str], column: str, found: str) -> DataFrame:
     """The rows of sheets with the result of the same place (of several the greatest) in an empty cell."""
     r = results.groupBy(*keys).agg(F.max(found).alias("_found"))

@@ -205,16 +205,18 @@ UNION ALL SELECT 'base_only', count(*) FROM b WHERE key NOT IN (SELECT key FROM
 
 
 def jobs_and_merge(spark, sf_dir):
-    """Orders dealt to seven workers by ranges of rows; what they return is merged in order of rows, cached sites first."""
+    """Orders dealt to seven workers by ranges of rows; what they return is merged in order of jobs and rows, cached rows first:
+    per job where its rows came to stand."""
     o = read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("row_id"), "o_custkey")
     high = o.agg(F.max("row_id")).first()[0]
-    out = relations.row_jobs(o, "row_id", 1, high, 7)
-    return out.groupBy("job", "first_row", "last_row").agg(F.count(F.lit(1)).alias("rows"), F.min("row_id").alias("first_seen"))
+    out = relations.merge_jobs(relations.row_jobs(o, "row_id", 1, high, 7), "row_id", F.pmod("o_custkey", F.lit(10)) == 0)
+    return out.groupBy("job", "first_row", "last_row").agg(F.count(F.lit(1)).alias("rows"), F.min("place").alias("first_place"), F.max("place").alias("last_place"), F.sum(F.col("place") * F.pmod("row_id", F.lit(97))).alias("check_sum"))
 
 
 JOBS_AND_MERGE = """
-WITH h AS (SELECT max(o_orderkey) AS h FROM orders), s AS (SELECT h, greatest(1, (h + 6) // 7) AS size FROM h), o AS (SELECT o_orderkey, (o_orderkey - 1) // size AS job, size, h FROM orders, s WHERE o_orderkey >= 1)
-SELECT job, job * size + 1 AS first_row, least(h, (job + 1) * size) AS last_row, count(*) AS rows, min(o_orderkey) AS first_seen FROM o GROUP BY ALL
+WITH h AS (SELECT max(o_orderkey) AS h FROM orders), s AS (SELECT h, greatest(1, (h + 6) // 7) AS size FROM h), o AS (SELECT o_orderkey, o_custkey, (o_orderkey - 1) // size AS job, size, h FROM orders, s WHERE o_orderkey >= 1),
+p AS (SELECT *, row_number() OVER (ORDER BY o_custkey % 10 <> 0, job, o_orderkey) AS place FROM o)
+SELECT job, job * size + 1 AS first_row, least(h, (job + 1) * size) AS last_row, count(*) AS rows, min(place) AS first_place, max(place) AS last_place, CAST(sum(place * (o_orderkey % 97)) AS BIGINT) AS check_sum FROM p GROUP BY ALL
 """
 
 
@@ -254,22 +256,17 @@ SELECT site, names, rows, CAST(NULL AS BIGINT) AS addresses FROM n UNION ALL SEL
 
 
 def run_outputs(spark, sf_dir):
-    """A run's output files with their sizes, and the rows of its tables."""
+    """Orders written as a run's tables, one for each status and a file a task: what the inventory lists of them, and their rows."""
     path = shared_folder(spark, "run")
-    n = read(spark, sf_dir, "nation")
-    n.coalesce(1).write.options(header=True).csv(f"{path}/nation")
+    o = read(spark, sf_dir, "orders").withColumn("table", F.col("o_orderstatus"))
+    o.write.partitionBy("table").options(header=True, quote='"', escape='"').csv(path)
     listed = files.inventory(spark, path).where(F.col("relative_path").rlike(r"part-[^/]*\.csv$"))
-    counted = spark.createDataFrame([("nation", files_rows(spark, f"{path}/nation"))], "name string, rows long")
-    return counted.crossJoin(listed.agg(F.count(F.lit(1)).alias("files"), (F.min("size_bytes") > 0).alias("filled")))
+    listed = listed.groupBy(F.regexp_extract("relative_path", "^table=([^/]+)/", 1).alias("name")).agg((F.min("size_bytes") > 0).alias("filled"))
+    rows = spark.read.options(header=True, quote='"', escape='"').csv(path).groupBy(F.col("table").alias("name")).agg(F.count(F.lit(1)).alias("rows"))
+    return rows.join(listed, "name")
 
 
-def files_rows(spark, path):
-    from firmlens.sources import delimited
-
-    return delimited.count_rows(spark, path, stop_blank=None)
-
-
-RUN_OUTPUTS = "SELECT 'nation' AS name, count(*) AS rows, CAST(1 AS BIGINT) AS files, true AS filled FROM nation"
+RUN_OUTPUTS = "SELECT o_orderstatus AS name, count(*) AS rows, true AS filled FROM orders GROUP BY 1"
 
 QUERIES = {
     "text_fallbacks": (text_fallbacks, TEXT_FALLBACKS), "phone_fills": (phone_fills, PHONE_FILLS), "report_again": (report_again, REPORT_AGAIN), "processed_contacts": (processed_contacts, PROCESSED_CONTACTS),

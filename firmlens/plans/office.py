@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from firmlens.operators import numbering, outreach
+from firmlens.operators import numbering, outreach, profile
 from firmlens.plans.web import read
 from firmlens.shared import shared_folder
 from firmlens.sources import workbook
@@ -143,3 +143,33 @@ SELECT o_orderkey AS order_no, c_name AS company, CASE WHEN k % 3 = 0 THEN '+49
 FROM o LEFT JOIN i ON i.site = o.url AND i.n = 1
 """
 QUERIES |= {"sales_report": (sales_report, SALES_REPORT)}
+
+
+def output_profile(spark, sf_dir):
+    """Customers as a run's rows."""
+    k = F.col("c_custkey")
+    m = lambda n: F.pmod(k, F.lit(n))
+    item = lambda kind, cls, who: F.struct(F.lit(kind).alias("type"), F.lit(cls).alias("classification"), who.alias("associated_person_name"))
+    nobody = F.lit(None).cast("string")
+    rows = read(spark, sf_dir, "customer").select(
+        k.alias("row_id"), F.col("c_name").alias("CompanyName"), F.col("c_mktsegment").alias("Final_Row_Outcome_Reason"), F.when(m(3) == 0, "Website Issue").alias("Determined_Fault_Category"),
+        F.when(m(2) == 0, "+49").alias("Top_Number_1"), F.when(m(4) == 0, "Sales").when(m(4) == 2, " ").alias("Top_Type_1"), F.when(m(5) > 0, "+49").alias("Primary_Number_1"), F.when(m(50) == 1, "Fax line").when(m(5) > 1, "Main").alias("Primary_Type_1"),
+        F.lit(" ").alias("Secondary_Number_1"), F.when(m(6) == 0, F.array(F.lit("x"))).alias("RegexCandidateSnippets"),
+        F.when(m(7) > 0, F.array(item("Sales", "Primary", nobody), item("Main", "Secondary", F.when(m(3) == 0, "Ada")), item("Fax", "Support", nobody))).alias("LLMExtractedNumbers"), F.when(m(9) == 0, "Ada").alias("BestPersonContactName"))
+    return profile.output_profile(rows)
+
+
+_FLAGS = {"Top_Number_1": "k % 2 = 0", "Primary_Number_1": "k % 5 > 0", "Secondary_Number_1": "FALSE", "RegexCandidateSnippets": "k % 6 = 0", "LLMExtractedNumbers": "k % 7 > 0", "a person in LLMExtractedNumbers": "k % 7 > 0 AND k % 3 = 0", "BestPersonContactName": "k % 9 = 0"}
+OUTPUT_PROFILE = """
+WITH c AS (SELECT c_custkey AS k, c_name, c_mktsegment FROM customer), n AS (SELECT count(*) AS n FROM c)
+SELECT 'rows' AS section, '' AS name, n, CAST(NULL AS DOUBLE) AS share FROM n
+""" + "".join(f"UNION ALL SELECT 'filled', '{name}', (SELECT count(*) FROM c WHERE {when}), round((SELECT count(*) FROM c WHERE {when}) / n, 6) FROM n\n" for name, when in _FLAGS.items()) + """
+UNION ALL SELECT 'Final_Row_Outcome_Reason', c_mktsegment, count(*), NULL FROM c GROUP BY 2
+UNION ALL SELECT 'Determined_Fault_Category', CASE WHEN k % 3 = 0 THEN 'Website Issue' ELSE '' END, count(*), NULL FROM c GROUP BY 2
+UNION ALL SELECT 'Top_Type_1', 'Sales', count(*), NULL FROM c WHERE k % 4 = 0 HAVING count(*) > 0
+UNION ALL SELECT 'Primary_Type_1', CASE WHEN k % 50 = 1 THEN 'Fax line' ELSE 'Main' END, count(*), NULL FROM c WHERE k % 50 = 1 OR k % 5 > 1 GROUP BY 2
+UNION ALL SELECT 'LLM type', x.t, count(*), NULL FROM c, (VALUES ('Sales'), ('Main'), ('Fax')) x(t) WHERE k % 7 > 0 AND (t <> 'Fax' OR k % 3 > 0) GROUP BY 2
+UNION ALL SELECT 'LLM classification', x.t, count(*), NULL FROM c, (VALUES ('Primary'), ('Secondary'), ('Support')) x(t) WHERE k % 7 > 0 AND (t <> 'Support' OR k % 3 > 0) GROUP BY 2
+UNION ALL SELECT * FROM (SELECT 'fax as primary', c_name, k, NULL FROM c WHERE k % 50 = 1 ORDER BY k LIMIT 10)
+"""
+QUERIES |= {"output_profile": (output_profile, OUTPUT_PROFILE)}

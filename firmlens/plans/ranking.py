@@ -127,13 +127,13 @@ def best_outputs(spark, sf_dir):
     k = (F.col("o_custkey") + 1000000).cast("string")
     number = F.when(F.pmod("o_orderkey", F.lit(3)) == 0, F.concat(F.lit("+4930"), k)).when(F.pmod("o_orderkey", F.lit(3)) == 1, F.concat(F.lit("030 "), k)).otherwise(F.concat(F.lit("0049 30 "), k))
     person = F.when(F.pmod("o_orderkey", F.lit(5)) == 0, "Ada").otherwise("")
-    outputs = o.where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("out_id"), number.alias("number"), F.when(F.pmod("o_orderkey", F.lit(2)) == 0, F.lower(url("o_custkey"))).alias("source_url"), (F.pmod("o_orderkey", F.lit(4)) > 0).alias("is_valid"), _pick(_CLASSES, "o_orderkey").alias("classification"), _pick(tuple(fixed.OUTPUT_TYPES), "o_orderkey").alias("type"), person.alias("person"), F.lit(None).cast("string").alias("role"))
+    outputs = o.select(F.col("o_orderkey").alias("out_id"), number.alias("number"), F.when(F.pmod("o_orderkey", F.lit(2)) == 0, F.lower(url("o_custkey"))).alias("source_url"), (F.pmod("o_orderkey", F.lit(4)) > 0).alias("is_valid"), _pick(_CLASSES, "o_orderkey").alias("classification"), _pick(tuple(fixed.OUTPUT_TYPES), "o_orderkey").alias("type"), person.alias("person"), F.lit(None).cast("string").alias("role"))
     return ranking.best_outputs(inputs, outputs, "row").select("row", "out_id", "classification", "type", "score", "needs_retry")
 
 
 _BONUS = " ".join(f"WHEN '{k}' THEN {v}" for k, v in fixed.OUTPUT_TYPES.items())
 BEST_OUTPUTS = f"""
-WITH o AS (SELECT o_custkey AS row, o_orderkey AS out_id, {_s_pick(_CLASSES, 'o_orderkey')} AS classification, {_s_pick(tuple(fixed.OUTPUT_TYPES), 'o_orderkey')} AS type FROM orders WHERE o_orderstatus = 'F'),
+WITH o AS (SELECT o_custkey AS row, o_orderkey AS out_id, {_s_pick(_CLASSES, 'o_orderkey')} AS classification, {_s_pick(tuple(fixed.OUTPUT_TYPES), 'o_orderkey')} AS type FROM orders),
 s AS (SELECT *, CASE WHEN out_id % 4 > 0 THEN 100 ELSE 0 END + CASE classification WHEN 'Primary' THEN 30 WHEN 'Secondary' THEN 10 WHEN 'Non-Business' THEN -50 ELSE 0 END + CASE type {_BONUS} ELSE 0 END + CASE WHEN out_id % 5 = 0 THEN 5 ELSE 0 END AS score FROM o),
 b AS (SELECT row, arg_max({{'id': out_id, 'c': classification, 't': type, 's': score}}, (score, -out_id)) AS b FROM s GROUP BY row)
 SELECT c_custkey AS row, b.id AS out_id, b.c AS classification, b.t AS type, CAST(b.s AS INT) AS score, b IS NULL AS needs_retry FROM customer LEFT JOIN b ON row = c_custkey

@@ -82,7 +82,7 @@ def read_delimited(spark: SparkSession, path: str, *, delimiter: str | None = No
     files = table.groupBy(F.col("_f").alias("_g")).agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_g").rowsBetween(Window.unboundedPreceding, -1)
     files = files.select("_g", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))  # a row a file
-    table = table.join(F.broadcast(files), F.col("_f") == F.col("_g"))
+    table = table.join(files, F.col("_f") == F.col("_g"))
     table = table.withColumn("row_id", F.col("_before") + F.col("_at") - F.col("_first") + 1).drop("_at", "_f", "_g", "_first", "_before")
     low, high = parse_range(rows)
     table = table.where(F.col("row_id") >= low)

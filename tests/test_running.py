@@ -101,3 +101,17 @@ def test_greedy_top(spark):
         chosen += [r for r in own if has(r, "main", "zentrale") and r not in chosen][:1]
         chosen += [r for r in own if r not in chosen]
         assert got[site] == [r[1] for r in chosen[:3]], site
+
+
+def test_unique_and_left_over_items(spark):
+    items = spark.createDataFrame([("s", 0, " 1 ", "a"), ("s", 1, "1", "b"), ("s", 2, "2", "c"), ("s", 3, " ", "d"), ("s", 4, None, "e"), ("t", 0, "1", "f")], "site string, pos int, number string, type string")
+    assert sorted(tuple(r) for r in ranking.unique_items(items, "site").collect()) == [("s", 0, "1", "a"), ("s", 2, "2", "c"), ("t", 0, "1", "f")]
+    found = spark.createDataFrame([("s", k, str(k % 4), f"x{k}") for k in range(12)], "site string, at int, number string, snippet string")
+    excluded, rest = ranking.left_over(items, found, spark.createDataFrame([("s", "1 "), ("s", "0"), ("s", None)], "site string, number string"), "site", [F.col("at")])
+    assert sorted(r.type for r in excluded.collect()) == ["c", "f"] and sorted(r.snippet for r in rest.collect()) == ["x2", "x3"]
+
+
+def test_merge_jobs(spark):
+    rows = spark.createDataFrame([(i, i % 5 == 0) for i in range(1, 101)], "row_id long, cached boolean").repartition(6)
+    out = relations.merge_jobs(relations.row_jobs(rows, "row_id", 1, 100, 7), "row_id", F.col("cached")).orderBy("place").collect()
+    assert [r.place for r in out] == list(range(1, 101)) and [r.row_id for r in out] == [i for i in range(1, 101) if i % 5 == 0] + [i for i in range(1, 101) if i % 5]
