@@ -62,12 +62,13 @@ TASKS = {
 
 
 def read_templates(spark: SparkSession, folder: str | None = None) -> dict[str, str]:
-    """Templates by the names of their files (.txt) in a folder, the library's own without one. A template without a task's marks
-    is an error when the task runs, not here."""
-    path = folder or TEMPLATES.as_uri()
-    rows = spark.read.option("pathGlobFilter", "*.txt").text(path, wholetext=True).select(F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)\.txt$", 1).alias("name"), "value", F.octet_length("value").cast("long").alias("n"))
+    """Templates by the names of their files (.txt) in a folder that Spark reads; without one the library's own, which the driver
+    reads beside its code. A template without a task's marks is an error when the task runs, not here."""
+    if folder is None:
+        return {p.stem: p.read_text(encoding="utf-8") for p in sorted(TEMPLATES.glob("*.txt"))}
+    rows = spark.read.option("pathGlobFilter", "*.txt").text(folder, wholetext=True).select(F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)\.txt$", 1).alias("name"), "value", F.octet_length("value").cast("long").alias("n"))
     if (rows.agg(F.sum("n")).first()[0] or 0) > TEMPLATE_BYTES:
-        raise ValueError(f"templates of more than {TEMPLATE_BYTES} bytes in {path}")
+        raise ValueError(f"templates of more than {TEMPLATE_BYTES} bytes in {folder}")
     return {r["name"]: r["value"] for r in rows.collect()}
 
 
