@@ -2,36 +2,62 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from firmlens.functions import fixed, phones, urls
 from firmlens.functions.text import contains_any
+from firmlens.shared import find_package
 
+#: Characters of snippets that a step gives on at a time.
+FOUND_CHARS = 4_000_000
 SOURCE_FIELDS = ("type", "source_path", "original_full_url", "original_input_company_name", "associated_person_name", "associated_person_role", "associated_person_department", "is_direct_dial")
 
 
 def candidates(texts: DataFrame, *, text: str = "text", pattern: str = phones.CANDIDATE, region: str = "US", window: int = 150) -> DataFrame:
     """A row per phone-like run of each text: its columns but the text, pos, raw, number, national, start and snippet.
 
-    Runs and the pieces between them come from one pattern, so that offsets are sums of lengths and need no Python. The
-    snippet reaches `window` characters to either side, on to the next space. Dates, stand-ins and malformed numbers go.
+    Runs are found in an Arrow step that reads a text once, from run to run, so a text's cost grows with its length, not with
+    runs by length; numbers are columns. The snippet reaches `window` characters to either side, on to the next space. Dates,
+    stand-ins and malformed numbers go.
     """
-    found = F.regexp_extract_all(F.col(text), F.lit(f"({pattern})"), F.lit(1))
-    between = F.split(F.col(text), pattern)
-    before = lambda i: F.aggregate(F.slice(between, F.lit(1), i + 1), F.lit(0), lambda a, x: a + F.length(x)) + F.aggregate(F.slice(found, F.lit(1), i), F.lit(0), lambda a, x: a + F.length(x))
-    runs = F.transform(found, lambda m, i: F.struct(i.alias("pos"), F.trim(m).alias("raw"), before(i).alias("start"), F.length(m).alias("size")))
-    # a transform a step: what it adds is a value in the next, so that no expression is repeated
-    runs = F.transform(runs, lambda r: F.struct(r["pos"].alias("pos"), r["raw"].alias("raw"), r["start"].alias("start"), r["size"].alias("size"), phones.e164(r["raw"], region).alias("number")))
-    runs = F.transform(runs, lambda r: F.struct(r["pos"].alias("pos"), r["raw"].alias("raw"), r["start"].alias("start"), r["size"].alias("size"), r["number"].alias("number"), phones.national(r["number"]).alias("national")))
-    runs = F.filter(runs, lambda r: r["number"].isNotNull() & phones.valid(r["raw"], r["national"]))
-    t = texts.where(F.col(text).rlike(pattern)).withColumn("_run", F.explode(runs))
-    t = t.withColumns({**{c: F.col(f"_run.{c}") for c in ("pos", "raw", "start", "number", "national")}, "_end": F.col("_run.start") + F.col("_run.size")})
-    low = F.greatest(F.lit(0), F.col("start") - window)
-    head = F.when(low > 0, F.regexp_extract(F.substring(F.col(text), F.lit(1), low), r"([^ ]*)$", 1)).otherwise(F.lit(""))
-    tail = F.regexp_extract(F.substring(F.col(text), F.col("_end") + window + 1, F.length(text)), r"^([^ ]*)", 1)
-    middle = F.substring(F.col(text), low + 1, F.col("_end") + window - low)
-    return t.withColumn("snippet", F.trim(F.concat(head, middle, tail))).drop("_run", "_end", text)
+    find_package(texts.sparkSession)
+    others = [f for f in texts.schema.fields if f.name != text]
+    run_of = re.compile(pattern)
+
+    def find(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for frame in frames:
+            rows, size = [], 0
+            for at in range(frame.num_rows):
+                t = frame.column(frame.num_columns - 1)[at].as_py()
+                for pos, m in enumerate(run_of.finditer(t)):
+                    low, high = max(0, m.start() - window), m.end() + window
+                    space = t.find(" ", high)
+                    snippet = t[t.rfind(" ", 0, low) + 1 : space if space >= 0 else len(t)].strip(" ")
+                    rows.append((at, pos, m[0].strip(" "), m.start(), snippet))
+                    size += len(snippet)
+                    if size > FOUND_CHARS:
+                        yield found(frame, rows)
+                        rows, size = [], 0
+            yield found(frame, rows)
+
+    def found(frame: pa.RecordBatch, rows: list[tuple]) -> pa.RecordBatch:
+        at, pos, raw, start, snippet = zip(*rows, strict=True) if rows else ((),) * 5
+        at = pa.array(at, pa.int64())
+        columns = [*(c.take(at) for c in frame.columns[:-1]), pa.array(pos, pa.int32()), pa.array(raw, pa.string()), pa.array(start, pa.int32()), pa.array(snippet, pa.string())]
+        return pa.RecordBatch.from_arrays(columns, names=[*(f.name for f in others), "pos", "raw", "start", "snippet"])
+
+    more = [("pos", T.IntegerType()), ("raw", T.StringType()), ("start", T.IntegerType()), ("snippet", T.StringType())]
+    schema = T.StructType([*others, *[T.StructField(name, kind) for name, kind in more]])
+    t = texts.where(F.col(text).rlike(pattern)).select(*[f"`{f.name}`" for f in others], text).mapInArrow(find, schema)
+    t = t.withColumn("number", phones.e164(F.col("raw"), region)).where("number IS NOT NULL")
+    t = t.withColumn("national", phones.national(F.col("number"))).where(phones.valid(F.col("raw"), F.col("national")))
+    return t.select(*[f"`{f.name}`" for f in others], "pos", "raw", "start", "number", "national", "snippet")
 
 
 def cap_per_page(rows: DataFrame, page: list[str], number: str, order: list[Column], most: int = 3) -> DataFrame:

@@ -107,3 +107,24 @@ def test_many_keywords_cost_as_few(spark):
             took[n] = time.time() - began
     print(took)
     assert took[100_000] < 3 * took[100] + 6, took
+
+
+def test_phone_runs_of_a_long_text(spark):
+    """A text's cost grows with its length: 30,000 runs of one text, each with its place and its surroundings."""
+    from firmlens.operators import contacts
+
+    lines = [f"Tel: +49 30 {7040601 + 37 * i} am 01.02.2024" for i in range(30_000)]
+    text = "\n".join(lines)
+    df = spark.createDataFrame([("a", text), ("b", None), ("c", "none"), ("d", "ü " * 100 + "0171 7040602" + " é" * 100)], "file string, text string")
+    began = time.monotonic()
+    got = {(r["file"], r["pos"]): r for r in contacts.candidates(df, region="DE").collect()}
+    assert time.monotonic() - began < 60
+    own = [r for r in got.values() if r["file"] == "a"]
+    assert len(own) > 25_000 and all(r["pos"] % 2 == 0 and text[r["start"] :].startswith(r["raw"]) and r["raw"] == f"+49 30 {7040601 + 37 * (r['pos'] // 2)}" for r in own)
+    for r in own[:50] + own[-50:]:
+        low, high = max(0, r["start"] - 150), r["start"] + len(r["raw"]) + 150
+        head, tail = text[:low].rpartition(" ")[2] if low else "", text[high:].partition(" ")[0]
+        assert r["snippet"] == (head + text[low:high] + tail).strip(" ")
+    d = got["d", 0]
+    assert (d["start"], d["raw"], d["number"], d["national"]) == (200, "0171 7040602", "+491717040602", "1717040602") and not [k for k in got if k[0] in "bc"]
+    assert d["snippet"] == ("ü " * 75 + "0171 7040602" + " é" * 75).strip(" ")
