@@ -11,6 +11,7 @@ import shutil
 import numpy as np
 import pytest
 from conftest import TINY
+from oracle import compare
 from test_ops import removed, shingle_classes
 
 import corpus_pipeline
@@ -336,3 +337,11 @@ def test_two_runs_keep_their_tables(spark):
     corpus_pipeline.near_stage(spark, docs, TINY)
     chained = corpus_pipeline.suffix_stage(spark, first, TINY)
     assert chained.count() == first.count() > 0
+
+
+def test_mixing_counts_words_as_its_sql_does(spark, tmp_path):
+    """Words end at each of the six characters of white space, in the SQL as in the code."""
+    rows = [(i, f"a{c}b{c}c c" * (1 + i % 3), f"s{i % 2}") for i, c in enumerate(" \t\n\x0b\x0c\r" * 3)] + [(90, "x-y,z", "s0"), (91, None, None)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert compare(spark, str(tmp_path), mixing.op6_mix_sources, mixing.OP6_SQL) == 20
+    assert {r["size"] for r in mixing.op6_mix_sources(spark, str(tmp_path)).where("doc_id = 4").collect()} == {7}
