@@ -23,6 +23,8 @@ KEY_BITS = 2 * VOCAB_BITS
 BLOCK_BYTES = 12 << 20
 #: Text bytes for a shard of pairs; a shard's asks are counted in one task's memory.
 SHARD_BYTES = 8 << 20
+#: Entries (pair, document) of a block that are judged at a time.
+PART_ENTRIES = 1 << 18
 #: Ranges of word numbers in which the lower orders are summed.
 RANGES = 64
 RANGE = (1 << VOCAB_BITS) // RANGES
@@ -85,18 +87,26 @@ def pairs(words: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 def pair_table(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Distinct (pair, document) of a block in order: the distinct pairs, and per entry pair number, document, times.
-    counts: words of each document; a block has fewer than 2 ** (64 - KEY_BITS) documents."""
-    doc = np.repeat(np.arange(len(counts), dtype=np.uint64), counts)
-    doc |= keys << np.uint64(64 - KEY_BITS)
-    doc.sort()
-    both = doc
-    new = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]])) if len(both) else np.zeros(0, np.int64)
-    times = np.diff(np.append(new, len(both))).astype(np.int32)
-    both = both[new]
-    doc = (both & np.uint64((1 << (64 - KEY_BITS)) - 1)).astype(np.int32)
+    counts: words of each document; a block has fewer than 2 ** (64 - KEY_BITS) documents. keys are used up."""
+    keys <<= np.uint64(64 - KEY_BITS)
+    at = 0
+    for i, n in enumerate(counts.tolist()):
+        keys[at : at + n] |= np.uint64(i)
+        at += n
+    keys.sort()
+    new = np.concatenate([[True], keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, bool)
+    new = np.flatnonzero(new).astype(np.int32)
+    times = np.empty(len(new), np.int32)
+    np.subtract(new[1:], new[:-1], out=times[:-1])
+    times[-1:] = len(keys) - new[-1:]
+    both = keys[new]
+    del new
+    doc = np.empty(len(both), np.int32)
+    np.bitwise_and(both, np.uint64((1 << (64 - KEY_BITS)) - 1), out=doc, casting="unsafe")
     both >>= np.uint64(64 - KEY_BITS)
     head = np.concatenate([[True], both[1:] != both[:-1]]) if len(both) else np.zeros(0, bool)
-    return both[head], np.cumsum(head, dtype=np.int32) - 1, doc, times
+    both = both[head]
+    return both, np.cumsum(head, dtype=np.int32) - np.int32(1), doc, times
 
 
 def planes(x: np.ndarray, bits: int = KEY_BITS) -> list[np.ndarray]:
@@ -391,6 +401,21 @@ def log_probabilities(keys, number, doc, times, counts, trusted, tables, model)
     pair = restore(keys)
     before, word = (pair >> np.uint64(VOCAB_BITS)).astype(np.int64), (pair & np.uint64((1 << VOCAB_BITS) - 1)).astype(np.int64)
     logs = np.log(pair_probability(counts, total[before].astype("f8"), gamma[before].astype("f8"), into[word].astype("i8"), model)) if len(keys) else np.zeros(0)
+    out = np.zeros(len(trusted))
+    ends = np.cumsum(np.bincount(doc, minlength=len(trusted))) // PART_ENTRIES  # documents in parts: what is held at a time is bounded
+    low = 0
+    while low < len(trusted):
+        high = int(np.searchsorted(ends, ends[low], side="right"))
+        some = np.flatnonzero((doc >= low) & (doc < high)) if high - low < len(trusted) else slice(None)
+        out[low:high] = _part(number[some], doc[some] - low, times[some], logs, counts, before, word, trusted[low:high], tables, model)
+        low = high
+    return out
+
+
+def _part(number, doc, times, logs, counts, before, word, trusted, tables, model) -> np.ndarray:
+    """log_probabilities of some documents that stand together."""
+    total, gamma, into = tables
+    d2, d1, kinds, rest = model
     mine = trusted[doc]
     n_docs = len(trusted)
     out = np.bincount(doc[~mine], logs[number[~mine]] * times[~mine], n_docs).astype(float)  # of nothing it gives integers
@@ -422,7 +447,10 @@ def score_blocks(counted: DataFrame, folder: str, lower: tuple) -> DataFrame:
         enter("classifier")
         tables = load_tables(folder, files, model[0])
         ids, n, folds, odds, langs, *folded = unpack(get_file(folder, part["block"].iloc[0]), *BLOCK_KINDS)
-        keys, number, doc, times = pair_table(pairs(unfold_words(*folded), np.concatenate([[0], np.cumsum(n)])), n)
+        words = unfold_words(*folded)
+        del folded
+        keys, number, doc, times = pair_table(pairs(words, np.concatenate([[0], np.cumsum(n)])), n)
+        del words
         counts = np.concatenate([unpack(raw, "<u4")[0] for raw in part.sort_values("shard")["answer"]]).astype(np.int64)
         logs = log_probabilities(keys, number, doc, times, counts, folds == TRUSTED, tables, model)
         repeats = 1 - np.bincount(doc, minlength=len(ids)) / np.maximum(n, 1)

@@ -345,3 +345,26 @@ def test_mixing_counts_words_as_its_sql_does(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
     assert compare(spark, str(tmp_path), mixing.op6_mix_sources, mixing.OP6_SQL) == 20
     assert {r["size"] for r in mixing.op6_mix_sources(spark, str(tmp_path)).where("doc_id = 4").collect()} == {7}
+
+
+def test_a_block_is_judged_in_parts(monkeypatch):
+    """Parts give what the whole block gives, bit by bit, and bound what is held beside the block's own entries."""
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    counts = rng.integers(0, 900, 2000)
+    words, trusted = (rng.zipf(1.3, counts.sum()) % 5000 + 1).astype(np.uint32), rng.random(2000) < 0.5
+    size = 1 << classifier.VOCAB_BITS
+    tables = rng.integers(0, 50, size).astype("f4"), rng.random(size).astype("f4"), rng.integers(0, 9, size).astype("u4")
+    entries = classifier.pair_table(classifier.pairs(words, np.concatenate([[0], np.cumsum(counts)])), counts)
+    keys, number, doc, times = entries
+    own = np.bincount(number[trusted[doc]], times[trusted[doc]], len(keys)).astype(np.int64) + 1
+    model = (0.5, 0.7, 0.9), (0.4, 0.6, 0.8), len(keys), 1000.0
+    tracemalloc.start()
+    got = classifier.log_probabilities(*entries, own, trusted, tables, model)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60 * len(doc), (peak, len(doc))
+    for most in (1, 1 << 12, 1 << 40):
+        monkeypatch.setattr(classifier, "PART_ENTRIES", most)
+        assert classifier.log_probabilities(*entries, own, trusted, tables, model).tobytes() == got.tobytes()
