@@ -104,9 +104,8 @@ def artifact_rows(spark, sf_dir):
     pitch = F.concat(F.lit('Well } {"note": "none\n```json\n{"phone_sales_line": "Say \\"'), k, F.lit('\\" {now}"}\n``` and } more {x}'))
     match = F.concat(F.lit('{"matched_partner_name": "P'), k, F.lit('", "match_rationale_features": ["a", "b"]} tail ]'))
     both = s.select(F.concat(F.lit("Row"), k, F.lit("_pitch.txt")).alias("name"), pitch.alias("value")).unionByName(s.where("s_suppkey % 3 > 0").select(F.concat(F.lit("Row"), k, F.lit("_match.txt")).alias("name"), match.alias("value")))
-    both.write.partitionBy("name").text(path)
-    texts = files.read_texts(spark, path).withColumn("path", F.concat(F.lit("x/"), F.regexp_extract("path", "name=([^/]+)", 1)))
-    return completion.artifact_rows(texts)
+    files.write_texts(both.withColumnRenamed("value", "text"), path)
+    return completion.artifact_rows(files.read_texts(spark, path))
 
 
 ARTIFACT_ROWS = """

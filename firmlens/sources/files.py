@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+import uuid
 import zipfile
+import zlib
 from collections.abc import Iterator
 from xml.etree import ElementTree
 
@@ -14,7 +16,10 @@ from pyspark.sql import functions as F
 from firmlens.functions import fixed
 from firmlens.functions.text import report_cell
 from firmlens.operators import contacts
-from firmlens.shared import find_package
+from firmlens.shared import find_package, open_store
+
+#: Folders that written texts are dealt to.
+FOLDERS = 256
 
 
 def read_texts(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
@@ -23,6 +28,34 @@ def read_texts(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     return files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
 
 
+def write_texts(texts: DataFrame, folder: str) -> None:
+    """texts(name, text) as a file each, name below one of FOLDERS folders by the name's checksum: so that many files are
+    neither a folder each nor all in one, and are listed by tasks. Tasks write them in place; a file is seen when it is whole, and
+    writing it again changes nothing."""
+    spark = texts.sparkSession
+    find_package(spark)
+    spark._jvm.org.apache.hadoop.fs.Path(folder).getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(spark._jvm.org.apache.hadoop.fs.Path(folder))
+
+    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, path = open_store(folder)
+        made: set[int] = set()
+        for frame in frames:
+            for name, text in zip(*(c.to_pylist() for c in frame.columns), strict=True):
+                at = zlib.crc32(name.encode()) % FOLDERS
+                if at not in made:
+                    fs.create_dir(f"{path}/{at:03d}", recursive=True)
+                    made.add(at)
+                part = f"{path}/{at:03d}/_{uuid.uuid4().hex}"
+                with fs.open_output_stream(part, compression=None) as f:
+                    f.write((text or "").encode())
+                fs.move(part, f"{path}/{at:03d}/{name}")
+            yield pa.RecordBatch.from_arrays([pa.array([frame.num_rows], pa.int64())], names=["files"])
+
+    # a fixed number of partitions: rows are small, the work isn't
+    dealt = texts.select("name", "text").repartition(max(2, int(spark.conf.get("spark.sql.shuffle.partitions"))), "name")
+    dealt.mapInArrow(run, "files long").agg(F.sum("files")).collect()
+
+
 def phones_of_files(spark: SparkSession, path: str, glob: str = "*.txt", *, region: str = "DE") -> DataFrame:
     """Phone candidates of text files, with the file's name."""
     texts = read_texts(spark, path, glob).withColumn("file", F.regexp_extract("path", r"([^/]+)$", 1))
