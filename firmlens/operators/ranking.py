@@ -143,12 +143,14 @@ def best_outputs(inputs: DataFrame, outputs: DataFrame, row: str) -> DataFrame:
     outputs: out_id, number, source_url, is_valid, classification, type, person, role.
     """
     low = lambda c: F.lower(F.trim(F.coalesce(c, F.lit(""))))
-    num, norm = F.trim(F.coalesce("number", F.lit(""))), phones.e164_any(F.trim(F.coalesce("number", F.lit(""))))
+    bare = F.trim(F.coalesce("number", F.lit("")))
+    num, norm = F.col("_num"), F.col("_norm")  # columns of their own, so that a number is normalized once, not once a way
+    spell = lambda df: df.withColumn("_num", bare).where("_num <> ''").withColumn("_norm", phones.e164_any(F.col("_num")))
     ways = (F.concat_ws("|", num, low("source_url")), F.concat_ws("|", norm, low("source_url")), num, norm)
     # an input can be found by any of its spellings; an output tries its own ways in order
     spelled = F.array(*[F.struct(F.lit(level).alias("level"), key.alias("key")) for level, key in ((0, ways[0]), (1, ways[0]), (0, ways[1]), (1, ways[1]), (2, ways[2]), (3, ways[2]), (2, ways[3]), (3, ways[3]))])
-    a = inputs.where(num != "").select(row, F.explode(spelled).alias("k")).select(row, "k.*").groupBy("level", "key").agg(F.min(row).alias(row))
-    b = outputs.where(num != "").select("*", F.explode(F.array(*[F.struct(F.lit(i).alias("level"), w.alias("key")) for i, w in enumerate(ways)])).alias("k")).select("*", "k.*").drop("k")
+    a = spell(inputs).select(row, F.explode(spelled).alias("k")).select(row, "k.*").groupBy("level", "key").agg(F.min(row).alias(row))
+    b = spell(outputs).select("*", F.explode(F.array(*[F.struct(F.lit(i).alias("level"), w.alias("key")) for i, w in enumerate(ways)])).alias("k")).select("*", "k.*").drop("k")
     placed = b.join(a, ["level", "key"]).groupBy("out_id").agg(F.min_by(F.struct(row, "classification", "type", "is_valid", "person", "role"), F.col("level")).alias("o")).select("out_id", "o.*")
     placed = placed.withColumn("score", output_score(F.col("is_valid"), F.col("classification"), F.col("type"), F.col("person"), F.col("role")))
     best = placed.groupBy(row).agg(F.max_by(F.struct("out_id", "classification", "type", "score"), F.struct("score", -F.col("out_id"))).alias("b"))

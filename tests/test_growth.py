@@ -2,6 +2,9 @@
 
 import os
 
+from pyspark.sql import functions as F
+
+from firmlens.operators import ranking
 from firmlens.shared import shared_folder
 from firmlens.sources import files
 
@@ -21,3 +24,12 @@ def test_many_texts_are_not_a_folder_each(spark, monkeypatch):
     empty = shared_folder(spark, "texts")
     files.write_texts(df.limit(0), empty)
     assert files.read_texts(spark, empty).count() == 0
+
+
+def test_a_number_is_normalized_once(spark):
+    a = spark.range(9).select(F.col("id").alias("row"), F.concat(F.lit("+49 30 123"), F.col("id") + 1000).alias("number"), F.lit("u").alias("source_url"))
+    b = a.select(F.col("row").alias("out_id"), "number", "source_url", F.lit(True).alias("is_valid"), *[F.lit("x").alias(c) for c in ("classification", "type", "person", "role")])
+    out = ranking.best_outputs(a, b, "row")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("[1-9][0-9]{6,14}") <= 20, plan.count("[1-9][0-9]{6,14}")
+    assert {(r["row"], r["out_id"], r["needs_retry"]) for r in out.collect()} == {(i, i, False) for i in range(9)}
