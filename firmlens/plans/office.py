@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from firmlens.operators import numbering, outreach, profile
 from firmlens.plans.web import read
-from firmlens.shared import shared_folder
+from firmlens.shared import shared_folder, written
 from firmlens.sources import workbook
 from firmlens.sources.cache import KeyedCache
 
@@ -41,7 +41,7 @@ def workbook_union(spark, sf_dir):
     """Customers written as workbooks, and all sheets of all files read back as one table; rows without a website go."""
     folder = shared_folder(spark, "workbooks")
     workbook.write_workbooks(_sheets(spark, sf_dir), folder)
-    return workbook.union_sheets(workbook.sheet_rows(spark, folder))
+    return workbook.union_sheets(written(workbook.sheet_rows(spark, folder), "rows"))
 
 
 WORKBOOK_UNION = f"""{_PLACED}
@@ -56,9 +56,9 @@ def workbook_back(spark, sf_dir):
     workbook.write_workbooks(_sheets(spark, sf_dir), folder)
     last = read(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.max("o_orderkey").alias("Order"))
     found = _sheets(spark, sf_dir).join(last, "c_custkey").select("file", "sheet", "row_no", "Order", F.when(F.pmod("c_custkey", F.lit(3)) == 0, F.concat(F.lit("#"), F.col("Order").cast("string"))).alias("Phone"))
-    raw = workbook.sheet_rows(spark, folder)
+    raw = written(workbook.sheet_rows(spark, folder), "rows")  # sheets are read once, not for each of the joins
     workbook.write_workbooks(workbook.append_columns(workbook.set_column(raw, found.where("Phone IS NOT NULL"), 2, "Phone"), found, ["Order"]), target)
-    out = workbook.union_sheets(workbook.sheet_rows(spark, target), website=None)
+    out = workbook.union_sheets(written(workbook.sheet_rows(spark, target), "rows"), website=None)
     return out.select("SourceWorkbook", "SourceSheet", "SourceSheetRowNumber", "Name", "Phone", "Industry", "Order")
 
 

@@ -2,9 +2,12 @@
 
 import os
 
+import pytest
+from conftest import TINY
 from pyspark.sql import functions as F
 
 from firmlens.operators import ranking
+from firmlens.plans import office
 from firmlens.shared import shared_folder
 from firmlens.sources import files
 
@@ -26,6 +29,12 @@ def test_many_texts_are_not_a_folder_each(spark, monkeypatch):
     assert files.read_texts(spark, empty).count() == 0
 
 
+@pytest.mark.parametrize("query", ["workbook_back", "workbook_union"])
+def test_sheets_are_read_once(spark, query):
+    out = getattr(office, query)(spark, TINY)
+    assert "BatchScan" not in out._jdf.queryExecution().executedPlan().toString()  # rows of sheets stand in a table by then
+
+
 def test_a_number_is_normalized_once(spark):
     a = spark.range(9).select(F.col("id").alias("row"), F.concat(F.lit("+49 30 123"), F.col("id") + 1000).alias("number"), F.lit("u").alias("source_url"))
     b = a.select(F.col("row").alias("out_id"), "number", "source_url", F.lit(True).alias("is_valid"), *[F.lit("x").alias(c) for c in ("classification", "type", "person", "role")])
