@@ -7,6 +7,7 @@ from html.parser import HTMLParser
 from urllib.parse import urljoin
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,6 +18,8 @@ from firmlens.shared import find_package
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 MAX_BANNER = 1500
 SHORT_BANNER = 300
+#: Bytes of pages that are parsed at a time.
+HTML_BYTES = 1 << 20
 
 
 class _Page(HTMLParser):
@@ -81,12 +84,24 @@ def parse(html: str | None) -> tuple[str, list[list[str]]]:
     return page.text(), page.links
 
 
+def slices(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of pages in slices of about HTML_BYTES, at least a page each: a batch's texts and links aren't held at once."""
+    for frame in frames:
+        ends = pc.cumulative_sum(pc.fill_null(pc.binary_length(frame.column(2)), 0).cast(pa.int64())).to_numpy()
+        start = 0
+        while start < frame.num_rows:
+            done = int(ends[start - 1]) if start else 0
+            end = max(start + 1, int(ends.searchsorted(done + HTML_BYTES, side="right")))
+            yield frame.slice(start, end - start)
+            start = end
+
+
 def _parsed(pages: DataFrame) -> DataFrame:
     """page_id, url, raw text (a line per text node) and links (href, text) of pages(page_id, url, html)."""
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("href", pa.string()), ("text", pa.string())]))
-        for frame in frames:
+        for frame in slices(frames):
             got = [parse(h) for h in frame.column(2).to_pylist()]
             links = pa.array([[{"href": h, "text": t} for h, t in ls] for _, ls in got], kind)
             yield pa.RecordBatch.from_arrays([frame.column(0), frame.column(1), pa.array([t for t, _ in got], pa.string()), links], names=["page_id", "url", "raw", "links"])

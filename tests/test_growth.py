@@ -2,6 +2,7 @@
 
 import os
 
+import pyarrow as pa
 import pytest
 from conftest import TINY
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from firmlens.operators import ranking
 from firmlens.plans import office
 from firmlens.shared import shared_folder
-from firmlens.sources import files
+from firmlens.sources import files, html
 
 
 def test_many_texts_are_not_a_folder_each(spark, monkeypatch):
@@ -29,6 +30,15 @@ def test_many_texts_are_not_a_folder_each(spark, monkeypatch):
     assert files.read_texts(spark, empty).count() == 0
 
 
+def test_pages_are_parsed_in_slices(monkeypatch):
+    monkeypatch.setattr(html, "HTML_BYTES", 100)
+    pages = ["x" * 60, None, "y" * 30, "ü" * 200, "", "z" * 99, "z"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(8)), pa.array(["u"] * 8), pa.array(["skipped", *pages])], names=["page_id", "url", "html"]).slice(1)
+    got = list(html.slices([batch, batch.slice(0, 0)]))
+    assert [x for g in got for x in g.column(2).to_pylist()] == pages
+    assert all(g.num_rows == 1 or sum(len((x or "").encode()) for x in g.column(2).to_pylist()) <= 100 for g in got) and len(got) == 3
+
+
 @pytest.mark.parametrize("query", ["workbook_back", "workbook_union"])
 def test_sheets_are_read_once(spark, query):
     out = getattr(office, query)(spark, TINY)
