@@ -41,7 +41,7 @@ class WordBPE:
         "decoder": None}
     MODEL = {"type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None, "byte_fallback": None, "ignore_merges": None}
     #: Two generations of distinct words are kept, so many each at most.
-    LIMIT = 150_000
+    LIMIT = 60_000
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
@@ -60,8 +60,8 @@ class WordBPE:
             self.merges[self.vocab[a], self.vocab[b]] = (rank, self.vocab[a + b])
         self.bytes = byte_alphabet()
         self.cut = regex.compile("|".join(map(regex.escape, self.special)) or r"(?!)")
-        self.young: dict[str, tuple[bytes, str]] = {}
-        self.old: dict[str, tuple[bytes, str]] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def merge(self, word: str) -> list[int]:
         """Ids of one word. The queue holds (rank, position, left, right, merged); an entry whose symbols have since been
@@ -129,20 +129,23 @@ class WordBPE:
                 v = old.get(u)
                 if v is None:
                     ids = [self.special[u[1:]]] if u[0] == "\0" and u[1:] in self.special else self.merge(u)
-                    v = (np.array(ids, "<u4").tobytes(), self.decode(ids))
+                    v = np.array(ids, "<u4").tobytes()
                 young[u] = v
             found[i] = v
         out, at = [], 0
         for u in units:
-            own = found[at : at + len(u)]
+            ids = b"".join(found[at : at + len(u)])
             at += len(u)
-            out.append((b"".join([v[0] for v in own]), " ".join([v[1] for v in own if v[1]])))
+            out.append((ids, self.decode(np.frombuffer(ids, "<u4").tolist())))
         return out
 
     def encode(self, text: str) -> list[int]:
         return np.frombuffer(self.encode_batch([text])[0][0], "<u4").tolist()
 
 
+#: Bytes of texts that are encoded at a time.
+SLICE = 1 << 18
+
 _MODELS: dict[str, WordBPE] = {}
 CACHES.append(_MODELS)
 
@@ -166,10 +169,12 @@ def bpe_encode_decode(docs: DataFrame, tokenizer: str) -> DataFrame:
     def run(frames):
         enter("bpe")
         bpe = model(tokenizer)
-        for frame in batches_of(frames, 1 << 20):
+        for frame in batches_of(frames, SLICE):
             got = bpe.encode_batch([t or "" for t in frame.column(1).to_pylist()])
             ids = [a for a, _ in got]
-            columns = [frame.column(0), pa.array([len(a) // 4 for a in ids], pa.int64()), pa.array(ids, pa.binary()), pa.array([b for _, b in got], pa.string())]
+            keys = frame.column(0).take(pa.array(range(frame.num_rows)))  # a copy: a column of the frame would hold its whole batch
+            del frame
+            columns = [keys, pa.array([len(a) // 4 for a in ids], pa.int64()), pa.array(ids, pa.binary()), pa.array([b for _, b in got], pa.string())]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids", "decoded"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_tokens long, ids binary, decoded string")

@@ -7,8 +7,10 @@ import os
 import random
 import re
 import shutil
+import weakref
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import TINY
 from oracle import compare
@@ -16,7 +18,7 @@ from test_ops import removed, shingle_classes
 
 import corpus_pipeline
 from firmlens.llm import bpe, chat, classifier, mixing, near_dedup, quality_rules, suffix_dedup, token_files, topk, warc
-from firmlens.llm.common import new_folder, shared_dir
+from firmlens.llm.common import batches_of, new_folder, shared_dir
 
 LONG = "lorem ipsum dolor " * 20_000
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, _id long, key string, label int, node long, n long"
@@ -368,3 +370,38 @@ def test_a_block_is_judged_in_parts(monkeypatch):
     for most in (1, 1 << 12, 1 << 40):
         monkeypatch.setattr(classifier, "PART_ENTRIES", most)
         assert classifier.log_probabilities(*entries, own, trusted, tables, model).tobytes() == got.tobytes()
+
+
+def test_encoded_words_are_kept_small():
+    """Of a word its ids are kept, not their decoded string too, and of so many words only."""
+    import tracemalloc
+
+    import public_tokenizers
+
+    model = bpe.WordBPE(public_tokenizers.path("word_bpe_49k.json"))
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = [a + b + c + d for a in letters[:11] for b in letters for c in letters for d in letters]
+    want = [model.merge(w) for w in words[:50]]
+    tracemalloc.start()
+    for i in range(0, len(words), 10_000):
+        got = model.encode_batch([" ".join(words[i : i + 10_000])])
+        if not i:
+            assert np.frombuffer(got[0][0], "<u4").tolist()[: sum(map(len, want))] == [x for w in want for x in w]
+            assert got[0][1].startswith(" ".join(model.decode(w) for w in want))
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held < 32e6, held
+
+
+def test_a_batch_is_let_go_before_the_next():
+    last = []
+
+    def frames():
+        for i in range(3):
+            batch = pa.RecordBatch.from_arrays([pa.array(["x" * 9, None, "y" * 9]), pa.array([i] * 3)], names=["text", "n"])
+            last.append(weakref.ref(batch))
+            yield batch
+            del batch
+            assert last[-1]() is None
+
+    assert [s.num_rows for s in batches_of(frames(), 10)] == [2, 1] * 3 and len(last) == 3
