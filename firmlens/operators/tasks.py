@@ -96,17 +96,19 @@ def rank_numbers(payload: DataFrame, cache: DataFrame, make: Callable[[], infere
     """payload(site, place, payload) to one ranking a site: (site, answer). A site is asked about once; equal prompts share
     a call."""
     grouped = payload.groupBy(site).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "payload"))), lambda x: x["payload"]), "\n").alias("items"))
-    grouped = grouped.withColumn("prompt", inference.fill(PROMPTS["phone_rerank"], {"company": F.col(site), "items": F.col("items")}))
+    prompt = inference.fill(PROMPTS["phone_rerank"], {"company": F.col(site), "items": F.col("items")})
+    grouped = written(grouped.select(site, prompt.alias("prompt")), "prompts")  # read thrice: the payload is made once
     calls = inference.answers(inference.ask(grouped, cache, "phone_rerank", make, workers=workers), SCHEMAS["phone_rerank"])
-    return grouped.select(site, "prompt").join(calls.select("prompt", "answer"), "prompt").drop("prompt")
+    return grouped.join(calls.select("prompt", "answer"), "prompt").drop("prompt")
 
 
 def match_partners(shortlist: DataFrame, cache: DataFrame, make: Callable[[], inference.Provider], *, target: str, workers: int | None = None) -> DataFrame:
     """shortlist(target, place, profile, payload) to one choice a target: (target, answer)."""
     grouped = shortlist.groupBy(target).agg(F.first("profile").alias("profile"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "payload"))), lambda x: x["payload"]), "\n").alias("items"))
-    grouped = grouped.withColumn("prompt", inference.fill(PROMPTS["partner_match"], {"company": F.col(target), "profile": F.col("profile"), "items": F.col("items")}))
+    prompt = inference.fill(PROMPTS["partner_match"], {"company": F.col(target), "profile": F.col("profile"), "items": F.col("items")})
+    grouped = written(grouped.select(target, prompt.alias("prompt")), "prompts")  # read thrice: the shortlist is made once
     calls = inference.answers(inference.ask(grouped, cache, "partner_match", make, workers=workers), SCHEMAS["partner_match"])
-    return grouped.select(target, "prompt").join(calls.select("prompt", "answer"), "prompt").drop("prompt")
+    return grouped.join(calls.select("prompt", "answer"), "prompt").drop("prompt")
 
 
 def rule_provider() -> inference.Provider:

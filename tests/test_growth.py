@@ -8,7 +8,7 @@ from conftest import TINY
 from pyspark.sql import functions as F
 
 from firmlens.operators import ranking
-from firmlens.plans import office
+from firmlens.plans import office, tasks
 from firmlens.shared import shared_folder
 from firmlens.sources import files, html
 
@@ -52,3 +52,11 @@ def test_a_number_is_normalized_once(spark):
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("[1-9][0-9]{6,14}") <= 20, plan.count("[1-9][0-9]{6,14}")
     assert {(r["row"], r["out_id"], r["needs_retry"]) for r in out.collect()} == {(i, i, False) for i in range(9)}
+
+
+@pytest.mark.parametrize("query", ["match_partners", "rank_numbers"])
+def test_prompts_are_made_once(spark, query):
+    out = getattr(tasks, query)(spark, TINY)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "prompts-" in plan and "documents.parquet" not in plan  # prompts stand in a table by then
+    assert out.count() > 0
