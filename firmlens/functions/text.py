@@ -14,6 +14,8 @@ from firmlens.shared import find_package
 #: Latin letters whose decomposition starts with an ASCII letter, and that letter; ß and others without one are deleted.
 _ACCENTED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝ"
 _PLAIN = "aaaaaaceeeeiiiinooooouuuuyyAAAAAACEEEEIIIINOOOOOUUUUY"
+#: ASCII characters that end a token of lower-case text.
+_BLANK = "".join(chr(i) for i in range(128) if not (chr(i).isdigit() or chr(i).isalpha()))
 
 
 def blank_to_null(c: Column, blanks: Iterable[str] = ()) -> Column:
@@ -57,15 +59,19 @@ def fold_ascii(c: Column) -> Column:
 
 def match_text(c: Column) -> Column:
     """Text for matching: ASCII, lower case, & as and, one space between runs of letters and digits."""
-    t = F.replace(F.lower(fold_ascii(F.coalesce(c, F.lit("")))), F.lit("&"), F.lit(" and "))
-    return F.trim(F.regexp_replace(t, r"[^a-z0-9]+", " "))
+    return F.trim(F.regexp_replace(_folded(c), r"[^a-z0-9]+", " "))
+
+
+def _folded(c: Column) -> Column:
+    return F.replace(F.lower(fold_ascii(F.coalesce(c, F.lit("")))), F.lit("&"), F.lit(" and "))
 
 
 def match_tokens(c: Column) -> Column:
     """Tokens of match_text without short ones (but for known abbreviations), stop words and numbers."""
     keep = lambda t: (
         (t != "") & ((F.length(t) > 2) | t.isin(*fixed.SHORT_TOKENS)) & ~t.isin(*fixed.STOPWORDS) & ~t.rlike("^[0-9]+$"))
-    return F.filter(F.split(match_text(c), " "), keep)
+    # character by character, which is quicker than runs by a pattern; of a run of spaces '' is left, which isn't kept
+    return F.filter(F.split(F.translate(_folded(c), _BLANK, " " * len(_BLANK)), " "), keep)
 
 
 def match_phrases(texts: Column, limit: int = 8) -> Column:

@@ -19,6 +19,8 @@ SMALL_TABLE = 100_000
 MAX_TERMS = 4_000_000
 #: Partners whose rows may be decomposed with each target.
 LOW_RANK_PARTNERS = 1_000
+#: Tasks that targets are dealt over before decompositions, times the cores or the partitions they come in.
+LOW_RANK_TASKS = 8
 
 
 def small(table: DataFrame) -> DataFrame:
@@ -154,24 +156,29 @@ class PartnerIndex:
         df[hit] = n
         ttf, tidf = 1 + np.log(np.maximum(count, 1)), self.idf(df + 1)
         column = np.repeat(np.arange(len(hit)), n)
-        tf = np.zeros((self.size, len(hit)))
-        tf[partner, column] = ptf
+        some, at = np.unique(partner, return_inverse=True)  # only these partners' products change
+        tf = np.zeros((len(some), len(hit)))
+        tf[at, column] = ptf
         g = np.zeros((self.size + 1, self.size + 1))
-        g[1:, 1:] = self.gram() + (tf * (tidf[hit] ** 2 - self.idf(df[hit]) ** 2)) @ tf.T
-        g[0, 1:] = g[1:, 0] = tf @ (ttf[hit] * tidf[hit] ** 2)
+        g[1:, 1:] = self.gram()
+        g[some[:, None] + 1, some + 1] += (tf * (tidf[hit] ** 2 - self.idf(df[hit]) ** 2)) @ tf.T
+        g[0, some + 1] = g[some + 1, 0] = tf @ (ttf[hit] * tidf[hit] ** 2)
         g[0, 0] = ((ttf * tidf) ** 2).sum()
         length = np.sqrt(np.maximum(np.diag(g), 0))
         length[length < 1e-12] = np.inf  # rows without terms
-        g /= length[:, None] * length
+        g /= length[:, None]
+        g /= length
         features = len(self.dense[0]) + len(term) - len(hit)
         rows = self.size + 1
         if rows >= 4 and features >= 4:
             k = max(2, min(most, rows - 1, features - 1))
             values, vectors = np.linalg.eigh(g)
             reduced = vectors[:, -k:] * np.sqrt(np.maximum(values[-k:], 0))
-            g = reduced @ reduced.T
-        own = np.sqrt(np.maximum(np.diag(g), 0))
-        return np.where((own[1:] > 1e-9) & (own[0] > 1e-9), g[0, 1:] / np.maximum(own[1:] * own[0], 1e-300), 0.0)
+            first, square = reduced @ reduced[0], np.einsum("ij,ij->i", reduced, reduced)
+        else:
+            first, square = g[0], np.diag(g)
+        own = np.sqrt(np.maximum(square, 0))
+        return np.where((own[1:] > 1e-9) & (own[0] > 1e-9), first[1:] / np.maximum(own[1:] * own[0], 1e-300), 0.0)
 
     def idf(self, df: np.ndarray) -> np.ndarray:
         return np.log((2.0 + self.size) / (1.0 + df)) + 1.0
@@ -297,7 +304,14 @@ def score_partners(targets: DataFrame, partners: DataFrame, weights: dict[str, i
                     target = frame.column(frame.schema.get_field_index("target")).take(pa.array(cols[0], pa.int64()))
                     yield pa.RecordBatch.from_arrays([target, *[pa.array(c, t) for c, t in zip(cols[1:], types, strict=True)]], names=["target", *[x.split()[0] for x in SCORED.split(", ")]])
 
-    return targets.select("target", "dense", *weights).mapInArrow(run, f"target {kind}, {SCORED}")
+    return targets.select("target", *(["dense"] if dense else []), *(weights if sparse else [])).mapInArrow(run, f"target {kind}, {SCORED}")
+
+
+def deal_targets(rows: DataFrame) -> DataFrame:
+    """Rows dealt evenly over many tasks, for a step whose cost is each row's: a file is read by as many tasks as it has row
+    groups at most, however many cores there are."""
+    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, rows.rdd.getNumPartitions())
+    return rows.repartition(LOW_RANK_TASKS * tasks)
 
 
 def rank_fusion(sparse: DataFrame, dense: DataFrame, *, k: int = 60, top: int = 10, keep: int = 5) -> DataFrame:

@@ -77,7 +77,10 @@ def _scored(spark, sf_dir, **asked):
     """Documents as companies against benchmark items as partners, in list order from the last item to the first."""
     tokens = match_tokens(F.col("text")).alias("tokens")
     one, both = matching.hashed_terms(F.col("tokens"))
-    d = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("target"), tokens, match_tokens(F.col("source")).alias("names"))
+    d = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    if asked.get("dimensions"):
+        d = matching.deal_targets(d)
+    d = d.select(F.col("doc_id").alias("target"), tokens, match_tokens(F.col("source")).alias("names"))
     targets = d.select("target", one.alias("own"), matching.hashed_terms(F.col("names"))[0].alias("listed"), both.alias("dense"))
     b = read(spark, sf_dir, "benchmark").select(F.col("item_id").alias("partner"), tokens)
     partners = b.select("partner", (-F.col("partner")).alias("position"), one.alias("sparse"), both.alias("dense"))

@@ -75,3 +75,26 @@ def _terms(spark, table, key):
 
     df = spark.read.parquet(f"{TINY}/{table}.parquet").select(F.col(key).alias("target"), match_tokens(F.col("text")).alias("tokens"))
     return df.select("target", matching.hashed_terms(F.col("tokens"))[1].alias("dense")).collect()
+
+
+def test_targets_are_dealt_evenly(spark):
+    """A file of one row group is one task's; the decompositions of its rows must not be."""
+    from pyspark.sql import functions as F
+
+    found = catalog.QUERIES["lowrank_cosine"](spark, TINY).select("target").distinct().count()
+    tasks = catalog.QUERIES["lowrank_cosine"](spark, TINY).groupBy(F.spark_partition_id().alias("task")).agg(F.countDistinct("target").alias("n")).collect()
+    assert sum(r.n for r in tasks) == found and len(tasks) > 8 and max(r.n for r in tasks) <= found / 4
+
+
+def test_tokens_are_those_of_match_text(spark):
+    from pyspark.sql import functions as F
+
+    from firmlens.functions.text import match_text, match_tokens
+
+    ascii_ = "".join(map(chr, range(128)))
+    rows = ["", None, " ", "&", "R&D AI", "x Straße Großhändler", "abc\x00def\x7fghi\tjkl\r\nmno", "ÉCOLE-école_12 123 4th", "xyz".join(ascii_), "İstanbul ok'ay", "a.b.c;...;erp", " ".join(ascii_ * 2)]
+    df = spark.createDataFrame([(t,) for t in rows], "t string").select(match_text(F.col("t")).alias("flat"), match_tokens(F.col("t")).alias("tokens"))
+    whole = df.select("tokens", match_tokens(F.col("flat")).alias("again"), F.split("flat", " ").alias("words")).collect()
+    for r in whole:
+        assert r.tokens == r.again and set(r.tokens) <= set(r.words)
+        assert [w for w in r.words if len(w) > 2 and not w.isdigit() and w in r.tokens] == [w for w in r.tokens if len(w) > 2]
