@@ -14,6 +14,7 @@ import pyarrow as pa
 import pytest
 from conftest import TINY
 from oracle import compare
+from pyspark.sql import functions as F
 from test_ops import removed, shingle_classes
 
 import corpus_pipeline
@@ -243,6 +244,21 @@ def test_topk_over_many_blocks(spark, monkeypatch):
             assert sorted(got[q]) == [(n + 1, i, -s) for n, (s, i) in enumerate(best)]
 
 
+def test_topk_sends_no_side_through_the_driver(spark):
+    """Query blocks stand once a bucket, which their file's size doesn't tell: the join must not broadcast them."""
+    rows = spark.range(400).select(F.col("id").alias("vec_id"), F.array(F.col("id") % 7 / 7.0, F.col("id") % 5 / 5.0).alias("embedding"))
+    plan = topk.top_k(rows, lambda i: i % 20 == 0)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+@pytest.mark.parametrize("high, bytes_each", [(0, 1), (127, 1), (128, 2), (2**15, 4), (2**31, 8), (2**63 - 1, 8)])
+def test_topk_narrow_integers(high, bytes_each):
+    values = np.array([high, -high, 1 if high else 0], np.int64)
+    body = topk.narrow(values)
+    assert len(body) == 3 * bytes_each and topk.widen(body, 3).tolist() == values.tolist()
+    assert topk.widen(topk.narrow(values[:0]), 0).tolist() == [] and len(topk.narrow(np.array([-128]))) == 2
+
+
 def test_topk_empty(spark):
     assert topk.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>, rank int"), lambda i: i % 20 == 0).count() == 0
     assert topk.top_k(spark.createDataFrame([(20, [1.0])], "vec_id long, embedding array<float>"), lambda i: i % 20 == 0).count() == 0
