@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from firmlens.functions import fixed
+from firmlens.functions.eigen import largest
 from firmlens.functions.text import clean_text, match_text, match_tokens
 from firmlens.shared import find_package
 
@@ -144,41 +145,81 @@ class PartnerIndex:
         return self._gram
 
     def reduced_cosines(self, term: np.ndarray, count: np.ndarray, most: int) -> np.ndarray:
-        """Cosines of one target, its distinct terms and their counts, to all partners after a truncated SVD of the TF-IDF rows of
+        """all_reduced_cosines() of one target."""
+        return self.all_reduced_cosines([(term, count)], most)[0]
+
+    def all_reduced_cosines(self, targets: list[tuple[np.ndarray, np.ndarray]], most: int) -> np.ndarray:
+        """Cosines of targets, each its distinct terms and their counts, to all partners after a truncated SVD of the TF-IDF rows of
         the target and all partners to at most `most` dimensions.
 
         The rows' products say all: with G = V diag(l) V', the reduced rows are the first columns of V by l, times the root of
-        l. The target moves the weights of its own terms only, so the partners' products are the plain ones with these
-        terms' parts exchanged. Fewer than four rows or terms: the rows themselves.
+        l. Fewer than four rows or terms: the rows themselves. A target that shares no term is at right angles to all.
+        """
+        out = np.zeros((len(targets), self.size))
+        rows = self.size + 1
+        held = np.empty((max(1, min(128, (1 << 26) // (8 * rows * rows))), rows, rows))
+        of: list[int] = []  # whose products are held, and the number of dimensions that all of them are reduced to
+        k = 0
+
+        def reduce() -> None:
+            g = held[: len(of)]
+            if k:
+                values, vectors = largest(g, k)
+                reduced = vectors * np.sqrt(np.maximum(values, 0))[:, None]
+                first, square = (reduced @ reduced[:, 0, :, None])[:, :, 0], np.einsum("bij,bij->bi", reduced, reduced)
+            else:
+                first, square = g[:, 0], np.diagonal(g, axis1=1, axis2=2)
+            own = np.sqrt(np.maximum(square, 0))
+            out[of] = np.where((own[:, 1:] > 1e-9) & (own[:, :1] > 1e-9), first[:, 1:] / np.maximum(own[:, 1:] * own[:, :1], 1e-300), 0.0)
+            of.clear()
+
+        for i, (term, count) in enumerate(targets):
+            last = len(of)
+            features = self.products(term, count, held[last])
+            if not features:
+                continue
+            wanted = max(2, min(most, rows - 1, features - 1)) if rows >= 4 and features >= 4 else 0
+            if of and wanted != k:
+                reduce()
+                held[0] = held[last]
+            k = wanted
+            of.append(i)
+            if len(of) == len(held):
+                reduce()
+        if of:
+            reduce()
+        return out
+
+    def products(self, term: np.ndarray, count: np.ndarray, g: np.ndarray) -> int:
+        """Into g: the products of the unit rows of a target (the first) and all partners. Gives the number of all their terms, or 0
+        and nothing where the target shares none.
+
+        The target moves the weights of its own terms only (always down), so the partners' products are the plain ones less
+        these terms' parts; a term of one partner counts in that partner's length only.
         """
         hit, n, partner, ptf = self.find(self.dense, term)
+        if not len(hit):
+            return 0
         df = np.zeros(len(term))
         df[hit] = n
         ttf, tidf = 1 + np.log(np.maximum(count, 1)), self.idf(df + 1)
-        column = np.repeat(np.arange(len(hit)), n)
-        some, at = np.unique(partner, return_inverse=True)  # only these partners' products change
-        tf = np.zeros((len(some), len(hit)))
-        tf[at, column] = ptf
-        g = np.zeros((self.size + 1, self.size + 1))
+        lost = self.idf(df[hit]) ** 2 - tidf[hit] ** 2
         g[1:, 1:] = self.gram()
-        g[some[:, None] + 1, some + 1] += (tf * (tidf[hit] ** 2 - self.idf(df[hit]) ** 2)) @ tf.T
-        g[0, some + 1] = g[some + 1, 0] = tf @ (ttf[hit] * tidf[hit] ** 2)
+        single, column = np.repeat(n == 1, n), np.repeat(np.arange(len(hit)), n)
+        both = ~single
+        if both.any():
+            place = np.cumsum(n > 1) - 1
+            tf = np.zeros((self.size, place[-1] + 1))
+            tf[partner[both], place[column[both]]] = ptf[both] * np.sqrt(lost)[column[both]]
+            g[1:, 1:] -= tf @ tf.T
+        g[np.arange(1, self.size + 1), np.arange(1, self.size + 1)] -= np.bincount(partner[single], ptf[single] ** 2 * lost[column[single]], self.size)
+        g[0, 1:] = g[1:, 0] = np.bincount(partner, ptf * (ttf[hit] * tidf[hit] ** 2)[column], self.size)
         g[0, 0] = ((ttf * tidf) ** 2).sum()
         length = np.sqrt(np.maximum(np.diag(g), 0))
         length[length < 1e-12] = np.inf  # rows without terms
-        g /= length[:, None]
-        g /= length
-        features = len(self.dense[0]) + len(term) - len(hit)
-        rows = self.size + 1
-        if rows >= 4 and features >= 4:
-            k = max(2, min(most, rows - 1, features - 1))
-            values, vectors = np.linalg.eigh(g)
-            reduced = vectors[:, -k:] * np.sqrt(np.maximum(values[-k:], 0))
-            first, square = reduced @ reduced[0], np.einsum("ij,ij->i", reduced, reduced)
-        else:
-            first, square = g[0], np.diag(g)
-        own = np.sqrt(np.maximum(square, 0))
-        return np.where((own[1:] > 1e-9) & (own[0] > 1e-9), first[1:] / np.maximum(own[1:] * own[0], 1e-300), 0.0)
+        g *= (1 / length)[:, None]
+        g *= 1 / length
+        return len(self.dense[0]) + len(term) - len(hit)
 
     def idf(self, df: np.ndarray) -> np.ndarray:
         return np.log((2.0 + self.size) / (1.0 + df)) + 1.0
@@ -286,7 +327,7 @@ def score_partners(targets: DataFrame, partners: DataFrame, weights: dict[str, i
                 score, terms, cosine = index.scores(frame.num_rows, listed, None if dimensions else counted)
                 if dense and dimensions:
                     cuts = np.searchsorted(counted[0], np.arange(frame.num_rows + 1))
-                    cosine = np.stack([index.reduced_cosines(counted[1][a:b], counted[2][a:b], dimensions) for a, b in zip(cuts, cuts[1:])])
+                    cosine = index.all_reduced_cosines([(counted[1][a:b], counted[2][a:b]) for a, b in zip(cuts, cuts[1:])], dimensions)
                 cosine = np.round(cosine, 6)
                 out: list[tuple] = []
                 for i in range(frame.num_rows):

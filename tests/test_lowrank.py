@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from conftest import TINY
 
+from firmlens.functions import eigen
 from firmlens.operators import matching
 from firmlens.plans import catalog
 
@@ -98,3 +99,54 @@ def test_tokens_are_those_of_match_text(spark):
     for r in whole:
         assert r.tokens == r.again and set(r.tokens) <= set(r.words)
         assert [w for w in r.words if len(w) > 2 and not w.isdigit() and w in r.tokens] == [w for w in r.tokens if len(w) > 2]
+
+
+def symmetric(kind, n, rng):
+    if kind == "rows":  # near right angles, as partners are
+        a = rng.normal(size=(n, 3 * n)) * (rng.random((n, 3 * n)) < 0.2)
+        a /= np.maximum(np.linalg.norm(a, axis=1), 1e-9)[:, None]
+        return a @ a.T
+    if kind == "ties":
+        return np.kron(np.eye(n // 2 + 1), np.array([[1.0, 0.5], [0.5, 1.0]]))[:n, :n]
+    return {"zero": np.zeros((n, n)), "one": np.eye(n), "low": np.outer(np.arange(n), np.arange(n)) / n, "diagonal": np.diag(np.arange(n) / n),
+            "large": 1e6 * symmetric("rows", n, rng) if kind == "large" else 0}[kind]
+
+
+@pytest.mark.parametrize("n, k", [(2, 1), (4, 2), (30, 29), (30, 8), (90, 32)])
+def test_largest_eigenvalues_are_those_of_eigh(n, k):
+    rng = np.random.default_rng(n)
+    kinds = ["rows", "rows", "ties", "zero", "one", "rows", "low", "diagonal", "large"]
+    g = np.stack([symmetric(x, n, rng) for x in kinds])
+    values, vectors = eigen.largest(g.copy(), k)
+    for kind, a, value, v in zip(kinds, g, values, vectors):
+        scale = max(np.abs(a).max(), 1)
+        assert np.abs(value - np.linalg.eigvalsh(a)[-k:]).max() < 1e-10 * scale
+        assert np.abs(v.T @ v - np.eye(k)).max() < 1e-8 and np.abs(a @ v - v * value).max() < 1e-8 * scale, kind
+
+
+def test_most_matrices_need_no_whole_decomposition(monkeypatch):
+    """Which is what a document's cost was: all 201 vectors for the 32 that count."""
+    if not eigen._routines():
+        pytest.skip("numpy has another LAPACK")
+    rng = np.random.default_rng(1)
+    g = np.stack([symmetric("rows", 120, rng) for _ in range(20)])
+    whole, calls = np.linalg.eigh, []
+    monkeypatch.setattr(np.linalg, "eigh", lambda *a: calls.append(1) or whole(*a))
+    found = eigen.largest(g.copy(), 32)
+    assert len(calls) <= 2
+    monkeypatch.setattr(eigen, "_routines", lambda: None)
+    plain = eigen.largest(g.copy(), 32)
+    assert len(calls) >= 20
+    for (a, b), (c, d) in zip(zip(*found), zip(*plain)):
+        assert np.abs((b * a) @ b.T - (d * c) @ d.T).max() < 1e-8
+
+
+def test_targets_of_a_block_are_reduced_each_by_its_own():
+    """Targets without a shared term, with few terms, and more than a block of them, in any order."""
+    rng = random.Random(5)
+    for n, words in ((40, 30), (2, 4), (12, 6)):
+        partners = [[rng.randint(0, words) for _ in range(rng.randint(1, 25))] for _ in range(n)]
+        targets = [[rng.randint(0, words + 15) for _ in range(rng.choice([0, 1, 5, 60]))] for _ in range(140)] + [[900], [900, 901, 0]]
+        index = matching.PartnerIndex(partners, partners)
+        got = index.all_reduced_cosines([(t, c.astype(float)) for t, c in (np.unique(np.array(x, np.int64), return_counts=True) for x in targets)], 8)
+        assert max(np.abs(row - by_svd(t, partners, 8)).max() for row, t in zip(got, targets)) < 1e-6
